@@ -212,7 +212,7 @@ def lookup_keys(spark, sf_dir):
 @query
 def lookup_keys_hot(spark, sf_dir):
     """The same lookups as if the dimensions were too large to broadcast."""
-    return _lookup(spark, sf_dir, max_broadcast_rows=0)
+    return _lookup(spark, sf_dir, max_broadcast_bytes=0)
 
 
 def _lookup(spark, sf_dir, **options):

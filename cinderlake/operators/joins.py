@@ -7,10 +7,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side with at most this many narrow rows (a key and a number or a few calendar
-# attributes) is broadcast; that is some tens of megabytes at worst.
-BROADCAST_ROWS = 500_000
+from cinderlake.workspace import materialize
+
+# A side estimated at no more than this is broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+# Allowance per row and per value of fixed width, above what Spark's hash tables take.
+_ROW_BYTES, _VALUE_BYTES = 32, 16
 
 # How many of the most frequent keys get a broadcast join of their own when the
 # dimension is too large to broadcast. Every key that holds more than 1/HOT_KEYS
@@ -18,9 +23,27 @@ BROADCAST_ROWS = 500_000
 HOT_KEYS = 200
 
 
-def fits_broadcast(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``side`` has at most ``max_rows`` rows; counting stops just above."""
-    return side.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(
+    side: DataFrame, max_bytes: int = BROADCAST_BYTES, rows: int | None = None
+) -> bool:
+    """Whether all of ``side`` is estimated at no more than ``max_bytes``.
+
+    Rows are counted and the lengths of texts are added up; without texts a count reads
+    no more than the footers of a Parquet table, and none is made if ``rows`` is known.
+    A side with nested columns does not count as bounded.
+    """
+    texts = [
+        f.name for f in side.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))
+    ]
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in side.schema):
+        return False
+    if texts or rows is None:
+        lengths = [F.coalesce(F.sum(F.octet_length(t)), F.lit(0)) for t in texts]
+        total = sum(lengths, F.lit(0))
+        rows, text_bytes = side.agg(F.count("*"), total).first()
+    else:
+        text_bytes = 0
+    return rows * (_ROW_BYTES + _VALUE_BYTES * len(side.columns)) + text_bytes <= max_bytes
 
 
 @dataclass(frozen=True)
@@ -33,20 +56,26 @@ class Dimension:
 
 
 def lookup_dimensions(
-    fact: DataFrame, dimensions: Sequence[Dimension], max_broadcast_rows: int = BROADCAST_ROWS
+    fact: DataFrame, dimensions: Sequence[Dimension], max_broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Add each dimension's surrogate key; rows without a match keep a NULL key.
 
     The natural key must have the same name in the fact. A dimension of checked size
     is broadcast, so the fact is not shuffled. A larger one is joined by shuffle,
-    after the hottest keys have been taken out.
+    after the hottest keys have been taken out; that reads the fact twice, so between
+    two such joins the fact is written.
     """
-    for dim in dimensions:
-        side = dim.table.select(dim.natural_key, dim.surrogate_key)
-        if fits_broadcast(side, max_broadcast_rows):
+    sides = [(d, d.table.select(d.natural_key, d.surrogate_key)) for d in dimensions]
+    large = []
+    for dim, side in sides:
+        if fits_broadcast(side, max_broadcast_bytes):
             fact = fact.join(F.broadcast(side), dim.natural_key, "left")
         else:
-            fact = _left_join_around_hot_keys(fact, side, dim.natural_key, dim.surrogate_key)
+            large.append((dim, side))
+    for n, (dim, side) in enumerate(large):
+        if n > 0:
+            fact = materialize(fact, "looked-up")
+        fact = _left_join_around_hot_keys(fact, side, dim.natural_key, dim.surrogate_key)
     return fact
 
 
@@ -62,8 +91,9 @@ def _left_join_around_hot_keys(
     columns = [c for c in fact.columns if c != key]
     frequency = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
     hottest = frequency.orderBy(F.desc("_n"), key).limit(hot_keys).select(key)
-    hot = side.join(F.broadcast(hottest), key, "right").select(
-        F.col(key), F.col(value), F.lit(True).alias("_hot")
+    matched = side.join(F.broadcast(hottest), key, "left_semi")
+    hot = hottest.join(F.broadcast(matched), key, "left").select(
+        key, value, F.lit(True).alias("_hot")
     )
     marked = fact.join(F.broadcast(hot), key, "left")
     settled = F.col("_hot").isNotNull() | F.col(key).isNull()

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinderlake.operators.joins import BROADCAST_BYTES, fits_broadcast
 from cinderlake.workspace import materialize
 
 
@@ -43,6 +44,8 @@ def insert_if_absent(
     keys: Sequence[str],
     order_by: Sequence[str | Column] | None = None,
     null_keys: str = "keep",
+    incoming_rows: int | None = None,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The rows of ``incoming`` to append to ``target``: those with a key it lacks.
 
@@ -50,10 +53,15 @@ def insert_if_absent(
     conflict, as under an SQL unique constraint; ``null_keys`` says what becomes of
     those rows: ``keep`` all, ``drop`` all, or ``error`` (a primary key).
 
-    Both steps need the same hash partitioning, so ``incoming`` is shuffled once and
-    of ``target`` only the key columns are read.
+    Of ``target`` only the key columns are read. If the keys of ``incoming`` are few, they
+    are broadcast to find the conflicts, so a large target is scanned but not shuffled.
+    Otherwise both sides are partitioned by key, which the first-row rule needs anyway,
+    so ``incoming`` is still shuffled once. ``incoming_rows`` saves counting them.
     """
     present = target.select(*keys)
+    wanted = incoming.select(*keys).where(_no_null(keys))
+    if fits_broadcast(wanted, max_broadcast_bytes, incoming_rows):
+        present = present.join(F.broadcast(wanted), list(keys), "left_semi")
     if null_keys == "error":
         message = F.lit(f"NULL in key {list(keys)}")
         first = keys[0]

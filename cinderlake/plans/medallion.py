@@ -19,6 +19,7 @@ from cinderlake.schemas import (
     BATTALION_FIELDS,
     DISTRICT_FIELDS,
     FACT_SCHEMA,
+    GOLD_TABLES,
     INCIDENT_SCHEMA,
     MEASURES,
     RAW_INCIDENT_SCHEMA,
@@ -79,14 +80,15 @@ def with_dimension_keys(staged: DataFrame, battalions: DataFrame, districts: Dat
 
 
 def _grow_dimension(
-    warehouse: Warehouse, table: str, key: str, surrogate_key: str, staged: DataFrame, order_by
+    warehouse: Warehouse, table: str, load_id: str, key: str, staged: DataFrame, order_by
 ) -> None:
-    # A NULL natural key could never be looked up, and would be new in every load.
+    surrogate_key = f"{table}_sk"
     present = warehouse.read(table)
+    # A NULL natural key could never be looked up, and would be new in every load.
     fresh = insert_if_absent(present, staged, [key], order_by, null_keys="drop")
     after = warehouse.highest_key(table, surrogate_key)
     numbered = assign_surrogate_keys(fresh, [key], surrogate_key, after)
-    warehouse.append(table, numbered.select(*present.columns))
+    warehouse.append(table, load_id, numbered.select(*present.columns))
 
 
 def load_incidents(
@@ -100,42 +102,35 @@ def load_incidents(
     staging rows. Any error stops the load.
     """
     load_id = load_id or uuid.uuid4().hex
-    gold = ("dim_battalion", "dim_district", "fact_fire_department_injuries")
-    before = {t: warehouse.read(t).count() for t in gold}
+    before = {t: warehouse.rows_of_load(t, load_id) for t in GOLD_TABLES}
 
-    raw = warehouse.write_load("raw_fact_fire_department", load_id, raw_incidents(incidents))
-    raw_battalion = warehouse.write_load("raw_dim_battalion", load_id, raw_battalions(raw))
-    raw_district = warehouse.write_load("raw_dim_district", load_id, raw_districts(raw))
+    def keep(table: str, df: DataFrame) -> DataFrame:
+        return warehouse.write_load(table, load_id, df)
 
-    battalion = warehouse.write_load(
-        "stg_dim_battalion", load_id, stage_battalions(raw_battalion)
-    )
-    district = warehouse.write_load("stg_dim_district", load_id, stage_districts(raw_district))
-    staged = warehouse.write_load(
-        "stg_fact_fire_department_injuries", load_id, stage_facts(raw)
-    )
+    raw = keep("raw_fact_fire_department", raw_incidents(incidents))
+    raw_battalion = keep("raw_dim_battalion", raw_battalions(raw))
+    raw_district = keep("raw_dim_district", raw_districts(raw))
 
+    battalion = keep("stg_dim_battalion", stage_battalions(raw_battalion))
+    district = keep("stg_dim_district", stage_districts(raw_district))
+    staged = keep("stg_fact_fire_department_injuries", stage_facts(raw))
+
+    _grow_dimension(warehouse, "dim_battalion", load_id, "battalion", battalion, ["battalion"])
     _grow_dimension(
-        warehouse, "dim_battalion", "battalion", "dim_battalion_sk", battalion, ["battalion"]
-    )
-    _grow_dimension(
-        warehouse,
-        "dim_district",
-        "neighborhood_district",
-        "dim_district_sk",
-        district,
-        ["first_id", "city"],
+        warehouse, "dim_district", load_id, "neighborhood_district", district, ["first_id", "city"]
     )
+    rows = staged.count()
+    fact = "fact_fire_department_injuries"
     keyed = with_dimension_keys(
         staged, warehouse.read("dim_battalion"), warehouse.read("dim_district")
     )
     fresh = insert_if_absent(
-        warehouse.read("fact_fire_department_injuries"), keyed, ["id"], null_keys="error"
+        warehouse.read(fact), keyed, ["id"], null_keys="error", incoming_rows=rows
     )
-    warehouse.append("fact_fire_department_injuries", fresh)
+    warehouse.append(fact, load_id, fresh)
 
-    gained = {t: warehouse.read(t).count() - before[t] for t in gold}
-    return {"raw_fact_fire_department": raw.count(), **gained}
+    gained = {t: warehouse.rows_of_load(t, load_id) - n for t, n in before.items()}
+    return {"raw_fact_fire_department": rows, **gained}
 
 
 def load_latest(

@@ -214,8 +214,7 @@ mmddyyyy string
 weekend_indr boolean
 """)
 
-# Layers whose tables hold one folder per load, and the tables that grow by
-# insert-if-absent.
+# Raw and staging tables, and the tables that grow by insert-if-absent.
 LOAD_TABLES = {
     "raw_fact_fire_department": RAW_INCIDENT_SCHEMA,
     "raw_dim_battalion": RAW_BATTALION_SCHEMA,
@@ -228,5 +227,4 @@ GOLD_TABLES = {
     "dim_battalion": DIM_BATTALION_SCHEMA,
     "dim_district": DIM_DISTRICT_SCHEMA,
     "fact_fire_department_injuries": FACT_SCHEMA,
-    "dim_date": DIM_DATE_SCHEMA,
 }

@@ -1,12 +1,13 @@
 """The warehouse: Parquet tables in one folder.
 
-Raw and staging tables keep every load in a folder of its own, so a load that failed
-half-way can be run again under its id without doubling rows. Dimensions and the fact
-are only ever appended to. There must be one writer at a time.
+Every table but the calendar keeps each load in a folder of its own. Raw and staging
+folders are replaced when a load is run again under its id; dimensions and the fact are
+only ever appended to, since their rows may be in use. There must be one writer at a time.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,14 +16,15 @@ from pyspark.sql import types as T
 
 from cinderlake.functions.calendar import build_dim_date
 from cinderlake.operators.columns import load_by_position
-from cinderlake.schemas import GOLD_TABLES, LOAD_TABLES
+from cinderlake.schemas import DIM_DATE_SCHEMA, GOLD_TABLES, LOAD_TABLES
+from cinderlake.workspace import empty_frame
 
 
 def create_table(
     spark: SparkSession, path: str, schema: T.StructType, *partition_by: str
 ) -> None:
     """Drop what is at ``path`` and put an empty table there."""
-    empty = spark.createDataFrame([], schema)
+    empty = empty_frame(spark, schema)
     empty.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
@@ -31,10 +33,6 @@ def append_rows(df: DataFrame, path: str, schema: T.StructType) -> None:
     load_by_position(df, schema).write.mode("append").parquet(path)
 
 
-def _with_load_id(table: str) -> T.StructType:
-    return T.StructType([*LOAD_TABLES[table].fields, T.StructField("load_id", T.StringType())])
-
-
 @dataclass(frozen=True)
 class Warehouse:
     spark: SparkSession
@@ -43,30 +41,41 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
+    def folder(self, table: str, load_id: str) -> str:
+        if not re.fullmatch(r"[\w.-]+", load_id, re.ASCII):
+            raise ValueError(f"load id {load_id!r} has other characters than letters, digits, _.-")
+        return f"{self.path(table)}/load_id={load_id}"
+
     def reset(self) -> None:
         """Empty every table and fill the calendar."""
-        for table in LOAD_TABLES:
-            create_table(self.spark, self.path(table), _with_load_id(table), "load_id")
-        for table, schema in GOLD_TABLES.items():
-            if table != "dim_date":
-                create_table(self.spark, self.path(table), schema)
+        for table, schema in {**LOAD_TABLES, **GOLD_TABLES}.items():
+            create_table(self.spark, self.path(table), _with_load_id(schema), "load_id")
         build_dim_date(self.spark).write.mode("overwrite").parquet(self.path("dim_date"))
 
     def read(self, table: str) -> DataFrame:
         """A whole table; raw and staging tables have ``load_id`` as last column."""
+        if table == "dim_date":
+            return self.spark.read.schema(DIM_DATE_SCHEMA).parquet(self.path(table))
         if table in GOLD_TABLES:
-            return self.spark.read.schema(GOLD_TABLES[table]).parquet(self.path(table))
-        return self.spark.read.schema(_with_load_id(table)).parquet(self.path(table))
+            return self._loads(table, GOLD_TABLES[table]).drop("load_id")
+        return self._loads(table, LOAD_TABLES[table])
+
+    def _loads(self, table: str, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(_with_load_id(schema)).parquet(self.path(table))
 
     def write_load(self, table: str, load_id: str, df: DataFrame) -> DataFrame:
-        """Write one load of a raw or staging table by position and return what was written."""
-        schema = LOAD_TABLES[table]
-        folder = f"{self.path(table)}/load_id={load_id}"
+        """Write a load of a raw or staging table by position and return what was written."""
+        folder, schema = self.folder(table, load_id), LOAD_TABLES[table]
         load_by_position(df, schema).write.mode("overwrite").parquet(folder)
         return self.spark.read.schema(schema).parquet(folder)
 
-    def append(self, table: str, df: DataFrame) -> None:
-        append_rows(df, self.path(table), GOLD_TABLES[table])
+    def append(self, table: str, load_id: str, df: DataFrame) -> None:
+        """Add the rows of a load to a dimension or the fact, by position."""
+        append_rows(df, self.folder(table, load_id), GOLD_TABLES[table])
+
+    def rows_of_load(self, table: str, load_id: str) -> int:
+        """Rows a load has added to a dimension or the fact; other loads are not read."""
+        return self._loads(table, GOLD_TABLES[table]).where(F.col("load_id") == load_id).count()
 
     def highest_key(self, table: str, surrogate_key: str) -> int:
         """The highest surrogate key in use, 0 in an empty table."""
@@ -74,5 +83,9 @@ class Warehouse:
 
     def register_views(self) -> None:
         """Make every table available to SQL under its own name."""
-        for table in [*LOAD_TABLES, *GOLD_TABLES]:
+        for table in [*LOAD_TABLES, *GOLD_TABLES, "dim_date"]:
             self.read(table).createOrReplaceTempView(table)
+
+
+def _with_load_id(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("load_id", T.StringType())])

@@ -5,14 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cinderlake.operators.columns import cast_columns
 from cinderlake.plans.medallion import load_incidents
 from cinderlake.schemas import INCIDENT_SCHEMA, names
-from cinderlake.sources.snapshots import CSV_OPTIONS, NA_TOKENS
+from cinderlake.sources.snapshots import CSV_OPTIONS, NA_TOKENS, parse_fields
 from cinderlake.sources.warehouse import Warehouse
 
 
@@ -40,10 +38,8 @@ def load_new_snapshots(
     )
 
     def load(batch: DataFrame, number: int) -> None:
-        known = batch.select(
-            *[F.when(~F.col(c).isin(*na_tokens), F.col(c)).alias(c) for c in batch.columns]
-        )
-        load_incidents(warehouse, cast_columns(known, INCIDENT_SCHEMA), f"batch-{number}")
+        incidents = parse_fields(batch, INCIDENT_SCHEMA, na_tokens)
+        load_incidents(warehouse, incidents, f"batch-{number}")
 
     return (
         lines.writeStream.foreachBatch(load)

@@ -12,6 +12,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _local_folder: tempfile.TemporaryDirectory | None = None
 
@@ -43,3 +45,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows of ``schema``, without going through Python."""
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0, 0, 1, 1).select(*none)

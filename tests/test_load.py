@@ -1,0 +1,220 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from cinderlake.plans import marts
+from cinderlake.plans.growth import grow_snapshot, new_incidents
+from cinderlake.plans.medallion import load_incidents, load_latest
+from cinderlake.schemas import (
+    FACT_SCHEMA,
+    GOLD_TABLES,
+    INCIDENT_SCHEMA,
+    LOAD_TABLES,
+    UNIQUE_FIELDS,
+    names,
+)
+from cinderlake.sources.snapshots import latest_snapshot, read_snapshot, write_snapshot
+from cinderlake.sources.synthetic import (
+    BATTALIONS,
+    DISTRICTS,
+    INTEGER_RANGES,
+    synthetic_incidents,
+)
+from cinderlake.sources.warehouse import Warehouse
+from cinderlake.streaming.snapshots import load_new_snapshots
+
+START, END = datetime(2020, 1, 1), datetime(2024, 1, 6)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def incidents(spark, *given):
+    """Incidents of which only some fields are given; the rest is NULL."""
+    full = [tuple({n: None for n in names(INCIDENT_SCHEMA)} | g for g in [row])[0] for row in given]
+    return spark.createDataFrame([tuple(r.values()) for r in full], INCIDENT_SCHEMA)
+
+
+@pytest.fixture
+def warehouse(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "warehouse"))
+    house.reset()
+    return house
+
+
+HAND = [
+    {"id": 2, "incident_number": 20, "battalion": "b1 ", "neighborhood_district": " mission",
+     "city": "san francisco", "incident_date": datetime(2024, 1, 6)},
+    {"id": 1, "incident_number": 10, "battalion": "B1", "neighborhood_district": "Mission\t",
+     "city": "SF ", "suppression_units": 3, "estimated_property_loss": 2.5},
+    {"id": 3, "incident_number": None, "battalion": None, "neighborhood_district": None, "city": None},
+    {"id": 1, "incident_number": 99, "battalion": "B2", "neighborhood_district": "Sunset", "city": "SF"},
+]
+
+
+def test_reset_makes_empty_tables_and_a_calendar(warehouse):
+    for table, schema in LOAD_TABLES.items():
+        read = warehouse.read(table)
+        assert read.columns == [*names(schema), "load_id"] and read.count() == 0
+    for table, schema in GOLD_TABLES.items():
+        assert warehouse.read(table).columns == names(schema)
+        assert warehouse.read(table).count() == 0
+    assert warehouse.read("dim_date").count() == 29_220
+    with pytest.raises(ValueError, match="load id"):
+        warehouse.folder("dim_battalion", "../x")
+
+
+def test_load_by_hand(spark, warehouse):
+    gained = load_incidents(warehouse, incidents(spark, *HAND), "one")
+    assert gained == {
+        "raw_fact_fire_department": 4,
+        "dim_battalion": 2,
+        "dim_district": 2,
+        "fact_fire_department_injuries": 3,
+    }
+    raw_pairs = warehouse.read("raw_dim_district").drop("load_id")
+    assert rows(raw_pairs) == sorted(
+        [(" mission", "san francisco", 2), ("Mission\t", "SF ", 1), ("Sunset", "SF", 1), (None, None, 3)],
+        key=str,
+    )
+    assert rows(warehouse.read("dim_battalion")) == [(1, "B1"), (2, "B2")]
+    # The pair with the smallest incident id gives the district its city.
+    assert rows(warehouse.read("dim_district")) == [
+        (1, "MISSION", "SF", "SF"),
+        (2, "SUNSET", "SF", "SF"),
+    ]
+    fact = warehouse.read("fact_fire_department_injuries")
+    assert fact.schema == FACT_SCHEMA
+    found = fact.select(
+        "incident_number", "id", "incident_date", "dim_battalion_sk", "dim_district_sk",
+        "suppression_units", "estimated_property_loss", "num_alarms",
+    )
+    assert rows(found) == sorted(
+        [
+            (10, 1, None, 1, 1, 3, 2.5, 0),
+            (20, 2, datetime(2024, 1, 6), 1, 1, 0, 0.0, 0),
+            (0, 3, None, None, None, 0, 0.0, 0),
+        ],
+        key=str,
+    )
+
+
+def test_a_repeated_load_adds_nothing_and_late_rows_do_not_update(spark, warehouse):
+    load_incidents(warehouse, incidents(spark, *HAND), "one")
+    gold = {t: rows(warehouse.read(t)) for t in GOLD_TABLES}
+    changed = [h | {"city": "Oakland", "fire_injuries": 7} for h in HAND]
+    for load_id in ("one", "two", None):
+        gained = load_incidents(warehouse, incidents(spark, *changed), load_id)
+        assert set(gained.values()) == {0, 4}
+    assert {t: rows(warehouse.read(t)) for t in GOLD_TABLES} == gold
+    loads = warehouse.read("raw_fact_fire_department").groupBy("load_id").count().collect()
+    assert sorted(r["count"] for r in loads) == [4, 4, 4]
+
+
+def test_new_rows_are_added_with_the_next_keys(spark, warehouse):
+    load_incidents(warehouse, incidents(spark, *HAND))
+    more = [{"id": 9, "battalion": "A0", "neighborhood_district": "sunset"}, {"id": 8, "battalion": "B2"}]
+    gained = load_incidents(warehouse, incidents(spark, *HAND, *more))
+    assert gained["fact_fire_department_injuries"] == 2
+    assert rows(warehouse.read("dim_battalion")) == [(1, "B1"), (2, "B2"), (3, "A0")]
+    late = warehouse.read("fact_fire_department_injuries").where("id >= 8")
+    assert rows(late.select("id", "dim_battalion_sk", "dim_district_sk")) == [(8, 2, None), (9, 3, 2)]
+
+
+def test_a_missing_id_stops_the_load(spark, warehouse):
+    with pytest.raises(Exception, match="NULL in key"):
+        load_incidents(warehouse, incidents(spark, *HAND, {"incident_number": 5}))
+    assert warehouse.read("fact_fire_department_injuries").count() == 0
+
+
+def test_a_missing_column_stops_the_load(spark, warehouse):
+    with pytest.raises(ValueError, match="city"):
+        load_incidents(warehouse, incidents(spark, *HAND).drop("city"))
+
+
+def test_synthetic_fields_keep_their_ranges(spark):
+    n = 3000
+    maxima = {"incident_number": 100, "id": 200, "call_number": 300}
+    made = synthetic_incidents(
+        spark.range(n).withColumnRenamed("id", "_draw"), "_draw", n, maxima, START, END
+    )
+    assert made.drop("_draw").schema == INCIDENT_SCHEMA or made.columns[1:] == names(INCIDENT_SCHEMA)
+    low = made.agg(*[F.min(f).alias(f) for f in [*INTEGER_RANGES, *UNIQUE_FIELDS]]).first()
+    high = made.agg(*[F.max(f).alias(f) for f in [*INTEGER_RANGES, *UNIQUE_FIELDS]]).first()
+    for field, (a, b) in INTEGER_RANGES.items():
+        assert (low[field], high[field]) == (a, b), field
+    for field, top in maxima.items():
+        assert top < low[field] < high[field] <= top + n
+    assert {r[0] for r in made.select("battalion").distinct().collect()} == set(BATTALIONS)
+    assert {r[0] for r in made.select("neighborhood_district").distinct().collect()} == set(DISTRICTS)
+    times = made.agg(F.min("alarm_dttm"), F.max("close_dttm")).first()
+    assert START <= times[0] and times[1] <= END
+    assert made.where("arrival_dttm < alarm_dttm").count() > n / 3
+    assert made.where(r"zipcode RLIKE '^\\d{5}$'").count() == n
+
+
+def test_new_incidents_are_unique_in_each_field(spark):
+    n = 4000
+    snapshot = incidents(spark, {"id": 50, "incident_number": 60, "call_number": 70})
+    made = new_incidents(
+        snapshot, spark.range(n).withColumnRenamed("id", "_draw"), "_draw", n, START, END, seed=2
+    )
+    kept = made.count()
+    # Each field leaves a draw alone with a chance of about 1/e.
+    assert 0.03 * n < kept < 0.07 * n
+    for field in UNIQUE_FIELDS:
+        assert made.select(field).distinct().count() == kept
+    empty = new_incidents(
+        snapshot.limit(0), spark.range(5).withColumnRenamed("id", "_draw"), "_draw", 5, START, END
+    )
+    assert empty.where("id < 1").count() == 0
+
+
+def test_grow_and_load(spark, warehouse, tmp_path):
+    root = str(tmp_path / "snapshots")
+    with pytest.raises(Exception):
+        load_latest(warehouse, root)
+    write_snapshot(incidents(spark, *HAND), root, "Fire_Incidents_20240106.csv")
+    first = load_latest(warehouse, root)
+    before = warehouse.read("fact_fire_department_injuries").count()
+    name = grow_snapshot(spark, root, drawn_rows=2000, start=START, end=END, seed=1)
+    assert name.startswith("Fire_Incidents_2") and latest_snapshot(spark, root) == name
+    grown = read_snapshot(spark, f"{root}/{name}")
+    added = grown.count() - len(HAND)
+    assert added > 0
+    second = load_latest(warehouse, root)
+    assert second["fact_fire_department_injuries"] == added
+    assert second["dim_district"] == len(DISTRICTS)
+    fact = warehouse.read("fact_fire_department_injuries")
+    assert marts.row_count(fact).first()[0] == before + added
+    assert first["fact_fire_department_injuries"] == before
+    assert fact.where("dim_battalion_sk IS NULL").count() == 1
+
+
+def test_sql_over_the_registered_tables(spark, warehouse):
+    load_incidents(warehouse, incidents(spark, *HAND))
+    warehouse.register_views()
+    found = spark.sql("""
+        SELECT dd.day_name, count(*) AS n FROM fact_fire_department_injuries fact
+        JOIN dim_date dd ON fact.incident_date = dd.date_actual GROUP BY dd.day_name""")
+    assert rows(found) == [("Saturday", 1)]
+
+
+def test_streaming_loads_each_file_once(spark, warehouse, tmp_path):
+    root, checkpoint = str(tmp_path / "snapshots"), str(tmp_path / "checkpoint")
+
+    def run():
+        load_new_snapshots(warehouse, root, checkpoint).awaitTermination()
+        return warehouse.read("fact_fire_department_injuries").count()
+
+    write_snapshot(incidents(spark, *HAND), root, "a_b_1.csv")
+    assert run() == 3
+    assert run() == 3
+    write_snapshot(incidents(spark, *HAND, {"id": 4, "battalion": "B1"}), root, "a_b_2.csv")
+    assert run() == 4
+    assert rows(warehouse.read("raw_fact_fire_department").groupBy("load_id").count()) == [
+        ("batch-0", 4),
+        ("batch-1", 5),
+    ]

@@ -1,0 +1,53 @@
+"""Plans of the keyed operators: how often, and what, they shuffle."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from cinderlake.operators.keyed import first_per_key, insert_if_absent
+from cinderlake.operators.quality import drop_colliding_rows, find_repeated_values
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    for name in ("target", "incoming"):
+        spark.range(1000).select("id", F.col("id").alias("a"), F.lit("t").alias("b")).write.parquet(
+            str(tmp_path / name)
+        )
+    return [spark.read.parquet(str(tmp_path / n)) for n in ("target", "incoming")]
+
+
+def scans(plan):
+    return re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+
+
+def test_first_per_key_reduces_before_the_shuffle(tables, plan_text):
+    plan = plan_text(first_per_key(tables[1], ["id"], ["a"]))
+    assert plan.count("Exchange") == 1
+    before = plan[plan.index("Exchange") :]
+    assert "WindowGroupLimit" in before and "Partial" in before
+
+
+def test_insert_shuffles_incoming_once_and_reads_target_keys_only(spark, tables, plan_text):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = insert_if_absent(*tables, ["id"], null_keys="drop", max_broadcast_bytes=0)
+        plan = plan_text(fresh)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert sorted(len(s.split(",")) for s in scans(plan)) == [1, 3]
+
+
+def test_small_insert_does_not_shuffle_the_target(spark, tables, plan_text):
+    plan = plan_text(insert_if_absent(*tables, ["id"], null_keys="drop"))
+    assert "LeftSemi, BuildRight" in plan and "LeftAnti, BuildRight" in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_collisions_and_repeats_aggregate_before_the_shuffle(tables, plan_text):
+    plan = plan_text(drop_colliding_rows(tables[0], ["a", "b"], row_key="id"))
+    assert "partial_count" in plan and "Window" not in plan and "NestedLoop" not in plan
+    plan = plan_text(find_repeated_values(tables[0], ["a", "b"]))
+    assert len(scans(plan)) == 1 and "partial_count" in plan
