@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from checks.incidents import incidents_sql
 from checks.queries import END, START
 from cinderlake.schemas import INCIDENT_SCHEMA, MEASURES, RAW_RENAMES, UNIQUE_FIELDS, names
@@ -128,53 +130,45 @@ _RAW = ", ".join(
 
 def _synthetic() -> str:
     """One synthetic incident per order, as the same draws in SQL."""
+    single = [
+        *UNIQUE_FIELDS, *syn.TIMES, *syn.LOSSES, *syn.COORDINATES, "numbers", "choices", "address"
+    ]
+    bits = ", ".join(
+        f"CAST('0x' || substring(md5('7|{n}|' || CAST(o_orderkey AS VARCHAR)), 1, 15) AS BIGINT) AS _{n}"
+        for n in single
+    )
 
-    def bits(field: str) -> str:
-        text = f"'7|{field}|' || CAST(o_orderkey AS VARCHAR)"
-        return f"CAST('0x' || substring(md5({text}), 1, 15) AS BIGINT)"
-
-    def integer(field: str, low, count) -> str:
-        return f"({bits(field)} % {count} + ({low}))"
-
-    def choice(field: str, options) -> str:
-        quoted = ", ".join("'" + o.replace("'", "''") + "'" for o in options)
-        return f"([{quoted}])[{integer(field, 1, len(options))}]"
+    def digits(drawn: str, counts: list[int]) -> list[str]:
+        steps = [math.prod(counts[:n]) for n in range(len(counts))]
+        return [f"(({drawn} // {s}) % {c})" for s, c in zip(steps, counts)]
 
-    def degrees(field: str, limit: int) -> str:
+    def degrees(drawn: str, limit: int) -> str:
         half = limit * 10**15
-        steps = integer(field, -half, 2 * half + 1)
+        steps = f"({drawn} % {2 * half + 1} - {half})"
         return (
             f"CAST(CAST(CAST({steps} AS DECIMAL(19,0)) * CAST('0.000000000000001' AS DECIMAL(16,15))"
             " AS DECIMAL(20,16)) AS VARCHAR)"
         )
 
     seconds = int((END - START).total_seconds()) + 1
-    fields = {f: integer(f, f"max_{f} + 1", "drawn") for f in UNIQUE_FIELDS}
-    fields |= {f: integer(f, a, b - a + 1) for f, (a, b) in syn.INTEGER_RANGES.items()}
-    fields |= {
-        f: f"TIMESTAMP '{START}' + to_seconds({integer(f, 0, seconds)})"
-        for f in ("incident_date", "alarm_dttm", "arrival_dttm", "close_dttm")
-    }
+    fields = {f: f"_{f} % drawn + max_{f} + 1" for f in UNIQUE_FIELDS}
+    fields |= {f: f"TIMESTAMP '{START}' + to_seconds(_{f} % {seconds})" for f in syn.TIMES}
     fields |= {
-        f: f"CAST({bits(f)} AS DOUBLE) / {float(2**60)!r} * {float(syn.MAX_LOSS)!r}"
-        for f in ("estimated_property_loss", "estimated_contents_loss")
+        f: f"CAST(_{f} AS DOUBLE) / {float(2**60)!r} * {float(syn.MAX_LOSS)!r}" for f in syn.LOSSES
     }
+    numbers = digits("_numbers", list(syn.COUNTS.values()))
+    fields |= {f: f"{d} + {low}" for (f, (low, _)), d in zip(syn.INTEGER_RANGES.items(), numbers)}
+    chosen = digits("_choices", [len(o) for o in syn.CHOICES.values()])
+    for (f, options), digit in zip(syn.CHOICES.items(), chosen):
+        fields[f] = "[" + ", ".join(f"'{o}'" for o in options) + f"][{digit} + 1]"
+    house, zipcode = digits("_address", [syn.HOUSES, syn.ZIPCODES])
     fields |= {
-        "address": f"{integer('house', 1, 9999)} || ' ' || {choice('street', syn.STREETS)}"
-        f" || ' ' || {choice('street_kind', syn.STREET_KINDS)}",
+        "address": f"CAST({house} + 1 AS VARCHAR) || ' ' || {fields['street']} || ' ' || {fields['street_kind']}",
         "city": "'SF'",
-        "zipcode": f"lpad(CAST({integer('zipcode', 0, 100000)} AS VARCHAR), 5, '0')",
-        "battalion": choice("battalion", syn.BATTALIONS),
-        "station_area": choice("station_area", syn.WORDS),
-        "box": choice("box", syn.WORDS),
-        "first_unit_on_scene": choice("first_unit_on_scene", syn.FIRST_UNITS),
+        "zipcode": f"lpad(CAST({zipcode} AS VARCHAR), 5, '0')",
         "number_of_alarms": "1",
-        "primary_situation": choice("primary_situation", syn.SITUATIONS),
         "mutual_aid": "'None'",
-        "action_taken_primary": choice("action_taken_primary", syn.ACTIONS),
-        "property_use": choice("property_use", syn.PROPERTY_USES),
-        "neighborhood_district": choice("neighborhood_district", syn.DISTRICTS),
-        "point": f"'POINT (' || {degrees('point.lon', 180)} || ' ' || {degrees('point.lat', 90)} || ')'",
+        "point": f"'POINT (' || {degrees('_lon', 180)} || ' ' || {degrees('_lat', 90)} || ')'",
     }
     kinds = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
     columns = []
@@ -184,7 +178,7 @@ def _synthetic() -> str:
         columns.append(f"CAST({fields.get(f.name, blank)} AS {kind}) AS {f.name}")
     maxima = ", ".join(f"max({f}) AS max_{f}" for f in UNIQUE_FIELDS)
     return (
-        f"SELECT o_orderkey AS _draw, {', '.join(columns)} FROM orders,"
+        f"SELECT o_orderkey AS _draw, {', '.join(columns)} FROM (SELECT o_orderkey, {bits} FROM orders),"
         f" (SELECT {maxima} FROM ({_INCIDENTS})), (SELECT count(*) AS drawn FROM orders)"
     )
 

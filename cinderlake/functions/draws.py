@@ -1,9 +1,12 @@
-"""Random draws that depend on nothing but a seed, a field name and a row number.
+"""Random draws that depend on nothing but a seed, a name and a row number.
 
 ``rand()`` depends on how rows fall into partitions, so a frame built on it can
 change when a lost task is run again or when the frame is read twice. These draws
 are a pure function of the row, so generated frames can be joined with themselves
 without being written first.
+
+Every function but ``bits`` turns a column of drawn bits into a value. Hashing is the
+costly part, so the bits should be selected first and used afterwards.
 """
 
 from __future__ import annotations
@@ -17,52 +20,59 @@ from pyspark.sql import functions as F
 DRAW_BITS = 60
 
 
-class Draws:
-    """Draws for one row; ``row`` is a column that numbers the rows."""
+def bits(row: str, seed: int, name: str) -> Column:
+    """60 uniform bits as a bigint; ``row`` is the column that numbers the rows."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(name), F.col(row).cast("string")))
+    return F.conv(F.substring(digest, 1, DRAW_BITS // 4), 16, 10).cast("bigint")
+
+
+def integer(drawn: str, low: int, count: int) -> Column:
+    """One of the ``count`` integers from ``low`` upwards."""
+    return F.col(drawn) % F.lit(count) + F.lit(low)
+
+
+def digits(drawn: str, counts: Sequence[int]) -> list[Column]:
+    """Independent integers, the n-th below ``counts[n]``, out of one draw.
+
+    They are the digits of the draw in a mixed base. The product of the counts should
+    stay well below 2**60.
+    """
+    columns, step = [], 1
+    for count in counts:
+        columns.append(F.expr(f"`{drawn}` div {step} % {count}"))
+        step *= count
+    return columns
+
 
-    def __init__(self, row: Column, seed: int):
-        self._row = row.cast("string")
-        self._seed = str(seed)
+def double(drawn: str, low: float, high: float) -> Column:
+    share = F.col(drawn).cast("double") / F.lit(float(2**DRAW_BITS))
+    return share * F.lit(float(high - low)) + F.lit(float(low))
 
-    def bits(self, field: str) -> Column:
-        """60 uniform bits as a bigint."""
-        digest = F.md5(F.concat_ws("|", F.lit(self._seed), F.lit(field), self._row))
-        return F.conv(F.substring(digest, 1, DRAW_BITS // 4), 16, 10).cast("bigint")
 
-    def integer(self, field: str, low: int | Column, count: int | Column) -> Column:
-        """One of the ``count`` integers from ``low`` upwards."""
-        return self.bits(field) % F.lit(count) + F.lit(low)
+def option(index: Column, options: Sequence[str]) -> Column:
+    """The option with this index, counted from 0."""
+    return F.element_at(F.array(*[F.lit(o) for o in options]), (index + F.lit(1)).cast("int"))
 
-    def double(self, field: str, low: float, high: float) -> Column:
-        share = self.bits(field).cast("double") / F.lit(float(2**DRAW_BITS))
-        return share * F.lit(float(high - low)) + F.lit(float(low))
 
-    def choice(self, field: str, options: Sequence[str]) -> Column:
-        index = self.integer(field, 1, len(options)).cast("int")
-        return F.element_at(F.array(*[F.lit(o) for o in options]), index)
+def timestamp(drawn: str, start: datetime, end: datetime) -> Column:
+    """A whole second from ``start`` to ``end``, both included."""
+    seconds = int((end - start).total_seconds()) + 1
+    first = F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.timestamp_add("SECOND", integer(drawn, 0, seconds), first)
 
-    def timestamp(self, field: str, start: datetime, end: datetime) -> Column:
-        """A whole second from ``start`` to ``end``, both included."""
-        seconds = int((end - start).total_seconds()) + 1
-        return F.timestamp_add(
-            "SECOND",
-            self.integer(field, 0, seconds),
-            F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz"),
-        )
 
-    def wkt_point(self, field: str) -> Column:
-        """``POINT (lon lat)`` over the whole globe, 16 decimals.
+def wkt_point(drawn_lon: str, drawn_lat: str) -> Column:
+    """``POINT (lon lat)`` over the whole globe, 16 decimals.
 
-        Coordinates are counted in steps of 1e-15 degrees and scaled as decimals, so
-        the text is exact and the same on every engine.
-        """
-        step = F.lit("0.000000000000001").cast("decimal(16,15)")
+    Coordinates are counted in steps of 1e-15 degrees and scaled as decimals, so the
+    text is exact and the same on every engine.
+    """
+    step = F.lit("0.000000000000001").cast("decimal(16,15)")
 
-        def degrees(name: str, limit: int) -> Column:
-            half = limit * 10**15
-            steps = self.integer(f"{field}.{name}", -half, 2 * half + 1)
-            return (steps.cast("decimal(19,0)") * step).cast("decimal(20,16)").cast("string")
+    def degrees(drawn: str, limit: int) -> Column:
+        half = limit * 10**15
+        steps = integer(drawn, -half, 2 * half + 1).cast("decimal(19,0)")
+        return (steps * step).cast("decimal(20,16)").cast("string")
 
-        return F.concat(
-            F.lit("POINT ("), degrees("lon", 180), F.lit(" "), degrees("lat", 90), F.lit(")")
-        )
+    lon, lat = degrees(drawn_lon, 180), degrees(drawn_lat, 90)
+    return F.concat(F.lit("POINT ("), lon, F.lit(" "), lat, F.lit(")"))

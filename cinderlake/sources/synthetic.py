@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinderlake.functions.draws import Draws
+from cinderlake.functions import draws
 from cinderlake.schemas import INCIDENT_SCHEMA, UNIQUE_FIELDS
 
 # What the generated fields are chosen from.
@@ -76,6 +76,26 @@ STREET_KINDS = ("Avenue", "Court", "Lane", "Road", "Street", "Way")
 WORDS = ("amber", "brick", "coral", "delta", "ember", "flint", "grove", "harbor")
 
 
+# Fields that are drawn on their own, and those that are digits of a shared draw.
+TIMES = ("incident_date", "alarm_dttm", "arrival_dttm", "close_dttm")
+LOSSES = ("estimated_property_loss", "estimated_contents_loss")
+COORDINATES = ("lon", "lat")
+COUNTS = {f: high - low + 1 for f, (low, high) in INTEGER_RANGES.items()}
+CHOICES = {
+    "battalion": BATTALIONS,
+    "first_unit_on_scene": FIRST_UNITS,
+    "primary_situation": SITUATIONS,
+    "action_taken_primary": ACTIONS,
+    "property_use": PROPERTY_USES,
+    "neighborhood_district": DISTRICTS,
+    "station_area": WORDS,
+    "box": WORDS,
+    "street": STREETS,
+    "street_kind": STREET_KINDS,
+}
+HOUSES, ZIPCODES = 9_999, 100_000
+
+
 def synthetic_incidents(
     rows: DataFrame,
     row: str,
@@ -92,45 +112,34 @@ def synthetic_incidents(
     maximum, so incidents collide and have to be cleaned afterwards. The four times lie
     between ``start`` and ``end`` and are independent of each other.
     """
-    draw = Draws(F.col(row), seed)
+    single = [*UNIQUE_FIELDS, *TIMES, *LOSSES, *COORDINATES, "numbers", "choices", "address"]
+    drawn = rows.select(row, *[draws.bits(row, seed, n).alias(f"_{n}") for n in single])
+
     fields: dict[str, Column] = {
-        f: draw.integer(f, maxima[f] + 1, key_count) for f in UNIQUE_FIELDS
-    }
-    fields |= {f: draw.integer(f, a, b - a + 1) for f, (a, b) in INTEGER_RANGES.items()}
-    fields |= {
-        f: draw.timestamp(f, start, end)
-        for f in ("incident_date", "alarm_dttm", "arrival_dttm", "close_dttm")
-    }
-    fields |= {
-        f: draw.double(f, 0, MAX_LOSS)
-        for f in ("estimated_property_loss", "estimated_contents_loss")
+        f: draws.integer(f"_{f}", maxima[f] + 1, key_count) for f in UNIQUE_FIELDS
     }
+    fields |= {f: draws.timestamp(f"_{f}", start, end) for f in TIMES}
+    fields |= {f: draws.double(f"_{f}", 0, MAX_LOSS) for f in LOSSES}
+    for (f, (low, _)), digit in zip(
+        INTEGER_RANGES.items(), draws.digits("_numbers", list(COUNTS.values()))
+    ):
+        fields[f] = digit + F.lit(low)
+    chosen = draws.digits("_choices", [len(o) for o in CHOICES.values()])
+    for (f, options), digit in zip(CHOICES.items(), chosen):
+        fields[f] = draws.option(digit, options)
+    house, zipcode = draws.digits("_address", [HOUSES, ZIPCODES])
     fields |= {
-        "address": F.concat_ws(
-            " ",
-            draw.integer("house", 1, 9999),
-            draw.choice("street", STREETS),
-            draw.choice("street_kind", STREET_KINDS),
-        ),
+        "address": F.concat_ws(" ", house + F.lit(1), fields["street"], fields["street_kind"]),
         "city": F.lit(CITY),
-        "zipcode": F.lpad(draw.integer("zipcode", 0, 100_000).cast("string"), 5, "0"),
-        "battalion": draw.choice("battalion", BATTALIONS),
-        "station_area": draw.choice("station_area", WORDS),
-        "box": draw.choice("box", WORDS),
-        "first_unit_on_scene": draw.choice("first_unit_on_scene", FIRST_UNITS),
+        "zipcode": F.lpad(zipcode.cast("string"), 5, "0"),
         "number_of_alarms": F.lit(1),
-        "primary_situation": draw.choice("primary_situation", SITUATIONS),
         "mutual_aid": F.lit("None"),
-        "action_taken_primary": draw.choice("action_taken_primary", ACTIONS),
-        "property_use": draw.choice("property_use", PROPERTY_USES),
-        "neighborhood_district": draw.choice("neighborhood_district", DISTRICTS),
-        "point": draw.wkt_point("point"),
+        "point": draws.wkt_point("_lon", "_lat"),
     }
     # The rest is the same for every incident: 0 for numbers, a dash for text.
     for f in INCIDENT_SCHEMA.fields:
         blank = NO_VALUE if f.dataType.typeName() == "string" else 0
         fields.setdefault(f.name, F.lit(blank))
-    return rows.select(
-        F.col(row),
-        *[fields[f.name].cast(f.dataType).alias(f.name) for f in INCIDENT_SCHEMA.fields],
+    return drawn.select(
+        row, *[fields[f.name].cast(f.dataType).alias(f.name) for f in INCIDENT_SCHEMA.fields]
     )

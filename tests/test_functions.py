@@ -3,8 +3,8 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from cinderlake.functions import draws
 from cinderlake.functions.calendar import CALENDAR_COLUMNS, build_dim_date
-from cinderlake.functions.draws import Draws
 from cinderlake.functions.text import WHITESPACE, clean_str, first_letter_acronym
 from cinderlake.schemas import DIM_DATE_SCHEMA, names
 
@@ -83,20 +83,23 @@ def test_calendar_agrees_with_python(spark):
         assert r.date_dim_id == int(f"{d:%Y%m%d}")
 
 
+def drawn(rows, seed=1):
+    return rows.select("id", *[draws.bits("id", seed, n).alias(n) for n in ("a", "b")])
+
+
 def test_draws_do_not_depend_on_partitions(spark):
-    def drawn(parts):
-        rows = spark.range(0, 500, 1, parts)
-        draw = Draws(F.col("id"), 3)
-        cols = [draw.integer("i", 5, 3), draw.double("d", 0, 2), draw.wkt_point("p")]
-        return sorted(map(tuple, rows.select("id", *cols).collect()))
+    def sample(parts):
+        rows = drawn(spark.range(0, 500, 1, parts), 3)
+        values = [draws.integer("a", 5, 3), draws.double("b", 0, 2), draws.wkt_point("a", "b")]
+        return sorted(map(tuple, rows.select("id", *values).collect()))
 
-    assert drawn(1) == drawn(7)
-    assert {r[1] for r in drawn(2)} == {5, 6, 7}
-    assert all(0 <= r[2] <= 2 for r in drawn(2))
+    assert sample(1) == sample(7)
+    assert {r[1] for r in sample(2)} == {5, 6, 7}
+    assert all(0 <= r[2] <= 2 for r in sample(2))
 
 
 def test_drawn_points_are_on_the_globe(spark):
-    rows = spark.range(2000).select(Draws(F.col("id"), 1).wkt_point("p").alias("p")).collect()
+    rows = drawn(spark.range(2000)).select(draws.wkt_point("a", "b").alias("p")).collect()
     points = [r.p.removeprefix("POINT (").removesuffix(")").split(" ") for r in rows]
     lon, lat = [float(p[0]) for p in points], [float(p[1]) for p in points]
     assert -180 <= min(lon) < -170 and 170 < max(lon) <= 180
@@ -106,13 +109,26 @@ def test_drawn_points_are_on_the_globe(spark):
 
 def test_drawn_times_are_within_bounds(spark):
     start, end = datetime(2020, 1, 1), datetime(2020, 1, 1, 0, 0, 2)
-    rows = spark.range(200).select(Draws(F.col("id"), 1).timestamp("t", start, end).alias("t"))
+    rows = drawn(spark.range(200)).select(draws.timestamp("a", start, end).alias("t"))
     assert rows.schema["t"].dataType.simpleString() == "timestamp_ntz"
     assert {r.t.second for r in rows.collect()} == {0, 1, 2}
 
 
 @pytest.mark.parametrize("seed", [0, 1])
 def test_uniform_draws_fill_their_range(spark, seed):
-    draw = Draws(F.col("id"), seed)
-    counts = spark.range(20_000).groupBy(draw.integer("x", 0, 10).alias("x")).count().collect()
+    rows = drawn(spark.range(20_000), seed)
+    counts = rows.groupBy(draws.integer("a", 0, 10).alias("x")).count().collect()
     assert len(counts) == 10 and all(1800 < r["count"] < 2200 for r in counts)
+
+
+def test_digits_of_a_draw_are_independent(spark):
+    ten, three = draws.digits("a", [10, 3])
+    rows = drawn(spark.range(30_000)).select(ten.alias("x"), three.alias("y"))
+    pairs = rows.groupBy("x", "y").count().collect()
+    assert {(r.x, r.y) for r in pairs} == {(x, y) for x in range(10) for y in range(3)}
+    assert all(850 < r["count"] < 1150 for r in pairs)
+
+
+def test_hashes_are_computed_once_per_draw(spark, plan_text):
+    rows = drawn(spark.range(10)).select(*draws.digits("a", [2, 3, 4]), "b")
+    assert plan_text(rows).count("md5") == 2
