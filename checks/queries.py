@@ -367,7 +367,7 @@ def medallion_raw(spark, sf_dir):
 
 @query
 def medallion_marts(spark, sf_dir):
-    """A mart over a loaded fact, with the calendar of the warehouse, as SQL."""
+    """A mart over a loaded fact, with the calendar table of the warehouse."""
     warehouse = _warehouse(spark)
     load_incidents(warehouse, incidents(spark, sf_dir))
     fact = warehouse.read("fact_fire_department_injuries")

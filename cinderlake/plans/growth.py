@@ -20,6 +20,7 @@ from cinderlake.sources.snapshots import (
     write_snapshot,
 )
 from cinderlake.sources.synthetic import synthetic_incidents
+from cinderlake.workspace import materialize
 
 # Fixed value: incidents drawn in one run, before collisions are removed.
 DRAWN_ROWS = 10_000
@@ -63,7 +64,7 @@ def grow_snapshot(
         raise FileNotFoundError(f"no snapshot in {root}")
     # Only an empty text is missing here: the generated 'None' has to stay as it is.
     snapshot = read_snapshot(spark, f"{root.rstrip('/')}/{latest}", INCIDENT_SCHEMA, na_tokens=())
-    added = new_incidents(
+    fresh = new_incidents(
         snapshot,
         spark.range(drawn_rows).withColumnRenamed("id", ROW),
         ROW,
@@ -72,6 +73,8 @@ def grow_snapshot(
         end or now.replace(microsecond=0),
         seed,
     )
+    # Written, as it is both checked and added to the snapshot.
+    added = materialize(fresh, "incidents")
     assert_no_repeats(find_repeated_values(added, UNIQUE_FIELDS))
     name = next_snapshot_name(latest, now)
     write_snapshot(snapshot.unionByName(added), root, name)

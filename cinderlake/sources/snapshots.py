@@ -98,12 +98,13 @@ def read_snapshot(
     not fit fails the job. ``multi_line`` allows line breaks inside quoted values; a file
     can then not be split, so such snapshots should have many files.
     """
-    raw = (
-        spark.read.options(**CSV_OPTIONS)
-        .option("mode", "FAILFAST")
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    def lines():
+        return spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
+
+    header = T.StructType([T.StructField(c, T.StringType()) for c in lines().csv(path).columns])
+    # Of a directory, every file must have the header of the first.
+    strict = lines().schema(header).option("enforceSchema", False).option("mode", "FAILFAST")
+    raw = strict.csv(path)
     return parse_fields(bind_columns(normalize_names(raw), names(schema)), schema, na_tokens)
 
 

@@ -18,13 +18,15 @@ def load_new_snapshots(
     warehouse: Warehouse,
     snapshots: str,
     checkpoint: str,
+    name: str = "stream",
     na_tokens: Sequence[str] = NA_TOKENS,
 ) -> StreamingQuery:
     """Load every CSV file below ``snapshots`` that no earlier run has loaded, then stop.
 
-    Each micro-batch goes through the same layers as a batch load. Its number is the load
-    id, so a batch that is run again after a failure leaves the tables as they were meant
-    to be. Headers must carry the normalised names, in order.
+    Each micro-batch goes through the same layers as a batch load. Its load id is made of
+    the stream's name and its number, so a batch that is run again after a failure leaves
+    the tables as they were meant to be; streams with checkpoints of their own need names
+    of their own. Headers must carry the normalised names, in order.
     """
     text = T.StructType([T.StructField(n, T.StringType()) for n in names(INCIDENT_SCHEMA)])
     lines = (
@@ -39,7 +41,7 @@ def load_new_snapshots(
 
     def load(batch: DataFrame, number: int) -> None:
         incidents = parse_fields(batch, INCIDENT_SCHEMA, na_tokens)
-        load_incidents(warehouse, incidents, f"batch-{number}")
+        load_incidents(warehouse, incidents, f"{name}-{number}")
 
     return (
         lines.writeStream.foreachBatch(load)

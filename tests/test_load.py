@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from cinderlake.__main__ import main
 from cinderlake.plans import marts
 from cinderlake.plans.growth import grow_snapshot, new_incidents
 from cinderlake.plans.medallion import load_incidents, load_latest
@@ -140,7 +141,8 @@ def test_synthetic_fields_keep_their_ranges(spark):
     made = synthetic_incidents(
         spark.range(n).withColumnRenamed("id", "_draw"), "_draw", n, maxima, START, END
     )
-    assert made.drop("_draw").schema == INCIDENT_SCHEMA or made.columns[1:] == names(INCIDENT_SCHEMA)
+    kinds = [(f.name, f.dataType) for f in made.drop("_draw").schema]
+    assert kinds == [(f.name, f.dataType) for f in INCIDENT_SCHEMA]
     low = made.agg(*[F.min(f).alias(f) for f in [*INTEGER_RANGES, *UNIQUE_FIELDS]]).first()
     high = made.agg(*[F.max(f).alias(f) for f in [*INTEGER_RANGES, *UNIQUE_FIELDS]]).first()
     for field, (a, b) in INTEGER_RANGES.items():
@@ -193,13 +195,65 @@ def test_grow_and_load(spark, warehouse, tmp_path):
     assert fact.where("dim_battalion_sk IS NULL").count() == 1
 
 
-def test_sql_over_the_registered_tables(spark, warehouse):
-    load_incidents(warehouse, incidents(spark, *HAND))
+# The analytical queries as SQL, each with the function that gives the same rows.
+SQL_MARTS = [
+    (
+        "SELECT dd.day_name, count(*) AS incident_count FROM {} GROUP BY dd.day_name, dd.day_of_week"
+        " ORDER BY dd.day_of_week",
+        marts.incidents_by_weekday,
+    ),
+    (
+        "SELECT dd.month_name, avg(fact.num_alarms) AS avg_alarms FROM {}"
+        " GROUP BY dd.month_name, dd.month_actual ORDER BY dd.month_actual",
+        marts.average_alarms_by_month,
+    ),
+    (
+        "SELECT dd.quarter_name, sum(fact.estimated_property_loss) AS total_property_loss FROM {}"
+        " GROUP BY dd.quarter_name, dd.quarter_actual ORDER BY dd.quarter_actual",
+        marts.property_loss_by_quarter,
+    ),
+    (
+        "SELECT dd.year_actual, count(*) AS incident_count, avg(fact.suppression_personnel"
+        " + fact.ems_personnel + fact.other_personnel) AS avg_personnel_response FROM {}"
+        " GROUP BY dd.year_actual ORDER BY dd.year_actual",
+        marts.response_by_year,
+    ),
+    (
+        "SELECT dd.weekend_indr, (sum(fact.fire_fatalities) + sum(fact.civilian_fatalities))"
+        " / count(*) * 100 AS percentage_fatalities FROM {} GROUP BY dd.weekend_indr",
+        marts.fatality_rate_by_weekend,
+    ),
+    (
+        "SELECT dd.date_actual, avg(fact.num_alarms) AS avg_alarms FROM {} GROUP BY dd.date_actual"
+        " ORDER BY avg_alarms DESC, dd.date_actual LIMIT 5",
+        marts.top_days_by_alarms,
+    ),
+    ("SELECT * FROM fact_fire_department_injuries ORDER BY 1 DESC, 2 DESC LIMIT 10", marts.latest_rows),
+    ("SELECT count(*) AS row_count FROM fact_fire_department_injuries", marts.row_count),
+]
+
+
+def test_marts_as_sql_over_the_registered_tables(spark, warehouse):
+    days = [datetime(2023, 12, 25 + n // 3) for n in range(21)]
+    given = [
+        {"id": n, "incident_number": n % 13, "incident_date": day, "number_of_alarms": n % 4,
+         "estimated_property_loss": n / 4, "fire_fatalities": n % 3, "civilian_fatalities": n % 2,
+         "suppression_personnel": n, "ems_personnel": 1}
+        for n, day in enumerate(days)
+    ]
+    load_incidents(warehouse, incidents(spark, *given))
     warehouse.register_views()
-    found = spark.sql("""
-        SELECT dd.day_name, count(*) AS n FROM fact_fire_department_injuries fact
-        JOIN dim_date dd ON fact.incident_date = dd.date_actual GROUP BY dd.day_name""")
-    assert rows(found) == [("Saturday", 1)]
+    joined = (
+        "fact_fire_department_injuries fact JOIN dim_date dd ON fact.incident_date = dd.date_actual"
+    )
+    fact, calendar = (warehouse.read(t) for t in ("fact_fire_department_injuries", "dim_date"))
+    for sql, mart in SQL_MARTS:
+        options = {"calendar": calendar} if "{}" in sql else {}
+        mine, theirs = mart(fact, **options), spark.sql(sql.format(joined))
+        assert mine.columns == theirs.columns and mine.count() > 0
+        assert rows(mine) == rows(theirs)
+        if "ORDER BY" in sql:
+            assert mine.collect() == theirs.collect()
 
 
 def test_streaming_loads_each_file_once(spark, warehouse, tmp_path):
@@ -215,6 +269,21 @@ def test_streaming_loads_each_file_once(spark, warehouse, tmp_path):
     write_snapshot(incidents(spark, *HAND, {"id": 4, "battalion": "B1"}), root, "a_b_2.csv")
     assert run() == 4
     assert rows(warehouse.read("raw_fact_fire_department").groupBy("load_id").count()) == [
-        ("batch-0", 4),
-        ("batch-1", 5),
+        ("stream-0", 4),
+        ("stream-1", 5),
     ]
+
+
+def test_commands(spark, tmp_path, capsys):
+    house, root = str(tmp_path / "warehouse"), str(tmp_path / "snapshots")
+    write_snapshot(incidents(spark, *HAND), root, "a_b_1.csv")
+    main(["reset", house])
+    main(["load", house, root])
+    main(["grow", root, "--rows", "300"])
+    main(["load", house, root, "--load-id", "second"])
+    main(["mart", house, "weekdays", "--by-day"])
+    printed = capsys.readouterr().out
+    assert "fact_fire_department_injuries: 3 rows" in printed
+    assert "dim_district: 2 rows" in printed
+    assert "a_b_2" in printed and "Saturday" in printed
+    assert Warehouse(spark, house).read("fact_fire_department_injuries").count() > 3

@@ -101,6 +101,17 @@ def test_read_fails_on_what_does_not_fit(spark, tmp_path, text, message):
         read_snapshot(spark, str(tmp_path / "s.csv"), SMALL).collect()
 
 
+def test_all_files_of_a_snapshot_have_the_same_header(spark, tmp_path):
+    folder = tmp_path / "s.csv"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text("id,name,at,loss\n1,a,,\n")
+    (folder / "part-1.csv").write_text("id,name,at,loss\n2,b,,\n")
+    assert rows(read_snapshot(spark, str(folder), SMALL).select("id")) == [(1,), (2,)]
+    (folder / "part-2.csv").write_text("name,id,at,loss\nc,3,,\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_snapshot(spark, str(folder), SMALL).collect()
+
+
 def test_write_and_read_back_unchanged(spark, tmp_path):
     data = [
         (1, ' "quoted", \\ and\nbroken\r\nlines ', datetime(2024, 1, 6, 1, 2, 3, 456789), 0.1),
