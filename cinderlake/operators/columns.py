@@ -11,8 +11,12 @@ from pyspark.sql import types as T
 from cinderlake.functions.text import clean_str
 
 
-def _ref(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _cast(column: str, field: T.StructField) -> str:
+    return f"CAST({_quoted(column)} AS {field.dataType.simpleString()}) AS {_quoted(field.name)}"
 
 
 def normalize_names(df: DataFrame) -> DataFrame:
@@ -36,30 +40,28 @@ def bind_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         raise ValueError(f"unexpected columns: {unexpected}")
     if len(df.columns) != len(set(df.columns)):
         raise ValueError(f"repeated column names: {df.columns}")
-    return df.select(*[_ref(c) for c in columns])
+    return df.select(*[_quoted(c) for c in columns])
 
 
 def load_by_position(df: DataFrame, table: T.StructType) -> DataFrame:
     """Give the n-th column the name and type of the table's n-th column."""
     if len(df.columns) != len(table.fields):
         raise ValueError(f"{len(df.columns)} columns do not fit a table of {len(table.fields)}")
-    return df.select(
-        *[_ref(c).cast(f.dataType).alias(f.name) for c, f in zip(df.columns, table.fields)]
-    )
+    return df.selectExpr(*[_cast(c, f) for c, f in zip(df.columns, table.fields)])
 
 
 def cast_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast columns by name; a value that does not fit its type fails the job."""
-    return df.select(*[_ref(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*[_cast(f.name, f) for f in schema.fields])
 
 
 def map_strings(df: DataFrame, function: Callable[[Column], Column] = clean_str) -> DataFrame:
     """Apply a string function to every string column; other columns are unchanged."""
     return df.select(
         *[
-            function(_ref(f.name)).alias(f.name)
+            function(F.col(_quoted(f.name))).alias(f.name)
             if isinstance(f.dataType, T.StringType)
-            else _ref(f.name)
+            else F.col(_quoted(f.name))
             for f in df.schema.fields
         ]
     )
