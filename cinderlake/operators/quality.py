@@ -14,7 +14,8 @@ from cinderlake.workspace import materialize
 def _field_values(df: DataFrame, fields: Sequence[str], *carry: str) -> DataFrame:
     """One row ``(field, value)`` per row and field, all in a single scan.
 
-    Fields of one type keep it, otherwise values become text (with -0.0 as 0.0).
+    ``field`` is the field's place in the list, counted from 1. Fields of one type keep
+    it, otherwise values become text (with -0.0 as 0.0).
     """
     types = [df.schema[f].dataType for f in fields]
     same = all(t == types[0] for t in types)
@@ -29,8 +30,8 @@ def _field_values(df: DataFrame, fields: Sequence[str], *carry: str) -> DataFram
 
     pairs = F.array(
         *[
-            F.struct(F.lit(f).alias("field"), value(f, t).alias("value"))
-            for f, t in zip(fields, types)
+            F.struct(F.lit(n).alias("field"), value(f, t).alias("value"))
+            for n, (f, t) in enumerate(zip(fields, types), 1)
         ]
     )
     return df.select(*carry, F.explode(pairs).alias("_pair")).select(
@@ -81,12 +82,13 @@ def find_repeated_values(df: DataFrame, fields: Sequence[str]) -> DataFrame:
 
     Values are text. Most frequent first within each field. NULLs are counted too.
     """
+    name = F.element_at(F.array(*[F.lit(f) for f in fields]), F.col("field"))
     return (
         _field_values(df, fields)
         .groupBy("field", "value")
         .agg(F.count("*").alias("count"))
         .where("count > 1")
-        .select("field", F.col("value").cast("string").alias("value"), "count")
+        .select(name.alias("field"), F.col("value").cast("string").alias("value"), "count")
         .orderBy("field", F.desc("count"), "value")
     )
 

@@ -50,8 +50,8 @@ def test_latest_is_the_last_modified_file_or_directory(spark, tmp_path):
 @pytest.mark.parametrize(
     ("latest", "name"),
     [
-        ("Fire_Incidents_20240106.csv", "Fire_Incidents_20240107_030405.csv"),
-        ("Fire_Incidents_20240106_1_2.csv", "Fire_Incidents_20240107_030405.csv"),
+        ("City_Incidents_20240106.csv", "City_Incidents_20240107_030405.csv"),
+        ("City_Incidents_20240106_1_2.csv", "City_Incidents_20240107_030405.csv"),
         (None, "combined_data_20240107_030405.csv"),
         ("plain.csv", "combined_data_20240107_030405.csv"),
     ],
