@@ -17,13 +17,9 @@ from checks.oracle import ORACLE_SQL
 from checks.queries import QUERIES
 
 
-def _same_form(value):
-    return round(float(value), 9) if isinstance(value, float) else value
-
-
 def _rows(columns, rows) -> Counter:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return Counter(tuple(_same_form(r[i]) for i in order) for r in rows)
+    return Counter(tuple(r[i] for i in order) for r in rows)
 
 
 def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
