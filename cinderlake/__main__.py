@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
-
 from cinderlake.plans import marts
 from cinderlake.plans.growth import DRAWN_ROWS, grow_snapshot
 from cinderlake.plans.medallion import load_latest
+from cinderlake.session import cluster_session
 from cinderlake.sources.warehouse import Warehouse
 
 MARTS = {
@@ -41,7 +40,7 @@ def main(arguments: list[str] | None = None) -> None:
     mart.add_argument("--by-day", action="store_true", help="match days, not midnights")
     given = parser.parse_args(arguments)
 
-    spark = SparkSession.builder.appName(f"cinderlake {given.command}").getOrCreate()
+    spark = cluster_session(f"cinderlake {given.command}")
     if given.command == "reset":
         Warehouse(spark, given.warehouse).reset()
     elif given.command == "load":

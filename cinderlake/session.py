@@ -1,20 +1,35 @@
-"""A session with the settings this package is tested with."""
+"""Session settings that suit this package."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    # The JVM does not compile methods above 8000 bytes, and the code generated for a
+    # projection of 64 columns is larger. Beyond this limit Spark uses smaller methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def cluster_session(app_name: str) -> SparkSession:
+    """The session of a submitted job; the master and all else come from the submission."""
+    builder = SparkSession.builder.appName(app_name)
+    for name, value in SETTINGS.items():
+        builder = builder.config(name, value)
+    return builder.getOrCreate()
+
 
 def local_session(cpus: int | str = "*", app_name: str = "cinderlake") -> SparkSession:
-    """A local session. On a cluster, set ``spark.checkpoint.dir`` and use your own."""
-    return (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName(app_name)
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.driver.memory", "8g")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
-    )
+    """A session in this process, as the tests and the bench use it."""
+    builder = SparkSession.builder.master(f"local[{cpus}]").appName(app_name)
+    local = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.driver.memory": "8g",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+    }
+    for name, value in {**SETTINGS, **local}.items():
+        builder = builder.config(name, value)
+    return builder.getOrCreate()

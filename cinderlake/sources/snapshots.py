@@ -35,8 +35,12 @@ CSV_OPTIONS = {
 def list_snapshots(spark: SparkSession, root: str) -> DataFrame:
     """``(snapshot, modified)``: every CSV file or directory of part files below ``root``.
 
-    Only the listing is used; file contents are not read.
+    A snapshot is named by its path below ``root``, an absolute path or a URI. Only the
+    listing is used; file contents are not read.
     """
+    base = urlparse(root).path.rstrip("/") + "/"
+    if not base.startswith("/"):
+        raise ValueError(f"the folder of snapshots must be an absolute path or a URI, not {root!r}")
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.csv")
@@ -44,12 +48,11 @@ def list_snapshots(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select("path", "modificationTime")
     )
-    base = urlparse(root).path.rstrip("/") + "/"
-    below = F.expr("substring(path, locate(_base, path) + length(_base))")
-    named = files.withColumn("_base", F.lit(base)).select(
-        F.split(below, "/").getItem(0).alias("snapshot"), "modificationTime"
-    )
-    return named.groupBy("snapshot").agg(F.max("modificationTime").alias("modified"))
+    path = F.regexp_replace("path", r"^[^:/]+:(//[^/]*)?", "")
+    below = F.substring(path, len(base) + 1, 10_000)
+    # Up to the first part of the path that ends in .csv: a file, or what holds its parts.
+    snapshot = F.regexp_extract(below, r"^(?:[^/]+/)*?[^/]+\.csv(?=/|$)", 0)
+    return files.groupBy(snapshot.alias("snapshot")).agg(F.max("modificationTime").alias("modified"))
 
 
 def latest_snapshot(spark: SparkSession, root: str) -> str | None:

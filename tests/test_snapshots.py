@@ -40,11 +40,18 @@ def test_latest_is_the_last_modified_file_or_directory(spark, tmp_path):
     assert latest_snapshot(spark, f"file://{tmp_path}/a bucket/") == "dir_1.csv"
     touch(root / "c.csv", "id\n1\n", 2000)
     assert latest_snapshot(spark, str(root)) == "c.csv"
+    touch(root / "sub" / "d.csv", "id\n1\n", 3000)
+    touch(root / "sub" / "e.csv" / "f.csv", "id\n1\n", 2500)
+    assert latest_snapshot(spark, str(root)) == "sub/d.csv"
     assert sorted(r.snapshot for r in list_snapshots(spark, str(root)).collect()) == [
         "c.csv",
         "dir_1.csv",
+        "sub/d.csv",
+        "sub/e.csv",
         "z_old.csv",
     ]
+    with pytest.raises(ValueError, match="absolute"):
+        list_snapshots(spark, "snapshots")
 
 
 @pytest.mark.parametrize(
