@@ -32,6 +32,16 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
+def require_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Make the job fail on a NULL in one of these columns; no pass of its own is needed."""
+    checked = {}
+    for name in columns:
+        column = F.col(_quoted(name))
+        failure = F.raise_error(F.lit(f"NULL in column {name}")).cast(df.schema[name].dataType)
+        checked[name] = F.when(column.isNotNull(), column).otherwise(failure)
+    return df.withColumns(checked)
+
+
 def bind_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Raise unless ``df`` has exactly these columns; return them in this order."""
     require_columns(df, columns)

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinderlake.operators.columns import require_values
 from cinderlake.operators.joins import BROADCAST_BYTES, fits_broadcast
 from cinderlake.workspace import materialize
 
@@ -63,12 +64,7 @@ def insert_if_absent(
     if fits_broadcast(wanted, max_broadcast_bytes, incoming_rows):
         present = present.join(F.broadcast(wanted), list(keys), "left_semi")
     if null_keys == "error":
-        message = F.lit(f"NULL in key {list(keys)}")
-        first = keys[0]
-        checked = F.when(_no_null(keys), F.col(first)).otherwise(
-            F.raise_error(message).cast(incoming.schema[first].dataType)
-        )
-        keyed = incoming.withColumn(first, checked)
+        keyed = require_values(incoming, keys)
     elif null_keys in ("keep", "drop"):
         keyed = incoming.where(_no_null(keys))
     else:

@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinderlake.functions.text import clean_str, first_letter_acronym
-from cinderlake.operators.columns import fill_nulls, load_by_position, map_strings, require_columns
+from cinderlake.operators.columns import (
+    fill_nulls,
+    load_by_position,
+    map_strings,
+    require_columns,
+    require_values,
+)
 from cinderlake.operators.joins import Dimension, lookup_dimensions
 from cinderlake.operators.keyed import (
     assign_surrogate_keys,
@@ -60,9 +66,11 @@ def stage_districts(raw: DataFrame) -> DataFrame:
 def stage_facts(raw: DataFrame) -> DataFrame:
     """The fact's columns, missing numbers as 0 and the natural keys cleaned.
 
-    The primary key is not filled: an incident without one is an error further on.
+    The primary key is not filled: an incident without one stops the load, before any
+    dimension has grown.
     """
-    facts = fill_nulls(raw.select(*names(STG_FACT_SCHEMA)), ["incident_number", *MEASURES])
+    keyed = require_values(raw.select(*names(STG_FACT_SCHEMA)), ["id"])
+    facts = fill_nulls(keyed, ["incident_number", *MEASURES])
     return facts.withColumns(
         {c: clean_str(F.col(c)) for c in ("battalion", "neighborhood_district")}
     )

@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    # A value that does not fit its type has to fail a load, not to become NULL.
+    "spark.sql.ansi.enabled": "true",
     # The JVM does not compile methods above 8000 bytes, and the code generated for a
     # projection of 64 columns is larger. Beyond this limit Spark uses smaller methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -10,6 +10,7 @@ from cinderlake.operators.columns import (
     map_strings,
     normalize_names,
     require_columns,
+    require_values,
 )
 from cinderlake.schemas import struct
 
@@ -63,3 +64,10 @@ def test_map_strings_leaves_other_types(spark):
 def test_fill_nulls_touches_only_its_columns(spark):
     df = spark.createDataFrame([(None, None, None)], "a long, b double, c long")
     assert fill_nulls(df, ["a", "b"]).first() == (0, 0.0, None)
+
+
+def test_require_values(spark):
+    df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
+    assert require_values(df, ["a"]).collect() == df.collect()
+    with pytest.raises(Exception, match="NULL in column b"):
+        require_values(df, ["a", "b"]).collect()

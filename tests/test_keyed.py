@@ -59,7 +59,7 @@ def test_insert_if_absent_by_hand(spark, way):
 def test_null_in_a_primary_key_is_an_error(spark, way):
     target = spark.createDataFrame([], "k long, v string")
     incoming = spark.createDataFrame([(1, "a"), (None, "n")], "k long, v string")
-    with pytest.raises(Exception, match="NULL in key"):
+    with pytest.raises(Exception, match="NULL in column k"):
         insert_if_absent(target, incoming, ["k"], null_keys="error", **WAYS[way]).collect()
     with pytest.raises(ValueError, match="null_keys"):
         insert_if_absent(target, incoming, ["k"], null_keys="ignore")
