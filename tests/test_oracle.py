@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_point
 from checks.compare import difference, oracle
+from checks.oracle import ORACLE_SQL as ORACLE
+from checks.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).is_dir(), reason="given tables not found")
 
@@ -20,6 +21,8 @@ def connection():
 
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.items() <= entry_point.queries().items()
+    assert ORACLE.items() <= entry_point.oracle_sql().items()
 
 
 def test_entry(spark):
