@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderlake.llm import chat, dedup, packing
-from cinderlake.llm.common import table
+from cinderlake.llm import chat, dedup, packing, quality, tokens
+from cinderlake.llm.common import id_crc, table
 
 
 def tokenizer_path(name: str) -> str:
@@ -18,6 +18,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents by the byte-level vocabulary."""
+    counts = tokens.count_tokens(
+        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")
+    )
+    return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents by equal texts; nothing is normalised."""
     return dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -29,6 +37,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), encode)
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents; labels are learned from those whose id's crc32 mod 4 is not 2."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(id_crc() % 4 != 2)
+    scored = quality.score(docs, quality.fit(docs, labels))
+    return scored.select(
+        "doc_id",
+        (id_crc() % 4 == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, whose texts hold control strings."""
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -89,7 +110,9 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_exact_dedup": op2_exact_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_chat_formatting": op7_chat_formatting,
     "op10_packing": op10_packing,
 }
