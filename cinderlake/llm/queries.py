@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderlake.llm import chat, dedup, packing, quality, tokens
+from cinderlake.llm import chat, dedup, jaccard, packing, quality, tokens
 from cinderlake.llm.common import id_crc, table
 
 
@@ -37,6 +37,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), encode)
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents by 3-word shingles at a Jaccard similarity of 0.9 or more."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), n=3, num=90)
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents; labels are learned from those whose id's crc32 mod 4 is not 2."""
     docs = table(spark, sf_dir, "documents")
@@ -112,6 +117,7 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_chat_formatting": op7_chat_formatting,
     "op10_packing": op10_packing,
