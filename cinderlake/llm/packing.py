@@ -199,47 +199,87 @@ def pack(
     return docs.select("doc_id", text_bytes()).mapInArrow(run, SCHEMA)
 
 
-def word_tokenizer(path: str) -> Callable[[], Callable]:
+#: Fixed value: the pattern by which such vocabularies split lower-case text into pieces.
+_PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_REMEMBERED = 400_000
+_LEARNED_AT_ONCE = 2_000
+
+
+class WordTokenizer:
     """Ids as the tokenizers library gives them for a vocabulary that drops white space.
 
     No token and no added token of such a vocabulary spans white space, so the ids of a text
-    are those of its words one after the other, and each word is encoded once and remembered.
+    are those of its words one after the other. A word of plain Latin letters is lower-cased and split
+    into pieces here, so that "Then," and "then" share a piece; any other word goes to the library
+    whole. Words and pieces are encoded once and remembered.
     """
 
-    def make() -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
+    def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
-        library = Tokenizer.from_file(path)
-        number: dict[bytes, int] = {}
-        flat, start, count = [np.zeros(0, np.uint32)], [0], []
-
-        def learn(unknown: list[bytes]) -> None:
-            encoded = library.encode_batch([w.decode() for w in unknown], add_special_tokens=False)
-            for word, e in zip(unknown, encoded, strict=True):
-                number[word] = len(count)
-                count.append(len(e.ids))
-                start.append(start[-1] + len(e.ids))
-            flat.append(np.array([i for e in encoded for i in e.ids], np.uint32))
-
-        def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-            if len(number) > 500_000:
-                number.clear()
-                flat[:], start[:], count[:] = [np.zeros(0, np.uint32)], [0], []
-            split = [t.split() for t in texts]
-            unknown = set().union(*split).difference(number)
-            if unknown:
-                learn(sorted(unknown))
-                flat[:] = [np.concatenate(flat)]
-            sizes = np.array([len(s) for s in split], np.int64)
-            words = np.fromiter(
-                (number[w] for s in split for w in s), np.int64, int(sizes.sum())
-            )
-            starts, counts = np.array(start, np.int64), np.array(count + [0], np.int64)
-            ids = flat[0][ragged(starts[words], counts[words])]
-            ends = np.concatenate([[0], np.cumsum(counts[words])])
-            bounds = np.concatenate([[0], np.cumsum(sizes)])
-            return ids, np.diff(ends[bounds])
-
-        return encode
+        self._library = Tokenizer.from_file(path)
+        self._split = regex.compile(_PIECE).findall
+        self._pieces: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self._number: dict[bytes, int] = {}
+        self._flat = np.zeros(0, np.uint32)
+        self._start = np.zeros(0, np.int64)
+        self._count = np.zeros(0, np.int64)
+
+    def _parts(self, word: bytes) -> list[str]:
+        text = word.decode()
+        if "<|" in text or (not word.isascii() and max(text) >= "\u0130"):
+            return [text]
+        return self._split(text.lower())
+
+    def _learn(self, words: list[bytes]) -> None:
+        for at in range(0, len(words), _LEARNED_AT_ONCE):
+            some = words[at : at + _LEARNED_AT_ONCE]
+            parts = [self._parts(w) for w in some]
+            new = sorted(set().union(*parts).difference(self._pieces))
+            if len(self._pieces) + len(new) > _REMEMBERED:
+                self._pieces.clear()
+                new = sorted(set().union(*parts))
+            encoded = self._library.encode_batch(new, add_special_tokens=False)
+            self._pieces.update((p, e.ids) for p, e in zip(new, encoded, strict=True))
+            ids = [[i for p in own for i in self._pieces[p]] for own in parts]
+            counts = np.array([len(i) for i in ids], np.int64)
+            first = len(self._flat)
+            self._number.update(zip(some, range(len(self._count), len(self._count) + len(some)),
+                                    strict=True))
+            self._start = np.append(self._start, first + np.cumsum(counts) - counts)
+            self._count = np.append(self._count, counts)
+            self._flat = np.append(self._flat, np.array([i for own in ids for i in own], np.uint32))
+
+    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each text has."""
+        split = [t.split() for t in texts]
+        unknown = set().union(*split).difference(self._number)
+        if len(self._number) + len(unknown) > _REMEMBERED and self._number:
+            self._forget()
+            unknown = set().union(*split)
+        self._learn(sorted(unknown))
+        sizes = np.array([len(s) for s in split], np.int64)
+        number = self._number
+        words = np.fromiter((number[w] for s in split for w in s), np.int64, int(sizes.sum()))
+        ids = self._flat[ragged(self._start[words], self._count[words])]
+        ends = np.concatenate([[0], np.cumsum(self._count[words])])
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        return ids, np.diff(ends[bounds])
+
+
+_made: dict[str, WordTokenizer] = {}
+
+
+def word_tokenizer(path: str) -> Callable[[], WordTokenizer]:
+    """For ``pack``: the tokenizer of a vocabulary file, kept from task to task in a worker."""
+
+    def make() -> WordTokenizer:
+        if path not in _made:
+            _made[path] = WordTokenizer(path)
+        return _made[path]
 
     return make
