@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderlake.llm import chat, dedup, jaccard, packing, quality, tokens
+from cinderlake.llm import chat, dedup, jaccard, neardup, packing, quality, tokens
 from cinderlake.llm.common import id_crc, table
 
 
@@ -31,6 +31,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings by a cosine of 0.95 or more."""
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 512 to 4096 tokens."""
     encode = packing.word_tokenizer(tokenizer_path("word_bpe_49k.json"))
@@ -120,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_chat_formatting": op7_chat_formatting,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op10_packing": op10_packing,
 }
 
