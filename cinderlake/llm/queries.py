@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderlake.llm import chat, dedup, jaccard, neardup, packing, quality, tokens
+from cinderlake.llm import chat, dedup, jaccard, language_model, neardup, packing, quality, tokens
 from cinderlake.llm.common import id_crc, table
 
 
@@ -42,6 +42,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), encode)
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents by a model of those whose id's crc32 mod 10 is not 0."""
+    return language_model.score(table(spark, sf_dir, "documents"), id_crc() % 10 == 0)
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents by 3-word shingles at a Jaccard similarity of 0.9 or more."""
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), n=3, num=90)
@@ -122,6 +127,7 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_chat_formatting": op7_chat_formatting,
