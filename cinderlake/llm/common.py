@@ -68,6 +68,16 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
 
 
+# A join side of so many rows of a few short columns is broadcast, a longer one is not.
+BROADCAST_ROWS = 200_000
+
+
+def without(rows: DataFrame, dropped: DataFrame, on: Column) -> DataFrame:
+    """The rows that match none of ``dropped``, a written table of short columns."""
+    few = dropped.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(dropped) if few else dropped, on, "left_anti")
+
+
 class Interner(dict):
     """Word to value, computed once per word by ``make``. Forgets all when it is full."""
 

@@ -32,14 +32,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinderlake.llm.common import Interner, blocks_of, rows_of, text_bytes, words
+from cinderlake.llm.common import BROADCAST_ROWS, Interner, blocks_of, rows_of, text_bytes, words
 from cinderlake.llm.components import connected_components
 from cinderlake.workspace import materialize
 
 FAMILY_SHINGLES = 500_000
-# Bounds of what steers the order of shingles, and of a broadcast of rows of a few numbers.
+# Bound of what steers the order of shingles.
 COMMON_SHINGLES = 1 << 17
-BROADCAST_ROWS = 200_000
 _COMMON_IN_BATCH = 4
 _CELLS = 1 << 23
 _WALKERS = 64

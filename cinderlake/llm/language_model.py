@@ -34,7 +34,7 @@ from cinderlake.llm.eliasfano import NgramTrie
 from cinderlake.workspace import materialize
 
 ORDER = 2
-STRENGTH = 4.0
+STRENGTH = 64.0
 DISCOUNT = 0.75
 SHARD_TOKENS = 2_000_000
 _BATCH_BYTES = 8 << 20

@@ -277,3 +277,17 @@ def score(docs: DataFrame, model: tuple[np.ndarray, Network]) -> DataFrame:
             )
 
     return docs.select("doc_id", text_bytes()).mapInArrow(run, "doc_id long, score double")
+
+
+def keep_good(docs: DataFrame, model: tuple[np.ndarray, Network], least: float) -> DataFrame:
+    """The rows of ``docs`` with a score of ``least`` or more, all their columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        (vectors, network), known = shared.value, Interner(_word_and_shape)
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary())
+            rows = pooled([t.as_py() or b"" for t in texts], vectors, known)
+            yield batch.filter(pa.array(network.score(rows) >= least))
+
+    return docs.mapInArrow(run, docs.schema)

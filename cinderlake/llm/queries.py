@@ -7,9 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderlake.llm import chat, dedup, jaccard, language_model, neardup, packing, quality, tokens
+from cinderlake.llm import (
+    chat,
+    dedup,
+    jaccard,
+    language_id,
+    language_model,
+    mixing,
+    neardup,
+    packing,
+    quality,
+    tokens,
+)
 from cinderlake.llm.common import id_crc, table
 
+#: What share of the mixed tokens each language is to have.
+LANGUAGE_WEIGHTS = {"en": 0.55, "de": 0.17, "fr": 0.17, "es": 0.11}
+
 
 def tokenizer_path(name: str) -> str:
     """Where the public vocabulary ``name`` lies."""
@@ -36,12 +50,26 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, with languages as domains, learned from the documents in ``labels``."""
+    docs = table(spark, sf_dir, "documents")
+    labelled = table(spark, sf_dir, "labels").select("doc_id").distinct()
+    labelled = docs.select("doc_id", "lang").join(labelled, "doc_id", "left_semi")
+    return mixing.mix(docs, labelled, "lang", LANGUAGE_WEIGHTS)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 512 to 4096 tokens."""
     encode = packing.word_tokenizer(tokenizer_path("word_bpe_49k.json"))
     return packing.pack(table(spark, sf_dir, "documents"), encode)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages; text likelihoods are learned from documents with a language."""
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(table(spark, sf_dir, "pages"), docs, docs)
+
+
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents by a model of those whose id's crc32 mod 10 is not 0."""
     return language_model.score(table(spark, sf_dir, "documents"), id_crc() % 10 == 0)
@@ -127,11 +155,13 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_language_id": op3_language_id,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
+    "op9_mixing": op9_mixing,
     "op10_packing": op10_packing,
 }
 

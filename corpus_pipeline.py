@@ -1,22 +1,66 @@
-"""From raw documents to packed sequences: five stages, each one operator of ``cinderlake.llm``."""
+"""From raw documents to packed sequences: five stages, each one operator of ``cinderlake.llm``.
+
+A stage sees what the one before kept, and all but the last return the columns of the documents as
+they came. Rows without a doc_id or text, and ids that repeat, are handled as each operator says.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cinderlake.llm import dedup, packing
-from cinderlake.llm.common import table
-from cinderlake.llm.queries import tokenizer_path
+from cinderlake.llm import dedup, jaccard, mixing, packing, quality
+from cinderlake.llm.common import id_crc, table, without
+from cinderlake.llm.queries import LANGUAGE_WEIGHTS, tokenizer_path
 from cinderlake.workspace import materialize
 
+LEAST_QUALITY = 0.7
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a quality score of 0.7 or more; learned from ids whose crc32 mod 4 is not 2."""
+    labels = table(spark, sf_dir, "labels").filter(id_crc() % 4 != 2)
+    return quality.keep_good(docs, quality.fit(docs, labels), LEAST_QUALITY)
+
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest doc_id goes on."""
-    verdicts = dedup.exact_groups(docs).filter("kept").select("doc_id").distinct()
-    same = docs["doc_id"].eqNullSafe(verdicts["doc_id"])
-    return docs.join(verdicts, same, "left_semi")
+    """Of equal texts the document with the largest doc_id; of rows that repeat both, one."""
+    verdicts = materialize(dedup.exact_groups(docs), "verdicts")
+    sha = F.sha2(F.coalesce(docs["text"], F.lit("")).cast("binary"), 256)
+    dropped = verdicts.where("NOT kept").select(
+        F.col("doc_id").alias("dropped_id"), F.col("text_sha256").alias("dropped_sha")
+    )
+    dropped = materialize(dropped.distinct(), "dropped")
+    kept = without(
+        docs, dropped, docs["doc_id"].eqNullSafe(F.col("dropped_id")) & (sha == F.col("dropped_sha"))
+    )
+    repeated = verdicts.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1")
+    repeated = materialize(
+        repeated.select(F.col("doc_id").alias("repeated_id")).distinct(), "repeated"
+    )
+    if repeated.isEmpty():
+        return kept
+    same = kept["doc_id"].eqNullSafe(F.col("repeated_id"))
+    again = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return without(kept, repeated, same).unionByName(again)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by 5-word shingles at 0.8 or more, the one with the smallest doc_id."""
+    found = jaccard.jaccard_components(docs, n=5, num=80)
+    dropped = found.where("component_id <> doc_id").select(F.col("doc_id").alias("dropped_id"))
+    dropped = materialize(dropped.distinct(), "dropped")
+    return without(docs, dropped, docs["doc_id"] == F.col("dropped_id"))
+
+
+def mix_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A draw of the documents whose expected tokens have the wanted share of each language."""
+    labelled = table(spark, sf_dir, "labels").select("doc_id").distinct()
+    labelled = docs.select("doc_id", "lang").join(labelled, "doc_id", "left_semi")
+    mixer, _ = mixing.fit(docs, labelled, "lang", LANGUAGE_WEIGHTS)
+    return mixing.keep_mixed(docs, mixer)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,11 +69,14 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", keep_quality),
     ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("mixing", mix_languages),
     ("packing", pack),
 ]
 
-# Several stages are trained models and packing cuts by tokens, which SQL cannot say.
+# Two stages are trained models and packing cuts by tokens, which SQL cannot say.
 ORACLE_SQL = None
 
 
