@@ -20,6 +20,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -201,8 +202,33 @@ def pack(
 
 #: Fixed value: the pattern by which such vocabularies split lower-case text into pieces.
 _PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_REMEMBERED = 400_000
-_LEARNED_AT_ONCE = 2_000
+_REMEMBERED_WORDS = 500_000
+_REMEMBERED_PIECES = 800_000
+_JOINED = 500
+# Stands between pieces that are encoded together; a piece of its own in such vocabularies.
+_BETWEEN = "\0"
+
+
+class _Ragged:
+    """Lists of numbers under consecutive numbers of their own."""
+
+    def __init__(self, kind: str):
+        self.flat, self.start = np.zeros(0, kind), np.zeros(0, np.int64)
+        self.count = np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.count)
+
+    def extend(self, flat: np.ndarray, count: np.ndarray) -> None:
+        first = len(self.flat)
+        self.flat = np.append(self.flat, flat.astype(self.flat.dtype))
+        self.start = np.append(self.start, first + np.cumsum(count) - count)
+        self.count = np.append(self.count, count)
+
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists in a row, and how long each is."""
+        count = self.count[numbers]
+        return self.flat[ragged(self.start[numbers], count)], count
 
 
 class WordTokenizer:
@@ -220,55 +246,83 @@ class WordTokenizer:
 
         self._library = Tokenizer.from_file(path)
         self._split = regex.compile(_PIECE).findall
-        self._pieces: dict[str, list[int]] = {}
+        between = self._library.encode(_BETWEEN, add_special_tokens=False).ids
+        self._between = between[0] if len(between) == 1 else None
         self._forget()
 
     def _forget(self) -> None:
-        self._number: dict[bytes, int] = {}
-        self._flat = np.zeros(0, np.uint32)
-        self._start = np.zeros(0, np.int64)
-        self._count = np.zeros(0, np.int64)
+        self._forget_words()
+        self._pieces: dict[str, int] = {}
+        self._piece_ids = _Ragged("u4")
+
+    def _forget_words(self) -> None:
+        self._words: dict[bytes, int] = {}
+        self._word_pieces = _Ragged("i4")
 
     def _parts(self, word: bytes) -> list[str]:
         text = word.decode()
-        if "<|" in text or (not word.isascii() and max(text) >= "\u0130"):
+        if "<|" in text or _BETWEEN in text or (not word.isascii() and max(text) >= "\u0130"):
             return [text]
-        return self._split(text.lower())
+        low = text.lower()
+        if low.isalpha():
+            return [low]
+        if low[-1] in ".,!?;:" and low[:-1].isalpha():
+            return [low[:-1], low[-1]]
+        return self._split(low)
+
+    def _plain(self, piece: str) -> bool:
+        """Whether a piece keeps its ids among others with white space between."""
+        plain = piece.isascii() or max(piece) < "\u0130"
+        return plain and "<|" not in piece and _BETWEEN not in piece
+
+    def _encode_pieces(self, pieces: list[str]) -> None:
+        joined = [p for p in pieces if self._between is not None and self._plain(p)]
+        alone = [p for p in pieces if self._between is None or not self._plain(p)]
+        texts = [
+            f" {_BETWEEN} ".join(joined[i : i + _JOINED]) for i in range(0, len(joined), _JOINED)
+        ]
+        for e in self._library.encode_batch_fast(texts, add_special_tokens=False):
+            ids = np.array([*e.ids, self._between], np.int64)
+            ends = np.flatnonzero(ids == self._between)
+            self._piece_ids.extend(ids[ids != self._between], np.diff(ends, prepend=-1) - 1)
+        for e in self._library.encode_batch_fast(alone, add_special_tokens=False):
+            self._piece_ids.extend(np.array(e.ids, np.int64), np.array([len(e.ids)]))
+        first = len(self._pieces)
+        self._pieces.update(zip([*joined, *alone], range(first, first + len(pieces)), strict=True))
 
     def _learn(self, words: list[bytes]) -> None:
-        for at in range(0, len(words), _LEARNED_AT_ONCE):
-            some = words[at : at + _LEARNED_AT_ONCE]
-            parts = [self._parts(w) for w in some]
-            new = sorted(set().union(*parts).difference(self._pieces))
-            if len(self._pieces) + len(new) > _REMEMBERED:
-                self._pieces.clear()
-                new = sorted(set().union(*parts))
-            encoded = self._library.encode_batch(new, add_special_tokens=False)
-            self._pieces.update((p, e.ids) for p, e in zip(new, encoded, strict=True))
-            ids = [[i for p in own for i in self._pieces[p]] for own in parts]
-            counts = np.array([len(i) for i in ids], np.int64)
-            first = len(self._flat)
-            self._number.update(zip(some, range(len(self._count), len(self._count) + len(some)),
-                                    strict=True))
-            self._start = np.append(self._start, first + np.cumsum(counts) - counts)
-            self._count = np.append(self._count, counts)
-            self._flat = np.append(self._flat, np.array([i for own in ids for i in own], np.uint32))
+        parts = [self._parts(w) for w in words]
+        known = self._pieces
+        new = dict.fromkeys(p for own in parts for p in own if p not in known)
+        self._encode_pieces(list(new))
+        numbers = map(self._pieces.__getitem__, chain.from_iterable(parts))
+        counts = np.fromiter(map(len, parts), np.int64, len(parts))
+        flat = np.fromiter(numbers, np.int64, int(counts.sum()))
+        first = len(self._word_pieces)
+        self._word_pieces.extend(flat, counts)
+        self._words.update(zip(words, range(first, first + len(words)), strict=True))
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each text has."""
         split = [t.split() for t in texts]
-        unknown = set().union(*split).difference(self._number)
-        if len(self._number) + len(unknown) > _REMEMBERED and self._number:
+        unknown = set().union(*split).difference(self._words)
+        if self._words and len(self._words) + len(unknown) > _REMEMBERED_WORDS:
+            self._forget_words()
+            unknown = set().union(*split)
+        if len(self._pieces) > _REMEMBERED_PIECES:
             self._forget()
             unknown = set().union(*split)
-        self._learn(sorted(unknown))
-        sizes = np.array([len(s) for s in split], np.int64)
-        number = self._number
-        words = np.fromiter((number[w] for s in split for w in s), np.int64, int(sizes.sum()))
-        ids = self._flat[ragged(self._start[words], self._count[words])]
-        ends = np.concatenate([[0], np.cumsum(self._count[words])])
-        bounds = np.concatenate([[0], np.cumsum(sizes)])
-        return ids, np.diff(ends[bounds])
+        if unknown:
+            self._learn(list(unknown))
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        numbers = map(self._words.__getitem__, chain.from_iterable(split))
+        words = np.fromiter(numbers, np.int64, int(sizes.sum()))
+        pieces, by_word = self._word_pieces.gather(words)
+        ids, by_piece = self._piece_ids.gather(pieces)
+        ends = np.concatenate([[0], np.cumsum(by_piece)])
+        word_ends = np.concatenate([[0], np.cumsum(by_word)])
+        text_ends = np.concatenate([[0], np.cumsum(sizes)])
+        return ids, np.diff(ends[word_ends[text_ends]])
 
 
 _made: dict[str, WordTokenizer] = {}
