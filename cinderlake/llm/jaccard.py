@@ -3,8 +3,12 @@
 1. A text becomes its set of hashed shingles (64 bits each) and the 128-bit key of that set. Equal
    sets are one set from here on, represented by their smallest doc_id.
 2. Shingles are ordered, rare ones first. Two sets that link share a shingle among the first
-   ``s - ceil(t*s) + 1`` of each, and their sizes differ by no more than a factor t; chains
-   through such shingles and sizes give families. Whatever links lies inside one family.
+   ``s - ceil(t*s) + 1`` of each. Holders of a shared prefix shingle are compared by size and by a
+   parity bitmap of their shingles: the bits in which two bitmaps differ are no more than the
+   shingles in which the sets differ, so no link is lost, and unrelated sets that
+   happen to share a shingle part here. What is left connects sets into families, and
+   whatever links lies inside one family. A shingle with very many holders is cut into
+   blocks, and each pair of blocks is a group of its own.
 3. The texts of a family's sets move once, to one task, which stores the sets in a prefix tree,
    common shingles first, so that sets with the same beginning share one overlap count. Many sets
    walk the tree at once; a subtree is left when the overlap so far and what can still
@@ -24,24 +28,33 @@ and text are looked at.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinderlake.llm.common import BROADCAST_ROWS, Interner, blocks_of, rows_of, text_bytes, words
+from cinderlake.llm.common import (
+    BROADCAST_ROWS,
+    Interner,
+    blocks_of,
+    ragged,
+    rows_of,
+    text_bytes,
+    words,
+)
 from cinderlake.llm.components import connected_components
 from cinderlake.workspace import materialize
 
 FAMILY_SHINGLES = 500_000
+HOLDERS = 4096
 # Bound of what steers the order of shingles.
 COMMON_SHINGLES = 1 << 17
 _COMMON_IN_BATCH = 4
 _CELLS = 1 << 23
 _WALKERS = 64
+_PAIRS_AT_ONCE = 1 << 19
+_ROWS_AT_ONCE = 1 << 21
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -73,11 +86,88 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint64).view(np.int64)
 
 
+def bitmap(shingles: np.ndarray) -> bytes:
+    """One bit per residue of the hashes: whether an odd number of shingles has it.
+
+    As many bits as shingles, to a power of two from 128 to 8192; a longer bitmap folds to a
+    shorter one.
+    """
+    if not len(shingles):
+        return b""
+    width = min(max(128, 1 << (len(shingles) - 1).bit_length()), 8192)
+    place = ((shingles >> np.uint64(20)) & np.uint64(width - 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=width) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").tobytes()
+
+
+def _folded(bitmaps: list[bytes], words: int) -> np.ndarray:
+    """Bitmaps as rows of ``words`` 64-bit words; none may be shorter."""
+    out = np.zeros((len(bitmaps), words), np.uint64)
+    lengths = np.array([len(b) for b in bitmaps]) // 8
+    for n in np.unique(lengths):
+        rows = np.flatnonzero(lengths == n)
+        data = np.frombuffer(b"".join(bitmaps[i] for i in rows), np.uint64)
+        out[rows] = np.bitwise_xor.reduce(data.reshape(len(rows), n // words, words), axis=1)
+    return out
+
+
+def connect_holders(
+    group: np.ndarray, own: np.ndarray, mixed: np.ndarray, node: np.ndarray, size: np.ndarray,
+    bitmaps: list[bytes], num: int, den: int,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect what may link within each group.
+
+    Rows of a group stand together. Where ``mixed`` is true only rows of unlike ``own`` are compared.
+    """
+    rows = len(group)
+    ends = np.searchsorted(group, group, "right")
+    partners = ends - np.arange(rows) - 1
+    label, words = np.arange(rows), np.array([len(b) for b in bitmaps]) // 8
+    upto = np.cumsum(partners)
+    first = 0
+    while first < rows:
+        done = upto[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(upto, done + _PAIRS_AT_ONCE, "right")))
+        some = np.arange(first, last)
+        first = last
+        left = np.repeat(some, partners[some])
+        right = ragged(some + 1, partners[some])
+        may = (label[left] != label[right]) & (node[left] != node[right])
+        may &= ~mixed[left] | (own[left] != own[right])
+        small, large = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
+        may &= small * den >= large * num
+        left, right = left[may], right[may]
+        narrow = np.minimum(words[left], words[right])
+        for n in np.unique(narrow):
+            at = np.flatnonzero(narrow == n)
+            used, place = np.unique(np.concatenate([left[at], right[at]]), return_inverse=True)
+            bits = _folded([bitmaps[i] for i in used], int(n))
+            for part in range(0, len(at), _ROWS_AT_ONCE // int(n) + 1):
+                p = np.arange(part, min(part + _ROWS_AT_ONCE // int(n) + 1, len(at)))
+                unlike = np.bitwise_count(bits[place[p]] ^ bits[place[p + len(at)]])
+                x, y = left[at[p]], right[at[p]]
+                near = unlike.sum(axis=1, dtype=np.int64) * (den + num) <= (den - num) * (
+                    size[x] + size[y]
+                )
+                x, y = x[near], y[near]
+                while len(x):
+                    low = np.minimum(label[x], label[y])
+                    if (label[x] == low).all() and (label[y] == low).all():
+                        break
+                    np.minimum.at(label, x, low)
+                    np.minimum.at(label, y, low)
+                    # Follow labels to their roots, so that chains do not take many rounds.
+                    label = label[label]
+    joined = np.flatnonzero(label != np.arange(rows))
+    return node[joined], node[label[joined]]
+
+
 def _signatures(docs: DataFrame, n: int) -> DataFrame:
     """A row per document (id, n_shingles, set_key, node), and rows (token, seen) of common shingles."""
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()),
-         ("node", pa.int64()), ("token", pa.int64()), ("seen", pa.int64())]
+         ("node", pa.int64()), ("bitmap", pa.binary()), ("token", pa.int64()),
+         ("seen", pa.int64())]
     )
 
     def run(batches):
@@ -100,6 +190,7 @@ def _signatures(docs: DataFrame, n: int) -> DataFrame:
                     pa.array([len(s) for s in sets] + none * c, pa.int64()),
                     pa.array(keys + none * c, pa.binary()),
                     pa.array(nodes + none * c, pa.int64()),
+                    pa.array([bitmap(s) for s in sets] + none * c, pa.binary()),
                     pa.array(none * d + tokens.tolist(), pa.int64()),
                     pa.array(none * d + seen.tolist(), pa.int64()),
                 ],
@@ -108,7 +199,8 @@ def _signatures(docs: DataFrame, n: int) -> DataFrame:
 
     return docs.select("doc_id", text_bytes()).mapInArrow(
         run,
-        "doc_id long, n_shingles long, set_key binary, node long, token long, seen long",
+        "doc_id long, n_shingles long, set_key binary, node long, bitmap binary, token long, "
+        "seen long",
     )
 
 
@@ -129,17 +221,15 @@ def prefix_length(size: int, num: int, den: int) -> int:
 
 
 def _postings(docs: DataFrame, n: int, num: int, den: int, order: np.ndarray) -> DataFrame:
-    """token, node, size, common: the prefix of each set, once per task and set."""
+    """token, node: the prefix of each set, once per task and set."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
-    schema = pa.schema(
-        [("token", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("common", pa.bool_())]
-    )
+    schema = pa.schema([("token", pa.int64()), ("node", pa.int64())])
 
     def run(batches):
         known, (common, rank) = Interner(_word_id), shared.value
         met: set[bytes] = set()
         for block in blocks_of(batches, lambda r: len(r[0]), "text"):
-            tokens, nodes, sizes, commons = [], [], [], []
+            tokens, nodes = [], []
             for (text,) in block:
                 own = shingle_set(text, n, known)
                 key = _set_key(own)
@@ -148,59 +238,88 @@ def _postings(docs: DataFrame, n: int, num: int, den: int, order: np.ndarray) ->
                 if len(met) > 500_000:
                     met.clear()
                 met.add(key)
-                place = np.searchsorted(common, own)
-                place[place == len(common)] = 0
-                is_common = common[place] == own if len(common) else np.zeros(len(own), bool)
                 score = own >> np.uint64(1)
                 if len(common):
+                    place = np.searchsorted(common, own)
+                    place[place == len(common)] = 0
                     high = np.uint64(1 << 63) | rank[place]
-                    score = np.where(is_common, high, score)
+                    score = np.where(common[place] == own, high, score)
                 first = np.argsort(score, kind="stable")[: prefix_length(len(own), num, den)]
                 tokens.append(own[first])
-                commons.append(is_common[first])
                 nodes.append(np.full(len(first), int.from_bytes(key[:8], "little", signed=True)))
-                sizes.append(np.full(len(first), len(own)))
             if tokens:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(_signed(np.concatenate(tokens))),
                         pa.array(np.concatenate(nodes), pa.int64()),
-                        pa.array(np.concatenate(sizes).astype(np.int32)),
-                        pa.array(np.concatenate(commons)),
                     ],
                     schema=schema,
                 )
 
-    return docs.select(text_bytes()).mapInArrow(
-        run, "token long, node long, size int, common boolean"
-    )
+    return docs.select(text_bytes()).mapInArrow(run, "token long, node long")
 
 
-def _candidate_edges(postings: DataFrame, num: int, den: int) -> DataFrame:
-    """Edges (a, b) that connect all sets that share a prefix shingle and are alike in size.
+def _candidate_edges(
+    postings: DataFrame, sets: DataFrame, num: int, den: int, holders: int
+) -> DataFrame:
+    """Edges (a, b) that connect all sets that share a prefix shingle and may link.
 
-    Holders of a rare shingle are chained in order of size. Holders of a common one are tied to
-    made-up nodes, one for each pair of neighbouring size classes, so no task needs them all.
+    Shingles of one set alone drop out of a narrow table; only what is left is joined with sizes
+    and bitmaps. Groups go through in sorted order, many at a time.
     """
-    from pyspark.sql import Window
-
-    by_size = Window.partitionBy("token").orderBy("size", "node")
-    rare = postings.where("NOT common").select(
-        F.col("node").alias("a"),
-        F.lag("node").over(by_size).alias("b"),
-        "size",
-        F.lag("size").over(by_size).alias("before"),
+    alive = (
+        postings.groupBy("token")
+        .agg(F.min("node").alias("x"), F.max("node").alias("y"), F.count("*").alias("n"))
+        .where("x < y")
+        .select("token", F.ceil(F.col("n") / holders).cast("int").alias("m"))
     )
-    rare = rare.where((F.col("before") * den >= F.col("size") * num) & (F.col("a") != F.col("b")))
-    width = math.log(den / num) * 1.0001 if num < den else 1e-9
-    size_class = F.floor(F.log("size") / width)
-    tied = postings.where("common").select(
-        F.col("node").alias("a"),
-        F.explode(F.array(size_class, size_class + 1)).alias("c"),
-        "token",
+    found = postings.join(alive, "token").join(
+        sets.select("node", F.col("n_shingles").alias("size"), "bitmap"), "node"
     )
-    tied = tied.select("a", F.xxhash64("token", "c").alias("b"))
-    return rare.select("a", "b").unionByName(tied).distinct()
+    found = found.withColumn("own", F.pmod(F.xxhash64("node"), F.col("m")).cast("int"))
+    found = found.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+    found = found.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
+    keys = ["token", "lo", "hi"]
+    found = found.select(*keys, "own", "node", "size", "bitmap")
+    found = found.repartition(*keys).sortWithinPartitions(*keys)
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        held: pa.Table | None = None
+
+        def edges(rows: pa.Table) -> pa.RecordBatch:
+            token, lo, hi, own, node, size = (
+                rows.column(c).to_numpy() for c in ("token", "lo", "hi", "own", "node", "size")
+            )
+            new = (np.diff(token) != 0) | (np.diff(lo) != 0) | (np.diff(hi) != 0)
+            group = np.concatenate([[0], np.cumsum(new)])
+            a, b = connect_holders(
+                group, own, lo != hi, node, size, rows.column("bitmap").to_pylist(), num, den
+            )
+            pairs = np.unique(np.stack([a, b], axis=1), axis=0) if len(a) else np.zeros((0, 2), int)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())],
+                schema=schema,
+            )
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            # The last group may go on in the next batch.
+            same = np.ones(len(held), bool)
+            for c in keys:
+                column = held.column(c).to_numpy()
+                same &= column == column[-1]
+            whole = int(np.flatnonzero(same)[0])
+            if whole:
+                yield edges(held.slice(0, whole))
+                held = held.slice(whole)
+        if held is not None:
+            yield edges(held)
+
+    return found.mapInArrow(run, "a long, b long").distinct()
 
 
 class PrefixTree:
@@ -369,7 +488,7 @@ def _family_links(members: DataFrame, n: int, num: int, den: int) -> DataFrame:
 
 def jaccard_components(
     docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
-    family_shingles: int = FAMILY_SHINGLES,
+    family_shingles: int = FAMILY_SHINGLES, holders: int = HOLDERS,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id: a row per row of ``docs``.
 
@@ -377,16 +496,16 @@ def jaccard_components(
     shingles; component_id is the smallest doc_id reachable by links.
     """
     signatures = materialize(_signatures(docs, n), "signatures")
-    each = signatures.where("token IS NULL").select("doc_id", "n_shingles", "set_key", "node")
+    each = signatures.where("token IS NULL").select("doc_id", "n_shingles", "set_key")
     order = _order(signatures)
-    edges = _candidate_edges(_postings(docs, n, num, den, order), num, den)
-    found = connected_components(edges, "a", "b")
-
-    sets = each.where("doc_id IS NOT NULL AND set_key IS NOT NULL").groupBy("set_key").agg(
+    sets = signatures.where("doc_id IS NOT NULL AND set_key IS NOT NULL").groupBy("set_key").agg(
         F.min("doc_id").alias("rep"), F.first("node").alias("node"),
-        F.first("n_shingles").alias("n_shingles"),
+        F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap"),
     )
     sets = materialize(sets, "sets")
+    postings = materialize(_postings(docs, n, num, den, order), "postings")
+    edges = _candidate_edges(postings, sets, num, den, holders)
+    found = connected_components(edges, "a", "b")
     placed = sets.join(found.withColumnRenamed("node", "node_"), F.col("node") == F.col("node_"), "left")
     placed = placed.select(
         "set_key", "rep", "n_shingles", F.coalesce("component", "node").alias("family")

@@ -80,13 +80,14 @@ def rows():
 
 
 @pytest.mark.parametrize(
-    "n,num,family_shingles", [(3, 90, 500_000), (3, 90, 300), (5, 80, 500_000), (5, 80, 1)]
+    "n,num,family_shingles,holders",
+    [(3, 90, 500_000, 4096), (3, 90, 300, 3), (5, 80, 500_000, 2), (5, 80, 1, 4096)],
 )
-def test_components(spark, rows, n, num, family_shingles):
+def test_components(spark, rows, n, num, family_shingles, holders):
     docs = spark.createDataFrame(
         [(*r, "x") for r in rows], "doc_id long, text string, component_id string"
     ).repartition(3)
-    got = jaccard_components(docs, n, num, 100, family_shingles)
+    got = jaccard_components(docs, n, num, 100, family_shingles, holders)
     assert sorted(map(tuple, got.collect()), key=str) == expected(rows, n, num, 100)
 
 
