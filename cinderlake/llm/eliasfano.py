@@ -56,9 +56,11 @@ class EliasFano:
         values = np.asarray(values, np.uint64)
         n = max(1, len(values))
         width = min(48, max(0, (universe // n).bit_length() - 1))
-        bits = (values[:, None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1)
-        low = np.packbits(bits.astype(np.uint8).ravel(), bitorder="little")
-        low = np.append(low, np.zeros(8, np.uint8))
+        places, pieces = np.arange(width, dtype=np.uint64), []
+        for at in range(0, len(values), 1 << 16):  # whole bytes whatever the width
+            bits = (values[at : at + (1 << 16), None] >> places) & np.uint64(1)
+            pieces.append(np.packbits(bits.astype(np.uint8).ravel(), bitorder="little"))
+        low = np.concatenate([*pieces, np.zeros(8, np.uint8)])
         place = (values >> np.uint64(width)).astype(np.int64) + np.arange(len(values))
         size = -(-(int(place[-1]) + 1 if len(place) else 1) // 64) * 64
         flags = np.zeros(size, np.uint8)

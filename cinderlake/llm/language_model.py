@@ -1,6 +1,6 @@
 """Scoring texts with an n-gram model held in Elias-Fano tries.
 
-Documents are encoded once, in batches of a few MB: each batch has its own list of words (by 64-bit
+Documents are encoded once, in batches of 16 MB: each batch has its own list of words (by 64-bit
 hash) and its tokens as places in that list. The model is spread over shards by the hash of the
 context; a context with very many successors is spread over all shards. Level by level,
 every batch sends each shard the n-grams it has, once each, with their training counts in
@@ -36,8 +36,8 @@ from cinderlake.workspace import materialize
 ORDER = 2
 STRENGTH = 64.0
 DISCOUNT = 0.75
-SHARD_TOKENS = 2_000_000
-_BATCH_BYTES = 8 << 20
+SHARD_TOKENS = 4_000_000
+_BATCH_BYTES = 16 << 20
 _LOWEST = -24.0
 _STEP = -_LOWEST / 65535
 _START, _END = 0, 1
@@ -49,8 +49,13 @@ def _word_key(word: bytes) -> int:
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays in one compressed piece, first bytes before second bytes and so on."""
     head = np.array([a.nbytes for a in arrays], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(a.tobytes() for a in arrays))
+    planes = [
+        np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
+        for a in arrays
+    ]
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(planes))
 
 
 def _unpack(blob: bytes, *types: str) -> list[np.ndarray]:
@@ -58,7 +63,8 @@ def _unpack(blob: bytes, *types: str) -> list[np.ndarray]:
     sizes = np.frombuffer(data, "<i8", len(types))
     at, out = 8 * len(types), []
     for size, kind in zip(sizes.tolist(), types, strict=True):
-        out.append(np.frombuffer(data, kind, size // np.dtype(kind).itemsize, at))
+        planes = np.frombuffer(data, np.uint8, size, at).reshape(np.dtype(kind).itemsize, -1)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
         at += size
     return out
 
@@ -72,10 +78,15 @@ def from_codes(codes: np.ndarray) -> np.ndarray:
 
 
 def _encode(docs: DataFrame, held_out: Column) -> DataFrame:
-    """batch, doc_ids, held, corpus, tokens: texts as places in the batch's own word list."""
+    """batch, doc_ids, held, keys, corpus, tokens: texts as places in the batch's own word list.
+
+    The list, ``keys``, is sorted. In ``corpus`` words are numbered by frequency, which packs well, beside
+    the list that leads from there to the sorted one.
+    """
     schema = pa.schema(
         [("batch", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
-         ("held", pa.list_(pa.bool_())), ("corpus", pa.binary()), ("tokens", pa.int64())]
+         ("held", pa.list_(pa.bool_())), ("keys", pa.binary()), ("corpus", pa.binary()),
+         ("tokens", pa.int64())]
     )
 
     def run(batches):
@@ -91,18 +102,22 @@ def _encode(docs: DataFrame, held_out: Column) -> DataFrame:
                 keys.append(np.fromiter(map(known.__getitem__, found), np.uint64, len(found)))
                 keys.append(np.array([_END], np.uint64))
                 sizes.append(len(found) + 1)
-            vocabulary, tokens = np.unique(
-                np.concatenate([np.array([_START], np.uint64), *keys]), return_inverse=True
+            vocabulary, tokens, seen = np.unique(
+                np.concatenate([np.array([_START], np.uint64), *keys]),
+                return_inverse=True,
+                return_counts=True,
             )
+            often = np.argsort(-seen, kind="stable").astype(np.int32)
+            number = np.empty(len(often), np.int32)
+            number[often] = np.arange(len(often))
+            corpus = _pack(often, number[tokens[1:]], np.array(sizes, np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([batch], pa.int64()),
                     pa.array([[i for i, _, _ in block]], pa.list_(pa.int64())),
                     pa.array([[h for _, _, h in block]], pa.list_(pa.bool_())),
-                    pa.array(
-                        [_pack(vocabulary, tokens[1:].astype(np.int32), np.array(sizes, np.int32))],
-                        pa.binary(),
-                    ),
+                    pa.array([_pack(vocabulary)], pa.binary()),
+                    pa.array([corpus], pa.binary()),
                     pa.array([sum(sizes)], pa.int64()),
                 ],
                 schema=schema,
@@ -111,7 +126,9 @@ def _encode(docs: DataFrame, held_out: Column) -> DataFrame:
 
     given = docs.select("doc_id", text_bytes(), held_out.alias("held"))
     return given.mapInArrow(
-        run, "batch long, doc_ids array<long>, held array<boolean>, corpus binary, tokens long"
+        run,
+        "batch long, doc_ids array<long>, held array<boolean>, keys binary, corpus binary, "
+        "tokens long",
     )
 
 
@@ -123,22 +140,23 @@ class _Batch:
     """
 
     def __init__(self, corpus: bytes, held: list[bool], order: int):
-        self.vocabulary, tokens, self.sizes = _unpack(corpus, "<u8", "<i4", "<i4")
+        often, tokens, self.sizes = _unpack(corpus, "<i4", "<i4", "<i4")
         docs = len(self.sizes)
         first = np.cumsum(self.sizes) - self.sizes
-        stream = np.insert(tokens, first, 0)  # the start has the smallest key, so place 0
+        # The start has the smallest key, so place 0.
+        stream = np.insert(often[tokens], first, 0)
         self.doc = np.repeat(np.arange(docs), self.sizes + 1)
         self.scored = np.ones(len(stream), bool)
         self.scored[first + np.arange(docs)] = False
         self.trained = ~np.array(held, bool)[self.doc]
-        self.grams, self.words = [stream.astype(np.int64)], [np.arange(len(self.vocabulary))[:, None]]
+        self.grams, self.words = [stream.astype(np.int64)], [np.arange(len(often))[:, None]]
         self.context, self.suffix = [None], [None]
         for k in range(1, order):
             own, before = self.grams[0], np.append(-1, self.grams[k - 1][:-1])
             whole = self.scored & (before >= 0)
             if k > 1:  # a longer n-gram needs a shorter one that ends at this token too
                 whole &= self.grams[k - 1] >= 0
-            pair = before[whole] * len(self.vocabulary) + own[whole]
+            pair = before[whole] * len(often) + own[whole]
             distinct, place, inverse = np.unique(pair, return_index=True, return_inverse=True)
             gram = np.full(len(stream), -1)
             gram[whole] = inverse
@@ -155,20 +173,24 @@ class _Batch:
         used = self.trained & (self.grams[k] >= 0)
         return np.bincount(self.grams[k][used], minlength=len(self.words[k]))
 
-    def shards(self, k: int, shards: int, context_counts: np.ndarray | None, total: int):
-        """The shard of each distinct n-gram."""
-        keys = self.vocabulary[self.words[k]]
-        if k == 0:
-            mixed = keys[:, 0] * _FACTOR
-        else:
-            mixed = np.zeros(len(keys), np.uint64)
-            for column in range(k):
-                mixed = (mixed ^ keys[:, column]) * _FACTOR
-            spread = context_counts * shards > total // 4
-            mixed = np.where(spread, (mixed ^ keys[:, k]) * _FACTOR, mixed)
+    def shards(
+        self, k: int, shards: int, ids: np.ndarray, context_counts: np.ndarray, total: int
+    ) -> np.ndarray:
+        """The shard of each distinct n-gram of more than one word; ``ids`` are the words' numbers."""
+        keys = ids.astype(np.uint64)[self.words[k]]
+        mixed = np.zeros(len(keys), np.uint64)
+        for column in range(k):
+            mixed = (mixed ^ (keys[:, column] + np.uint64(1))) * _FACTOR
+        spread = context_counts * shards > total // 4
+        mixed = np.where(spread, (mixed ^ (keys[:, k] + np.uint64(1))) * _FACTOR, mixed)
         return ((mixed >> np.uint64(20)) % np.uint64(shards)).astype(np.int64)
 
 
+def _word_shards(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Shards of words are ranges of their keys, which are hashes, so of even size."""
+    return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+
+
 _REQUEST = "shard long, batch long, payload binary"
 _ANSWER = "batch long, shard long, payload binary, tokens long, words long"
 
@@ -180,19 +202,26 @@ def _rows(columns: dict, kinds: str) -> pa.Table:
 
 
 def _answer_words(request: pa.Table) -> pa.Table:
-    """Training counts of single words; the start of text is no word of the total."""
+    """Training counts of single words, and their places among all words of the shard.
+
+    A batch asks in the order of keys, so places are sent as steps. The start of text is no word
+    of the total.
+    """
     batches = request.column("batch").to_pylist()
     asked = [_unpack(p, "<u8", "<i8") for p in request.column("payload").to_pylist()]
     keys, inverse = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
     counts = np.zeros(len(keys), np.int64)
     np.add.at(counts, inverse, np.concatenate([a[1] for a in asked]))
-    answers = np.split(counts[inverse], np.cumsum([len(a[0]) for a in asked])[:-1])
+    bounds = np.cumsum([len(a[0]) for a in asked])[:-1]
+    answers = [
+        (counts[place], np.diff(place, prepend=0)) for place in np.split(inverse, bounds)
+    ]
     word = keys != _START
     return _rows(
         {
             "batch": batches,
             "shard": request.column("shard").to_pylist(),
-            "payload": [_pack(a) for a in answers],
+            "payload": [_pack(*a) for a in answers],
             "tokens": [int(counts[word].sum())] + [0] * (len(batches) - 1),
             "words": [int((counts[word] > 0).sum())] + [0] * (len(batches) - 1),
         },
@@ -200,13 +229,14 @@ def _answer_words(request: pa.Table) -> pa.Table:
     )
 
 
-def _answer_grams(order: int, strength: float):
+def _answer_grams(order: int, strength: float, last: bool):
     """For n-grams of ``order`` words: codes of smoothed probabilities, and counts."""
-    kinds = ("<u8", *["<i4"] * order, "<i8", "<i8", "<u2")
+    kinds = ("<i8", *["<i4"] * order, "<i8", "<i8", "<u2")
 
     def answer(request: pa.Table) -> pa.Table:
         batches = request.column("batch").to_pylist()
         asked = [_unpack(p, *kinds) for p in request.column("payload").to_pylist()]
+        asked = [(np.cumsum(a[0]), *a[1:]) for a in asked]
         keys = np.unique(np.concatenate([a[0] for a in asked]))
         grams = np.concatenate(
             [np.column_stack([np.searchsorted(keys, a[0][w]) for w in a[1 : order + 1]])
@@ -238,7 +268,8 @@ def _answer_grams(order: int, strength: float):
             codes[there] = trie.codes(place[there])
             found = np.zeros(len(place), np.int64)
             found[there] = held[place[there]]
-            payloads.append(_pack(codes, found))
+            # The counts are contexts of the next level; the last one needs none.
+            payloads.append(_pack(codes, found if not last else found[:0]))
             start = stop
         return _rows(
             {
@@ -259,12 +290,13 @@ def _word_requests(encoded: DataFrame, shards: int) -> DataFrame:
         for table in batches:
             for row in table.to_pylist():
                 own = _Batch(row["corpus"], row["held"], 1)
-                shard, counts = own.shards(0, shards, None, 0), own.counts(0)
+                (keys,) = _unpack(row["keys"], "<u8")
+                shard, counts = _word_shards(keys, shards), own.counts(0)
                 used = np.unique(shard)
                 payloads = []
                 for s in used:
                     of = shard == s
-                    payloads.append(_pack(own.vocabulary[of], counts[of].astype(np.int64)))
+                    payloads.append(_pack(keys[of], counts[of].astype(np.int64)))
                 columns = {
                     "shard": used, "batch": [row["batch"]] * len(used), "payload": payloads
                 }
@@ -281,7 +313,8 @@ def _read_answers(answers: pa.Table, shard: np.ndarray, *kinds: str) -> list[np.
     ):
         of = shard == s
         for whole, part in zip(out, _unpack(payload, *kinds), strict=True):
-            whole[of] = part
+            if len(part):
+                whole[of] = part
     return out
 
 
@@ -302,14 +335,24 @@ class _Model:
     def after(self, own: _Batch, level: int, answers: pa.Table, before: dict) -> dict:
         """Codes and counts of the distinct n-grams of ``level`` + 1 words."""
         if level == 0:
-            (counts,) = _read_answers(answers, own.shards(0, self.shards, None, 0), "<i8")
+            said = sorted(
+                zip(answers.column("shard").to_pylist(), answers.column("payload").to_pylist(),
+                    strict=True)
+            )
+            parts = [(s, *_unpack(p, "<i8", "<i8")) for s, p in said]
+            counts = np.concatenate([c for _, c, _ in parts])
             return {
                 "counts": counts,
                 "codes": to_codes(_word_log10(counts, self.tokens, self.distinct)),
+                "ids": np.concatenate([np.cumsum(p) * self.shards + s for s, _, p in parts]),
             }
-        shard = own.shards(level, self.shards, before["counts"][own.context[level]], self.tokens)
+        shard = self.shard(own, level, before)
         codes, counts = _read_answers(answers, shard, "<u2", "<i8")
-        return {"counts": counts, "codes": codes}
+        return {"counts": counts, "codes": codes, "ids": before["ids"]}
+
+    def shard(self, own: _Batch, level: int, before: dict) -> np.ndarray:
+        contexts = before["counts"][own.context[level]]
+        return own.shards(level, self.shards, before["ids"], contexts, self.tokens)
 
 
 def _levels(answers: pa.Table, level: int) -> pa.Table:
@@ -331,17 +374,17 @@ def _gram_requests(encoded: DataFrame, answers: DataFrame, model: _Model, level:
             known = _learned(model, own, right, level)[-1]
             contexts = known["counts"][own.context[level]]
             lower, counts = known["codes"][own.suffix[level]], own.counts(level)
-            shard = own.shards(level, model.shards, contexts, model.tokens)
+            shard = model.shard(own, level, known)
             order = np.argsort(shard, kind="stable")
             starts = np.flatnonzero(np.diff(shard[order], prepend=-1))
             for of in np.split(order, starts[1:]):
                 if not len(of):
                     continue
                 grams = own.words[level][of]
-                used, local = np.unique(grams, return_inverse=True)
+                used, local = np.unique(known["ids"][grams], return_inverse=True)
                 local = local.reshape(grams.shape).astype(np.int32)
                 payload = _pack(
-                    own.vocabulary[used], *local.T, counts[of].astype(np.int64),
+                    np.diff(used, prepend=0), *local.T, counts[of].astype(np.int64),
                     contexts[of].astype(np.int64), lower[of],
                 )
                 columns["shard"].append(int(shard[of[0]]))
@@ -406,7 +449,7 @@ def score(
     encoded = materialize(_encode(docs, held_out), "encoded")
     tokens = encoded.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     shards = max(4, -(-tokens // shard_tokens))
-    asked = _word_requests(encoded.select("batch", "held", "corpus"), shards)
+    asked = _word_requests(encoded.select("batch", "held", "keys", "corpus"), shards)
     said = materialize(asked.groupBy("shard").applyInArrow(_answer_words, _ANSWER), "word-answers")
     trained, distinct = said.agg(
         F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))
@@ -416,7 +459,7 @@ def score(
     corpus = encoded.select("batch", "held", "corpus")
     for level in range(1, order):
         asked = _gram_requests(corpus, answers, model, level)
-        said = asked.groupBy("shard").applyInArrow(_answer_grams(level + 1, strength), _ANSWER)
+        said = asked.groupBy("shard").applyInArrow(_answer_grams(level + 1, strength, level + 1 == order), _ANSWER)
         said = materialize(said, "gram-answers")
         answers = answers.unionByName(
             said.select("batch", "shard", "payload", F.lit(level).alias("level"))
