@@ -128,13 +128,13 @@ _RAW = ", ".join(
 )
 
 
-def _synthetic() -> str:
-    """One synthetic incident per order, as the same draws in SQL."""
+def _synthetic(row: str = "o_orderkey", rows: str = "orders") -> str:
+    """One synthetic incident per order, as the same draws in SQL, numbered by ``row`` of ``rows``."""
     single = [
         *UNIQUE_FIELDS, *syn.TIMES, *syn.LOSSES, *syn.COORDINATES, "numbers", "choices", "address"
     ]
     bits = ", ".join(
-        f"CAST('0x' || substring(md5('7|{n}|' || CAST(o_orderkey AS VARCHAR)), 1, 15) AS BIGINT) AS _{n}"
+        f"CAST('0x' || substring(md5('7|{n}|' || CAST({row} AS VARCHAR)), 1, 15) AS BIGINT) AS _{n}"
         for n in single
     )
 
@@ -178,7 +178,7 @@ def _synthetic() -> str:
         columns.append(f"CAST({fields.get(f.name, blank)} AS {kind}) AS {f.name}")
     maxima = ", ".join(f"max({f}) AS max_{f}" for f in UNIQUE_FIELDS)
     return (
-        f"SELECT o_orderkey AS _draw, {', '.join(columns)} FROM (SELECT o_orderkey, {bits} FROM orders),"
+        f"SELECT {row} AS _draw, {', '.join(columns)} FROM (SELECT {row}, {bits} FROM {rows}),"
         f" (SELECT {maxima} FROM ({_INCIDENTS})), (SELECT count(*) AS drawn FROM orders)"
     )
 
@@ -278,12 +278,18 @@ ORACLE_SQL: dict[str, str] = {
         SELECT 'not_null', 'l_tax', count(*) FILTER (l_tax = 0) FROM lineitem""",
     "csv_round_trip": "SELECT *, 'combined_data_20240107_123000.csv' AS snapshot FROM orders",
     "csv_round_trip_text": """
-        SELECT doc_id, nullif(text, '') AS text, lang, 'combined_data_20240107_123000.csv' AS snapshot
+        SELECT * REPLACE (nullif(text, '') AS text), 'combined_data_20240107_123000.csv' AS snapshot
         FROM documents""",
     "append_load": """
-        SELECT c_custkey AS account, c_name AS name, c_nationkey AS nation, c_acctbal AS balance FROM customer
+        SELECT c_custkey AS account, c_name AS name, c_nationkey AS nation, c_acctbal AS balance,
+               c_mktsegment AS segment
+        FROM customer
         UNION ALL
-        SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier""",
+        SELECT s_suppkey, s_name, s_nationkey, s_acctbal, 'supplier' FROM supplier""",
+    "latest_of_nothing": """
+        SELECT *, CAST(NULL AS BIGINT) AS id, CAST(NULL AS VARCHAR) AS city,
+               CAST(NULL AS TIMESTAMP) AS incident_date
+        FROM orders""",
     "medallion_load": _STAR,
     "medallion_counts": _COUNTS,
     "medallion_raw": f"SELECT {_RAW}, 'first' AS load_id FROM ({_INCIDENTS})",
@@ -293,12 +299,30 @@ ORACLE_SQL: dict[str, str] = {
                    / count(*) AS avg_personnel_response
         FROM ({_INCIDENTS}) GROUP BY 1""",
     "streaming_load": _STAR,
+    "streaming_order": _STAR.replace(
+        f"WITH incidents AS ({_INCIDENTS})",
+        f"""WITH given AS ({_INCIDENTS}),
+incidents AS (
+    SELECT * REPLACE (
+        CASE WHEN incident_date < TIMESTAMP '1998-01-01' THEN incident_number + 1000000000
+             ELSE incident_number END AS incident_number,
+        CASE WHEN incident_date < TIMESTAMP '1998-01-01' THEN city || 'and more' ELSE city END AS city)
+    FROM given
+)""",
+    ),
     "synthetic_rows": _synthetic(),
     "snapshot_growth": f"""
         WITH incidents AS ({_INCIDENTS}), drawn AS ({_synthetic()})
         SELECT {_COLUMNS} FROM incidents
         UNION ALL
         SELECT {_COLUMNS} FROM (SELECT * FROM drawn QUALIFY {_LONE})""",
+    "grown_snapshot": f"""
+        WITH incidents AS ({_INCIDENTS}),
+        numbers AS (SELECT row_number() OVER () - 1 AS n FROM orders),
+        drawn AS ({_synthetic("n", "numbers")})
+        SELECT {_COLUMNS} FROM incidents
+        UNION ALL
+        SELECT {_COLUMNS} FROM (SELECT * FROM drawn QUALIFY {_LONE})""",
 }
 
 _LOOKUP = """

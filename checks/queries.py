@@ -33,12 +33,13 @@ from cinderlake.operators.quality import (
     max_values,
 )
 from cinderlake.plans import marts
-from cinderlake.plans.growth import ROW, new_incidents
+from cinderlake.plans.growth import ROW, grow_snapshot, new_incidents
 from cinderlake.plans.medallion import load_incidents, load_latest
 from cinderlake.schemas import UNIQUE_FIELDS, struct
 from cinderlake.sources.snapshots import (
     latest_snapshot,
     next_snapshot_name,
+    read_latest,
     read_snapshot,
     write_snapshot,
 )
@@ -274,10 +275,10 @@ _NEW = datetime(2024, 1, 7, 12, 30)
 
 
 def _round_trip(spark, df, **options):
-    """Write two snapshots, the second with all rows; read back the one found to be latest."""
+    """Write two snapshots, the first with all rows twice; read back the one found to be latest."""
     root = new_folder(spark, "snapshots")
     first = next_snapshot_name(None, _OLD)
-    write_snapshot(df.limit(0), root, first)
+    write_snapshot(df.unionByName(df), root, first)
     write_snapshot(df, root, next_snapshot_name(first, _NEW))
     latest = latest_snapshot(spark, root)
     back = read_snapshot(spark, f"{root}/{latest}", df.schema, **options)
@@ -291,23 +292,32 @@ def csv_round_trip(spark, sf_dir):
 
 @query
 def csv_round_trip_text(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return _round_trip(spark, documents, na_tokens=(), multi_line=True)
+    return _round_trip(spark, table(spark, sf_dir, "documents"), na_tokens=(), multi_line=True)
 
 
 @query
 def append_load(spark, sf_dir):
     """Two appends by position into a table that was emptied before."""
-    columns = struct("account long\nname string\nnation int\nbalance double")
+    columns = struct("account long\nname string\nnation int\nbalance double\nsegment string")
     path = new_folder(spark, "accounts")
-    customers = table(spark, sf_dir, "customer").drop("c_mktsegment")
+    customers = table(spark, sf_dir, "customer")
+    suppliers = table(spark, sf_dir, "supplier").withColumn("s_segment", F.lit("supplier"))
     append_rows(customers, path, columns)
     create_table(spark, path, columns)
     append_rows(customers, path, columns)
-    append_rows(table(spark, sf_dir, "supplier"), path, columns)
+    append_rows(suppliers, path, columns)
     return spark.read.schema(columns).parquet(path)
 
 
+@query
+def latest_of_nothing(spark, sf_dir):
+    """The empty frame of a folder without snapshots, beside all orders."""
+    root = new_folder(spark, "snapshots").rsplit("/", 1)[0]
+    nothing = read_latest(spark, root).select("id", "city", "incident_date")
+    orders = table(spark, sf_dir, "orders")
+    return orders.join(nothing, orders.o_orderkey == nothing.id, "left")
+
+
 # Whole jobs
 
 
@@ -385,6 +395,26 @@ def streaming_load(spark, sf_dir):
     return _star(warehouse)
 
 
+@query
+def streaming_order(spark, sf_dir):
+    """Two snapshots that differ for ids and cities they share, both there before the stream starts.
+
+    The older one comes last by name.
+    """
+    root, warehouse = new_folder(spark, "snapshots"), _warehouse(spark)
+    part, everything = _two_snapshots(spark, sf_dir)
+    changed = part.withColumns(
+        {
+            "incident_number": F.col("incident_number") + 1_000_000_000,
+            "city": F.concat("city", F.lit("and more")),
+        }
+    )
+    write_snapshot(changed, root, "z_older_1.csv")
+    write_snapshot(everything, root, "a_newer_2.csv")
+    load_new_snapshots(warehouse, root, new_folder(spark, "stream")).awaitTermination()
+    return _star(warehouse)
+
+
 START, END = datetime(2020, 1, 1), datetime(2024, 1, 6, 12)
 
 
@@ -406,3 +436,13 @@ def snapshot_growth(spark, sf_dir):
     snapshot, rows = incidents(spark, sf_dir), _draw_rows(spark, sf_dir)
     added = new_incidents(snapshot, rows, ROW, rows.count(), START, END, seed=7)
     return snapshot.unionByName(added)
+
+
+@query
+def grown_snapshot(spark, sf_dir):
+    """A snapshot file and its successor as it was written, after the check for repeats."""
+    root = new_folder(spark, "snapshots")
+    write_snapshot(incidents(spark, sf_dir), root, next_snapshot_name(None, _OLD))
+    drawn = table(spark, sf_dir, "orders").count()
+    name = grow_snapshot(spark, root, drawn, START, END, seed=7)
+    return read_snapshot(spark, f"{root}/{name}", na_tokens=())

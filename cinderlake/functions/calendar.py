@@ -9,10 +9,17 @@ from pyspark.sql import functions as F
 CALENDAR_START = "1970-01-01"
 CALENDAR_DAYS = 29_220
 
+_DAYS = "'Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday'"
+_MONTHS = (
+    "'January', 'February', 'March', 'April', 'May', 'June',"
+    " 'July', 'August', 'September', 'October', 'November', 'December'"
+)
+
 # Output column -> expression over the date column ``d``. Weeks start on Monday,
-# and weekday() counts Monday as 0.
+# and weekday() counts Monday as 0. Nothing here goes through a timestamp, so the
+# session's time zone does not matter.
 CALENDAR_COLUMNS = {
-    "date_dim_id": "cast(date_format(d, 'yyyyMMdd') AS int)",
+    "date_dim_id": "year(d) * 10000 + month(d) * 100 + day(d)",
     "date_actual": "d",
     "epoch": "cast(unix_date(d) AS bigint) * 86400",
     "day_suffix": """concat(day(d), CASE
@@ -21,7 +28,7 @@ CALENDAR_COLUMNS = {
         WHEN day(d) % 10 = 2 THEN 'nd'
         WHEN day(d) % 10 = 3 THEN 'rd'
         ELSE 'th' END)""",
-    "day_name": "date_format(d, 'EEEE')",
+    "day_name": f"element_at(array({_DAYS}), weekday(d) + 1)",
     "day_of_week": "weekday(d) + 1",
     "day_of_month": "day(d)",
     "day_of_quarter": "datediff(d, trunc(d, 'quarter')) + 1",
@@ -31,8 +38,8 @@ CALENDAR_COLUMNS = {
     "week_of_year_iso": """concat(extract(YEAROFWEEK FROM d), '-W',
         lpad(weekofyear(d), 2, '0'), '-', weekday(d) + 1)""",
     "month_actual": "month(d)",
-    "month_name": "date_format(d, 'MMMM')",
-    "month_name_abbreviated": "date_format(d, 'MMM')",
+    "month_name": f"element_at(array({_MONTHS}), month(d))",
+    "month_name_abbreviated": f"left(element_at(array({_MONTHS}), month(d)), 3)",
     "quarter_actual": "quarter(d)",
     "quarter_name": "element_at(array('First', 'Second', 'Third', 'Fourth'), quarter(d))",
     "year_actual": "year(d)",
@@ -44,8 +51,8 @@ CALENDAR_COLUMNS = {
     "last_day_of_quarter": "date_sub(add_months(trunc(d, 'quarter'), 3), 1)",
     "first_day_of_year": "trunc(d, 'year')",
     "last_day_of_year": "make_date(year(d), 12, 31)",
-    "mmyyyy": "date_format(d, 'MMyyyy')",
-    "mmddyyyy": "date_format(d, 'MMddyyyy')",
+    "mmyyyy": "concat(lpad(month(d), 2, '0'), lpad(year(d), 4, '0'))",
+    "mmddyyyy": "concat(lpad(month(d), 2, '0'), lpad(day(d), 2, '0'), lpad(year(d), 4, '0'))",
     "weekend_indr": "weekday(d) >= 5",
 }
 

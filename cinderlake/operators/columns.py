@@ -15,8 +15,22 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _cast(column: str, field: T.StructField) -> str:
-    return f"CAST({_quoted(column)} AS {field.dataType.simpleString()}) AS {_quoted(field.name)}"
+def strict_cast(value: str, kind: T.DataType, what: str) -> str:
+    """SQL for a cast that fails the job on a value that does not fit, whatever the session says.
+
+    ``value`` is SQL too; ``what`` names it in the error.
+    """
+    name = kind.simpleString()
+    text = "'" + what.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    failure = f"raise_error(concat({text}, ' does not fit {name}: ', CAST({value} AS string)))"
+    return f"CASE WHEN {value} IS NOT NULL THEN coalesce(try_cast({value} AS {name}), {failure}) END"
+
+
+def _cast(df: DataFrame, column: str, field: T.StructField) -> str:
+    quoted = _quoted(column)
+    if df.schema[column].dataType != field.dataType:
+        quoted = strict_cast(quoted, field.dataType, f"column {column}")
+    return f"{quoted} AS {_quoted(field.name)}"
 
 
 def normalize_names(df: DataFrame) -> DataFrame:
@@ -57,12 +71,12 @@ def load_by_position(df: DataFrame, table: T.StructType) -> DataFrame:
     """Give the n-th column the name and type of the table's n-th column."""
     if len(df.columns) != len(table.fields):
         raise ValueError(f"{len(df.columns)} columns do not fit a table of {len(table.fields)}")
-    return df.selectExpr(*[_cast(c, f) for c, f in zip(df.columns, table.fields)])
+    return df.selectExpr(*[_cast(df, c, f) for c, f in zip(df.columns, table.fields)])
 
 
 def cast_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast columns by name; a value that does not fit its type fails the job."""
-    return df.selectExpr(*[_cast(f.name, f) for f in schema.fields])
+    return df.selectExpr(*[_cast(df, f.name, f) for f in schema.fields])
 
 
 def map_strings(df: DataFrame, function: Callable[[Column], Column] = clean_str) -> DataFrame:

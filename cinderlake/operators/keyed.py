@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cinderlake.operators.columns import require_values
 from cinderlake.operators.joins import BROADCAST_BYTES, fits_broadcast
-from cinderlake.workspace import materialize
+from cinderlake.workspace import materialize, materialize_counted
 
 
 def distinct_dimension(df: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -54,38 +54,74 @@ def insert_if_absent(
     conflict, as under an SQL unique constraint; ``null_keys`` says what becomes of
     those rows: ``keep`` all, ``drop`` all, or ``error`` (a primary key).
 
-    Of ``target`` only the key columns are read. If the keys of ``incoming`` are few, they
-    are broadcast to find the conflicts, so a large target is scanned but not shuffled.
-    Otherwise both sides are partitioned by key, which the first-row rule needs anyway,
-    so ``incoming`` is still shuffled once. ``incoming_rows`` saves counting them.
+    The keys that are new are found and written first, from the key columns of both sides
+    alone; if the incoming keys are few, they are broadcast and a large target is scanned but not
+    shuffled. Only rows with a new key are then read in full and shuffled for the first-row
+    rule, so a cumulative snapshot costs little where it brings nothing new. ``incoming``
+    is read twice, three times if NULL keys are kept and possible, and should be a stored table.
+    ``incoming_rows`` saves counting it.
     """
-    present = target.select(*keys)
-    wanted = incoming.select(*keys).where(_no_null(keys))
-    if fits_broadcast(wanted, max_broadcast_bytes, incoming_rows):
-        present = present.join(F.broadcast(wanted), list(keys), "left_semi")
-    if null_keys == "error":
-        keyed = require_values(incoming, keys)
-    elif null_keys in ("keep", "drop"):
-        keyed = incoming.where(_no_null(keys))
-    else:
+    fresh, _ = fresh_rows(
+        target, incoming, keys, order_by, null_keys, incoming_rows, max_broadcast_bytes
+    )
+    return fresh
+
+
+def fresh_rows(
+    target: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str | Column] | None = None,
+    null_keys: str = "keep",
+    incoming_rows: int | None = None,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
+) -> tuple[DataFrame, int]:
+    """What ``insert_if_absent`` returns, and how many new keys there are."""
+    if null_keys not in ("keep", "drop", "error"):
         raise ValueError(f"null_keys must be keep, drop or error, not {null_keys!r}")
-    fresh = first_per_key(keyed, keys, order_by).join(present, list(keys), "left_anti")
+    wanted = incoming.select(*keys)
+    if null_keys == "error":
+        wanted = require_values(wanted, keys)
+    wanted = wanted.where(_no_null(keys))
+    present = target.select(*keys)
+    if fits_broadcast(incoming.select(*keys), max_broadcast_bytes, incoming_rows):
+        few = incoming.select(*keys).where(_no_null(keys))
+        present = present.join(F.broadcast(few), list(keys), "left_semi")
+    new, count = materialize_counted(
+        wanted.join(present, list(keys), "left_anti").distinct(), "new-keys"
+    )
+    # The new keys are unique, so their count bounds what is broadcast.
+    if fits_broadcast(new, max_broadcast_bytes, count):
+        new = F.broadcast(new)
+    fresh = first_per_key(incoming.join(new, list(keys), "left_semi"), keys, order_by)
     fresh = fresh.select(*incoming.columns)
-    if null_keys == "keep":
+    if null_keys == "keep" and any(incoming.schema[k].nullable for k in keys):
         fresh = fresh.unionByName(incoming.where(~_no_null(keys)))
-    return fresh
+    return fresh, count
+
+
+# Up to so many rows of a few columns are numbered in one task, without a written step.
+NUMBERED_AT_ONCE = 100_000
 
 
 def assign_surrogate_keys(
-    rows: DataFrame, keys: Sequence[str], surrogate_key: str, after: int = 0
+    rows: DataFrame,
+    keys: Sequence[str],
+    surrogate_key: str,
+    after: int = 0,
+    count: int | None = None,
 ) -> DataFrame:
     """Number rows after ``after`` in key order, without gaps; ``keys`` must be unique.
 
-    A row number over all rows would sort them in one task. Here the rows are range
+    A row number over all rows would sort them in one task. That is done only if ``count``
+    says that there are at most NUMBERED_AT_ONCE of them. Otherwise the rows are range
     partitioned and sorted, each numbers itself inside its partition, and the
     partitions' starting points come from a running sum over one row per partition.
     The placed rows are written, so both reads see the same placement.
     """
+    if count is not None and count <= NUMBERED_AT_ONCE:
+        place = F.row_number().over(Window.orderBy(*keys))
+        return rows.select((place + F.lit(after)).cast("bigint").alias(surrogate_key), *rows.columns)
     slot = F.monotonically_increasing_id()
     placed = materialize(
         rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_slot", slot),

@@ -19,13 +19,12 @@ from cinderlake.operators.joins import Dimension, lookup_dimensions
 from cinderlake.operators.keyed import (
     assign_surrogate_keys,
     distinct_dimension,
-    insert_if_absent,
+    fresh_rows,
 )
 from cinderlake.schemas import (
     BATTALION_FIELDS,
     DISTRICT_FIELDS,
     FACT_SCHEMA,
-    GOLD_TABLES,
     INCIDENT_SCHEMA,
     MEASURES,
     RAW_INCIDENT_SCHEMA,
@@ -88,15 +87,19 @@ def with_dimension_keys(staged: DataFrame, battalions: DataFrame, districts: Dat
 
 
 def _grow_dimension(
-    warehouse: Warehouse, table: str, load_id: str, key: str, staged: DataFrame, order_by
-) -> None:
+    warehouse: Warehouse, table: str, load_id: str, key: str, staged: DataFrame, rows: int, order_by
+) -> int:
     surrogate_key = f"{table}_sk"
     present = warehouse.read(table)
     # A NULL natural key could never be looked up, and would be new in every load.
-    fresh = insert_if_absent(present, staged, [key], order_by, null_keys="drop")
+    fresh, count = fresh_rows(
+        present, staged, [key], order_by, null_keys="drop", incoming_rows=rows
+    )
+    if count == 0:
+        return 0
     after = warehouse.highest_key(table, surrogate_key)
-    numbered = assign_surrogate_keys(fresh, [key], surrogate_key, after)
-    warehouse.append(table, load_id, numbered.select(*present.columns))
+    numbered = assign_surrogate_keys(fresh, [key], surrogate_key, after, count)
+    return warehouse.append(table, load_id, numbered.select(*present.columns))
 
 
 def load_incidents(
@@ -108,44 +111,54 @@ def load_incidents(
     pruned to the columns needed. A load that is repeated adds nothing to the
     dimensions and the fact, and under the same ``load_id`` it replaces its raw and
     staging rows. Any error stops the load.
+
+    Snapshots are cumulative, so most facts are there already: their ids are compared first, and only
+    new facts get their keys looked up. Of several rows with a new id the first by
+    the staged columns is taken.
     """
     load_id = load_id or uuid.uuid4().hex
-    before = {t: warehouse.rows_of_load(t, load_id) for t in GOLD_TABLES}
 
-    def keep(table: str, df: DataFrame) -> DataFrame:
+    def keep(table: str, df: DataFrame) -> tuple[DataFrame, int]:
         return warehouse.write_load(table, load_id, df)
 
-    raw = keep("raw_fact_fire_department", raw_incidents(incidents))
-    raw_battalion = keep("raw_dim_battalion", raw_battalions(raw))
-    raw_district = keep("raw_dim_district", raw_districts(raw))
+    raw, _ = keep("raw_fact_fire_department", raw_incidents(incidents))
+    raw_battalion, _ = keep("raw_dim_battalion", raw_battalions(raw))
+    raw_district, _ = keep("raw_dim_district", raw_districts(raw))
 
-    battalion = keep("stg_dim_battalion", stage_battalions(raw_battalion))
-    district = keep("stg_dim_district", stage_districts(raw_district))
-    staged = keep("stg_fact_fire_department_injuries", stage_facts(raw))
+    battalion, battalion_rows = keep("stg_dim_battalion", stage_battalions(raw_battalion))
+    district, district_rows = keep("stg_dim_district", stage_districts(raw_district))
+    staged, rows = keep("stg_fact_fire_department_injuries", stage_facts(raw))
 
-    _grow_dimension(warehouse, "dim_battalion", load_id, "battalion", battalion, ["battalion"])
-    _grow_dimension(
-        warehouse, "dim_district", load_id, "neighborhood_district", district, ["first_id", "city"]
+    gained = {"raw_fact_fire_department": rows}
+    gained["dim_battalion"] = _grow_dimension(
+        warehouse, "dim_battalion", load_id, "battalion", battalion, battalion_rows, ["battalion"]
     )
-    rows = staged.count()
+    gained["dim_district"] = _grow_dimension(
+        warehouse, "dim_district", load_id, "neighborhood_district", district, district_rows,
+        ["first_id", "city"],
+    )
     fact = "fact_fire_department_injuries"
-    keyed = with_dimension_keys(
-        staged, warehouse.read("dim_battalion"), warehouse.read("dim_district")
+    fresh, count = fresh_rows(
+        warehouse.read(fact), staged, ["id"], null_keys="error", incoming_rows=rows
     )
-    fresh = insert_if_absent(
-        warehouse.read(fact), keyed, ["id"], null_keys="error", incoming_rows=rows
-    )
-    warehouse.append(fact, load_id, fresh)
-
-    gained = {t: warehouse.rows_of_load(t, load_id) - n for t, n in before.items()}
-    return {"raw_fact_fire_department": rows, **gained}
+    gained[fact] = 0
+    if count:
+        keyed = with_dimension_keys(
+            fresh, warehouse.read("dim_battalion"), warehouse.read("dim_district")
+        )
+        gained[fact] = warehouse.append(fact, load_id, keyed)
+    return gained
 
 
 def load_latest(
-    warehouse: Warehouse, snapshots: str, load_id: str | None = None, **options
+    warehouse: Warehouse,
+    snapshots: str,
+    load_id: str | None = None,
+    unmarked: bool = False,
+    **options,
 ) -> dict[str, int]:
-    """Load the latest snapshot of a folder."""
-    latest = latest_snapshot(warehouse.spark, snapshots)
+    """Load the latest snapshot of a folder; ``unmarked`` as for ``find_snapshots``."""
+    latest = latest_snapshot(warehouse.spark, snapshots, unmarked)
     if latest is None:
         raise FileNotFoundError(f"no snapshot in {snapshots}")
     path = f"{snapshots.rstrip('/')}/{latest}"

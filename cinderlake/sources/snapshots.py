@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
-from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cinderlake.operators.columns import bind_columns, normalize_names
+from cinderlake.operators.columns import bind_columns, normalize_names, strict_cast
 from cinderlake.schemas import INCIDENT_SCHEMA, names
-from cinderlake.workspace import empty_frame
+from cinderlake.workspace import empty_frame, hadoop_path, literal_path
 
 # The texts that count as a missing value, as in pandas' read_csv.
 # The empty text is always missing.
@@ -32,33 +31,61 @@ CSV_OPTIONS = {
 }
 
 
-def list_snapshots(spark: SparkSession, root: str) -> DataFrame:
-    """``(snapshot, modified)``: every CSV file or directory of part files below ``root``.
+# What a finished write leaves in a directory of part files.
+MARKER = "_SUCCESS"
 
-    A snapshot is named by its path below ``root``, an absolute path or a URI. Only the
-    listing is used; file contents are not read.
-    """
-    base = urlparse(root).path.rstrip("/") + "/"
-    if not base.startswith("/"):
-        raise ValueError(f"the folder of snapshots must be an absolute path or a URI, not {root!r}")
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select("path", "modificationTime")
-    )
-    path = F.regexp_replace("path", r"^[^:/]+:(//[^/]*)?", "")
-    below = F.substring(path, len(base) + 1, 10_000)
-    # Up to the first part of the path that ends in .csv: a file, or what holds its parts.
-    snapshot = F.regexp_extract(below, r"^(?:[^/]+/)*?[^/]+\.csv(?=/|$)", 0)
-    return files.groupBy(snapshot.alias("snapshot")).agg(F.max("modificationTime").alias("modified"))
 
+def _is_csv(name: str) -> bool:
+    return name.lower().endswith(".csv")
 
-def latest_snapshot(spark: SparkSession, root: str) -> str | None:
+
+def find_snapshots(
+    spark: SparkSession, root: str, unmarked: bool = False
+) -> list[tuple[str, int]]:
+    """``(name, modified)``: every CSV file or directory of part files below ``root``.
+
+    The file system lists the folders; no file is opened. A snapshot is named by its path below
+    ``root``, an absolute path or a URI, and its time is in milliseconds. A directory whose
+    name ends in .csv (in any case) is a snapshot once it has the marker of a finished write, whose time
+    it takes. ``unmarked`` also takes directories without one, as other tools write them,
+    at the time of their newest file. Names that begin with ``_`` or ``.`` are passed over.
+    """
+    if not root.startswith("/") and "://" not in root and not root.startswith("file:/"):
+        raise ValueError(f"the folder of snapshots must be an absolute path or a URI, not {root!r}")
+    system, top = hadoop_path(spark, root)
+    found, waiting = [], [("", top)]
+    while waiting:
+        above, folder = waiting.pop()
+        for status in system.listStatus(folder):
+            name, path = status.getPath().getName(), status.getPath()
+            if name.startswith(("_", ".")):
+                continue
+            if status.isFile():
+                if _is_csv(name):
+                    found.append((above + name, status.getModificationTime()))
+            elif not _is_csv(name):
+                waiting.append((f"{above}{name}/", path))
+            else:
+                inside = list(system.listStatus(path))
+                times = [s.getModificationTime() for s in inside if s.getPath().getName() == MARKER]
+                if unmarked and not times:
+                    times = [s.getModificationTime() for s in inside if s.isFile()]
+                if times:
+                    found.append((above + name, max(times)))
+    return found
+
+
+def list_snapshots(spark: SparkSession, root: str, unmarked: bool = False) -> DataFrame:
+    """``find_snapshots`` as a frame ``(snapshot, modified)``."""
+    rows = find_snapshots(spark, root, unmarked)
+    frame = spark.createDataFrame(rows, "snapshot string, millis long")
+    return frame.select("snapshot", F.timestamp_millis("millis").alias("modified"))
+
+
+def latest_snapshot(spark: SparkSession, root: str, unmarked: bool = False) -> str | None:
     """Name of the snapshot modified last, the first by name among equals."""
-    latest = list_snapshots(spark, root).orderBy(F.desc("modified"), "snapshot").limit(1).collect()
-    return latest[0]["snapshot"] if latest else None
+    found = find_snapshots(spark, root, unmarked)
+    return min(found, key=lambda s: (-s[1], s[0]))[0] if found else None
 
 
 def next_snapshot_name(latest: str | None, now: datetime) -> str:
@@ -78,10 +105,16 @@ def parse_fields(
     """
     quoted = ["'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in na_tokens]
     known = f"`{{0}}` NOT IN ({', '.join(quoted)})" if quoted else "true"
+
+    def value(field: T.StructField) -> str:
+        column = f"`{field.name}`"
+        if isinstance(field.dataType, T.StringType):
+            return column
+        return strict_cast(column, field.dataType, f"column {field.name}")
+
     return text.selectExpr(
         *[
-            f"CASE WHEN {known.format(f.name)} THEN CAST(`{f.name}` AS {f.dataType.simpleString()})"
-            f" END AS `{f.name}`"
+            f"CASE WHEN {known.format(f.name)} THEN {value(f)} END AS `{f.name}`"
             for f in schema.fields
         ]
     )
@@ -89,12 +122,12 @@ def parse_fields(
 
 def read_snapshot(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     schema: T.StructType = INCIDENT_SCHEMA,
     na_tokens: Sequence[str] = NA_TOKENS,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Read a CSV file or directory with a header as ``schema``.
+    """Read a CSV file or directory, or a list of files, with a header as ``schema``.
 
     Columns are found by normalised name and must be exactly those of the schema.
     Values get the declared type, never an inferred one, and a value or a line that does
@@ -104,18 +137,24 @@ def read_snapshot(
     def lines():
         return spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
 
-    header = T.StructType([T.StructField(c, T.StringType()) for c in lines().csv(path).columns])
+    given = [literal_path(p) for p in ([path] if isinstance(path, str) else path)]
+    columns = lines().csv(given[:1]).columns
+    header = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     # Of a directory, every file must have the header of the first.
     strict = lines().schema(header).option("enforceSchema", False).option("mode", "FAILFAST")
-    raw = strict.csv(path)
+    raw = strict.csv(given)
     return parse_fields(bind_columns(normalize_names(raw), names(schema)), schema, na_tokens)
 
 
 def read_latest(
-    spark: SparkSession, root: str, schema: T.StructType = INCIDENT_SCHEMA, **options
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType = INCIDENT_SCHEMA,
+    unmarked: bool = False,
+    **options,
 ) -> DataFrame:
     """The latest snapshot below ``root``, or an empty frame if there is none."""
-    latest = latest_snapshot(spark, root)
+    latest = latest_snapshot(spark, root, unmarked)
     if latest is None:
         return empty_frame(spark, schema)
     return read_snapshot(spark, f"{root.rstrip('/')}/{latest}", schema, **options)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from cinderlake.functions.calendar import build_dim_date
 from cinderlake.operators.columns import load_by_position
 from cinderlake.schemas import DIM_DATE_SCHEMA, GOLD_TABLES, LOAD_TABLES
-from cinderlake.workspace import empty_frame
+from cinderlake.workspace import counted, empty_frame
 
 
 def create_table(
@@ -28,9 +28,11 @@ def create_table(
     empty.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def append_rows(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """Append ``df`` to a table by column position; all rows get in, or none."""
-    load_by_position(df, schema).write.mode("append").parquet(path)
+def append_rows(df: DataFrame, path: str, schema: T.StructType) -> int:
+    """Append ``df`` to a table by column position; all rows get in, or none. Returns how many."""
+    observed, rows = counted(load_by_position(df, schema))
+    observed.write.mode("append").parquet(path)
+    return rows.get["n"]
 
 
 @dataclass(frozen=True)
@@ -63,19 +65,16 @@ class Warehouse:
     def _loads(self, table: str, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(_with_load_id(schema)).parquet(self.path(table))
 
-    def write_load(self, table: str, load_id: str, df: DataFrame) -> DataFrame:
-        """Write a load of a raw or staging table by position and return what was written."""
+    def write_load(self, table: str, load_id: str, df: DataFrame) -> tuple[DataFrame, int]:
+        """Write a load of a raw or staging table by position; return it as written, and its rows."""
         folder, schema = self.folder(table, load_id), LOAD_TABLES[table]
-        load_by_position(df, schema).write.mode("overwrite").parquet(folder)
-        return self.spark.read.schema(schema).parquet(folder)
+        observed, rows = counted(load_by_position(df, schema))
+        observed.write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(schema).parquet(folder), rows.get["n"]
 
-    def append(self, table: str, load_id: str, df: DataFrame) -> None:
-        """Add the rows of a load to a dimension or the fact, by position."""
-        append_rows(df, self.folder(table, load_id), GOLD_TABLES[table])
-
-    def rows_of_load(self, table: str, load_id: str) -> int:
-        """Rows a load has added to a dimension or the fact; other loads are not read."""
-        return self._loads(table, GOLD_TABLES[table]).where(F.col("load_id") == load_id).count()
+    def append(self, table: str, load_id: str, df: DataFrame) -> int:
+        """Add the rows of a load to a dimension or the fact, by position; return how many."""
+        return append_rows(df, self.folder(table, load_id), GOLD_TABLES[table])
 
     def highest_key(self, table: str, surrogate_key: str) -> int:
         """The highest surrogate key in use, 0 in an empty table."""

@@ -2,49 +2,55 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cinderlake.plans.medallion import load_incidents
-from cinderlake.schemas import INCIDENT_SCHEMA, names
-from cinderlake.sources.snapshots import CSV_OPTIONS, NA_TOKENS, parse_fields
+from cinderlake.sources.snapshots import read_snapshot
 from cinderlake.sources.warehouse import Warehouse
+from cinderlake.workspace import hadoop_path
 
 
 def load_new_snapshots(
-    warehouse: Warehouse,
-    snapshots: str,
-    checkpoint: str,
-    name: str = "stream",
-    na_tokens: Sequence[str] = NA_TOKENS,
+    warehouse: Warehouse, snapshots: str, checkpoint: str, name: str = "stream", **options
 ) -> StreamingQuery:
     """Load every CSV file below ``snapshots`` that no earlier run has loaded, then stop.
 
-    Each micro-batch goes through the same layers as a batch load. Its load id is made of
-    the stream's name and its number, so a batch that is run again after a failure leaves
-    the tables as they were meant to be; streams with checkpoints of their own need names
-    of their own. Headers must carry the normalised names, in order.
+    The stream itself carries the names and times of new files, not their contents. Within a
+    micro-batch snapshots are loaded one after the other, oldest first and by name among equals,
+    so the tables come out as from loads in that order however files fall into batches.
+    Each goes through the same reader, with its ``options``, and the same layers as a batch
+    load. Its load id is made of the stream's name, the batch's number and its place in the batch,
+    so a batch that is run again after a failure leaves the tables as they were meant to
+    be; streams with checkpoints of their own need names of their own.
     """
-    text = T.StructType([T.StructField(n, T.StringType()) for n in names(INCIDENT_SCHEMA)])
-    lines = (
-        warehouse.spark.readStream.schema(text)
-        .options(**CSV_OPTIONS)
-        .option("mode", "FAILFAST")
-        .option("enforceSchema", False)
+    spark = warehouse.spark
+    _, top = hadoop_path(spark, snapshots)
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .csv(snapshots)
+        .load(snapshots)
+        .select("path", F.unix_micros("modificationTime").alias("modified"))
     )
+    below = F.expr("substring(path, {})".format(len(top.toString().rstrip("/")) + 2))
+    # Up to the first part of the path that ends in .csv: a file, or what holds its parts.
+    snapshot = F.regexp_extract(below, r"(?i)^(?:[^/]+/)*?[^/]+\.csv(?=/|$)", 0)
 
     def load(batch: DataFrame, number: int) -> None:
-        incidents = parse_fields(batch, INCIDENT_SCHEMA, na_tokens)
-        load_incidents(warehouse, incidents, f"{name}-{number}")
+        # One row per new file, of which Spark's own listing keeps one in the driver as well.
+        found: dict[str, list] = {}
+        for row in batch.withColumn("snapshot", snapshot).where("snapshot <> ''").collect():
+            found.setdefault(row["snapshot"], []).append((row["modified"], row["path"]))
+        order = sorted(found, key=lambda s: (max(m for m, _ in found[s]), s))
+        for place, each in enumerate(order):
+            paths = sorted(path for _, path in found[each])
+            incidents = read_snapshot(spark, paths, **options)
+            load_incidents(warehouse, incidents, f"{name}-{number}-{place}")
 
     return (
-        lines.writeStream.foreachBatch(load)
+        files.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -52,10 +52,23 @@ def test_cast_columns_fails_on_what_does_not_fit(spark):
     schema = struct("n long\nt timestamp")
     assert cast_columns(df, schema).first() == (1, datetime(2024, 1, 6, 10))
     bad = spark.createDataFrame([("3.5x", None)], "n string, t string")
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+    with pytest.raises(Exception, match="column n does not fit bigint: 3.5x"):
         cast_columns(bad, schema).collect()
 
 
+def test_casts_are_strict_without_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        bad = spark.createDataFrame([("3.5x", 2**40)], "n string, big long")
+        with pytest.raises(Exception, match="column n does not fit bigint"):
+            cast_columns(bad, struct("n long")).collect()
+        with pytest.raises(Exception, match="column big does not fit int"):
+            load_by_position(bad.select("big"), struct("small int")).collect()
+        assert load_by_position(bad.select("big"), struct("kept long")).first() == (2**40,)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_map_strings_leaves_other_types(spark):
     df = spark.createDataFrame([(" a ", 1, None)], "s string, n int, t string")
     assert map_strings(df).first() == ("A", 1, None)

@@ -132,3 +132,14 @@ def test_digits_of_a_draw_are_independent(spark):
 def test_hashes_are_computed_once_per_draw(spark, plan_text):
     rows = drawn(spark.range(10)).select(*draws.digits("a", [2, 3, 4]), "b")
     assert plan_text(rows).count("md5") == 2
+
+
+@pytest.mark.parametrize("zone", ["Pacific/Apia", "America/New_York", "Africa/Cairo"])
+def test_calendar_is_the_same_in_every_time_zone(spark, zone):
+    expected = build_dim_date(spark).collect()
+    assert len({r.date_dim_id for r in expected}) == len(expected)
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert build_dim_date(spark).collect() == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

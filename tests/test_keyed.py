@@ -114,3 +114,10 @@ def test_surrogate_keys_are_dense_and_in_key_order(spark, n):
     assert numbered.columns == ["sk", "k", "v"]
     assert rows(numbered) == sorted(((10 + k, k, n - k) for k in range(1, n + 1)), key=str)
     assert len({r.sk for r in numbered.collect()}) == n
+
+
+def test_both_ways_of_numbering_give_the_same(spark):
+    df = spark.range(500).select((F.col("id") * 7919 % 1009).alias("k"), F.lit("x").alias("v"))
+    few = assign_surrogate_keys(df, ["k"], "sk", 40, count=500)
+    many = assign_surrogate_keys(df, ["k"], "sk", 40)
+    assert rows(few) == rows(many)

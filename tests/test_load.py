@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+import time
 from datetime import datetime
 
 import pytest
@@ -252,11 +256,73 @@ def test_streaming_loads_each_file_once(spark, warehouse, tmp_path):
     write_snapshot(incidents(spark, *HAND, {"id": 4, "battalion": "B1"}), root, "a_b_2.csv")
     assert run() == 4
     assert rows(warehouse.read("raw_fact_fire_department").groupBy("load_id").count()) == [
-        ("stream-0", 4),
-        ("stream-1", 5),
+        ("stream-0-0", 4),
+        ("stream-1-0", 5),
     ]
 
 
+def test_a_stream_reads_headers_as_a_batch_does(spark, warehouse, tmp_path):
+    root = tmp_path / "snapshots"
+    titled = incidents(spark, *HAND)
+    titled = titled.select(*[F.col(c).alias(c.replace("_", " ").title()) for c in reversed(titled.columns)])
+    write_snapshot(titled, str(root), "a_b_1.CSV")
+    query = load_new_snapshots(warehouse, str(root), str(tmp_path / "checkpoint"), multi_line=True)
+    query.awaitTermination()
+    assert warehouse.read("fact_fire_department_injuries").count() == 3
+
+
+def test_a_load_that_adds_nothing_runs_few_jobs(spark, warehouse):
+    snapshot = incidents(spark, *HAND)
+    load_incidents(warehouse, snapshot)
+    group = "rerun"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        gained = load_incidents(warehouse, snapshot)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [n for t, n in gained.items() if t != "raw_fact_fire_department"] == [0, 0, 0]
+    assert len(jobs) <= 28
+
+
+def test_no_folder_is_left_when_the_process_ends(tmp_path):
+    code = (
+        "from cinderlake.session import local_session as s; from cinderlake.workspace import *\n"
+        "x = s(2); materialize(x.range(5), 'a').count(); new_folder(x, 'b')\n"
+        "import os; names = os.listdir(shared_folder(x))\n"
+        "assert sum(n.startswith('cinderlake-') for n in names) == 2, names"
+    )
+    arguments = f"--conf spark.checkpoint.dir={tmp_path} pyspark-shell"
+    env = {**os.environ, "PYSPARK_SUBMIT_ARGS": arguments, "PYTHONPATH": os.getcwd()}
+    subprocess.run([sys.executable, "-c", code], env=env, check=True, timeout=120)
+    # The session's JVM ends a moment after the process that started it.
+    for _ in range(60):
+        if not [p for p in tmp_path.iterdir() if p.name.startswith("cinderlake-")]:
+            break
+        time.sleep(0.5)
+    assert [p for p in tmp_path.iterdir() if p.name.startswith("cinderlake-")] == []
+
+
+def test_synthetic_constants(spark):
+    """A few fixed values as literals."""
+    rows_ = spark.range(400).withColumnRenamed("id", "_draw")
+    drawn = synthetic_incidents(
+        rows_, "_draw", 400, dict.fromkeys(UNIQUE_FIELDS, 0), START, END, seed=1
+    )
+    row = drawn.agg(
+        F.min("suppression_units").alias("least"),
+        F.max("suppression_units").alias("most"),
+        F.max("other_personnel").alias("others"),
+        F.max("estimated_property_loss").alias("loss"),
+        F.collect_set("city").alias("cities"),
+        F.collect_set("mutual_aid").alias("aid"),
+        F.max("number_of_alarms").alias("alarms"),
+    ).first()
+    assert (row.least, row.most, row.others, row.alarms) == (1, 10, 20, 1)
+    assert 45_000 < row.loss <= 50_000
+    assert (row.cities, row.aid) == (["SF"], ["None"])
+
+
 def test_commands(spark, tmp_path, capsys):
     house, root = str(tmp_path / "warehouse"), str(tmp_path / "snapshots")
     write_snapshot(incidents(spark, *HAND), root, "a_b_1.csv")

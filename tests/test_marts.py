@@ -95,3 +95,9 @@ def test_plans_scan_once_and_broadcast_the_calendar(spark, plan_text, tmp_path):
     # The fact is reduced by a partial aggregate before the first shuffle.
     assert plan.index("partial_avg") < plan.index("BroadcastHashJoin")
     assert "TakeOrderedAndProject" in plan_text(marts.top_days_by_alarms(stored))
+
+
+def test_calendar_with_counts_comes_in_order_of_days(spark):
+    fact = spark.sql("SELECT DATE'1970-01-03' AS day UNION ALL SELECT DATE'2001-05-01'")
+    days = [r.date_actual for r in marts.calendar_with_counts(fact, date="day").collect()]
+    assert len(days) == 29_220 and days == sorted(days)

@@ -79,12 +79,51 @@ def test_repeated_values_report(spark):
     assert_no_repeats(find_repeated_values(df.limit(1), ["a", "b"]))
 
 
+def test_values_of_unlike_types_are_compared_in_their_own(spark):
+    """Two times an hour apart read alike at the end of daylight saving."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql(
+            "SELECT n, timestamp_seconds(1730610000 + 3600 * n) AS t, CAST(n AS decimal(5,1)) AS d,"
+            " CAST(CAST(n AS string) AS binary) AS b FROM VALUES (0), (1), (2), (2) AS v(n)"
+        )
+        kept = drop_colliding_rows(df, ["n", "t", "d", "b"])
+        assert sorted(r.n for r in kept.collect()) == [0, 1]
+        found = find_repeated_values(df, ["n", "t", "d", "b"]).collect()
+        assert [(r.field, r["count"]) for r in found] == [("b", 2), ("d", 2), ("n", 2), ("t", 2)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_rows_of_files_need_no_copy(spark, tmp_path):
+    data = [(i % 7 or i, i if i % 5 else None) for i in range(60)]
+    spark.createDataFrame(data, "a int, b int").repartition(5).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    kept = drop_colliding_rows(df.where("a >= 0"), ["a", "b"])
+    assert rows(kept) == survivors(data)
+    # The files read are the table's own.
+    assert all(str(tmp_path) in f for f in kept.inputFiles())
+    # Where a row can come out twice, position in the file is no key.
+    twice = df.select(F.explode(F.array("a", "a")).alias("a"), "b")
+    assert drop_colliding_rows(twice, ["a", "b"]).count() == 0
+    assert drop_colliding_rows(df.unionAll(df), ["a", "b"]).count() == 0
+
+
 def test_max_values(spark):
     df = spark.createDataFrame([(1, 5), (3, None)], "a int, b int")
     assert rows(max_values(df, ["a", "b"])) == [(3, 5)]
     assert rows(max_values(df.where("a > 9"), ["a", "b"])) == [(0, 0)]
 
 
+def test_max_values_refuses_what_is_no_number(spark):
+    with pytest.raises(ValueError, match="not numeric.*'t'"):
+        max_values(spark.createDataFrame([(1, "x")], "a int, t string"), ["a", "t"])
+
+
+def test_report_without_constraints_is_empty(spark):
+    assert constraint_report(spark.range(3)).collect() == []
+
+
 def test_constraint_report(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, None), (None, 2), (None, 2)], "a int, b int")
     report = constraint_report(df, unique=[["a", "b"], ["a"]], not_null=["a", "b"])

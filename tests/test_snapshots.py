@@ -35,13 +35,17 @@ def test_latest_is_the_last_modified_file_or_directory(spark, tmp_path):
     touch(root / "z_old.csv", "id\n1\n", 1000)
     touch(root / "notes.txt", "x", 9000)
     touch(root / "dir_1.csv" / "part-0.csv", "id\n1\n", 500)
-    touch(root / "dir_1.csv" / "part-1.csv", "id\n1\n", 2000)
+    touch(root / "dir_1.csv" / "part-1.csv", "id\n1\n", 1500)
+    assert latest_snapshot(spark, str(root)) == "z_old.csv"  # the directory is not finished
+    assert latest_snapshot(spark, str(root), unmarked=True) == "dir_1.csv"
+    touch(root / "dir_1.csv" / "_SUCCESS", "", 2000)
     assert latest_snapshot(spark, str(root)) == "dir_1.csv"
     assert latest_snapshot(spark, f"file://{tmp_path}/a bucket/") == "dir_1.csv"
     touch(root / "c.csv", "id\n1\n", 2000)
     assert latest_snapshot(spark, str(root)) == "c.csv"
     touch(root / "sub" / "d.csv", "id\n1\n", 3000)
-    touch(root / "sub" / "e.csv" / "f.csv", "id\n1\n", 2500)
+    touch(root / "sub" / "e.csv" / "f.csv", "id\n1\n", 2400)
+    touch(root / "sub" / "e.csv" / "_SUCCESS", "", 2500)
     assert latest_snapshot(spark, str(root)) == "sub/d.csv"
     assert sorted(r.snapshot for r in list_snapshots(spark, str(root)).collect()) == [
         "c.csv",
@@ -54,6 +58,17 @@ def test_latest_is_the_last_modified_file_or_directory(spark, tmp_path):
         list_snapshots(spark, "snapshots")
 
 
+@pytest.mark.parametrize("name", ["plain", "a#b", "a?b", "a;b", "a[1]{2}*", "a b%20"])
+def test_odd_folder_names_and_suffixes_in_capitals(spark, tmp_path, name):
+    root = tmp_path / name
+    touch(root / "City_Inc_1.csv", "id,name,at,loss\n1,a,,\n", 1000)
+    touch(root / "more" / "Newer_Inc_2.CSV", "id,name,at,loss\n2,b,,\n", 2000)
+    touch(tmp_path / "acb" / "Other_Inc_3.csv", "id,name,at,loss\n3,c,,\n", 3000)
+    for given in (f"{root}", f"{tmp_path}//{name}/", f"{tmp_path}/./{name}"):
+        assert latest_snapshot(spark, given) == "more/Newer_Inc_2.CSV"
+        assert rows(read_latest(spark, given, SMALL).select("id")) == [(2,)]
+
+
 @pytest.mark.parametrize(
     ("latest", "name"),
     [
@@ -97,7 +112,7 @@ def test_every_token_reads_as_missing(spark, tmp_path):
     [
         ("id,name,at\n1,a,\n", "missing columns"),
         ("id,name,at,loss,more\n1,a,,,\n", "unexpected columns"),
-        ("id,name,at,loss\n1.5x,a,,\n", "CAST_INVALID_INPUT"),
+        ("id,name,at,loss\n1.5x,a,,\n", "column id does not fit bigint: 1.5x"),
         ("id,name,at,loss\n1,a\n", "MALFORMED"),
         ('id,name,at,loss\n1,"a\nb",,\n', "MALFORMED"),
     ],
@@ -108,6 +123,16 @@ def test_read_fails_on_what_does_not_fit(spark, tmp_path, text, message):
         read_snapshot(spark, str(tmp_path / "s.csv"), SMALL).collect()
 
 
+def test_read_fails_without_ansi_too(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("id,name,at,loss\n1.5x,a,,\n")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="column id does not fit bigint"):
+            read_snapshot(spark, str(tmp_path / "s.csv"), SMALL).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_all_files_of_a_snapshot_have_the_same_header(spark, tmp_path):
     folder = tmp_path / "s.csv"
     folder.mkdir()
