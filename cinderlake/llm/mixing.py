@@ -33,8 +33,10 @@ from cinderlake.workspace import materialize
 
 BUCKETS = 1 << 14
 EVIDENCE = 20.0
-STEPS = 60
+STEPS = 120
 CLOSE = 1e-4
+# A domain with less than this part of the share it should have does not hold back the others.
+SCARCE = 0.01
 
 
 def _members(docs: DataFrame, shares: np.ndarray, table: np.ndarray) -> DataFrame:
@@ -103,11 +105,11 @@ def fit_rates(
 ) -> tuple[list[np.ndarray], list[float]]:
     """Gradients and momenta of the steps that bring the expected tokens to the targets.
 
-    Without ``total_tokens`` it is the most that rates up to 1 can serve.
+    Without ``total_tokens`` it is the most that rates up to 1 can serve, scarce domains aside.
     """
     domains = len(weights)
     have = _expected(members, domains, [], [])
-    served = (weights > 0) & (have > 0)
+    served = (weights > 0) & (have > SCARCE * weights * have.sum())
     if not served.any():
         return [], []
     total = total_tokens or float((have[served] / weights[served]).min())
@@ -117,8 +119,13 @@ def fit_rates(
     gradients: list[np.ndarray] = []
     momenta: list[float] = []
     now = before = have
-    inertia = 1.0
+    inertia, loss = 1.0, np.inf
     for _ in range(STEPS):
+        last, loss = loss, float((((now - weights * total) / target) ** 2).sum())
+        if loss > last:  # the momentum has gone past the minimum
+            inertia = 1.0
+        elif last - loss < 1e-7 * loss:
+            break
         if np.abs((now - weights * total) / target)[served].max() < CLOSE:
             break
         following = (1 + np.sqrt(1 + 4 * inertia**2)) / 2

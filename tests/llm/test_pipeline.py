@@ -1,0 +1,93 @@
+"""The pipeline's stages against brute force, and its queries against SQL."""
+
+import random
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__ as entry_point
+import corpus_pipeline
+from checks.compare import difference, oracle
+from cinderlake.llm.queries import ORACLE_SQL, QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not Path(FOLDER).is_dir(), reason="given tables not found")
+@pytest.mark.parametrize("name", ORACLE_SQL)
+def test_sql(spark, name):
+    assert difference(QUERIES[name](spark, FOLDER), oracle(FOLDER), ORACLE_SQL[name]) == ""
+
+
+def test_names():
+    numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
+    assert numbers == list(range(1, 11))
+    assert {*QUERIES, "pipeline"} <= entry_point.queries().keys()
+    assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    rng = random.Random(6)
+    words = [f"word{i}" for i in range(200)]
+    rows = []
+    for i in range(120):
+        text = " ".join(rng.choices(words, k=80))
+        rows.append((i, text))
+        if i % 10 == 0:
+            rows += [(i + 1000, text), (i + 2000, text + " tail"), (i + 1000, text)]
+        if i % 7 == 0:
+            rows.append((i + 3000, " ".join(w.upper() + "!!" for w in text.split())))
+    rows += [(5000, ""), (5001, None), (None, "no id at all here"), (None, None)]
+    top = tmp_path_factory.mktemp("tables")
+    docs = spark.createDataFrame(
+        [(*r, "en", "src", len(r[1] or ""), 1.5) for r in rows],
+        "doc_id long, text string, lang string, source string, n_chars long, keep_id double",
+    )
+    docs.write.parquet(f"{top}/documents.parquet")
+    labels = [(i, int(i < 3000), 0) for i, _ in rows if i is not None]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(
+        f"{top}/labels.parquet"
+    )
+    return str(top)
+
+
+def test_stages(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    good = stages["quality classifier"](spark, docs, folder).collect()
+    ids = [r.doc_id for r in good]
+    assert not [i for i in ids if i is not None and 3000 <= i < 5000]
+    assert {i for i in range(120)} <= set(ids)
+
+    one = stages["exact dedup"](spark, docs, folder)
+    assert one.columns == docs.columns
+    want = {}
+    for r in docs.collect():
+        text = r.text or ""
+        best = want.get(text)
+        if text not in want or (r.doc_id is not None and (best is None or r.doc_id > best)):
+            want[text] = r.doc_id
+    assert sorted(map(str, (r.doc_id for r in one.collect()))) == sorted(map(str, want.values()))
+
+    near = stages["n-gram Jaccard join"](spark, docs, folder).collect()
+    left = [r.doc_id for r in near]
+    assert not [i for i in left if i is not None and 1000 <= i < 3000]
+    assert {*range(120), 5000, 5001} <= set(left)
+
+    mixed = stages["mixing"](spark, docs, folder)
+    assert mixed.columns == docs.columns and mixed.count() <= docs.count()
+
+
+def test_run_and_empty_tables(spark, folder, tmp_path):
+    packed = corpus_pipeline.run(spark, folder)
+    totals = {}
+    for r in packed.collect():
+        key = (r.doc_id, r.doc_tokens)
+        totals[key] = totals.get(key, 0) + r.length
+    assert totals and all(total == k[1] for k, total in totals.items())
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(
+            f"{tmp_path}/{name}.parquet"
+        )
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
