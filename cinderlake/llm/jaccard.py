@@ -31,7 +31,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinderlake.llm.common import (
@@ -221,15 +221,17 @@ def prefix_length(size: int, num: int, den: int) -> int:
 
 
 def _postings(docs: DataFrame, n: int, num: int, den: int, order: np.ndarray) -> DataFrame:
-    """token, node: the prefix of each set, once per task and set."""
+    """token, node, size, common: the prefix of each set, once per task and set."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
-    schema = pa.schema([("token", pa.int64()), ("node", pa.int64())])
+    schema = pa.schema(
+        [("token", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("common", pa.bool_())]
+    )
 
     def run(batches):
         known, (common, rank) = Interner(_word_id), shared.value
         met: set[bytes] = set()
         for block in blocks_of(batches, lambda r: len(r[0]), "text"):
-            tokens, nodes = [], []
+            tokens, nodes, sizes, commons = [], [], [], []
             for (text,) in block:
                 own = shingle_set(text, n, known)
                 key = _set_key(own)
@@ -246,17 +248,23 @@ def _postings(docs: DataFrame, n: int, num: int, den: int, order: np.ndarray) ->
                     score = np.where(common[place] == own, high, score)
                 first = np.argsort(score, kind="stable")[: prefix_length(len(own), num, den)]
                 tokens.append(own[first])
+                commons.append(score[first] >= np.uint64(1 << 63))
+                sizes.append(np.full(len(first), len(own), np.int32))
                 nodes.append(np.full(len(first), int.from_bytes(key[:8], "little", signed=True)))
             if tokens:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(_signed(np.concatenate(tokens))),
                         pa.array(np.concatenate(nodes), pa.int64()),
+                        pa.array(np.concatenate(sizes)),
+                        pa.array(np.concatenate(commons)),
                     ],
                     schema=schema,
                 )
 
-    return docs.select(text_bytes()).mapInArrow(run, "token long, node long")
+    return docs.select(text_bytes()).mapInArrow(
+        run, "token long, node long, size int, common boolean"
+    )
 
 
 def _candidate_edges(
@@ -264,18 +272,35 @@ def _candidate_edges(
 ) -> DataFrame:
     """Edges (a, b) that connect all sets that share a prefix shingle and may link.
 
-    Shingles of one set alone drop out of a narrow table; only what is left is joined with sizes
-    and bitmaps. Groups go through in sorted order, many at a time.
+    A holder of a rare shingle stays if the next smaller or larger holder is near enough in size; that
+    drops most holders, which share a shingle by chance, from a narrow table. A shingle that more
+    than one set in COMMON_SHINGLES / (mean size of a set) holds is a common one; those are
+    counted by aggregates and may go on in blocks. Only what is left is joined with
+    bitmaps. Groups go through in sorted order, many at a time.
     """
-    alive = (
-        postings.groupBy("token")
-        .agg(F.min("node").alias("x"), F.max("node").alias("y"), F.count("*").alias("n"))
-        .where("x < y")
-        .select("token", F.ceil(F.col("n") / holders).cast("int").alias("m"))
-    )
-    found = postings.join(alive, "token").join(
-        sets.select("node", F.col("n_shingles").alias("size"), "bitmap"), "node"
+    by_token = Window.partitionBy("token")
+    by_size = by_token.orderBy("size", "node")
+    smaller, larger = F.lag("size").over(by_size), F.lead("size").over(by_size)
+    rare = postings.where("NOT common").select(
+        "token", "node", "size",
+        ((smaller * den >= F.col("size") * num) & (F.lag("node").over(by_size) != F.col("node")))
+        .alias("below"),
+        ((F.col("size") * den >= larger * num) & (F.lead("node").over(by_size) != F.col("node")))
+        .alias("above"),
+        F.count("*").over(by_token).alias("n"),
+    )
+    rare = rare.where("below OR above").select("token", "node", "size", "n")
+    common = postings.where("common")
+    counts = common.groupBy("token").agg(
+        F.count("*").alias("n"), F.min("node").alias("x"), F.max("node").alias("y")
     )
+    # At most COMMON_SHINGLES rows of two numbers.
+    counts = F.broadcast(counts.where("x < y").select("token", "n"))
+    common = common.join(counts, "token").select("token", "node", "size", "n")
+    alive = rare.unionByName(common).withColumn(
+        "m", F.ceil(F.col("n") / holders).cast("int")
+    ).drop("n")
+    found = alive.join(sets.select("node", "bitmap"), "node")
     found = found.withColumn("own", F.pmod(F.xxhash64("node"), F.col("m")).cast("int"))
     found = found.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
     found = found.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
