@@ -17,6 +17,7 @@ table gives an empty table; only doc_id and text are looked at.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Callable, Iterable, Iterator
@@ -27,12 +28,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from cinderlake.llm.common import blocks_of, ragged, text_bytes
+from cinderlake.llm.common import blocks_of, byte_letters, ragged, text_bytes
 
 TIERS = (512, 1024, 2048, 4096)
 END_ID = 2
 STEP_WINDOWS = 16
-_BLOCK_TOKENS_BYTES = 8 << 20
+_BLOCK_BYTES = 4 << 20
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -190,7 +191,7 @@ def pack(
             )
 
         blocks = blocks_of(
-            batches, lambda r: len(r[1]), "doc_id", "text", most=_BLOCK_TOKENS_BYTES
+            batches, lambda r: len(r[1]), "doc_id", "text", most=_BLOCK_BYTES
         )
         for block in blocks:
             yield block_rows(block, last=False)
@@ -202,127 +203,96 @@ def pack(
 
 #: Fixed value: the pattern by which such vocabularies split lower-case text into pieces.
 _PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_REMEMBERED_WORDS = 500_000
-_REMEMBERED_PIECES = 800_000
-_JOINED = 500
-# Stands between pieces that are encoded together; a piece of its own in such vocabularies.
-_BETWEEN = "\0"
 
-
-class _Ragged:
-    """Lists of numbers under consecutive numbers of their own."""
-
-    def __init__(self, kind: str):
-        self.flat, self.start = np.zeros(0, kind), np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
-
-    def __len__(self) -> int:
-        return len(self.count)
-
-    def extend(self, flat: np.ndarray, count: np.ndarray) -> None:
-        first = len(self.flat)
-        self.flat = np.append(self.flat, flat.astype(self.flat.dtype))
-        self.start = np.append(self.start, first + np.cumsum(count) - count)
-        self.count = np.append(self.count, count)
-
-    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The lists in a row, and how long each is."""
-        count = self.count[numbers]
-        return self.flat[ragged(self.start[numbers], count)], count
+# The same for texts of letters below U+0130, with the classes written out.
+_LETTERS = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff\u0100-\u012f"
+_DIGITS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+_LATIN_PIECE = re.compile(
+    f"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}\t-\r \x85\xa0]+"
+)
+_NOT_LATIN = re.compile("[\u0130-\U0010ffff]|<\\|")
+_REMEMBERED = 600_000
+_JOINED = 1000
 
 
 class WordTokenizer:
     """Ids as the tokenizers library gives them for a vocabulary that drops white space.
 
     No token and no added token of such a vocabulary spans white space, so the ids of a text
-    are those of its words one after the other. A word of plain Latin letters is lower-cased and split
-    into pieces here, so that "Then," and "then" share a piece; any other word goes to the library
-    whole. Words and pieces are encoded once and remembered.
+    are those of its words one after the other. A text of Latin letters without ``<|`` is lower-cased and
+    split into pieces here, and the library's merges give the ids of each piece, once per piece; words of
+    other texts that hold more than such letters go to the library whole.
     """
 
     def __init__(self, path: str):
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._library = Tokenizer.from_file(path)
         self._split = regex.compile(_PIECE).findall
-        between = self._library.encode(_BETWEEN, add_special_tokens=False).ids
-        self._between = between[0] if len(between) == 1 else None
+        # The same merges for pieces that are split and lower-cased already, in the letters that stand
+        # for their bytes. No such letter is a space, so many go in one text.
+        self._merger = Tokenizer(self._library.model)
+        self._merger.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self._letters = {b: c for b, c in enumerate(byte_letters()) if b != 32}
         self._forget()
 
     def _forget(self) -> None:
-        self._forget_words()
         self._pieces: dict[str, int] = {}
-        self._piece_ids = _Ragged("u4")
-
-    def _forget_words(self) -> None:
-        self._words: dict[bytes, int] = {}
-        self._word_pieces = _Ragged("i4")
-
-    def _parts(self, word: bytes) -> list[str]:
-        text = word.decode()
-        if "<|" in text or _BETWEEN in text or (not word.isascii() and max(text) >= "\u0130"):
-            return [text]
-        low = text.lower()
-        if low.isalpha():
-            return [low]
-        if low[-1] in ".,!?;:" and low[:-1].isalpha():
-            return [low[:-1], low[-1]]
-        return self._split(low)
-
-    def _plain(self, piece: str) -> bool:
-        """Whether a piece keeps its ids among others with white space between."""
-        plain = piece.isascii() or max(piece) < "\u0130"
-        return plain and "<|" not in piece and _BETWEEN not in piece
-
-    def _encode_pieces(self, pieces: list[str]) -> None:
-        joined = [p for p in pieces if self._between is not None and self._plain(p)]
-        alone = [p for p in pieces if self._between is None or not self._plain(p)]
-        texts = [
-            f" {_BETWEEN} ".join(joined[i : i + _JOINED]) for i in range(0, len(joined), _JOINED)
-        ]
-        for e in self._library.encode_batch_fast(texts, add_special_tokens=False):
-            ids = np.array([*e.ids, self._between], np.int64)
-            ends = np.flatnonzero(ids == self._between)
-            self._piece_ids.extend(ids[ids != self._between], np.diff(ends, prepend=-1) - 1)
-        for e in self._library.encode_batch_fast(alone, add_special_tokens=False):
-            self._piece_ids.extend(np.array(e.ids, np.int64), np.array([len(e.ids)]))
+        self._ids, self._start = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self._count = np.zeros(0, np.int64)
+
+    def _parts(self, text: bytes) -> list[str]:
+        """Pieces of a text, and words that have to be encoded whole."""
+        decoded = text.decode()
+        if not _NOT_LATIN.search(decoded):
+            return _LATIN_PIECE.findall(decoded.lower())
+        out: list[str] = []
+        for word in text.split():
+            whole = word.decode()
+            if _NOT_LATIN.search(whole):
+                out.append(whole)
+            else:
+                out.extend(self._split(whole.lower()))
+        return out
+
+    def _learn(self, pieces: list[str]) -> None:
+        plain = [p for p in pieces if not _NOT_LATIN.search(p)]
+        alone = [p for p in pieces if _NOT_LATIN.search(p)]
+        ids, counts = [self._ids], [np.zeros(0, np.int64)]
+        for at in range(0, len(plain), _JOINED):
+            some = plain[at : at + _JOINED]
+            joined = " ".join(some).encode().decode("latin-1").translate(self._letters)
+            e = self._merger.encode(joined, add_special_tokens=False)
+            ids.append(np.array(e.ids, np.uint32))
+            counts.append(np.bincount(np.array(e.word_ids, np.int64), minlength=len(some)))
+        for at in range(0, len(alone), _JOINED):
+            some = alone[at : at + _JOINED]
+            for e in self._library.encode_batch_fast(some, add_special_tokens=False):
+                ids.append(np.array(e.ids, np.uint32))
+                counts.append(np.array([len(e.ids)]))
         first = len(self._pieces)
-        self._pieces.update(zip([*joined, *alone], range(first, first + len(pieces)), strict=True))
-
-    def _learn(self, words: list[bytes]) -> None:
-        parts = [self._parts(w) for w in words]
-        known = self._pieces
-        new = dict.fromkeys(p for own in parts for p in own if p not in known)
-        self._encode_pieces(list(new))
-        numbers = map(self._pieces.__getitem__, chain.from_iterable(parts))
-        counts = np.fromiter(map(len, parts), np.int64, len(parts))
-        flat = np.fromiter(numbers, np.int64, int(counts.sum()))
-        first = len(self._word_pieces)
-        self._word_pieces.extend(flat, counts)
-        self._words.update(zip(words, range(first, first + len(words)), strict=True))
+        self._pieces.update(zip([*plain, *alone], range(first, first + len(pieces)), strict=True))
+        self._ids = np.concatenate(ids)
+        self._count = np.concatenate([self._count, *counts])
+        self._start = np.cumsum(self._count) - self._count
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each text has."""
-        split = [t.split() for t in texts]
-        unknown = set().union(*split).difference(self._words)
-        if self._words and len(self._words) + len(unknown) > _REMEMBERED_WORDS:
-            self._forget_words()
-            unknown = set().union(*split)
-        if len(self._pieces) > _REMEMBERED_PIECES:
+        parts = [self._parts(t) for t in texts]
+        unknown = set().union(*parts).difference(self._pieces)
+        if self._pieces and len(self._pieces) + len(unknown) > _REMEMBERED:
             self._forget()
-            unknown = set().union(*split)
+            unknown = set().union(*parts)
         if unknown:
             self._learn(list(unknown))
-        sizes = np.fromiter(map(len, split), np.int64, len(split))
-        numbers = map(self._words.__getitem__, chain.from_iterable(split))
-        words = np.fromiter(numbers, np.int64, int(sizes.sum()))
-        pieces, by_word = self._word_pieces.gather(words)
-        ids, by_piece = self._piece_ids.gather(pieces)
-        ends = np.concatenate([[0], np.cumsum(by_piece)])
-        word_ends = np.concatenate([[0], np.cumsum(by_word)])
-        text_ends = np.concatenate([[0], np.cumsum(sizes)])
-        return ids, np.diff(ends[word_ends[text_ends]])
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        numbers = map(self._pieces.__getitem__, chain.from_iterable(parts))
+        pieces = np.fromiter(numbers, np.int64, int(sizes.sum()))
+        count = self._count[pieces]
+        ids = self._ids[ragged(self._start[pieces], count)]
+        ends = np.concatenate([[0], np.cumsum(count)])
+        return ids, np.diff(ends[np.concatenate([[0], np.cumsum(sizes)])])
 
 
 _made: dict[str, WordTokenizer] = {}

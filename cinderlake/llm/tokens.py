@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cinderlake.llm.common import blocks_of, text_bytes
+from cinderlake.llm.common import blocks_of, byte_letters, text_bytes
 
 #: Fixed value: the pattern that splits text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -29,20 +29,11 @@ _REMEMBERED = 500_000
 _PIECES_AT_ONCE = 500_000
 
 
-def _byte_letters() -> list[str]:
-    """The letter that stands for each byte in such vocabularies: itself if it can be seen."""
-    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    letters = {b: chr(b) for b in seen}
-    hidden = (b for b in range(256) if b not in letters)
-    letters.update({b: chr(256 + i) for i, b in enumerate(hidden)})
-    return [letters[b] for b in range(256)]
-
-
 class ArrayMerger:
     """Counts the symbols that are left of byte sequences when all merges are done."""
 
     def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]]):
-        self._byte_ids = np.array([vocabulary[c] for c in _byte_letters()], np.int64)
+        self._byte_ids = np.array([vocabulary[c] for c in byte_letters()], np.int64)
         made = {}
         for rank, (a, b) in enumerate(merges):
             # Merging all places of a rank at once is right if no merge makes a lower rank.
