@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 LOWER_ASCII = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 # What runs between two Arrow batches of one task may hold so many bytes of text at once.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+_ROWS_AT_ONCE = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,9 +37,11 @@ def id_crc(name: str = "doc_id") -> Column:
 
 
 def rows_of(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple]:
-    """Rows of the named columns, as Python values, one batch at a time."""
+    """Rows of the named columns, as Python values, a part of a batch at a time."""
     for batch in batches:
-        yield from zip(*(batch.column(n).to_pylist() for n in names), strict=True)
+        for at in range(0, len(batch), _ROWS_AT_ONCE):
+            part = batch.slice(at, _ROWS_AT_ONCE)
+            yield from zip(*(part.column(n).to_pylist() for n in names), strict=True)
 
 
 def blocks_of(

@@ -33,7 +33,7 @@ from cinderlake.llm.common import blocks_of, byte_letters, ragged, text_bytes
 TIERS = (512, 1024, 2048, 4096)
 END_ID = 2
 STEP_WINDOWS = 16
-_BLOCK_BYTES = 4 << 20
+_BLOCK_BYTES = 2 << 20
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -211,7 +211,7 @@ _LATIN_PIECE = re.compile(
     f"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}\t-\r \x85\xa0]+"
 )
 _NOT_LATIN = re.compile("[\u0130-\U0010ffff]|<\\|")
-_REMEMBERED = 600_000
+_REMEMBERED = 400_000
 _JOINED = 1000
 
 
