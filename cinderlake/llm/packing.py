@@ -242,8 +242,8 @@ class WordTokenizer:
         self._ids, self._start = np.zeros(0, np.uint32), np.zeros(0, np.int64)
         self._count = np.zeros(0, np.int64)
 
-    def _parts(self, text: bytes) -> list[str]:
-        """Pieces of a text, and words that have to be encoded whole."""
+    def _parts(self, text: bytes, whole_words: set[str]) -> list[str]:
+        """Pieces of a text, and words that have to be encoded whole, which join ``whole_words``."""
         decoded = text.decode()
         if not _NOT_LATIN.search(decoded):
             return _LATIN_PIECE.findall(decoded.lower())
@@ -252,13 +252,14 @@ class WordTokenizer:
             whole = word.decode()
             if _NOT_LATIN.search(whole):
                 out.append(whole)
+                whole_words.add(whole)
             else:
                 out.extend(self._split(whole.lower()))
         return out
 
-    def _learn(self, pieces: list[str]) -> None:
-        plain = [p for p in pieces if not _NOT_LATIN.search(p)]
-        alone = [p for p in pieces if _NOT_LATIN.search(p)]
+    def _learn(self, pieces: set[str], whole_words: set[str]) -> None:
+        plain = list(pieces - whole_words)
+        alone = list(pieces & whole_words)
         ids, counts = [self._ids], [np.zeros(0, np.int64)]
         for at in range(0, len(plain), _JOINED):
             some = plain[at : at + _JOINED]
@@ -279,13 +280,14 @@ class WordTokenizer:
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each text has."""
-        parts = [self._parts(t) for t in texts]
+        whole_words: set[str] = set()
+        parts = [self._parts(t, whole_words) for t in texts]
         unknown = set().union(*parts).difference(self._pieces)
         if self._pieces and len(self._pieces) + len(unknown) > _REMEMBERED:
             self._forget()
             unknown = set().union(*parts)
         if unknown:
-            self._learn(list(unknown))
+            self._learn(unknown, whole_words)
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))
         numbers = map(self._pieces.__getitem__, chain.from_iterable(parts))
         pieces = np.fromiter(numbers, np.int64, int(sizes.sum()))
