@@ -111,6 +111,19 @@ def _folded(bitmaps: list[bytes], words: int) -> np.ndarray:
     return out
 
 
+def _joined_labels(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Labels, each the smallest row of its component, after joining rows ``x`` with rows ``y``."""
+    while True:
+        a, b = label[x], label[y]
+        apart = a != b
+        if not apart.any():
+            return label
+        # Labels are roots here, so hanging a root below another takes along all its rows.
+        np.minimum.at(label, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
+        while (label[label] != label).any():
+            label = label[label]
+
+
 def connect_holders(
     group: np.ndarray, own: np.ndarray, mixed: np.ndarray, node: np.ndarray, size: np.ndarray,
     bitmaps: list[bytes], num: int, den: int,
@@ -150,14 +163,7 @@ def connect_holders(
                     size[x] + size[y]
                 )
                 x, y = x[near], y[near]
-                while len(x):
-                    low = np.minimum(label[x], label[y])
-                    if (label[x] == low).all() and (label[y] == low).all():
-                        break
-                    np.minimum.at(label, x, low)
-                    np.minimum.at(label, y, low)
-                    # Follow labels to their roots, so that chains do not take many rounds.
-                    label = label[label]
+                label = _joined_labels(label, x, y)
     joined = np.flatnonzero(label != np.arange(rows))
     return node[joined], node[label[joined]]
 

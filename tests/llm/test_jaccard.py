@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from cinderlake.llm import jaccard
 from cinderlake.llm.jaccard import jaccard_components, linking_pairs
 
 
@@ -39,6 +40,31 @@ def test_tree_finds_all_components(sets, threshold):
     assert roots(len(sets), got) == roots(len(sets), brute(sets, *threshold))
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.frozensets(st.integers(0, 400), min_size=100, max_size=300), unique=True,
+                min_size=2, max_size=12), st.integers(0, 6), st.randoms())
+def test_holders_stay_connected_however_pairs_are_cut(bases, edits, rng):
+    """Sets that link are connected, with one pair at a time and bitmaps of several widths."""
+    sets = []
+    for base in bases:
+        for _ in range(4):
+            gone = set(rng.sample(sorted(base), min(edits, len(base) - 1)))
+            sets.append(base - gone)
+    arrays = [np.sort(np.array(sorted(s), np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for s in sets]
+    rows = np.arange(len(sets))
+    zero = np.zeros(len(sets), np.int64)
+    held, jaccard._PAIRS_AT_ONCE = jaccard._PAIRS_AT_ONCE, 1
+    try:
+        a, b = jaccard.connect_holders(
+            zero, zero, zero > 0, rows, np.array([len(x) for x in arrays]),
+            [jaccard.bitmap(x) for x in arrays], 80, 100,
+        )
+    finally:
+        jaccard._PAIRS_AT_ONCE = held
+    got = roots(len(sets), list(zip(a.tolist(), b.tolist(), strict=True)))
+    assert all(got[i] == got[j] for i, j in brute(sets, 80, 100))
+
+
 def shingles(text, n):
     w = (text or "").lower().split()
     if not w:
