@@ -133,13 +133,15 @@ class NgramTrie:
             level, pointers = self._sequences[2 * k : 2 * k + 2]
             wanted = place * self._words + grams[:, k]
             # The smallest successor that is not below the wanted one, within its context.
-            low, high = pointers[place], pointers[place + 1]
-            end = high
-            while (open_ := low < high).any():
-                middle = (low + high) // 2
-                below = open_ & (level[np.where(open_, middle, 0)] < wanted)
-                low = np.where(below, middle + 1, low)
-                high = np.where(open_ & ~below, middle, high)
+            low, high = pointers[place].copy(), pointers[place + 1].copy()
+            end = high.copy()
+            going = np.flatnonzero(low < high)
+            while len(going):
+                middle = (low[going] + high[going]) // 2
+                below = level[middle] < wanted[going]
+                low[going[below]] = middle[below] + 1
+                high[going[~below]] = middle[~below]
+                going = going[low[going] < high[going]]
             found = low < end
             found &= level[np.where(found, low, 0)] == wanted
             there &= found

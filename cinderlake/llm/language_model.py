@@ -36,7 +36,7 @@ from cinderlake.workspace import materialize
 ORDER = 2
 STRENGTH = 64.0
 DISCOUNT = 0.75
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 2_000_000
 _BATCH_BYTES = 16 << 20
 _LOWEST = -24.0
 _STEP = -_LOWEST / 65535
@@ -252,24 +252,22 @@ def _answer_grams(order: int, strength: float, last: bool):
         distinct, first = np.unique(rank, return_index=True)
         total = np.zeros(len(distinct), np.int64)
         np.add.at(total, rank, counts)
+        grams, contexts, lower = grams[first], contexts[first], lower[first]
         smoothed = strength * 10.0 ** from_codes(lower)
         stored = total > 0
-        at = first[stored]
-        seen = np.log10((total[stored] + smoothed[at]) / (contexts[at] + strength))
-        trie = NgramTrie(grams[at], to_codes(seen), len(keys))
-        held = total[stored]
+        seen = np.log10((total[stored] + smoothed[stored]) / (contexts[stored] + strength))
+        trie = NgramTrie(grams[stored], to_codes(seen), len(keys))
+        # All batches' n-grams are looked up once each, in order.
+        place = trie.find(grams)
+        there = place >= 0
+        codes = to_codes(np.log10(smoothed / (contexts + strength)))
+        codes[there] = trie.codes(place[there])
         payloads, start = [], 0
         for a in asked:
             stop = start + len(a[1])
-            place = trie.find(grams[start:stop])
-            backed_off = np.log10(smoothed[start:stop] / (contexts[start:stop] + strength))
-            there = place >= 0
-            codes = to_codes(backed_off)
-            codes[there] = trie.codes(place[there])
-            found = np.zeros(len(place), np.int64)
-            found[there] = held[place[there]]
+            own = rank[start:stop]
             # The counts are contexts of the next level; the last one needs none.
-            payloads.append(_pack(codes, found if not last else found[:0]))
+            payloads.append(_pack(codes[own], total[own] if not last else total[:0]))
             start = stop
         return _rows(
             {
