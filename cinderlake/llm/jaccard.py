@@ -50,7 +50,7 @@ FAMILY_SHINGLES = 500_000
 HOLDERS = 4096
 # Bound of what steers the order of shingles.
 COMMON_SHINGLES = 1 << 17
-_COMMON_IN_BATCH = 4
+_COMMON_IN_BATCH = 3
 _CELLS = 1 << 23
 _WALKERS = 64
 _PAIRS_AT_ONCE = 1 << 19
@@ -86,15 +86,17 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint64).view(np.int64)
 
 
-def bitmap(shingles: np.ndarray) -> bytes:
+def bitmap(shingles: np.ndarray, num: int, den: int) -> bytes:
     """One bit per residue of the hashes: whether an odd number of shingles has it.
 
-    As many bits as shingles, to a power of two from 128 to 8192; a longer bitmap folds to a
-    shorter one.
+    Four times as many bits as shingles in which sets of this size may differ and still link, so that the
+    bitmaps of unrelated sets differ in about twice as many; a power of two from 128 to
+    8192. A longer bitmap folds to a shorter one.
     """
     if not len(shingles):
         return b""
-    width = min(max(128, 1 << (len(shingles) - 1).bit_length()), 8192)
+    wanted = 8 * len(shingles) * (den - num) // (den + num)
+    width = min(max(128, 1 << wanted.bit_length()), 8192)
     place = ((shingles >> np.uint64(20)) & np.uint64(width - 1)).astype(np.int64)
     odd = (np.bincount(place, minlength=width) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").tobytes()
@@ -168,7 +170,7 @@ def connect_holders(
     return node[joined], node[label[joined]]
 
 
-def _signatures(docs: DataFrame, n: int) -> DataFrame:
+def _signatures(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """A row per document (id, n_shingles, set_key, node), and rows (token, seen) of common shingles."""
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()),
@@ -196,7 +198,7 @@ def _signatures(docs: DataFrame, n: int) -> DataFrame:
                     pa.array([len(s) for s in sets] + none * c, pa.int64()),
                     pa.array(keys + none * c, pa.binary()),
                     pa.array(nodes + none * c, pa.int64()),
-                    pa.array([bitmap(s) for s in sets] + none * c, pa.binary()),
+                    pa.array([bitmap(s, num, den) for s in sets] + none * c, pa.binary()),
                     pa.array(none * d + tokens.tolist(), pa.int64()),
                     pa.array(none * d + seen.tolist(), pa.int64()),
                 ],
@@ -526,7 +528,7 @@ def jaccard_components(
     Documents link when ``den * intersection >= num * union`` of their sets of ``n``-word
     shingles; component_id is the smallest doc_id reachable by links.
     """
-    signatures = materialize(_signatures(docs, n), "signatures")
+    signatures = materialize(_signatures(docs, n, num, den), "signatures")
     each = signatures.where("token IS NULL").select("doc_id", "n_shingles", "set_key")
     order = _order(signatures)
     sets = signatures.where("doc_id IS NOT NULL AND set_key IS NOT NULL").groupBy("set_key").agg(

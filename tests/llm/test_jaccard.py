@@ -57,7 +57,7 @@ def test_holders_stay_connected_however_pairs_are_cut(bases, edits, rng):
     try:
         a, b = jaccard.connect_holders(
             zero, zero, zero > 0, rows, np.array([len(x) for x in arrays]),
-            [jaccard.bitmap(x) for x in arrays], 80, 100,
+            [jaccard.bitmap(x, 80, 100) for x in arrays], 80, 100,
         )
     finally:
         jaccard._PAIRS_AT_ONCE = held
