@@ -3,14 +3,14 @@
 Every term (a word in lower case, or its shape: all capitals, capitalised, plain, digits,
 or the run of signs itself) has a sparse random index vector that follows from its hash bucket. A term's
 word vector is the sum of the index vectors around its occurrences, gathered by Spark over
-the labelled sample, made unit length, plus its own index vector. A document is the mean over its
+all documents, labelled or not, made unit length, plus its own index vector. A document is the mean over its
 words and the mean over its shapes. A network of two layers, trained in numpy on the
 pooled vectors of the sample, gives a logit, and a temperature fitted on
 rows kept out of training makes it a probability.
 
-The sample is bounded: at most SAMPLE labelled rows, those with the smallest hashes of their
-ids. All that reaches the driver is bounded by SAMPLE, BUCKETS and DIM. Scores depend on the text
-alone.
+The sample, for the network and the temperature only, is bounded: at most SAMPLE labelled rows, those
+with the smallest hashes of their ids. All that reaches the driver is bounded by SAMPLE, BUCKETS
+and DIM. Under one model, scores depend on the text alone.
 
 Defined results: a NULL or empty text is a document without terms and gets the score of the zero
 vector; labels that are NULL or belong to no document are not used; of several labels of one
@@ -40,7 +40,8 @@ NONZERO = 6
 REACH = 2
 HIDDEN = 24
 SAMPLE = 10_000
-_RANGE = 1 << 12
+# Buckets whose sums are added up together: 8 kB from each task.
+_RANGE = 1 << 5
 _TERMS_AT_ONCE = 100_000
 _TERM = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+")
 
@@ -87,12 +88,12 @@ def _pieces(terms: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield part // BUCKETS, part % BUCKETS
 
 
-def _context_sums(sample: DataFrame) -> np.ndarray:
-    """Sums of index vectors around each bucket's occurrences, over all of ``sample``."""
+def _context_sums(docs: DataFrame) -> np.ndarray:
+    """Sums of index vectors around each bucket's occurrences, over all of ``docs``."""
 
     def run(batches):
         index, known = index_vectors(), Interner(_word_and_shape)
-        sums = np.zeros((BUCKETS, DIM), np.float32)
+        sums = np.zeros((BUCKETS, DIM))
         for block in blocks_of(batches, lambda r: len(r[0]), "text", most=1 << 20):
             for (text,) in block:
                 for w, s in _pieces(_terms(text, known)):
@@ -102,11 +103,11 @@ def _context_sums(sample: DataFrame) -> np.ndarray:
                         around[d:] += own[:-d]
                         around[:-d] += own[d:]
                     for buckets in (w, s):
-                        order = np.argsort(buckets, kind="stable")
+                        order = np.argsort(buckets.astype(np.uint16), kind="stable")
                         keys, first = np.unique(buckets[order], return_index=True)
                         sums[keys] += np.add.reduceat(around[order], first, axis=0)
         parts = [i for i in range(0, BUCKETS, _RANGE) if sums[i : i + _RANGE].any()]
-        blobs = [sums[i : i + _RANGE].tobytes() for i in parts]
+        blobs = [sums[i : i + _RANGE].astype(np.float32).tobytes() for i in parts]
         yield pa.RecordBatch.from_arrays(
             [pa.array(parts, pa.int64()), pa.array(blobs, pa.binary())], names=["part", "sums"]
         )
@@ -119,7 +120,7 @@ def _context_sums(sample: DataFrame) -> np.ndarray:
             {"part": rows.column("part")[:1], "sums": [total.astype(np.float32).tobytes()]}
         )
 
-    partial = sample.select(text_bytes()).mapInArrow(run, "part long, sums binary")
+    partial = docs.select(text_bytes()).mapInArrow(run, "part long, sums binary")
     sums = np.zeros((BUCKETS, DIM), np.float32)
     for part, blob in partial.groupBy("part").applyInArrow(add, "part long, sums binary").collect():
         sums[part : part + _RANGE] = np.frombuffer(blob, np.float32).reshape(_RANGE, DIM)
@@ -224,7 +225,7 @@ def train_network(
 def fit(
     docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE
 ) -> tuple[np.ndarray, Network]:
-    """Word vectors and network, from at most ``sample`` rows of ``labels`` (doc_id, ``label``)."""
+    """Word vectors of all ``docs``; a network from at most ``sample`` rows of ``labels`` (doc_id, ``label``)."""
     chosen = (
         labels.select("doc_id", F.col(label).alias("label"))
         .dropna()
@@ -236,7 +237,7 @@ def fit(
     # No more than ``sample`` rows of two numbers are broadcast.
     texts = docs.select("doc_id", text_bytes()).join(F.broadcast(chosen), "doc_id")
     texts = texts.select("doc_id", "text", F.col("label").cast("double"))
-    sums = _context_sums(texts)
+    sums = _context_sums(docs)
     vectors = (_unit(sums) + _unit(index_vectors())).astype(np.float32)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 

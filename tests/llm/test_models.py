@@ -55,6 +55,25 @@ def test_one_label_kind_gives_its_share(spark, documents):
     assert len(scores) == 1 and scores.pop() > 0.99
 
 
+def test_word_vectors_learn_from_documents_without_labels(spark, documents):
+    far = spark.createDataFrame(
+        [(5000 + i, "zorp quix blen", 0.5) for i in range(3)], documents.schema
+    )
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id long, quality int")
+    vectors, _ = quality.fit(documents.union(far), labels)
+    index = quality.index_vectors()
+    zorp, quix, blen, plain = (
+        quality._bucket(kind, t)
+        for kind, t in [(b"w", b"zorp"), (b"w", b"quix"), (b"w", b"blen"), (b"s", b"x")]
+    )
+    around = index[quix] + index[blen] + 2 * index[plain]
+    expected = quality._unit(around[None]) + quality._unit(index[zorp][None])
+    assert vectors[zorp] == pytest.approx(expected[0], abs=1e-6)
+    # However the documents are dealt to tasks, the sums are the same.
+    again, _ = quality.fit(documents.union(far).repartition(5), labels)
+    assert np.array_equal(vectors, again)
+
+
 @pytest.fixture(scope="module")
 def mixed(spark):
     rng = random.Random(3)
