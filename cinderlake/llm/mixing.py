@@ -12,13 +12,16 @@ tokens of each domain have the fitted totals as their expectation.
 
 Defined results: a NULL or empty text has no tokens and the domains' shares in the sample as posterior; labels
 that are NULL or no target domain are not used; a NULL doc_id is drawn as one id; rows that repeat
-an id share one draw; targets that no document can serve are met as nearly as least squares
-allow; an empty table gives an empty table; only doc_id and text of the documents, and doc_id and
+an id share one draw; without ``total_tokens`` every wanted domain that is not in ``ignored``
+limits the total, however rare, and one without any tokens is an error; with it, targets that the
+documents cannot serve are met as nearly as least squares allow; an empty table gives an empty table; only doc_id and text of the documents, and doc_id and
 the label of the labelled table, are looked at.
 """
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Collection
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,8 +38,9 @@ BUCKETS = 1 << 14
 EVIDENCE = 20.0
 STEPS = 120
 CLOSE = 1e-4
-# A domain with less than this part of the share it should have does not hold back the others.
-SCARCE = 0.01
+# A larger relative miss of a target is a warning in the log.
+_MISS = 0.01
+_log = logging.getLogger(__name__)
 
 
 def _members(docs: DataFrame, shares: np.ndarray, table: np.ndarray) -> DataFrame:
@@ -100,33 +104,57 @@ def _curvature(members: DataFrame, domains: int) -> np.ndarray:
     return np.array(members.agg(*cells).first(), float).reshape(domains, domains)
 
 
-def fit_rates(
-    members: DataFrame, weights: np.ndarray, total_tokens: float | None = None
-) -> tuple[list[np.ndarray], list[float]]:
-    """Gradients and momenta of the steps that bring the expected tokens to the targets.
+@dataclass(frozen=True)
+class Fitted:
+    """The steps that lead to the rates, and what they reach: tokens of each domain."""
 
-    Without ``total_tokens`` it is the most that rates up to 1 can serve, scarce domains aside.
+    gradients: list[np.ndarray]
+    momenta: list[float]
+    wanted: np.ndarray
+    reached: np.ndarray
+    converged: bool
+
+
+def solve_rates(
+    members: DataFrame, weights: np.ndarray, total_tokens: float | None = None,
+    ignored: Collection[int] = (),
+) -> Fitted:
+    """The steps that bring the expected tokens to the targets.
+
+    Without ``total_tokens`` it is the most that rates up to 1 can serve of all domains with a weight
+    but those whose places are ``ignored``.
     """
     domains = len(weights)
     have = _expected(members, domains, [], [])
-    served = (weights > 0) & (have > SCARCE * weights * have.sum())
-    if not served.any():
-        return [], []
-    total = total_tokens or float((have[served] / weights[served]).min())
+    if not have.sum():
+        return Fitted([], [], np.zeros(domains), have, True)
+    binding = (weights > 0) & ~np.isin(np.arange(domains), list(ignored))
+    total = total_tokens
+    if total is None:
+        if not binding.any():
+            raise ValueError("without total_tokens, a wanted domain that is not ignored is needed")
+        if not have[binding].all():
+            raise ValueError(
+                f"no tokens of the wanted domains {np.flatnonzero(binding & (have == 0)).tolist()}: "
+                "ignore them or give total_tokens"
+            )
+        total = float((have[binding] / weights[binding]).min())
     target = np.maximum(weights * total, 1e-3 * total)
     scaled = _curvature(members, domains) / np.outer(target, target)
     step = 1 / np.linalg.eigvalsh(scaled).max()
     gradients: list[np.ndarray] = []
     momenta: list[float] = []
     now = before = have
-    inertia, loss = 1.0, np.inf
-    for _ in range(STEPS):
+    inertia, loss, converged = 1.0, np.inf, False
+    for taken in range(STEPS + 1):
         last, loss = loss, float((((now - weights * total) / target) ** 2).sum())
         if loss > last:  # the momentum has gone past the minimum
             inertia = 1.0
         elif last - loss < 1e-7 * loss:
-            break
-        if np.abs((now - weights * total) / target)[served].max() < CLOSE:
+            converged = True
+        if np.abs((now - weights * total) / target)[binding].max(initial=0.0) < CLOSE:
+            converged = True
+        if converged or taken == STEPS:
             break
         following = (1 + np.sqrt(1 + 4 * inertia**2)) / 2
         momentum = (inertia - 1) / following
@@ -135,7 +163,30 @@ def fit_rates(
         momenta.append(momentum)
         before, now = now, _expected(members, domains, gradients, momenta)
         inertia = following
-    return gradients, momenta
+    return Fitted(gradients, momenta, weights * total, now, converged)
+
+
+def fit_rates(
+    members: DataFrame, weights: np.ndarray, total_tokens: float | None = None
+) -> tuple[list[np.ndarray], list[float]]:
+    """Gradients and momenta of ``solve_rates``."""
+    fitted = solve_rates(members, weights, total_tokens)
+    return fitted.gradients, fitted.momenta
+
+
+@dataclass(frozen=True)
+class Report:
+    """Tokens by domain as wanted and as expected under the rates, the domains that did not limit
+    the total, and whether the steps converged."""
+
+    wanted: dict[str, float]
+    reached: dict[str, float]
+    ignored: list[str]
+    converged: bool
+
+    def missed(self) -> list[str]:
+        """Domains whose tokens are more than 1% off what is wanted."""
+        return [d for d, w in self.wanted.items() if abs(self.reached[d] - w) > _MISS * w]
 
 
 @dataclass(frozen=True)
@@ -147,6 +198,7 @@ class Mixer:
     likely: np.ndarray
     gradients: list[np.ndarray]
     momenta: list[float]
+    report: Report
 
     def judge(self, ids: list[int | None], posterior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rates of documents, and whether each is kept."""
@@ -157,11 +209,12 @@ class Mixer:
 
 def fit(
     docs: DataFrame, labelled: DataFrame, label: str, targets: dict[str, float],
-    total_tokens: float | None = None,
+    total_tokens: float | None = None, ignored: Collection[str] = (),
 ) -> tuple[Mixer, DataFrame]:
     """The mixer for ``docs``, and their written posteriors.
 
-    ``labelled`` has doc_id and ``label``; ``targets`` gives each domain's weight.
+    ``labelled`` has doc_id and ``label``; ``targets`` gives each domain's weight. Domains in
+    ``ignored`` do not limit the total when ``total_tokens`` is not given.
     """
     classes = sorted(targets)
     weights = np.array([targets[c] for c in classes], float)
@@ -171,15 +224,24 @@ def fit(
         docs, sample, classes, bayes.word_features(BUCKETS), BUCKETS
     )
     members = materialize(_members(docs, shares, table), "members")
-    return Mixer(classes, shares, table, *fit_rates(members, weights, total_tokens)), members
+    places = [k for k, c in enumerate(classes) if c in ignored]
+    fitted = solve_rates(members, weights, total_tokens, places)
+    report = Report(
+        dict(zip(classes, fitted.wanted.tolist(), strict=True)),
+        dict(zip(classes, fitted.reached.tolist(), strict=True)),
+        [classes[k] for k in places], fitted.converged,
+    )
+    good = report.converged and not report.missed()
+    _log.log(logging.INFO if good else logging.WARNING, "mixing: %s", report)
+    return Mixer(classes, shares, table, fitted.gradients, fitted.momenta, report), members
 
 
 def mix(
     docs: DataFrame, labelled: DataFrame, label: str, targets: dict[str, float],
-    total_tokens: float | None = None,
+    total_tokens: float | None = None, ignored: Collection[str] = (),
 ) -> DataFrame:
     """doc_id, n_tokens, posterior (by domain name, sorted), rate, kept: a row per row of ``docs``."""
-    mixer, members = fit(docs, labelled, label, targets, total_tokens)
+    mixer, members = fit(docs, labelled, label, targets, total_tokens, ignored)
 
     def run(batches):
         for batch in batches:

@@ -128,6 +128,30 @@ def test_rates_against_plain_projected_gradient(spark):
     assert loss[0] <= 1.05 * loss[1] + 1e-6
 
 
+def test_a_rare_domain_limits_the_total(spark):
+    posterior = np.array([[1.0, 0.0]] * 1000 + [[0.0, 1.0]] * 2)
+    frame = spark.createDataFrame(
+        [(i, 100, p.tolist()) for i, p in enumerate(posterior)],
+        "doc_id long, n_tokens long, posterior array<double>",
+    ).repartition(3)
+    weights = np.array([0.5, 0.5])
+    kept = 100 * rates(posterior, *mixing.fit_rates(frame, weights)) @ posterior
+    assert kept == pytest.approx([200, 200], rel=0.01)
+    without = mixing.solve_rates(frame, weights, ignored=[1])
+    assert without.converged and without.wanted.tolist() == [100_000, 100_000]
+    assert without.reached == pytest.approx([100_000, 200], rel=0.01)
+    given = mixing.solve_rates(frame, weights, total_tokens=1000)
+    assert given.reached == pytest.approx([500, 200], rel=0.01)
+    with pytest.raises(ValueError, match="ignore them or give total_tokens"):
+        mixing.solve_rates(frame.where("doc_id < 1000"), weights)
+
+
+def test_mixer_reports_what_it_reaches(mixed):
+    mixer, _ = mixing.fit(mixed, mixed, "lang", {"en": 0.4, "de": 0.6})
+    assert mixer.report.converged and not mixer.report.missed() and not mixer.report.ignored
+    assert mixer.report.reached == pytest.approx(mixer.report.wanted, rel=0.01)
+
+
 def test_mixing_edges(spark, mixed):
     empty = mixed.limit(0)
     assert mixing.mix(empty, empty, "lang", {"en": 1.0}).collect() == []
