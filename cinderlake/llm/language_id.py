@@ -8,12 +8,11 @@ text posteriors say how often each value goes with each language. The host's pri
 mean posterior of its other pages, leaning on the prior of its domain, which leans on that
 of all pages, so small hosts borrow from their domain.
 
-Values are cut to short codes (at most three letters, else "?"), so the tables that are broadcast
-have at most 18,279 rows; hosts are joined by shuffle, and adaptive execution splits a host
-that holds many pages.
+Declarations and suffixes are kept whole. Their tables are broadcast while they are small and else
+joined by shuffle as hosts are; adaptive execution splits a value or host that holds many pages.
 
 Defined results: a NULL or empty page has no text evidence; a NULL or odd address has host "" and
-suffix "?"; a NULL page_id stays NULL; repeated rows are judged each and count each;
+suffix "?", and so has a last label without a letter; a NULL page_id stays NULL; repeated rows are judged each and count each;
 without labelled documents there is no language to choose and it is NULL; an empty table
 gives an empty table; only page_id, url and html are looked at.
 """
@@ -29,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinderlake.llm import bayes
-from cinderlake.llm.common import blocks_of, text_bytes
+from cinderlake.llm.common import BROADCAST_ROWS, blocks_of, text_bytes
 from cinderlake.workspace import materialize
 
 BUCKETS = 1 << 15
@@ -51,15 +50,12 @@ def visible_text(page: bytes) -> bytes:
 
 def declared_language(page: bytes) -> str:
     found = _DECLARED.search(page)
-    return _code(found.group(1).decode().lower()) if found else ""
+    return found.group(1).decode().lower() if found else ""
 
 
-def _code(value: str) -> str:
-    return value if len(value) <= 3 and value.isascii() and value.isalpha() else "?"
-
-
-def _short(value: Column) -> Column:
-    return F.when(value.rlike("^[a-z]{1,3}$"), value).otherwise(F.lit("?"))
+def _suffix(host: Column) -> Column:
+    last = F.substring_index(host, ".", -1)
+    return F.when(last.rlike(r"\p{L}"), last).otherwise(F.lit("?"))
 
 
 def _address(url: Column) -> dict[str, Column]:
@@ -72,7 +68,7 @@ def _address(url: Column) -> dict[str, Column]:
     return {
         "host": host,
         "domain": F.when(domain == "", host).otherwise(domain),
-        "suffix": _short(F.substring_index(host, ".", -1)),
+        "suffix": _suffix(host),
         "path_code": path,
     }
 
@@ -149,8 +145,9 @@ def identify(pages: DataFrame, docs: DataFrame, labels: DataFrame, label: str =
             ).alias(f"{column}{k}")
             for k in every
         ]
-        # At most 26 + 26^2 + 26^3 + 2 values, so the table is small whatever the data.
-        scored = scored.join(F.broadcast(counted.select(column, *logs)), column)
+        said = materialize(counted.select(column, *logs), f"{column}-evidence")
+        few = said.count() * len(languages) <= BROADCAST_ROWS
+        scored = scored.join(F.broadcast(said) if few else said, column)
 
     hosts = read.groupBy("domain", "host").agg(F.count("*").alias("host_n"), *sums)
     domains = hosts.groupBy("domain").agg(

@@ -191,6 +191,28 @@ def test_language_of_pages(spark, mixed):
     assert {r.language for r in nothing.collect()} == {None}
 
 
+def test_long_suffixes_and_codes_are_evidence(spark, mixed, monkeypatch):
+    rng = random.Random(4)
+    rows = []
+    for i in range(120):
+        german = i % 2 == 0
+        suffix = ("berlin", "xn--p1ai")[i // 2 % 2] if german else ("online", "info")[i // 2 % 2]
+        rows.append((i, f"http://h{i}.{suffix}/", page(rng, OTHER if german else GOOD,
+                                                      "deutsch" if german else "english")))
+    rows += [(500, "http://x.berlin/", ""), (501, "http://y.online/", ""),
+             (502, "http://z.xn--p1ai/", ""), (503, "http://w.info/", ""),
+             (504, None, '<html lang="deutsch">'), (505, None, '<html lang="english">')]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    expected = {500: "de", 501: "en", 502: "de", 503: "en", 504: "de", 505: "en"}
+    for most in (200_000, 0):  # by broadcast and by shuffle
+        monkeypatch.setattr(language_id, "BROADCAST_ROWS", most, raising=False)
+        got = language_id.identify(pages, mixed, mixed).collect()
+        assert len(got) == len(rows)
+        said = {r.page_id: r.language for r in got}
+        assert {i: said[i] for i in expected} == expected
+    assert language_id.declared_language(b"<html lang=deutsch>") == "deutsch"
+
+
 def test_visible_text():
     html = b"<html lang='fr'><style>p{}</style><p>l&eacute;ger<br>a &lt; b</p><!-- no --></html>"
     assert language_id.visible_text(html).decode().split() == ["léger", "a", "<", "b"]
