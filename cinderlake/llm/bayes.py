@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinderlake.llm.common import Interner, text_bytes, words
+from cinderlake.workspace import materialize
 
 SAMPLE = 20_000
 MOST_CLASSES = 256
@@ -45,11 +46,47 @@ def trigram_features(buckets: int) -> Callable[[], Callable[[bytes], np.ndarray]
     return make
 
 
-def labelled_sample(labels: DataFrame, label: str, most: int = SAMPLE) -> DataFrame:
-    """doc_id and class of at most ``most`` documents, those with the smallest hashes of their ids."""
+def _per_class(counts: Sequence[int], most: int) -> int:
+    """The largest bound on every class under which the classes together have at most ``most`` rows."""
+    left, bound = most, 0
+    for i, n in enumerate(sorted(counts)):
+        bound = left // (len(counts) - i)
+        if n > bound:
+            return bound
+        left -= n
+    return max(bound, *counts) if counts else 0
+
+
+def labelled_sample(
+    labels: DataFrame, label: str, most: int = SAMPLE, classes: Sequence[str] | None = None
+) -> DataFrame:
+    """doc_id, class and the number of documents of the class, of at most ``most`` documents.
+
+    Without ``classes`` they are all labels that occur; more than MOST_CLASSES of them are an error. A class
+    with no more rows than its part of ``most`` is in with all of them, and what it leaves goes to
+    the others, which have about equal parts, those with the smallest hashes of their ids.
+    """
     known = labels.select("doc_id", F.col(label).cast("string").alias("class")).dropna()
     one = known.groupBy("doc_id").agg(F.max("class").alias("class"))
-    return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    if classes is not None:
+        one = one.where(F.col("class").isin(list(classes)))
+    one = materialize(one, "labelled")
+    allowed = min(most, MOST_CLASSES if classes is None else len(classes))
+    found = one.groupBy("class").count().limit(allowed + 1).collect()
+    if len(found) > allowed:
+        raise ValueError(f"more than {allowed} classes in {label}")
+    bound = _per_class([r["count"] for r in found], most)
+    sizes = F.broadcast(
+        labels.sparkSession.createDataFrame(
+            [(r["class"], r["count"]) for r in found], "class string, of_class long"
+        )
+    )
+    # Hashes are even: in the order of hash times size, classes of any size have equal parts.
+    order = F.xxhash64("doc_id")
+    even = (order.cast("double") + 2.0**63) * F.col("of_class")
+    turn = F.when(F.col("of_class") > bound, even).otherwise(F.lit(-1.0))
+    first = one.join(sizes, "class").orderBy(turn, order, "doc_id").limit(most)
+    return first.select("doc_id", "class", "of_class")
 
 
 def fit(
@@ -57,14 +94,13 @@ def fit(
 ) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Classes, log shares of the classes, log-likelihoods [buckets, classes].
 
-    ``sample`` is what ``labelled_sample`` gives, so it can be broadcast. Without ``classes`` they
-    are the labels that occur, at most MOST_CLASSES of them. What reaches the driver is a
-    table of ``buckets`` by classes.
+    ``sample`` is what ``labelled_sample`` gives, so it can be broadcast, and it has all classes.
+    Without ``classes`` they are the labels that occur. What reaches the driver is a table of
+    ``buckets`` by classes. The shares are those of all labels, not of the sample.
     """
-    if classes is None:
-        found = sample.groupBy("class").count().orderBy(F.desc("count"), "class")
-        classes = sorted(r["class"] for r in found.limit(MOST_CLASSES).collect())
-    classes = list(classes)
+    sizes = sample.groupBy("class").agg(F.count("*").alias("n"), F.max("of_class").alias("all"))
+    times = {r["class"]: r["all"] / r["n"] for r in sizes.collect()}
+    classes = sorted(times) if classes is None else list(classes)
     place = {c: i for i, c in enumerate(classes)}
     texts = docs.select("doc_id", text_bytes()).join(F.broadcast(sample), "doc_id")
 
@@ -106,7 +142,7 @@ def fit(
     counts = np.zeros((len(classes), buckets))
     for k, blob, n in partial.groupBy("class").applyInArrow(add, schema).collect():
         counts[k] = np.frombuffer(blob, np.int64)
-        shares[k] += n
+        shares[k] += n * times[classes[k]]
     # Each class leans on the counts of all, so that a feature it lacks is not impossible.
     all_ = (counts.sum(axis=0) + 1) / (counts.sum() + buckets)
     likely = (counts + 50 * all_) / (counts.sum(axis=1, keepdims=True) + 50)

@@ -219,7 +219,7 @@ def fit(
     classes = sorted(targets)
     weights = np.array([targets[c] for c in classes], float)
     weights = weights / weights.sum()
-    sample = materialize(bayes.labelled_sample(labelled, label), "sample")
+    sample = materialize(bayes.labelled_sample(labelled, label, classes=classes), "sample")
     classes, shares, table = bayes.fit(
         docs, sample, classes, bayes.word_features(BUCKETS), BUCKETS
     )

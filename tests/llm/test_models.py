@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from cinderlake.llm import language_id, mixing, quality
+from cinderlake.llm import bayes, language_id, mixing, quality
 from cinderlake.llm.mixing import rates
 
 GOOD = "the of and reading water under house morning light".split()
@@ -213,6 +213,20 @@ def test_long_suffixes_and_codes_are_evidence(spark, mixed, monkeypatch):
     assert language_id.declared_language(b"<html lang=deutsch>") == "deutsch"
 
 
+def test_rare_classes_are_in_the_sample(spark, monkeypatch):
+    rows = [(i, "en" if i % 500 else "fr", "the water" if i % 500 else "eau") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)
+    sample = bayes.labelled_sample(docs, "lang", most=50)
+    got = [r["class"] for r in sample.collect()]
+    assert got.count("fr") == 4 and got.count("en") == 46
+    found, shares, _ = bayes.fit(docs, sample, None, bayes.word_features(64), 64)
+    assert found == ["en", "fr"]
+    assert np.exp(shares) == pytest.approx([1997 / 2002, 5 / 2002])
+    monkeypatch.setattr(bayes, "MOST_CLASSES", 1)
+    with pytest.raises(ValueError, match="more than 1 classes"):
+        bayes.labelled_sample(docs, "lang")
+
+
 def test_visible_text():
     html = b"<html lang='fr'><style>p{}</style><p>l&eacute;ger<br>a &lt; b</p><!-- no --></html>"
     assert language_id.visible_text(html).decode().split() == ["léger", "a", "<", "b"]
