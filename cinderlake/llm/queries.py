@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cinderlake.llm import (
     chat,
     dedup,
+    hard_negatives,
     jaccard,
     language_id,
     language_model,
@@ -17,7 +18,9 @@ from cinderlake.llm import (
     neardup,
     packing,
     quality,
+    substring,
     tokens,
+    whitening,
 )
 from cinderlake.llm.common import id_crc, table
 
@@ -122,6 +125,35 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on the first eight components of their covariance."""
+    whitened = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # A sum of squares beyond 64 bits stops the query; the operator has it in 38 digits.
+    fits = F.col("deviation") <= F.lit(2**63 - 1).cast("decimal(38,0)")
+    long = F.when(fits, F.col("deviation").cast("long"))
+    long = F.when(~fits, F.raise_error(F.lit("deviation is beyond 64 bits"))).otherwise(long)
+    return whitened.withColumn("deviation", long)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings against those whose vec_id is divisible by 50."""
+    given = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(given.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents by passages of 50 words."""
+    kept = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    lengths = F.transform("spans", lambda s: s["last"] - s["first"])
+    return kept.select(
+        "doc_id",
+        "n_words",
+        F.aggregate(lengths, F.lit(0).cast("long"), lambda a, b: a + b).alias("n_removed"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
 _CHAT_SQL = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -152,6 +184,52 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
+_NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor, b.vec_id AS other, a.label = b.label AS same,
+    list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0
+), p AS (
+  SELECT * FROM s WHERE same AND anchor <> other
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5
+), n AS (
+  SELECT p.anchor, p.other AS positive, p.score AS positive_score, s.other, s.score,
+    row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY s.score DESC, s.other) AS k
+  FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same
+    AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+)
+SELECT anchor AS anchor_id, positive AS positive_id, k::INT AS rank, other AS negative_id,
+  positive_score, score AS negative_score
+FROM n WHERE k <= 3
+"""
+
+_REPEATS_SQL = r"""
+WITH t AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+    lambda w: w <> '') AS words
+  FROM documents
+), w AS (
+  SELECT doc_id, unnest(generate_series(1, len(words) - 49)) AS i, words FROM t
+), h AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY array_to_string(words[i:i + 49], ' ')) AS origin
+  FROM w
+), gone AS (
+  SELECT doc_id, list(DISTINCT j) AS places
+  FROM (SELECT doc_id, unnest(generate_series(i, i + 49)) AS j FROM h WHERE origin < doc_id)
+  GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(list_filter(words,
+    lambda x, k: places IS NULL OR NOT list_contains(places, k)), ' ')) AS kept_sha256
+FROM t LEFT JOIN gone USING (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_exact_dedup": op2_exact_dedup,
@@ -163,9 +241,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_mixing": op9_mixing,
     "op10_packing": op10_packing,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": _EXACT_SQL,
     "op7_chat_formatting": _CHAT_SQL,
+    "op12_hard_negatives": _NEGATIVES_SQL,
+    "op13_substring_dedup": _REPEATS_SQL,
 }
