@@ -331,3 +331,148 @@ _LOOKUP = """
     LEFT JOIN (SELECT * FROM customer WHERE c_nationkey <> 7) ON o_orderstatus <> 'F' AND o_custkey = c_custkey
     JOIN (SELECT o_orderpriority AS p, min(o_orderkey) AS priority_sk FROM orders GROUP BY 1) ON o_orderpriority = p"""
 ORACLE_SQL |= {"lookup_keys": _LOOKUP, "lookup_keys_hot": _LOOKUP}
+
+
+_REPEATED = ["l_orderkey", "l_partkey", "l_returnflag", "l_extendedprice"]
+
+
+def _ranked_repeats(field: str) -> str:
+    return f"""(
+        SELECT {field}, count(*) AS {field}_count,
+               row_number() OVER (ORDER BY count(*) DESC, {field}) AS place
+        FROM lineitem GROUP BY {field} HAVING count(*) > 1)"""
+
+
+_SIDE_BY_SIDE = f"SELECT * EXCLUDE (place) FROM {_ranked_repeats(_REPEATED[0])} " + " ".join(
+    f"FULL JOIN {_ranked_repeats(f)} USING (place)" for f in _REPEATED[1:]
+)
+
+_FAULTY = """
+    WITH given AS (
+        SELECT *, o_orderkey AS k,
+            CASE WHEN o_orderkey % 101 = 0 THEN '' ELSE CAST(o_orderkey AS VARCHAR) END AS key_text,
+            CASE WHEN o_orderkey % 7 = 0 THEN 'c' ELSE '' END || o_custkey AS customer_text,
+            CASE WHEN o_orderkey % 5 = 0 THEN 'NA' WHEN o_orderkey % 21 = 0 THEN 'much'
+                 ELSE CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) END AS price_text,
+            CASE WHEN o_orderkey % 17 = 0 THEN '1996-02-30 00:00:00'
+                 ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS date_text
+        FROM orders
+    ), lines AS (
+        SELECT *, concat_ws(',', key_text, customer_text, o_orderstatus, price_text, date_text,
+                            o_orderpriority) AS line,
+            k % 11 = 0 OR k % 13 = 0 AS torn
+        FROM given
+    ), faults AS (
+        SELECT k, CASE WHEN k % 11 = 0 THEN line || ',more'
+                       ELSE concat_ws(',', key_text, customer_text, o_orderstatus) END AS line,
+            CAST(NULL AS VARCHAR) AS column_name, CAST(NULL AS VARCHAR) AS "value",
+            'malformed line' AS reason
+        FROM lines WHERE torn
+        UNION ALL
+        SELECT k, line, 'o_orderkey', NULL, 'missing value' FROM lines WHERE NOT torn AND k % 101 = 0
+        UNION ALL
+        SELECT k, line, 'o_custkey', customer_text, 'not a bigint' FROM lines WHERE NOT torn AND k % 7 = 0
+        UNION ALL
+        SELECT k, line, 'o_totalprice', price_text, 'not a double' FROM lines
+        WHERE NOT torn AND price_text = 'much'
+        UNION ALL
+        SELECT k, line, 'o_orderdate', date_text, 'not a timestamp_ntz' FROM lines
+        WHERE NOT torn AND k % 17 = 0
+    )"""
+
+
+def _mart(name: str, place: str, label: str, number: str, value: str) -> str:
+    numbers = ["incident_count", "avg_alarms", "total_property_loss", "avg_personnel_response",
+               "percentage_fatalities"]
+    given = dict(zip(number.split(), value.split(";")))
+    columns = ", ".join(
+        f"{given.get(n, 'NULL')}::{'BIGINT' if n == 'incident_count' else 'DOUBLE'} AS {n}" for n in numbers
+    )
+    return f"""
+        SELECT '{name}' AS mart, {place} AS place, {label} AS label, {columns}
+        FROM days GROUP BY ALL"""
+
+
+_RESPONSE = "(sum(l_partkey + l_suppkey + l_linenumber)::DOUBLE / count(*))"
+_KILLED = (
+    "((count(*) FILTER (l_returnflag = 'R') + count(*) FILTER (l_linestatus = 'F'))::DOUBLE / count(*) * 100)"
+)
+_ALL_MARTS = "WITH days AS (SELECT * FROM lineitem WHERE l_shipdate = CAST(l_shipdate AS DATE))" + (
+    " UNION ALL ".join(
+        [
+            _mart("incidents_by_weekday", "isodow(l_shipdate)::INTEGER", "dayname(l_shipdate)",
+                  "incident_count", "count(*)"),
+            _mart("average_alarms_by_month", "month(l_shipdate)::INTEGER", "monthname(l_shipdate)",
+                  "avg_alarms", "(sum(l_quantity)::DOUBLE / count(*))"),
+            _mart("property_loss_by_quarter", "quarter(l_shipdate)::INTEGER",
+                  "['First', 'Second', 'Third', 'Fourth'][quarter(l_shipdate)]",
+                  "total_property_loss", "sum(CAST(l_extendedprice AS DECIMAL(18, 2)))"),
+            _mart("response_by_year", "year(l_shipdate)::INTEGER", "year(l_shipdate)::VARCHAR",
+                  "incident_count avg_personnel_response", f"count(*);{_RESPONSE}"),
+            _mart("fatality_rate_by_weekend", "(isodow(l_shipdate) > 5)::INTEGER",
+                  "(isodow(l_shipdate) > 5)::VARCHAR", "percentage_fatalities", _KILLED),
+        ]
+    )
+)
+
+
+def _permutation(value: str, count: str, seed: int, name: str) -> str:
+    """The permuted number of each row of ``numbered`` (value), for a power of two ``block`` up to ``count``."""
+    sql = f"""WITH size AS (
+        SELECT {count} AS n, CAST(floor(log2({count})) AS INTEGER) AS width
+    ), step0 AS (
+        SELECT numbered.*, {value} AS x, n, width, (1::BIGINT << width) AS block, width // 2 AS low
+        FROM numbered, size
+    )"""
+    for step in range(8):
+        given = "x & ((1::BIGINT << low) - 1)" if step % 2 else "x >> low"
+        free = "(block - 1) - ((1::BIGINT << low) - 1)" if step % 2 else "(1::BIGINT << low) - 1"
+        drawn = f"('0x' || substr(md5('{seed}|{name}|{step}|' || ({given})), 1, 15))::BIGINT"
+        turned = "(y + n // 3) % n" if step % 2 else "y"
+        sql += f""", step{step + 1} AS (
+        SELECT * EXCLUDE (x, y), {turned} AS x FROM (
+            SELECT *, CASE WHEN x < block THEN xor(x, {drawn} & ({free})) ELSE x END AS y FROM step{step}))"""
+    return sql
+
+
+ORACLE_SQL |= {
+    "repeats_laid_side_by_side": _SIDE_BY_SIDE,
+    "checked_rows": f"""{_FAULTY}
+        SELECT o_orderkey, o_custkey, o_orderstatus,
+               CASE WHEN k % 5 <> 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS DOUBLE) END AS o_totalprice,
+               o_orderdate, o_orderpriority
+        FROM lines WHERE k NOT IN (SELECT k FROM faults)""",
+    "rejected_rows": f"""{_FAULTY}
+        SELECT * EXCLUDE (k), (SELECT count(DISTINCT k) FROM faults) AS rejected_lines FROM faults""",
+    "marts_in_one_scan": _ALL_MARTS,
+    "marts_after_loads": _ALL_MARTS,
+    "top_days_after_loads": ORACLE_SQL["top5_days_avg"],
+    "bucketed_insert": """
+        SELECT *, 0::BIGINT AS gained_again FROM lineitem
+        WHERE l_shipdate < TIMESTAMP '1997-01-01'
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY ALL_COLUMNS) = 1
+        UNION ALL
+        SELECT *, 0 FROM lineitem l
+        WHERE NOT EXISTS (SELECT 1 FROM lineitem h WHERE h.l_shipdate < TIMESTAMP '1997-01-01'
+                          AND h.l_orderkey = l.l_orderkey AND h.l_linenumber = l.l_linenumber)
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY ALL_COLUMNS) = 1""".replace(
+        "ALL_COLUMNS",
+        "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate",
+    ),
+    "keys_without_collisions": _permutation("rn - 1", "(SELECT count(*) FROM orders)", 7, "id").replace(
+        "WITH size", "WITH numbered AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders), size", 1
+    )
+    + " SELECT o_orderkey, x + 1 + (SELECT max(o_orderkey) FROM orders) AS id FROM step8",
+    "streaming_insert": """
+        SELECT o_custkey AS customer, o_orderkey, o_orderdate FROM orders
+        WHERE o_orderstatus <> 'P' AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey = 5)
+        QUALIFY row_number() OVER (PARTITION BY o_custkey
+            ORDER BY (o_orderdate < TIMESTAMP '1996-01-01')::INTEGER, o_orderkey) = 1""",
+    "sql_functions": f"""
+        SELECT {_clean("p_name")} AS what, {_acronym("p_name")} AS short, count(*) AS things
+        FROM part GROUP BY ALL
+        UNION ALL
+        SELECT dayname(d), ['First', 'Second', 'Third', 'Fourth'][quarter(d)], count(o_orderkey)
+        FROM (SELECT CAST(unnest(generate_series(DATE '1992-01-01', DATE '1992-01-01' + 2556, INTERVAL 1 DAY)) AS DATE) AS d)
+        LEFT JOIN orders ON o_orderdate = d GROUP BY ALL""",
+}

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.incidents import incidents
+from cinderlake.functions.draws import with_permutation
+from cinderlake.functions.sql import register_functions
 from cinderlake.functions.text import clean_str, first_letter_acronym
 from cinderlake.operators.columns import (
     bind_columns,
@@ -32,10 +34,13 @@ from cinderlake.operators.quality import (
     find_repeated_values,
     max_values,
 )
-from cinderlake.plans import marts
+from cinderlake.operators.sideways import repeats_side_by_side
+from cinderlake.plans import daily, marts
 from cinderlake.plans.growth import ROW, grow_snapshot, new_incidents
 from cinderlake.plans.medallion import load_incidents, load_latest
 from cinderlake.schemas import UNIQUE_FIELDS, struct
+from cinderlake.sources.bucketed import BucketedTable
+from cinderlake.sources.rejects import read_checked
 from cinderlake.sources.snapshots import (
     latest_snapshot,
     next_snapshot_name,
@@ -45,8 +50,9 @@ from cinderlake.sources.snapshots import (
 )
 from cinderlake.sources.synthetic import synthetic_incidents
 from cinderlake.sources.warehouse import Warehouse, append_rows, create_table
+from cinderlake.streaming.keyed import insert_stream
 from cinderlake.streaming.snapshots import load_new_snapshots
-from cinderlake.workspace import new_folder
+from cinderlake.workspace import materialize, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -446,3 +452,168 @@ def grown_snapshot(spark, sf_dir):
     drawn = table(spark, sf_dir, "orders").count()
     name = grow_snapshot(spark, root, drawn, START, END, seed=7)
     return read_snapshot(spark, f"{root}/{name}", na_tokens=())
+
+
+# Faults, upkeep and large targets
+
+
+@query
+def repeats_laid_side_by_side(spark, sf_dir):
+    """Orders with several lines beside prices and clerks' flags that occur more than once."""
+    return repeats_side_by_side(
+        table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_partkey", "l_returnflag", "l_extendedprice"]
+    )
+
+
+_ORDER_LINE = struct(
+    "o_orderkey long\no_custkey long\no_orderstatus string\no_totalprice double\n"
+    "o_orderdate timestamp\no_orderpriority string"
+)
+
+
+def _faulty_orders(spark, sf_dir):
+    """All orders as a snapshot in which some lines are torn and some values do not fit."""
+    key = F.col("o_orderkey")
+    values = table(spark, sf_dir, "orders").select(
+        F.when(key % 101 == 0, "").otherwise(key.cast("string")).alias("o_orderkey"),
+        F.when(key % 7 == 0, F.concat(F.lit("c"), "o_custkey")).otherwise(F.col("o_custkey").cast("string")),
+        "o_orderstatus",
+        F.when(key % 5 == 0, "NA").when(key % 21 == 0, "much").otherwise(dollars("o_totalprice").cast("string")),
+        F.when(key % 17 == 0, "1996-02-30 00:00:00").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")),
+        "o_orderpriority",
+        key.alias("_key"),
+    )
+    whole = F.concat_ws(",", *[F.col(f"`{c}`") for c in values.columns[:-1]])
+    line = F.when(F.col("_key") % 11 == 0, F.concat(whole, F.lit(",more")))
+    line = line.when(F.col("_key") % 13 == 0, F.substring_index(whole, ",", 3)).otherwise(whole)
+    path = new_folder(spark, "snapshots") + "/faulty_orders.csv"
+    # A line is one value of a table whose only column is named by the header.
+    header = ",".join(f.name.upper() for f in _ORDER_LINE.fields)
+    values.select(line.alias(header)).write.csv(path, header=True, sep="\x01")
+    return read_checked(spark, path, _ORDER_LINE, required=["o_orderkey"])
+
+
+@query
+def checked_rows(spark, sf_dir):
+    """What is good of a snapshot with faults."""
+    return _faulty_orders(spark, sf_dir).rows
+
+
+@query
+def rejected_rows(spark, sf_dir):
+    """Every fault of the same snapshot, and how many lines are rejected."""
+    checked = _faulty_orders(spark, sf_dir)
+    return checked.rejects.drop("file").withColumn("rejected_lines", F.lit(checked.rejected_lines).cast("long"))
+
+
+_LINE_MEASURES = marts.Measures(
+    alarms="l_quantity",
+    loss="l_extendedprice",
+    personnel=("l_partkey", "l_suppkey", "l_linenumber"),
+    fatalities=("returned", "finished"),
+)
+
+
+def _measured_lines(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(
+        "l_shipdate",
+        "l_quantity",
+        dollars("l_extendedprice").alias("l_extendedprice"),
+        "l_partkey",
+        "l_suppkey",
+        "l_linenumber",
+        "l_returnflag",
+        (F.col("l_returnflag") == "R").cast("bigint").alias("returned"),
+        (F.col("l_linestatus") == "F").cast("bigint").alias("finished"),
+    )
+
+
+@query
+def marts_in_one_scan(spark, sf_dir):
+    lines = _measured_lines(spark, sf_dir)
+    found = marts.marts_in_one_scan(lines, _LINE_MEASURES, date="l_shipdate")
+    return found.withColumn("total_property_loss", F.col("total_property_loss").cast("double"))
+
+
+def _added_up(spark, sf_dir):
+    """Sums by day of three loads, the lines by return flag, each written by itself."""
+    lines = _measured_lines(spark, sf_dir)
+    path = new_folder(spark, "sums")
+    for flag in ("A", "N", "R"):
+        gained = daily.sums_by_day(lines.where(F.col("l_returnflag") == flag), _LINE_MEASURES, "l_shipdate")
+        gained.write.parquet(f"{path}/load_id={flag}")
+    return spark.read.schema(gained.schema).parquet(path)
+
+
+@query
+def marts_after_loads(spark, sf_dir):
+    """The same marts, put together from the sums of three loads."""
+    found = daily.grouped_marts(_added_up(spark, sf_dir))
+    return found.withColumn("total_property_loss", F.col("total_property_loss").cast("double"))
+
+
+@query
+def top_days_after_loads(spark, sf_dir):
+    return daily.top_days_by_alarms(_added_up(spark, sf_dir))
+
+
+@query
+def bucketed_insert(spark, sf_dir):
+    """Lines into a bucketed table: the older ones, then all, then all again."""
+    lines = table(spark, sf_dir, "lineitem")
+    path = new_folder(spark, "bucketed")
+    name = "lines_" + path.rsplit("-", 1)[1].split("/")[0]
+    target = BucketedTable(spark, name, path, lines.schema, ["l_orderkey", "l_linenumber"], 16)
+    target.create()
+    target.insert(lines.where("l_shipdate < TIMESTAMP_NTZ'1997-01-01'"))
+    gained = [target.insert(lines) for _ in range(2)]
+    return target.read().withColumn("gained_again", F.lit(gained[1]).cast("long"))
+
+
+@query
+def keys_without_collisions(spark, sf_dir):
+    """A number above the highest key for every order, each of them once."""
+    orders = assign_surrogate_keys(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], "n", after=-1)
+    orders = materialize(orders, "numbered")
+    count, highest = orders.agg(F.count("*"), F.max("o_orderkey")).first()
+    drawn = with_permutation(orders, "n", count, 7, ["id"])
+    return drawn.select("o_orderkey", (F.col("id") + F.lit(highest + 1)).alias("id"))
+
+
+@query
+def streaming_insert(spark, sf_dir):
+    """The first order of each customer out of a stream that is stopped and started again."""
+    orders = table(spark, sf_dir, "orders")
+    keyed = orders.select(
+        F.expr("CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END").alias("customer"),
+        "o_orderkey", "o_orderdate",
+    )
+    held = table(spark, sf_dir, "customer").where("c_nationkey = 5").select(F.col("c_custkey").alias("customer"))
+    top = new_folder(spark, "stream")
+    late = F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz")
+    for part in (keyed.where(late), keyed.where(~late)):
+        part.write.mode("append").parquet(f"{top}/in")
+        stream = spark.readStream.schema(keyed.schema).parquet(f"{top}/in")
+        insert_stream(
+            stream, f"{top}/out", f"{top}/checkpoint", ["customer"], ["o_orderkey"], target=held
+        ).awaitTermination()
+    return spark.read.schema(keyed.schema).parquet(f"{top}/out")
+
+
+@query
+def sql_functions(spark, sf_dir):
+    """Cleaning and acronyms as SQL, and a calendar made by SQL for the days of the orders."""
+    register_functions(spark)
+    table(spark, sf_dir, "part").createOrReplaceTempView("checked_part")
+    table(spark, sf_dir, "orders").createOrReplaceTempView("checked_orders")
+    return spark.sql(
+        """
+        SELECT clean_text(concat(' ', p_name, char(9))) AS what, city_acronym(p_name) AS short,
+               count(*) AS things
+        FROM checked_part GROUP BY ALL
+        UNION ALL
+        SELECT day_name, quarter_name, count(o_orderkey)
+        FROM calendar(DATE'1992-01-01', 2557) LEFT JOIN checked_orders ON o_orderdate = date_actual
+        GROUP BY ALL
+        """
+    )

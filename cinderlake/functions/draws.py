@@ -5,7 +5,7 @@ change when a lost task is run again or when the frame is read twice. These draw
 are a pure function of the row, so generated frames can be joined with themselves
 without being written first.
 
-Every function but ``bits`` turns a column of drawn bits into a value. Hashing is the
+Every function but ``bits`` and ``with_permutation`` turns a column of drawn bits into a value. Hashing is the
 costly part, so the bits should be selected first and used afterwards.
 """
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DRAW_BITS = 60
@@ -76,3 +76,49 @@ def wkt_point(drawn_lon: str, drawn_lat: str) -> Column:
 
     lon, lat = degrees(drawn_lon, 180), degrees(drawn_lat, 90)
     return F.concat(F.lit("POINT ("), lon, F.lit(" "), lat, F.lit(")"))
+
+
+_PASSES, _ROUNDS = 4, 2
+
+
+def with_permutation(
+    rows: DataFrame, row: str, count: int, seed: int, names: Sequence[str]
+) -> DataFrame:
+    """``rows`` with a column per name: a permutation of the row numbers 0 to ``count`` - 1.
+
+    ``row`` numbers the rows. Different rows have different values, whatever the count, without a look at
+    any other row; other seeds and names give other permutations. The largest power of two that fits
+    is permuted by rounds that change half of the bits by a hash of the other half, which can be undone
+    and so never join two values. All values are then turned by a third of the range and it is done
+    again, until every value has been in. A row number outside the range is an error.
+    """
+    width = max(count, 1).bit_length() - 1
+    low = width // 2
+    inside = F.col(row).between(0, count - 1)
+    failure = F.raise_error(F.lit(f"a row number is not between 0 and {count - 1}")).cast("bigint")
+    start = F.when(inside, F.col(row).cast("bigint")).otherwise(failure)
+    state = {n: f"_permuted_{k}" for k, n in enumerate(names)}
+    now = rows.select("*", *[start.alias(c) for c in state.values()])
+    for step in range(_PASSES * _ROUNDS):
+        # A step is a projection of its own: its input is used more than once.
+        now = now.withColumns(
+            {c: _half_changed(c, f"{seed}|{n}|{step}", width, low, step % 2) for n, c in state.items()}
+        )
+        if step % _ROUNDS == _ROUNDS - 1:
+            now = now.withColumns(
+                {c: (F.col(c) + F.lit(count // 3)) % F.lit(count) for c in state.values()}
+            )
+    return now.select(*rows.columns, *[F.col(c).alias(n) for n, c in state.items()])
+
+
+def _half_changed(column: str, key: str, width: int, low: int, upper: int) -> Column:
+    """The column with its lower or upper bits changed by a hash of the others; larger values as they are."""
+    value, mask = F.col(column), (1 << low) - 1
+    if upper:
+        given, free = value.bitwiseAND(F.lit(mask)), ((1 << width) - 1) ^ mask
+    else:
+        given, free = F.shiftright(value, low), mask
+    digest = F.md5(F.concat_ws("|", F.lit(key), given.cast("string")))
+    drawn = F.conv(F.substring(digest, 1, DRAW_BITS // 4), 16, 10).cast("bigint")
+    changed = value.bitwiseXOR(drawn.bitwiseAND(F.lit(free).cast("bigint")))
+    return F.when(value < F.lit(1 << width), changed).otherwise(value)

@@ -18,7 +18,8 @@ def distinct_dimension(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     return df.select(*fields).distinct()
 
 
-def _no_null(keys: Sequence[str]) -> Column:
+def no_nulls(keys: Sequence[str]) -> Column:
+    """Whether none of the key columns is NULL."""
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
@@ -82,10 +83,10 @@ def fresh_rows(
     wanted = incoming.select(*keys)
     if null_keys == "error":
         wanted = require_values(wanted, keys)
-    wanted = wanted.where(_no_null(keys))
+    wanted = wanted.where(no_nulls(keys))
     present = target.select(*keys)
     if fits_broadcast(incoming.select(*keys), max_broadcast_bytes, incoming_rows):
-        few = incoming.select(*keys).where(_no_null(keys))
+        few = incoming.select(*keys).where(no_nulls(keys))
         present = present.join(F.broadcast(few), list(keys), "left_semi")
     new, count = materialize_counted(
         wanted.join(present, list(keys), "left_anti").distinct(), "new-keys"
@@ -96,7 +97,7 @@ def fresh_rows(
     fresh = first_per_key(incoming.join(new, list(keys), "left_semi"), keys, order_by)
     fresh = fresh.select(*incoming.columns)
     if null_keys == "keep" and any(incoming.schema[k].nullable for k in keys):
-        fresh = fresh.unionByName(incoming.where(~_no_null(keys)))
+        fresh = fresh.unionByName(incoming.where(~no_nulls(keys)))
     return fresh, count
 
 
@@ -122,11 +123,20 @@ def assign_surrogate_keys(
     if count is not None and count <= NUMBERED_AT_ONCE:
         place = F.row_number().over(Window.orderBy(*keys))
         return rows.select((place + F.lit(after)).cast("bigint").alias(surrogate_key), *rows.columns)
+    ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    numbered, _ = number_in_place(ordered, surrogate_key, after + 1)
+    return numbered.select(surrogate_key, *rows.columns)
+
+
+def number_in_place(rows: DataFrame, number: str, first: int = 0) -> tuple[DataFrame, int]:
+    """``rows`` with their place as column ``number``, from ``first`` up, and how many there are.
+
+    Rows are counted through in the order of the partitions and inside them, without a sort in one
+    task: the rows are written with partition and position, and partitions begin where a
+    running sum over their sizes says, one row per partition.
+    """
     slot = F.monotonically_increasing_id()
-    placed = materialize(
-        rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_slot", slot),
-        "placed",
-    )
+    placed, count = materialize_counted(rows.withColumn("_slot", slot), "placed")
     # The id of Spark's function: partition in the upper bits, position in the lower 33.
     placed = placed.withColumn("_part", F.shiftright("_slot", 33)).withColumn(
         "_position", F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1))
@@ -136,8 +146,7 @@ def assign_surrogate_keys(
     starts = sizes.select(
         "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
     )
-    # One row per partition, of which there are at most spark.sql.shuffle.partitions.
-    number = (F.col("_start") + F.col("_position") + F.lit(after + 1)).cast("bigint")
-    return placed.join(F.broadcast(starts), "_part").select(
-        number.alias(surrogate_key), *rows.columns
-    )
+    # One row per partition, of which there are at most as many as tasks wrote the rows.
+    place = (F.col("_start") + F.col("_position") + F.lit(first)).cast("bigint")
+    numbered = placed.join(F.broadcast(starts), "_part")
+    return numbered.select(*rows.columns, place.alias(number)), count

@@ -129,6 +129,22 @@ def find_repeated_values(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     )
 
 
+def repeated_by_field(
+    df: DataFrame, fields: Sequence[str]
+) -> tuple[DataFrame, dict[str, str]]:
+    """The values that occur more than once, as a written table, in their own types.
+
+    ``field`` is a field's place in the list, from 1; the second result says which column has the values of
+    which field.
+    """
+    values, columns = _field_values(df, fields)
+    counted = values.groupBy("field", *columns).agg(F.count("*").alias("count"))
+    kinds = [df.schema[f].dataType for f in fields]
+    places = {kind: n for n, kind in enumerate(dict.fromkeys(kinds))}
+    value_of = {f: columns[places[k]] for f, k in zip(fields, kinds)}
+    return materialize(counted.where("count > 1"), "repeats"), value_of
+
+
 def assert_no_repeats(report: DataFrame) -> None:
     """Raise if a report of repeated values has any row."""
     sample = report.limit(5).collect()

@@ -36,13 +36,19 @@ def new_incidents(
     start: datetime,
     end: datetime,
     seed: int = 0,
+    distinct_keys: bool = False,
 ) -> DataFrame:
     """Synthetic incidents that clash neither with the snapshot nor among each other.
 
-    ``rows`` has one row, numbered by ``row``, for each incident to draw.
+    ``rows`` has one row, numbered by ``row``, for each incident to draw. With ``distinct_keys`` all of them
+    stay, as no two are drawn alike; the rows are then numbered from 0 to ``key_count`` - 1.
     """
     maxima = max_values(snapshot, UNIQUE_FIELDS).first().asDict()
-    drawn = synthetic_incidents(rows, row, key_count, maxima, start, end, seed)
+    drawn = synthetic_incidents(
+        rows, row, key_count, maxima, start, end, seed, distinct_keys=distinct_keys
+    )
+    if distinct_keys:
+        return drawn.drop(row)
     return drop_colliding_rows(drawn, UNIQUE_FIELDS, row_key=row).drop(row)
 
 
@@ -53,10 +59,11 @@ def grow_snapshot(
     start: datetime | None = None,
     end: datetime | None = None,
     seed: int = 0,
+    distinct_keys: bool = False,
 ) -> str:
     """Write the next snapshot below ``root`` and return its name.
 
-    Times are drawn from the current decade up to now unless bounds are given.
+    With ``distinct_keys`` all drawn incidents are added, else those that share no key. Times are drawn from the current decade up to now unless bounds are given.
     """
     now = datetime.now()
     latest = latest_snapshot(spark, root)
@@ -72,6 +79,7 @@ def grow_snapshot(
         start or datetime(now.year // 10 * 10, 1, 1),
         end or now.replace(microsecond=0),
         seed,
+        distinct_keys,
     )
     # Written, as it is both checked and added to the snapshot.
     added = materialize(fresh, "incidents")

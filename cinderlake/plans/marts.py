@@ -11,6 +11,9 @@ A row matches the calendar when its timestamp equals a day, that is, at midnight
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -155,3 +158,82 @@ def latest_rows(
 
 def row_count(fact: DataFrame) -> DataFrame:
     return fact.agg(F.count("*").alias("row_count"))
+
+
+@dataclass(frozen=True)
+class Measures:
+    """The columns that the marts add up. A list may have any number of columns but none."""
+
+    alarms: str | Column = "num_alarms"
+    loss: str | Column = "estimated_property_loss"
+    personnel: Sequence[str] = PERSONNEL
+    fatalities: Sequence[str] = FATALITIES
+
+    def response(self) -> Column:
+        return reduce(add, [F.col(c) for c in self.personnel])
+
+    def killed(self) -> Column:
+        return reduce(add, [F.sum(c) for c in self.fatalities])
+
+
+# The marts that group by an attribute of the calendar: what names a row, and what orders rows.
+GROUPED_MARTS = {
+    "incidents_by_weekday": ("day_name", "day_of_week"),
+    "average_alarms_by_month": ("month_name", "month_actual"),
+    "property_loss_by_quarter": ("quarter_name", "quarter_actual"),
+    "response_by_year": ("year_actual", "year_actual"),
+    "fatality_rate_by_weekend": ("weekend_indr", "weekend_indr"),
+}
+MART_ATTRIBUTES = tuple(dict.fromkeys(c for pair in GROUPED_MARTS.values() for c in pair))
+
+
+def stacked(grouped: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Groups by the attributes of one mart each, as rows ``(mart, place, label, ...)``.
+
+    An attribute of another mart is NULL. ``values`` are the numbers of every group; a mart keeps its own.
+    """
+    mart = F.coalesce(
+        *[F.when(F.col(order).isNotNull(), name) for name, (_, order) in GROUPED_MARTS.items()]
+    )
+    label = F.coalesce(*[F.col(name).cast("string") for name, _ in GROUPED_MARTS.values()])
+    place = F.coalesce(*[F.col(order).cast("int") for _, order in GROUPED_MARTS.values()])
+    of = {
+        "incident_count": ("incidents_by_weekday", "response_by_year"),
+        "avg_alarms": ("average_alarms_by_month",),
+        "total_property_loss": ("property_loss_by_quarter",),
+        "avg_personnel_response": ("response_by_year",),
+        "percentage_fatalities": ("fatality_rate_by_weekend",),
+    }
+    return grouped.select(
+        mart.alias("mart"), place.alias("place"), label.alias("label"),
+        *[F.when(mart.isin(*marts), values[n]).alias(n) for n, marts in of.items()],
+    )
+
+
+def marts_in_one_scan(fact: DataFrame, measures: Measures | None = None, **join) -> DataFrame:
+    """The five marts by calendar attribute as one frame, from one scan and one shuffle of the fact.
+
+    ``(mart, place, label)`` name a row: ``place`` orders the rows of a mart, ``label`` is its attribute as
+    text. A number that a mart does not have is NULL. Rows are grouped by grouping sets, so each
+    task shuffles no more than one row per group of every mart.
+    """
+    measures = measures or Measures()
+    days = join_calendar(fact, MART_ATTRIBUTES, **join)
+    sets = [list(dict.fromkeys(pair)) for pair in GROUPED_MARTS.values()]
+    grouped = days.groupingSets(sets, *MART_ATTRIBUTES).agg(
+        F.count("*").alias("_incidents"),
+        F.avg(measures.alarms).alias("_alarms"),
+        F.sum(measures.loss).alias("_loss"),
+        F.avg(measures.response()).alias("_response"),
+        measures.killed().alias("_killed"),
+    )
+    return stacked(
+        grouped,
+        {
+            "incident_count": F.col("_incidents"),
+            "avg_alarms": F.col("_alarms"),
+            "total_property_loss": F.col("_loss"),
+            "avg_personnel_response": F.col("_response"),
+            "percentage_fatalities": F.col("_killed") / F.col("_incidents") * 100,
+        },
+    )

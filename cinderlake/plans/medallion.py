@@ -28,9 +28,11 @@ from cinderlake.schemas import (
     INCIDENT_SCHEMA,
     MEASURES,
     RAW_INCIDENT_SCHEMA,
+    REJECT_TABLE,
     STG_FACT_SCHEMA,
     names,
 )
+from cinderlake.sources.rejects import read_checked
 from cinderlake.sources.snapshots import latest_snapshot, read_snapshot
 from cinderlake.sources.warehouse import Warehouse
 
@@ -155,11 +157,24 @@ def load_latest(
     snapshots: str,
     load_id: str | None = None,
     unmarked: bool = False,
+    most_rejects: int | None = None,
     **options,
 ) -> dict[str, int]:
-    """Load the latest snapshot of a folder; ``unmarked`` as for ``find_snapshots``."""
+    """Load the latest snapshot of a folder; ``unmarked`` as for ``find_snapshots``.
+
+    Without ``most_rejects`` the first bad line stops the load. With it, up to so many bad lines, those without
+    an id among them, are written to the table of rejects and the other rows are loaded; one more stops the load before
+    any table has changed.
+    """
     latest = latest_snapshot(warehouse.spark, snapshots, unmarked)
     if latest is None:
         raise FileNotFoundError(f"no snapshot in {snapshots}")
     path = f"{snapshots.rstrip('/')}/{latest}"
-    return load_incidents(warehouse, read_snapshot(warehouse.spark, path, **options), load_id)
+    if most_rejects is None:
+        return load_incidents(warehouse, read_snapshot(warehouse.spark, path, **options), load_id)
+    load_id = load_id or uuid.uuid4().hex
+    checked = read_checked(
+        warehouse.spark, path, most_rejects=most_rejects, required=["id"], **options
+    )
+    _, faults = warehouse.write_load(REJECT_TABLE, load_id, checked.rejects)
+    return {**load_incidents(warehouse, checked.rows, load_id), REJECT_TABLE: faults}

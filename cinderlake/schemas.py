@@ -214,6 +214,16 @@ mmddyyyy string
 weekend_indr boolean
 """)
 
+# What was wrong with the lines of a snapshot that were rejected.
+REJECT_SCHEMA = struct("""
+file string
+line string
+column_name string
+value string
+reason string
+""")
+REJECT_TABLE = "rejected_fire_department"
+
 # Raw and staging tables, and the tables that grow by insert-if-absent.
 LOAD_TABLES = {
     "raw_fact_fire_department": RAW_INCIDENT_SCHEMA,

@@ -95,6 +95,12 @@ def next_snapshot_name(latest: str | None, now: datetime) -> str:
     return f"{stem}_{now:%Y%m%d_%H%M%S}.csv"
 
 
+def known_value(column: str, na_tokens: Sequence[str]) -> str:
+    """SQL for whether a text column holds more than a missing-value token."""
+    quoted = ["'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in na_tokens]
+    return f"`{column}` NOT IN ({', '.join(quoted)})" if quoted else "true"
+
+
 def parse_fields(
     text: DataFrame, schema: T.StructType, na_tokens: Sequence[str] = NA_TOKENS
 ) -> DataFrame:
@@ -103,9 +109,6 @@ def parse_fields(
     Written as SQL text, as a tree of column objects over 64 columns and all tokens takes
     longer to build than to run.
     """
-    quoted = ["'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in na_tokens]
-    known = f"`{{0}}` NOT IN ({', '.join(quoted)})" if quoted else "true"
-
     def value(field: T.StructField) -> str:
         column = f"`{field.name}`"
         if isinstance(field.dataType, T.StringType):
@@ -114,7 +117,7 @@ def parse_fields(
 
     return text.selectExpr(
         *[
-            f"CASE WHEN {known.format(f.name)} THEN {value(f)} END AS `{f.name}`"
+            f"CASE WHEN {known_value(f.name, na_tokens)} THEN {value(f)} END AS `{f.name}`"
             for f in schema.fields
         ]
     )

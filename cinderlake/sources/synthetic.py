@@ -104,16 +104,21 @@ def synthetic_incidents(
     start: datetime,
     end: datetime,
     seed: int = 0,
+    distinct_keys: bool = False,
 ) -> DataFrame:
     """One incident per row of ``rows``, with the column ``row`` kept in front.
 
     ``row`` numbers the rows; the draws depend on it and on ``seed`` alone. Each of the
     unique fields is drawn, with replacement, from the ``key_count`` numbers above its
-    maximum, so incidents collide and have to be cleaned afterwards. The four times lie
-    between ``start`` and ``end`` and are independent of each other.
+    maximum, so incidents collide and have to be cleaned afterwards. With ``distinct_keys`` they are permutations
+    of these numbers, so that no two incidents share one; ``row`` then counts from 0 to
+    ``key_count`` - 1. The four times lie between ``start`` and ``end`` and are independent of each other.
     """
     single = [*UNIQUE_FIELDS, *TIMES, *LOSSES, *COORDINATES, "numbers", "choices", "address"]
     drawn = rows.select(row, *[draws.bits(row, seed, n).alias(f"_{n}") for n in single])
+    if distinct_keys:
+        drawn = drawn.drop(*[f"_{f}" for f in UNIQUE_FIELDS])
+        drawn = draws.with_permutation(drawn, row, key_count, seed, [f"_{f}" for f in UNIQUE_FIELDS])
 
     fields: dict[str, Column] = {
         f: draws.integer(f"_{f}", maxima[f] + 1, key_count) for f in UNIQUE_FIELDS

@@ -16,8 +16,18 @@ from pyspark.sql import types as T
 
 from cinderlake.functions.calendar import build_dim_date
 from cinderlake.operators.columns import load_by_position
-from cinderlake.schemas import DIM_DATE_SCHEMA, GOLD_TABLES, LOAD_TABLES
-from cinderlake.workspace import counted, empty_frame
+from cinderlake.schemas import (
+    DIM_DATE_SCHEMA,
+    GOLD_TABLES,
+    LOAD_TABLES,
+    REJECT_SCHEMA,
+    REJECT_TABLE,
+)
+from cinderlake.workspace import counted, empty_frame, hadoop_path
+
+
+# Tables whose loads are replaced when they are run again.
+_BY_LOAD = {**LOAD_TABLES, REJECT_TABLE: REJECT_SCHEMA}
 
 
 def create_table(
@@ -50,7 +60,7 @@ class Warehouse:
 
     def reset(self) -> None:
         """Empty every table and fill the calendar."""
-        for table, schema in {**LOAD_TABLES, **GOLD_TABLES}.items():
+        for table, schema in {**_BY_LOAD, **GOLD_TABLES}.items():
             create_table(self.spark, self.path(table), _with_load_id(schema), "load_id")
         build_dim_date(self.spark).write.mode("overwrite").parquet(self.path("dim_date"))
 
@@ -60,14 +70,14 @@ class Warehouse:
             return self.spark.read.schema(DIM_DATE_SCHEMA).parquet(self.path(table))
         if table in GOLD_TABLES:
             return self._loads(table, GOLD_TABLES[table]).drop("load_id")
-        return self._loads(table, LOAD_TABLES[table])
+        return self._loads(table, _BY_LOAD[table])
 
     def _loads(self, table: str, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(_with_load_id(schema)).parquet(self.path(table))
 
     def write_load(self, table: str, load_id: str, df: DataFrame) -> tuple[DataFrame, int]:
         """Write a load of a raw or staging table by position; return it as written, and its rows."""
-        folder, schema = self.folder(table, load_id), LOAD_TABLES[table]
+        folder, schema = self.folder(table, load_id), _BY_LOAD[table]
         observed, rows = counted(load_by_position(df, schema))
         observed.write.mode("overwrite").parquet(folder)
         return self.spark.read.schema(schema).parquet(folder), rows.get["n"]
@@ -76,13 +86,26 @@ class Warehouse:
         """Add the rows of a load to a dimension or the fact, by position; return how many."""
         return append_rows(df, self.folder(table, load_id), GOLD_TABLES[table])
 
+    def has(self, name: str) -> bool:
+        """Whether there is a file or folder of this name, below the warehouse's own."""
+        system, path = hadoop_path(self.spark, self.path(name))
+        return system.exists(path)
+
+    def read_load(self, table: str, load_id: str) -> DataFrame | None:
+        """What one load added to a dimension or the fact, from its folder alone; None if nothing."""
+        folder = self.folder(table, load_id)
+        system, path = hadoop_path(self.spark, folder)
+        if not system.exists(path):
+            return None
+        return self.spark.read.schema(GOLD_TABLES[table]).parquet(folder)
+
     def highest_key(self, table: str, surrogate_key: str) -> int:
         """The highest surrogate key in use, 0 in an empty table."""
         return self.read(table).agg(F.coalesce(F.max(surrogate_key), F.lit(0))).first()[0]
 
     def register_views(self) -> None:
         """Make every table available to SQL under its own name."""
-        for table in [*LOAD_TABLES, *GOLD_TABLES, "dim_date"]:
+        for table in [*_BY_LOAD, *GOLD_TABLES, "dim_date"]:
             self.read(table).createOrReplaceTempView(table)
 
 

@@ -13,7 +13,7 @@ import tempfile
 import uuid
 
 from py4j.java_gateway import JavaObject
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,10 +59,11 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{above}/{label}"
 
 
-def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """``df`` and what counts its rows (``n``) when it is next run in full."""
+def counted(df: DataFrame, **more: Column) -> tuple[DataFrame, Observation]:
+    """``df`` and what counts its rows (``n``), and adds up ``more``, when it is next run in full."""
     observation = Observation()
-    return df.observe(observation, F.count(F.lit(1)).alias("n")), observation
+    sums = [F.count(F.lit(1)).alias("n"), *[c.alias(n) for n, c in more.items()]]
+    return df.observe(observation, *sums), observation
 
 
 def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
