@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +65,21 @@ def blocks_of(
         yield block
 
 
+def parts_of(
+    batches: Iterable[pa.RecordBatch], text: str, most: int = BLOCK_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Whole rows in batches whose texts have about ``most`` bytes, or one row that is longer."""
+    for batch in batches:
+        sizes = np.array(pc.fill_null(pc.binary_length(batch.column(text)), 0), np.int64)
+        starts = np.cumsum(sizes) - sizes
+        at = 0
+        while at < len(batch):
+            end = int(np.searchsorted(starts, starts[at] + most))
+            end = min(max(end, at + 1), at + _ROWS_AT_ONCE, len(batch))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions starts[i], starts[i]+1, ... of all pieces, one after the other."""
     total = int(lengths.sum())
@@ -91,14 +109,41 @@ def without(rows: DataFrame, dropped: DataFrame, on: Column) -> DataFrame:
 
 
 class Interner(dict):
-    """Word to value, computed once per word by ``make``. Forgets all when it is full."""
+    """Word to value, computed once per word by ``make``. Forgets all when it is full.
+
+    ``most`` bounds what is remembered, in bytes, with an allowance for each word.
+    """
+
+    _EACH = 160
 
-    def __init__(self, make: Callable[[bytes], int], most: int = 400_000):
+    def __init__(self, make: Callable[[bytes], int], most: int = 32 << 20):
         super().__init__()
-        self._make, self._most = make, most
+        self._make, self._most, self._held = make, most, 0
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self._most:
+        self._held += len(word) + self._EACH
+        if self._held > self._most:
             self.clear()
+            self._held = len(word) + self._EACH
         value = self[word] = self._make(word)
         return value
+
+
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a task; after it the memory it no longer uses goes back.
+
+    A Python worker lives on for the next tasks, and what the C library keeps of large blocks would stay
+    with it, beside all other workers of the executor.
+    """
+
+    def go(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+            if trim is not None:
+                trim(0)
+
+    return go

@@ -48,6 +48,15 @@ class WaveletTree:
         return low, high
 
 
+def _ranked(key: np.ndarray) -> np.ndarray:
+    """The place of each number among the distinct ones."""
+    order = np.argsort(key)
+    ordered = key[order]
+    rank = np.empty(len(key), np.int64)
+    rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
+    return rank
+
+
 def suffix_order(values: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes in the order of their first ``limit`` values, and lengths of shared prefixes.
 
@@ -55,27 +64,32 @@ def suffix_order(values: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray
     ``limit``, and 0 at the first.
     """
     n = len(values)
-    rank = np.unique(values, return_inverse=True)[1].astype(np.int64)
-    ranks, step = [rank], 1
+    width = max(1, int(values.max(initial=0)).bit_length() + 1)
+    together = 1
+    while 2 * together * width <= 62 and together < limit:
+        together *= 2
+    # The first values of a suffix fit into one number; one that has ended comes first.
+    key = np.zeros(n, np.int64)
+    for k in range(together):
+        key <<= width
+        key[: max(0, n - k)] |= values[k:] + 1
+    ranks, step = [_ranked(key)], together
     while step < limit:
-        later = np.zeros(n, np.int64)  # a suffix that has ended comes first
-        later[: max(0, n - step)] = rank[step:] + 1
-        key = rank * (n + 1) + later
-        order = np.argsort(key)
-        ordered = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
-        ranks.append(rank)
+        later = np.zeros(n, np.int64)
+        later[: max(0, n - step)] = ranks[-1][step:] + 1
+        ranks.append(_ranked(ranks[-1] * (n + 1) + later))
         step *= 2
+    rank = ranks[-1]
     order = np.argsort(rank)
     shared = np.zeros(n, np.int32)
     a, b = order[:-1].copy(), order[1:].copy()
-    for k in range(len(ranks) - 1, -1, -1):
+    lengths = [together << k for k in range(len(ranks))]
+    for length, of in [*zip(lengths[::-1], ranks[::-1]), *[(1, values)] * (together - 1)]:
         inside = (a < n) & (b < n)
         equal = np.zeros(len(a), bool)
-        equal[inside] = ranks[k][a[inside]] == ranks[k][b[inside]]
-        shared[1:] += equal.astype(np.int32) << k
-        a, b = a + (equal << k), b + (equal << k)
+        equal[inside] = of[a[inside]] == of[b[inside]]
+        shared[1:] += equal.astype(np.int32) * length
+        a, b = a + equal * length, b + equal * length
     return order, np.minimum(shared, limit)
 
 

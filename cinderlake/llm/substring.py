@@ -4,8 +4,8 @@ A passage of ``window`` words is removed from a document where it also starts in
 smaller doc_id. To bring the places that may share a passage together, every window is named by
 the least hash of the runs of k words in it: windows with the same words have the same
 name. Neighbours with one name form a stretch. Only names that two documents have go on, and
-stretches with equal words become one row with the least and the largest doc_id that has it, in
-every task before it is shuffled. If the different stretches of a name are still too many for
+stretches with equal words, known by a 128-bit digest, become one row with the least and the largest
+doc_id that has it, in every task before anything is shuffled; its words move once. If the different stretches of a name are still too many for
 one task, they are named again by longer runs of words, and at last by the whole window, where all
 stretches of a name are the same.
 
@@ -33,15 +33,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinderlake.llm.common import BROADCAST_ROWS, Interner, blocks_of, text_bytes
+from cinderlake.llm.common import BROADCAST_ROWS, blocks_of, released, text_bytes
 from cinderlake.llm.fmindex import FMIndex
 from cinderlake.workspace import materialize
 
 WINDOW = 50
 # Words in the runs that name a window, one round after the other; the whole window is the last.
-RUNS = (8, 24)
-# Bytes of different stretches that one name may have, and that a shard has about.
-NAME_BYTES = SHARD_BYTES = 1 << 20
+# Texts share shorter runs by chance, and the more so the more texts there are.
+RUNS = (16, 32)
+# Words of different stretches that one name may have, and that a shard has about.
+NAME_WORDS = SHARD_WORDS = 200_000
 # Longer stretches are streamed in parts.
 _WALK = 512
 # So many removed spans may be broadcast.
@@ -74,28 +75,57 @@ class Words:
     def joined(self, start: int, end: int) -> bytes:
         return b" ".join(b" ".join(part) for part in self.parts(start, end))
 
-    def hashes(self, intern: Interner) -> np.ndarray:
+    def hashes(self) -> np.ndarray:
+        """A 64-bit hash of every word, from running sums over the bytes."""
         out = np.empty(len(self), np.uint64)
-        at = 0
-        for part in self.parts(0, len(self)):
-            out[at : at + len(part)] = [intern[w] for w in part]
-            at += len(part)
+        data, at = np.frombuffer(self.text, np.uint8), 0
+        while at < len(self):
+            first = int(self.starts[at])
+            # Words that end within so many bytes, or one that is longer.
+            end = max(at + 1, int(np.searchsorted(self.ends, first + _AT_ONCE, "right")))
+            starts, ends = self.starts[at:end] - first, self.ends[at:end] - first
+            if ends[0] > _AT_ONCE:
+                out[at] = xxhash.xxh3_64_intdigest(self.text[first : int(self.ends[at])])
+                at = end
+                continue
+            powers, undo = _powers(int(ends[-1]))
+            part = data[first : first + int(ends[-1])].astype(np.uint64) + np.uint64(1)
+            before = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(part * powers[: len(part)], out=before[1:])
+            out[at:end] = _mixed((before[ends] - before[starts]) * undo[starts])
+            at = end
         return out
 
 
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers 0 to n, or more of them, of a factor and of its inverse, modulo 2^64."""
+    if len(_POWERS[0]) <= n:
+        for k, factor in enumerate((_FACTOR, _FACTOR_INVERSE)):
+            steps = np.full(max(n, _AT_ONCE) + 1, factor, np.uint64)
+            steps[0] = 1
+            _POWERS[k] = np.cumprod(steps)
+    return _POWERS
+
+
+def _mixed(sums: np.ndarray) -> np.ndarray:
+    """Sums with their bits spread over all 64 places."""
+    sums = sums ^ (sums >> np.uint64(32))
+    sums *= np.uint64(0xD6E8FEB86659FD93)
+    return sums ^ (sums >> np.uint64(29))
+
+
 def names(hashes: np.ndarray, run: int, window: int) -> np.ndarray:
     """For every window of words the least of the hashes of its runs of ``run`` words."""
     n = len(hashes)
     if n < window:
         return np.zeros(0, np.int64)
-    powers, undo = np.ones((2, n + 1), np.uint64)
-    powers[1:], undo[1:] = _FACTOR, _FACTOR_INVERSE
-    powers, undo = np.cumprod(powers), np.cumprod(undo)
-    before = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers[:-1])])
-    least = (before[run:] - before[:-run]) * undo[: n - run + 1]
-    least ^= least >> np.uint64(32)
-    least *= np.uint64(0xD6E8FEB86659FD93)
-    least ^= least >> np.uint64(29)
+    powers, undo = _powers(n)
+    before = np.zeros(n + 1, np.uint64)
+    np.cumsum(hashes * powers[:n], out=before[1:])
+    least = _mixed((before[run:] - before[:-run]) * undo[: n - run + 1])
     width, reached = window - run + 1, 1
     while reached < width:
         step = min(reached, width - reached)
@@ -111,18 +141,13 @@ def _stretches(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[:-1], edges[1:]
 
 
-def _interner() -> Interner:
-    return Interner(xxhash.xxh3_64_intdigest, 200_000)
-
-
 def _named(texts: DataFrame, run: int, window: int) -> DataFrame:
     """name, doc_id, row, start: the names that each text (doc_id, row, start, text) has."""
 
     def go(batches):
-        intern = _interner()
         for block in blocks_of(batches, lambda r: len(r[3]), "doc_id", "row", "start", "text"):
             found = [
-                np.unique(names(Words(t).hashes(intern), run, window)) for _, _, _, t in block
+                np.unique(names(Words(t).hashes(), run, window)) for _, _, _, t in block
             ]
             of = np.repeat(np.arange(len(block)), [len(f) for f in found])
             columns = [np.array([r[k] for r in block], np.int64)[of] for k in range(3)]
@@ -131,46 +156,71 @@ def _named(texts: DataFrame, run: int, window: int) -> DataFrame:
                 names=["name", "doc_id", "row", "start"],
             )
 
-    return texts.mapInArrow(go, "name long, doc_id long, row long, start long")
+    return texts.mapInArrow(released(go), "name long, doc_id long, row long, start long")
+
 
+_TYPES = {
+    "name": pa.int64(), "doc_id": pa.int64(), "row": pa.int64(), "start": pa.int64(),
+    "at": pa.int64(), "length": pa.int64(), "digest": pa.binary(), "words": pa.binary(),
+}
 
-_STRETCH = "name long, doc_id long, row long, start long, windows int, digest binary, words binary"
 
+def _batch(rows: list[tuple], *columns: str) -> pa.RecordBatch:
+    values = zip(*rows, strict=True) if rows else [[]] * len(columns)
+    arrays = [pa.array(v, _TYPES[c]) for v, c in zip(values, columns, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=list(columns))
 
-def _cut(texts: DataFrame, run: int, window: int) -> DataFrame:
-    """Stretches of the names in the array column ``names``; start counts from the document's."""
+
+def _stretched(texts: DataFrame, run: int, window: int) -> DataFrame:
+    """The stretches of the names in the array column ``names``, without their words.
+
+    They lie ``at`` a word of a text (doc_id, row, start) and have ``length`` words.
+    """
+    columns = ("name", "doc_id", "row", "start", "at", "length", "digest")
 
     def go(batches):
-        intern = _interner()
         given = ("doc_id", "row", "start", "text", "names")
         for block in blocks_of(batches, lambda r: len(r[3]), *given):
             rows = []
             for doc_id, row, start, text, wanted in block:
                 words = Words(text)
-                found = names(words.hashes(intern), run, window)
+                found = names(words.hashes(), run, window)
                 begin, end = _stretches(found)
                 for k in np.flatnonzero(np.isin(found[begin], np.array(wanted, np.int64))).tolist():
-                    a, b = int(begin[k]), int(end[k])
-                    content = words.joined(a, b + window - 1)
-                    rows.append((int(found[a]), doc_id, row, start + a, b - a,
-                                 xxhash.xxh3_128_digest(content), content))
-                if len(rows) >= 4096:
-                    yield _batch(rows)
-                    rows = []
-            if rows:
-                yield _batch(rows)
+                    a, b = int(begin[k]), int(end[k]) + window - 1
+                    digest = xxhash.xxh3_128_digest(words.joined(a, b))
+                    rows.append((int(found[a]), doc_id, row, start, a, b - a, digest))
+            yield _batch(rows, *columns)
 
-    return texts.mapInArrow(go, _STRETCH)
+    return texts.mapInArrow(
+        released(go), "name long, doc_id long, row long, start long, at long, length long, digest binary"
+    )
 
 
-_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+def _with_words(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """``places`` (name, digest, at, length in a text's doc_id, row, start) with their words, once per row."""
+    key = ["doc_id", "row", "start"]
+    wanted = places.groupBy(*key).agg(
+        F.collect_set(F.struct("name", "digest", "at", "length")).alias("places")
+    )
+    columns = (*key, "name", "digest", "words")
 
+    def go(batches):
+        given = (*key, "text", "places")
+        for block in blocks_of(batches, lambda r: len(r[3]), *given):
+            rows = []
+            for *where, text, found in block:
+                words = Words(text)
+                for p in found:
+                    content = words.joined(p["at"], p["at"] + p["length"])
+                    rows.append((*where, p["name"], p["digest"], content))
+                if len(rows) >= 4096:
+                    yield _batch(rows, *columns)
+                    rows = []
+            yield _batch(rows, *columns)
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)],
-        names=["name", "doc_id", "row", "start", "windows", "digest", "words"],
+    return texts.join(wanted, key).mapInArrow(
+        released(go), "doc_id long, row long, start long, name long, digest binary, words binary"
     )
 
 
@@ -222,10 +272,9 @@ def search_shard(stretches: list[tuple], window: int) -> list[tuple]:
     return out
 
 
-def _origins(distinct: DataFrame, window: int) -> DataFrame:
-    """name, digest, first, last, origin from distinct stretches, a shard at a time."""
-    size = distinct.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()[0]
-    shards = -(-size // SHARD_BYTES) or 1
+def _origins(distinct: DataFrame, size: int, window: int) -> DataFrame:
+    """name, digest, first, last, origin from distinct stretches of ``size`` words, a shard at a time."""
+    shards = -(-size // SHARD_WORDS) or 1
 
     def go(part: pa.Table) -> pa.Table:
         names = ("name", "digest", "words", "least", "most")
@@ -258,32 +307,41 @@ def _round(
     wanted = materialize(wanted.agg(F.collect_set("name").alias("names")), "wanted")
     holders = wanted.select(*key).distinct()
     few = wanted.count() <= BROADCAST_ROWS
-    held = texts.join(F.broadcast(holders) if few else holders, key, "left_semi")
-    held = materialize(held, "holders")
-    cut = _cut(held.join(wanted, key), run, window)
-    distinct = cut.groupBy("name", "digest", "words").agg(
-        F.min("doc_id").alias("least"), F.max("doc_id").alias("most")
+    held = texts.join(F.broadcast(holders), key, "left_semi") if few else texts
+    held = materialize(held.join(wanted, key), "holders")
+    stretches = materialize(_stretched(held, run, window), "stretches")
+    distinct = stretches.groupBy("name", "digest").agg(
+        F.max("doc_id").alias("most"), F.min(F.struct(*key, "at", "length")).alias("place")
     )
-    distinct = materialize(distinct, "stretches")
+    distinct = distinct.select("name", "digest", "most", "place.*")
+    distinct = materialize(distinct.withColumn("least", F.col("doc_id")), "distinct")
     left = None
     if not final:
-        sizes = distinct.groupBy("name").agg(F.sum(F.octet_length("words")).alias("size"))
-        large = materialize(sizes.where(F.col("size") > NAME_BYTES).select("name"), "large")
+        sizes = distinct.groupBy("name").agg(F.sum("length").alias("words"))
+        large = materialize(sizes.where(F.col("words") > NAME_WORDS).select("name"), "large")
         many = large.count()
         if many:
             side = F.broadcast(large) if many <= BROADCAST_ROWS else large
             distinct = distinct.join(side, "name", "left_anti")
-            left = cut.join(side, "name", "left_semi")
+            again = stretches.join(side, "name", "left_semi")
             left = materialize(
-                left.select("doc_id", "row", "start", F.col("words").alias("text")), "left"
-            )
-    found = materialize(_origins(distinct, window), "origins")
-    spans = cut.select("name", "digest", "doc_id", "row", "start").join(found, ["name", "digest"])
-    spans = spans.where("origin < doc_id").select(
+                _with_words(held.drop("names"), again)
+                .join(again.select(*key, "name", "digest", "at"), [*key, "name", "digest"])
+                .select("doc_id", "row", (F.col("start") + F.col("at")).alias("start"),
+                        F.col("words").alias("text")), "left",
+            )
+    texts_of = _with_words(held.drop("names"), distinct).select("name", "digest", "words")
+    known = distinct.select("name", "digest", "least", "most", "length")
+    size = distinct.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    found = _origins(texts_of.join(known, ["name", "digest"]), size, window)
+    found = materialize(found, "origins")
+    spans = stretches.join(found, ["name", "digest"]).where("origin < doc_id")
+    begin = F.col("start") + F.col("at")
+    spans = spans.select(
         "doc_id",
         "row",
-        (F.col("start") + F.col("first")).alias("first"),
-        (F.col("start") + F.col("last") + window - 1).alias("last"),
+        (begin + F.col("first")).alias("first"),
+        (begin + F.col("last") + window - 1).alias("last"),
     )
     return materialize(spans, "spans"), left
 
@@ -300,6 +358,25 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 _SPANS = "array<struct<first: long, last: long>>"
+_SPAN = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+
+
+def _merged_spans(spans: DataFrame) -> DataFrame:
+    """doc_id, row, spans: the spans of each document drawn together, a row for each."""
+
+    def go(batches):
+        for rows in blocks_of(batches, lambda r: 64 * len(r[2]), "doc_id", "row", "spans"):
+            drawn = [
+                [{"first": a, "last": b} for a, b in merged([(s["first"], s["last"]) for s in found])]
+                for _, _, found in rows
+            ]
+            ids = [pa.array([r[k] for r in rows], pa.int64()) for k in range(2)]
+            yield pa.RecordBatch.from_arrays(
+                [*ids, pa.array(drawn, _SPAN)], names=["doc_id", "row", "spans"]
+            )
+
+    one = spans.groupBy("doc_id", "row").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    return one.mapInArrow(go, f"doc_id long, row long, spans {_SPANS}")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -323,23 +400,19 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         every = spans[0]
         for more in spans[1:]:
             every = every.unionByName(more)
-        every = every.groupBy("doc_id", "row").agg(
-            F.collect_set(F.struct("first", "last")).alias("spans")
-        )
-        every = materialize(every, "removed")
+        every = materialize(_merged_spans(every), "removed")
         rows, many = every.agg(F.count("*"), F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()
         few = rows <= BROADCAST_ROWS and many <= _BROADCAST_SPANS
         texts = texts.join(F.broadcast(every) if few else every, ["doc_id", "row"], "left")
     else:
         texts = texts.withColumn("spans", F.lit(None).cast(_SPANS))
-    span = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 
     def keep(batches):
         for block in blocks_of(batches, lambda r: len(r[1]), "doc_id", "text", "spans"):
             counts, removed, kept = [], [], []
             for _, text, found in block:
                 words = Words(text)
-                gone = merged([(s["first"], s["last"]) for s in found or ()])
+                gone = [(s["first"], s["last"]) for s in found or ()]
                 edges = [0, *(e for s in gone for e in s), len(words)]
                 parts = [
                     words.joined(a, b) for a, b in zip(edges[::2], edges[1::2], strict=True) if a < b
@@ -349,7 +422,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 kept.append(b" ".join(parts))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in block], pa.int64()), pa.array(counts, pa.int64()),
-                 pa.array(removed, span), pa.array(kept, pa.binary()).cast(pa.string())],
+                 pa.array(removed, _SPAN), pa.array(kept, pa.binary()).cast(pa.string())],
                 names=["doc_id", "n_words", "spans", "text"],
             )
 

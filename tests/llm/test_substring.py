@@ -76,16 +76,16 @@ def test_names_with_too_many_stretches(spark, monkeypatch):
     rng = np.random.default_rng(5)
     rows = planted(rng, 50, 80)
     want = brute(rows)
-    for size in (300, 3000):  # bytes a name may have: all rounds are taken
-        monkeypatch.setattr(substring, "NAME_BYTES", size)
-        monkeypatch.setattr(substring, "SHARD_BYTES", 2000)
+    for size in (60, 600):  # words a name may have: all rounds are taken
+        monkeypatch.setattr(substring, "NAME_WORDS", size)
+        monkeypatch.setattr(substring, "SHARD_WORDS", 400)
         assert run(spark, rows, 9) == want
     monkeypatch.setattr(substring, "BROADCAST_ROWS", 0)
     assert run(spark, rows, 2) == want
 
 
 def test_a_passage_that_most_documents_hold(spark, monkeypatch):
-    monkeypatch.setattr(substring, "NAME_BYTES", 20_000)
+    monkeypatch.setattr(substring, "NAME_WORDS", 4_000)
     rng = np.random.default_rng(6)
     passage = prose(rng, 60)
     rows = [(i, f"{prose(rng, 30)} {passage} {prose(rng, 30)}") for i in range(400)]
@@ -123,6 +123,17 @@ def test_windows_with_the_same_words_have_the_same_name():
     assert len(names(passage[:49], 8, 50)) == 0
 
 
+def test_hashes_do_not_depend_on_where_a_word_stands():
+    rng = np.random.default_rng(5)
+    words = [bytes(rng.integers(97, 100, int(k)).astype(np.uint8)) for k in rng.integers(1, 6, 50_000)]
+    words[7] = b"x" * 200_000  # longer than what is looked at together
+    found = Words(b" ".join(words)).hashes()
+    known = {}
+    assert all(known.setdefault(w, h) == h for w, h in zip(words, found.tolist(), strict=True))
+    assert len(set(known.values())) == len(known)
+    assert Words(words[7]).hashes()[0] == known[words[7]]
+
+
 def test_words_of_a_text():
     text = b"\x0b a\tbc  d\x85e\r\nf"
     words = Words(text)
