@@ -11,7 +11,10 @@ of all pages, so small hosts borrow from their domain.
 Declarations and suffixes are kept whole. Their tables are broadcast while they are small and else
 joined by shuffle as hosts are; adaptive execution splits a value or host that holds many pages.
 
-Defined results: a NULL or empty page has no text evidence; a NULL or odd address has host "" and
+Pages are read in time that grows with their length, however broken they are.
+
+Defined results: a NULL or empty page has no text evidence; comments, scripts and tags that are never
+closed are text; what stands before an @ is no part of the host; a NULL or odd address has host "" and
 suffix "?", and so has a last label without a letter; a NULL page_id stays NULL; repeated rows are judged each and count each;
 without labelled documents there is no language to choose and it is NULL; an empty table
 gives an empty table; only page_id, url and html are looked at.
@@ -36,21 +39,59 @@ EVIDENCE = 60.0
 HOST_STRENGTH = 5.0
 DOMAIN_STRENGTH = 20.0
 _TABLE_STRENGTH = 2.0
-_HIDDEN = re.compile(rb"<!--.*?-->|<(script|style|noscript)\b.*?</\1\s*>", re.DOTALL | re.I)
+_OPENS = re.compile(rb"<!--|<(script|style|noscript)\b", re.I)
+_CLOSES = {
+    name: re.compile(rb"</%s\s*>" % name, re.I) for name in (b"script", b"style", b"noscript")
+}
+_CLOSES[b"!--"] = re.compile(rb"-->")
 _TAG = re.compile(rb"<[a-zA-Z/!?][^>]*>")
-_DECLARED = re.compile(rb"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", re.I)
+_HTML = re.compile(rb"<html\b", re.I)
+_LANG = re.compile(rb"\blang\s*=\s*[\"']?([A-Za-z]+)", re.I)
+# More digits than Python turns into a number; no character has such a one.
+_ENDLESS = re.compile(r"&#[0-9]{4000,};?")
+
+
+def _shown(page: bytes) -> bytes:
+    """A page with a space for every comment and for all between a tag that hides its content and its end.
+
+    One walk from opening to opening. What is never closed hides nothing, and is looked for once.
+    """
+    parts, at, open_ended = [], 0, set()
+    opening = _OPENS.search(page)
+    while opening:
+        name = (opening.group(1) or b"!--").lower()
+        closing = None if name in open_ended else _CLOSES[name].search(page, opening.end())
+        if closing:
+            parts.append(page[at : opening.start()])
+            at = closing.end()
+        else:
+            open_ended.add(name)
+        opening = _OPENS.search(page, at if closing else opening.end())
+    return b" ".join([*parts, page[at:]])
 
 
 def visible_text(page: bytes) -> bytes:
-    text = _TAG.sub(b" ", _HIDDEN.sub(b" ", page))
+    text = _shown(page)
+    last = text.rfind(b">") + 1  # no tag ends behind it
+    text = _TAG.sub(b" ", text[:last]) + text[last:]
     if b"&" in text:
-        text = html.unescape(text.decode("utf-8", "replace")).encode()
+        text = html.unescape(_ENDLESS.sub("\ufffd", text.decode("utf-8", "replace"))).encode()
     return text
 
 
 def declared_language(page: bytes) -> str:
-    found = _DECLARED.search(page)
-    return found.group(1).decode().lower() if found else ""
+    """The code of the first html tag that declares one, "" without."""
+    searched = 0
+    for tag in _HTML.finditer(page):
+        if tag.end() < searched:
+            continue  # the end of the tag before is the end of this one, and nothing was there
+        end = page.find(b">", tag.end())
+        end = len(page) if end < 0 else end
+        found = _LANG.search(page, tag.end(), end)
+        if found:
+            return found.group(1).decode().lower()
+        searched = end
+    return ""
 
 
 def _suffix(host: Column) -> Column:
@@ -59,7 +100,7 @@ def _suffix(host: Column) -> Column:
 
 
 def _address(url: Column) -> dict[str, Column]:
-    host = F.regexp_extract(F.lower(F.coalesce(url, F.lit(""))), r"^[a-z]+://([^/?#:@]+)", 1)
+    host = F.regexp_extract(F.lower(F.coalesce(url, F.lit(""))), r"^[a-z]+://(?:[^/?#]*@)?([^/?#:@]+)", 1)
     path = F.regexp_extract(
         F.lower(F.coalesce(url, F.lit(""))), r"^[a-z]+://[^/?#]+/([a-z]{2})(?:[/?#]|$)", 1
     )
