@@ -5,8 +5,8 @@ or the run of signs itself) has a sparse random index vector that follows from i
 word vector is the sum of the index vectors around its occurrences, gathered by Spark over
 all documents, labelled or not, made unit length, plus its own index vector. A document is the mean over its
 words and the mean over its shapes. A network of two layers, trained in numpy on the
-pooled vectors of the sample, gives a logit, and a temperature fitted on
-rows kept out of training makes it a probability.
+pooled vectors of the sample, gives a logit, and a temperature makes it a probability. It is fitted by
+cross-fitting: every row is scored by a network that has seen neither it nor any row like it.
 
 The sample, for the network and the temperature only, is bounded: at most SAMPLE labelled rows, those
 with the smallest hashes of their ids. All that reaches the driver is bounded by SAMPLE, BUCKETS
@@ -14,8 +14,8 @@ and DIM. Under one model, scores depend on the text alone.
 
 Defined results: a NULL or empty text is a document without terms and gets the score of the zero
 vector; labels that are NULL or belong to no document are not used; of several labels of one
-document the largest counts; repeated documents are scored each, and sampled once per
-row; without labels of both kinds the score is the share of label 1 (0.5 without any label); an
+document the largest counts; repeated documents are scored each; of an id with several texts one is
+in the sample, the first by the bytes of its pooled vector; without labels of both kinds the score is the share of label 1 (0.5 without any label); an
 empty table gives an empty table; only doc_id and text of the documents, and doc_id and the
 label of the labels, are looked at.
 """
@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinderlake.llm.common import Interner, blocks_of, text_bytes
+from cinderlake.llm.common import Interner, blocks_of, parts_of, released, text_bytes
 
 BUCKETS = 1 << 15
 DIM = 64
@@ -40,6 +40,9 @@ NONZERO = 6
 REACH = 2
 HIDDEN = 24
 SAMPLE = 10_000
+FOLDS = 3
+# Sampled rows of this cosine are taken for copies of one text.
+ALIKE = 0.99
 # Buckets whose sums are added up together: 8 kB from each task.
 _RANGE = 1 << 5
 _TERMS_AT_ONCE = 100_000
@@ -120,7 +123,7 @@ def _context_sums(docs: DataFrame) -> np.ndarray:
             {"part": rows.column("part")[:1], "sums": [total.astype(np.float32).tobytes()]}
         )
 
-    partial = docs.select(text_bytes()).mapInArrow(run, "part long, sums binary")
+    partial = docs.select(text_bytes()).mapInArrow(released(run), "part long, sums binary")
     sums = np.zeros((BUCKETS, DIM), np.float32)
     for part, blob in partial.groupBy("part").applyInArrow(add, "part long, sums binary").collect():
         sums[part : part + _RANGE] = np.frombuffer(blob, np.float32).reshape(_RANGE, DIM)
@@ -169,11 +172,11 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def train_network(
-    rows: np.ndarray, labels: np.ndarray, held: np.ndarray, epochs: int = 60, seed: int = 7
+    rows: np.ndarray, labels: np.ndarray, epochs: int = 60, seed: int = 7
 ) -> Network:
-    """Fit on the rows that are not ``held``, and the temperature on those that are."""
+    """Fit on all ``rows``, at temperature 1."""
     rows = rows.astype(np.float64)
-    x, y = rows[~held], labels[~held].astype(np.float64)
+    y = labels.astype(np.float64)
     if len(y) == 0 or y.min() == y.max():
         share = float(labels.mean()) if len(labels) else 0.5
         share = min(max(share, 1e-6), 1 - 1e-6)
@@ -182,9 +185,9 @@ def train_network(
             zero, zero + 1, np.zeros((rows.shape[1], 1)), np.zeros(1), np.zeros(1),
             float(np.log(share / (1 - share))), 1.0,
         )
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-3
+    mean, scale = rows.mean(axis=0), rows.std(axis=0) + 1e-3
     random = np.random.default_rng(seed)
-    x = (x - mean) / scale
+    x = (rows - mean) / scale
     p = [
         random.normal(0, x.shape[1] ** -0.5, (x.shape[1], HIDDEN)),
         np.zeros(HIDDEN),
@@ -208,18 +211,69 @@ def train_network(
                 square[i] = 0.999 * square[i] + 0.001 * g * g
                 m, s = moment[i] / (1 - 0.9**step), square[i] / (1 - 0.999**step)
                 p[i] = p[i] - 3e-3 * m / (np.sqrt(s) + 1e-8)
-    network = Network(mean, scale, p[0], p[1], p[2], float(p[3][0]), 1.0)
-    temperature = 1.0
-    if held.any():
-        z, t = network.logits(rows[held]), labels[held]
-        grid = np.exp(np.linspace(np.log(0.5), np.log(8), 60))
-
-        def loss(temperature: float) -> float:
-            q = np.clip(_sigmoid(z / temperature), 1e-9, 1 - 1e-9)
-            return float(-np.mean(t * np.log(q) + (1 - t) * np.log(1 - q)))
-
-        temperature = float(min(grid, key=loss))
-    return Network(mean, scale, p[0], p[1], p[2], float(p[3][0]), temperature)
+    return Network(mean, scale, p[0], p[1], p[2], float(p[3][0]), 1.0)
+
+
+def families(rows: np.ndarray, alike: float = ALIKE) -> np.ndarray:
+    """A number for each row, the same for rows that are linked by cosines of ``alike`` or more.
+
+    Cosines are those of the rows' differences from the mean row, each number over its deviation.
+    """
+    if not len(rows):
+        return np.zeros(0, int)
+    unit = _unit((rows - rows.mean(axis=0)) / (rows.std(axis=0) + 1e-3)).astype(np.float32)
+    family = np.arange(len(rows))
+    changed = True
+    while changed:
+        before = family.copy()
+        for at in range(0, len(rows), 512):
+            near = unit[at : at + 512] @ unit.T >= alike
+            lowest = np.where(near, family, len(rows)).min(axis=1)
+            family[at : at + 512] = np.minimum(family[at : at + 512], lowest)
+        changed = bool((family != before).any())
+    return family
+
+
+def log_losses(logits: np.ndarray, labels: np.ndarray, temperature: float) -> np.ndarray:
+    q = np.clip(_sigmoid(logits / temperature), 1e-9, 1 - 1e-9)
+    return -(labels * np.log(q) + (1 - labels) * np.log(1 - q))
+
+
+def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
+    """The temperature with the least log loss.
+
+    One below 1, which makes scores bolder, is taken only if its loss is lower than that of 1 by twice the
+    standard error of the difference.
+    """
+    grid = np.exp(np.linspace(np.log(0.5), np.log(8), 60))
+    best = float(min(grid, key=lambda t: log_losses(logits, labels, t).mean()))
+    if best >= 1:
+        return best
+    gain = log_losses(logits, labels, 1.0) - log_losses(logits, labels, best)
+    sure = len(gain) > 1 and gain.mean() > 2 * gain.std() / np.sqrt(len(gain))
+    return best if sure else 1.0
+
+
+def train_calibrated(rows: np.ndarray, labels: np.ndarray) -> Network:
+    """A network fitted on all rows, with a temperature from scores of rows that had no part in them.
+
+    Rows are cut into FOLDS, a family of near-equal rows into one of them, and each fold is scored by a network
+    fitted on the others.
+    """
+    network = train_network(rows, labels)
+    if not len(labels) or labels.min() == labels.max():
+        return network
+    family = families(rows)
+    fold = np.array([xxhash.xxh3_64_intdigest(rows[f].tobytes()) % FOLDS for f in family])
+    logits, scored = np.zeros(len(rows)), np.zeros(len(rows), bool)
+    for k in range(FOLDS):
+        held = fold == k
+        if held.any() and len(set(labels[~held].tolist())) == 2:
+            other = train_network(rows[~held], labels[~held])
+            logits[held], scored[held] = other.logits(rows[held].astype(np.float64)), True
+    if not scored.any():
+        return network
+    return replace(network, temperature=fit_temperature(logits[scored], labels[scored]))
 
 
 def fit(
@@ -254,14 +308,13 @@ def fit(
                 names=["doc_id", "row", "label"],
             )
 
-    # At most ``sample`` documents, unless ids repeat: then the rows of an id are one mean row.
-    found = texts.mapInArrow(run, "doc_id long, row binary, label double")
-    found = found.groupBy("doc_id").agg(F.first("row").alias("row"), F.max("label").alias("label"))
+    # At most ``sample`` documents; of an id with several texts the row that is first by its bytes.
+    found = texts.mapInArrow(released(run), "doc_id long, row binary, label double")
+    found = found.groupBy("doc_id").agg(F.min("row").alias("row"), F.max("label").alias("label"))
     got = sorted(found.collect())
     rows = np.array([np.frombuffer(r.row, np.float32) for r in got]).reshape(len(got), 2 * DIM)
     answers = np.array([1.0 if r.label > 0 else 0.0 for r in got])
-    held = np.array([xxhash.xxh3_64_intdigest(str(r.doc_id)) % 8 == 0 for r in got], bool)
-    return vectors, train_network(rows, answers, held)
+    return vectors, train_calibrated(rows, answers)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, Network]) -> DataFrame:
@@ -277,7 +330,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, Network]) -> DataFrame:
                 names=["doc_id", "score"],
             )
 
-    return docs.select("doc_id", text_bytes()).mapInArrow(run, "doc_id long, score double")
+    return docs.select("doc_id", text_bytes()).mapInArrow(released(run), "doc_id long, score double")
 
 
 def keep_good(docs: DataFrame, model: tuple[np.ndarray, Network], least: float) -> DataFrame:
@@ -286,9 +339,9 @@ def keep_good(docs: DataFrame, model: tuple[np.ndarray, Network], least: float)
 
     def run(batches):
         (vectors, network), known = shared.value, Interner(_word_and_shape)
-        for batch in batches:
-            texts = batch.column("text").cast(pa.binary())
+        for part in parts_of(batches, "text"):
+            texts = part.column("text").cast(pa.binary())
             rows = pooled([t.as_py() or b"" for t in texts], vectors, known)
-            yield batch.filter(pa.array(network.score(rows) >= least))
+            yield part.filter(pa.array(network.score(rows) >= least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

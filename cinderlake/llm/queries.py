@@ -53,12 +53,21 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
 
 
+def absent_languages(labelled: DataFrame) -> list[str]:
+    """The wanted languages that no labelled document has; none if no document has any of them."""
+    wanted = labelled.where(F.col("lang").isin(list(LANGUAGE_WEIGHTS)))
+    present = {r["lang"] for r in wanted.select("lang").distinct().collect()}
+    return [c for c in LANGUAGE_WEIGHTS if c not in present] if present else []
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, with languages as domains, learned from the documents in ``labels``."""
     docs = table(spark, sf_dir, "documents")
     labelled = table(spark, sf_dir, "labels").select("doc_id").distinct()
     labelled = docs.select("doc_id", "lang").join(labelled, "doc_id", "left_semi")
-    return mixing.mix(docs, labelled, "lang", LANGUAGE_WEIGHTS)
+    return mixing.mix(
+        docs, labelled, "lang", LANGUAGE_WEIGHTS, ignored=absent_languages(labelled)
+    )
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,6 +74,73 @@ def test_word_vectors_learn_from_documents_without_labels(spark, documents):
     assert np.array_equal(vectors, again)
 
 
+def test_repeated_ids_do_not_depend_on_tasks(spark, documents):
+    rng = random.Random(2)
+    more = [(i, text(rng, GOOD, k % 2 == 0), 0.1) for i in range(60) for k in range(3)]
+    docs = documents.union(spark.createDataFrame(more, documents.schema))
+    labels = spark.createDataFrame([(i, int(i % 4 != 0)) for i in range(300)], "doc_id long, quality int")
+    found = []
+    for parts in (3, 30):
+        dealt = docs.repartition(parts)
+        vectors, network = quality.fit(dealt, labels)
+        found.append((vectors.tobytes(), network.w1.tobytes(), network.temperature))
+    assert found[0] == found[1]
+
+
+def test_pooling_and_scores_of_whole_texts(spark):
+    """Every score of a given table from plain loops over terms, under the fitted vectors and network."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    vectors, network = quality.fit(docs, labels)
+    got = {r.doc_id: r.score for r in quality.score(docs, (vectors, network)).collect()}
+    for row in docs.collect():
+        words, shapes, terms = np.zeros(quality.DIM), np.zeros(quality.DIM), 0
+        for term in quality._TERM.findall((row.text or "").encode()):
+            w, s = divmod(quality._word_and_shape(term), quality.BUCKETS)
+            words, shapes, terms = words + vectors[w], shapes + vectors[s], terms + 1
+        pooled = np.concatenate([words, shapes]) / max(1, terms)
+        hidden = np.tanh((pooled - network.mean) / network.scale @ network.w1 + network.b1)
+        logit = (hidden @ network.w2 + network.b2) / network.temperature
+        assert got[row.doc_id] == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-4)
+
+
+def test_families_of_rows():
+    rng = np.random.default_rng(0)
+    rows = rng.normal(size=(700, 20)).astype(np.float32)
+    rows[650] = rows[3]
+    rows[651:655] = rows[10] + rng.normal(size=(4, 20)) * 0.001
+    family = quality.families(rows)
+    assert family[650] == 3 and set(family[651:655]) == {10} and len(set(family)) == 695
+    assert len(quality.families(rows[:0])) == 0
+
+
+def test_temperature_needs_evidence_to_be_bold():
+    rng = np.random.default_rng(1)
+    z = rng.normal(size=4000) * 2
+    drawn = rng.random(4000)
+    honest = (drawn < 1 / (1 + np.exp(-z))).astype(float)
+    assert quality.fit_temperature(z * 3, honest) == pytest.approx(3, rel=0.15)
+    assert quality.fit_temperature(z / 2, honest) < 0.7  # plain evidence
+    assert quality.fit_temperature(z[:6] / 1.1, honest[:6]) >= 1 or len(set(honest[:6])) == 1
+    near = quality.fit_temperature(z, honest)
+    assert near == 1.0 or near == pytest.approx(1, abs=0.1)
+
+
+def test_temperature_does_not_harm_held_out_rows(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    from cinderlake.llm.common import id_crc
+
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    vectors, network = quality.fit(docs, labels.where(id_crc() % 4 != 2))
+    held = docs.join(labels.where(id_crc() % 4 == 2), "doc_id").select("text", "quality").collect()
+    rows = quality.pooled([(r.text or "").encode() for r in held], vectors, quality.Interner(quality._word_and_shape))
+    z, y = network.logits(rows.astype(np.float64)), np.array([r.quality for r in held], float)
+    with_it, without = (quality.log_losses(z, y, t).mean() for t in (network.temperature, 1.0))
+    assert with_it <= without + 1e-6
+
+
 @pytest.fixture(scope="module")
 def mixed(spark):
     rng = random.Random(3)
@@ -146,6 +213,127 @@ def test_a_rare_domain_limits_the_total(spark):
         mixing.solve_rates(frame.where("doc_id < 1000"), weights)
 
 
+def members_of(spark, posterior, tokens=100, parts=3):
+    return spark.createDataFrame(
+        [(i, tokens, p.tolist()) for i, p in enumerate(posterior)],
+        "doc_id long, n_tokens long, posterior array<double>",
+    ).repartition(parts)
+
+
+def test_a_domain_of_one_in_ten_thousand(spark):
+    # Posteriors as a classifier gives them: none is quite 0 or 1.
+    posterior = np.array([[1 - 1e-6, 1e-6]] * 9999 + [[0.001, 0.999]])
+    members, weights = members_of(spark, posterior), np.array([0.99, 0.01])
+    have = 100 * posterior.sum(axis=0)
+    once = mixing.solve_rates(members, weights)
+    assert once.wanted.sum() == pytest.approx((have / weights).min())
+    assert once.reached == pytest.approx(once.wanted, rel=0.02)
+    often = mixing.solve_rates(members, weights, most_copies=120)
+    assert often.wanted.sum() == pytest.approx(have.sum())  # the corpus does not shrink
+    assert often.converged and often.reached == pytest.approx(often.wanted, rel=0.01)
+    found = rates(posterior, often.gradients, often.momenta, 120)
+    assert 90 < found[-1] <= 120 and found[:-1].max() < 1.01
+    left_out = mixing.solve_rates(members, weights, ignored=[1])
+    assert left_out.wanted.sum() == pytest.approx(have[0] / 0.99, rel=1e-6)
+
+
+def test_totals_above_the_supply(spark):
+    posterior = np.array([[1.0, 0.0]] * 100 + [[0.0, 1.0]] * 300)
+    members, weights = members_of(spark, posterior), np.array([0.5, 0.5])
+    given = mixing.solve_rates(members, weights, total_tokens=46_000, most_copies=3)
+    assert given.converged and given.reached == pytest.approx([23_000, 23_000], rel=0.01)
+    found = rates(posterior, given.gradients, given.momenta, 3)
+    assert found[:100] == pytest.approx(2.3, rel=0.01) and found[100:] == pytest.approx(23 / 30, rel=0.01)
+    most = mixing.solve_rates(members, weights, total_tokens=200_000, most_copies=3)
+    assert most.reached == pytest.approx([30_000, 90_000], rel=0.01)
+
+
+def test_written_rates_are_the_rates(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    posterior = rng.dirichlet([0.3] * 4, 150)
+    members, weights = members_of(spark, posterior), np.array([0.1, 0.2, 0.3, 0.4])
+    every = mixing.solve_rates(members, weights)
+    monkeypatch.setattr(mixing, "REPLAY", 1000)
+    plain = mixing.solve_rates(members, weights)
+    assert len(every.gradients) > 12 and len(every.gradients) == len(plain.gradients)
+    assert every.reached == pytest.approx(plain.reached, rel=1e-9)
+    at_last = 100 * rates(posterior, every.gradients, every.momenta) @ posterior
+    assert at_last == pytest.approx(every.reached, rel=1e-9)
+
+
+def test_a_wanted_domain_without_labelled_rows(mixed):
+    targets = {"en": 0.4, "de": 0.5, "xx": 0.1}
+    with pytest.raises(ValueError, match=r"no labelled rows of the wanted domains \['xx'\]"):
+        mixing.fit(mixed, mixed, "lang", targets)
+    with pytest.raises(ValueError, match="xx"):
+        mixing.fit(mixed, mixed, "lang", targets, total_tokens=100)
+    mixer, _ = mixing.fit(mixed, mixed, "lang", targets, ignored=["xx"])
+    want = mixer.report.wanted
+    assert want["xx"] == 0 and want["de"] / want["en"] == pytest.approx(1.25)
+    assert mixer.report.reached["de"] == pytest.approx(want["de"], rel=0.01)
+    assert sum(mixer.report.reached.values()) > 1000
+    none = mixing.fit(mixed, mixed, "lang", {"en": 1.0, "xx": 0.0})[0].report
+    assert none.reached["en"] > 0
+
+
+def test_documents_taken_more_than_once(spark, mixed):
+    targets = {"en": 0.2, "de": 0.8}
+    options = {"total_tokens": 12_000.0, "most_copies": 4.0}
+    got = mixing.mix(mixed, mixed, "lang", targets, **options).collect()
+    assert max(r.rate for r in got) > 1.2 and all(r.kept == (r.copies > 0) for r in got)
+    assert all(r.copies in (int(r.rate), int(r.rate) + 1) for r in got)
+    taken = sum(r.n_tokens * r.copies * np.array(r.posterior) for r in got)
+    assert taken / taken.sum() == pytest.approx([0.8, 0.2], abs=0.06)
+    mixer, _ = mixing.fit(mixed, mixed, "lang", targets, **options)
+    whole = mixing.keep_mixed(mixed, mixer).groupBy("doc_id").count().collect()
+    want = {}
+    for r in got:
+        want[r.doc_id] = want.get(r.doc_id, 0) + r.copies
+    assert {r.doc_id: r["count"] for r in whole} == {i: n for i, n in want.items() if n}
+    with pytest.raises(ValueError, match="at least 1"):
+        mixing.fit(mixed, mixed, "lang", targets, most_copies=0.5)
+
+
+def test_mix_against_plain_python(spark):
+    """Posteriors, rates and draws of whole documents, worked out again from counts of words."""
+    import xxhash
+
+    rng = random.Random(12)
+    rows = [(i, text(rng, OTHER if i % 4 == 0 else GOOD), "de" if i % 4 == 0 else "en")
+            for i in range(300)]
+    rows += [(400, None, None), (401, "no such words", None), (402, rows[0][1] * 40, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    targets, labelled = {"en": 0.5, "de": 0.5}, docs.where("doc_id < 200")
+    mixer, _ = mixing.fit(docs, labelled, "lang", targets)
+    buckets = mixing.BUCKETS
+
+    def places(t):
+        return [xxhash.xxh3_64_intdigest(w) % buckets for w in (t or "").lower().encode().split()]
+
+    counts = np.zeros((2, buckets))
+    for i, t, lang in rows:
+        if i < 200:
+            np.add.at(counts[["de", "en"].index(lang)], places(t), 1)
+    pool = (counts.sum(axis=0) + 1) / (counts.sum() + buckets)
+    likely = np.log((counts + 50 * pool) / (counts.sum(axis=1, keepdims=True) + 50))
+    shares = np.array([51, 151]) / 202
+    got = {r.doc_id: r for r in mixing.mix(docs, labelled, "lang", targets).collect()}
+    for i, t, _ in rows:
+        found = places(t)
+        logit = np.log(shares)
+        if found:
+            logit = logit + likely[:, found].mean(axis=1) * len(found) / (1 + len(found) / mixing.EVIDENCE)
+        posterior = np.exp(logit - logit.max())
+        posterior /= posterior.sum()
+        rate = before = 1.0
+        for g, m in zip(mixer.gradients, mixer.momenta, strict=True):
+            rate, before = min(1.0, max(0.0, rate + m * (rate - before) - posterior @ g)), rate
+        drawn = xxhash.xxh3_64_intdigest(f"mix {i}") / 2.0**64
+        assert got[i].posterior == pytest.approx(posterior.tolist(), abs=1e-9)
+        assert got[i].n_tokens == len(found) and got[i].rate == pytest.approx(rate, abs=1e-9)
+        assert got[i].kept == (drawn < rate) and got[i].copies == int(drawn < rate)
+
+
 def test_mixer_reports_what_it_reaches(mixed):
     mixer, _ = mixing.fit(mixed, mixed, "lang", {"en": 0.4, "de": 0.6})
     assert mixer.report.converged and not mixer.report.missed() and not mixer.report.ignored

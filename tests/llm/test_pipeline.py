@@ -21,7 +21,7 @@ def test_sql(spark, name):
 
 def test_names():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= entry_point.queries().keys()
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
