@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cinderlake.llm import dedup, jaccard, mixing, packing, quality
 from cinderlake.llm.common import id_crc, table, without
-from cinderlake.llm.queries import LANGUAGE_WEIGHTS, tokenizer_path
+from cinderlake.llm.queries import LANGUAGE_WEIGHTS, absent_languages, tokenizer_path
 from cinderlake.workspace import materialize
 
 LEAST_QUALITY = 0.7
@@ -56,10 +56,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A draw of the documents whose expected tokens have the wanted share of each language."""
+    """A draw of the documents whose expected tokens have the wanted share of each language.
+
+    A wanted language that no labelled document has is left out, and the shares of the others are
+    scaled to add up to 1; the log says which.
+    """
     labelled = table(spark, sf_dir, "labels").select("doc_id").distinct()
     labelled = docs.select("doc_id", "lang").join(labelled, "doc_id", "left_semi")
-    mixer, _ = mixing.fit(docs, labelled, "lang", LANGUAGE_WEIGHTS)
+    absent = absent_languages(labelled)
+    mixer, _ = mixing.fit(docs, labelled, "lang", LANGUAGE_WEIGHTS, ignored=absent)
     return mixing.keep_mixed(docs, mixer)
 
 
