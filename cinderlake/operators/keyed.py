@@ -55,19 +55,42 @@ def insert_if_absent(
     conflict, as under an SQL unique constraint; ``null_keys`` says what becomes of
     those rows: ``keep`` all, ``drop`` all, or ``error`` (a primary key).
 
-    The keys that are new are found and written first, from the key columns of both sides
-    alone; if the incoming keys are few, they are broadcast and a large target is scanned but not
-    shuffled. Only rows with a new key are then read in full and shuffled for the first-row
-    rule, so a cumulative snapshot costs little where it brings nothing new. ``incoming``
-    is read twice, three times if NULL keys are kept and possible, and should be a stored table.
-    ``incoming_rows`` saves counting it.
+    If the incoming keys are few, they are broadcast to the target, and those found there, no more of
+    them, come back by broadcast: neither side is shuffled for the check, and nothing is written. Otherwise
+    the keys that are new are found and written first, from the key columns of both sides alone.
+    Only rows with a new key are shuffled in full, for the first-row rule, so a cumulative
+    snapshot costs little where it brings nothing new. ``incoming`` is read twice, three times if
+    NULL keys are kept and possible, and should be a stored table. ``incoming_rows`` saves counting it.
     """
+    if null_keys != "error" and fits_broadcast(
+        incoming.select(*keys), max_broadcast_bytes, incoming_rows
+    ):
+        _check_null_keys(null_keys)
+        known = incoming.where(no_nulls(keys))
+        few = F.broadcast(known.select(*keys))
+        present = target.select(*keys).join(few, list(keys), "left_semi").distinct()
+        new = known.join(F.broadcast(present), list(keys), "left_anti")
+        fresh = first_per_key(new, keys, order_by).select(*incoming.columns)
+        return _with_null_keys(fresh, incoming, keys, null_keys)
     fresh, _ = fresh_rows(
         target, incoming, keys, order_by, null_keys, incoming_rows, max_broadcast_bytes
     )
     return fresh
 
 
+def _check_null_keys(null_keys: str) -> None:
+    if null_keys not in ("keep", "drop", "error"):
+        raise ValueError(f"null_keys must be keep, drop or error, not {null_keys!r}")
+
+
+def _with_null_keys(
+    fresh: DataFrame, incoming: DataFrame, keys: Sequence[str], null_keys: str
+) -> DataFrame:
+    if null_keys == "keep" and any(incoming.schema[k].nullable for k in keys):
+        return fresh.unionByName(incoming.where(~no_nulls(keys)))
+    return fresh
+
+
 def fresh_rows(
     target: DataFrame,
     incoming: DataFrame,
@@ -77,9 +100,8 @@ def fresh_rows(
     incoming_rows: int | None = None,
     max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> tuple[DataFrame, int]:
-    """What ``insert_if_absent`` returns, and how many new keys there are."""
-    if null_keys not in ("keep", "drop", "error"):
-        raise ValueError(f"null_keys must be keep, drop or error, not {null_keys!r}")
+    """What ``insert_if_absent`` returns, and how many new keys there are, which are written first."""
+    _check_null_keys(null_keys)
     wanted = incoming.select(*keys)
     if null_keys == "error":
         wanted = require_values(wanted, keys)
@@ -95,10 +117,7 @@ def fresh_rows(
     if fits_broadcast(new, max_broadcast_bytes, count):
         new = F.broadcast(new)
     fresh = first_per_key(incoming.join(new, list(keys), "left_semi"), keys, order_by)
-    fresh = fresh.select(*incoming.columns)
-    if null_keys == "keep" and any(incoming.schema[k].nullable for k in keys):
-        fresh = fresh.unionByName(incoming.where(~no_nulls(keys)))
-    return fresh, count
+    return _with_null_keys(fresh.select(*incoming.columns), incoming, keys, null_keys), count
 
 
 # Up to so many rows of a few columns are numbered in one task, without a written step.
