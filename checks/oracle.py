@@ -476,3 +476,6 @@ ORACLE_SQL |= {
         FROM (SELECT CAST(unnest(generate_series(DATE '1992-01-01', DATE '1992-01-01' + 2556, INTERVAL 1 DAY)) AS DATE) AS d)
         LEFT JOIN orders ON o_orderdate = d GROUP BY ALL""",
 }
+ORACLE_SQL["incident_source"] = f"""
+    WITH numbers AS (SELECT row_number() OVER () - 1 AS n FROM orders)
+    SELECT {_COLUMNS} FROM ({_synthetic("n", "numbers")})"""

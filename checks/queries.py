@@ -40,6 +40,7 @@ from cinderlake.plans.growth import ROW, grow_snapshot, new_incidents
 from cinderlake.plans.medallion import load_incidents, load_latest
 from cinderlake.schemas import UNIQUE_FIELDS, struct
 from cinderlake.sources.bucketed import BucketedTable
+from cinderlake.sources.incident_source import FORMAT, register_incidents
 from cinderlake.sources.rejects import read_checked
 from cinderlake.sources.snapshots import (
     latest_snapshot,
@@ -617,3 +618,13 @@ def sql_functions(spark, sf_dir):
         GROUP BY ALL
         """
     )
+
+
+@query
+def incident_source(spark, sf_dir):
+    """An incident for every order out of the data source, with keys above those of the incidents."""
+    register_incidents(spark)
+    maxima = max_values(incidents(spark, sf_dir), UNIQUE_FIELDS).first().asDict()
+    reader = spark.read.format(FORMAT).options(**{f"max_{f}": top for f, top in maxima.items()})
+    reader = reader.option("rows", table(spark, sf_dir, "orders").count()).option("seed", 7)
+    return reader.options(start=START.isoformat(), end=END.isoformat()).load()
