@@ -5,10 +5,13 @@ tokens). From the largest size down, a window takes one document of its own tier
 is filled with the largest documents of shorter tiers that fit, and what is left of
 the gap with the head of a shorter document, whose tail is routed anew. Documents above the
 largest size give full windows first. A full window is a power of two and so needs no
-padding. At the end of a task the last open window is cut into powers of two.
+padding.
 
-Tasks pack their own rows, block by block, so nothing is shuffled, and a task that runs again gives
-the same sequences. Step groups take 16 windows of the largest size in tokens each.
+Tasks pack their own rows, block by block, so texts are not shuffled, and a task that runs again gives
+the same sequences. What no task could fill a window with, less than a few windows from each, is
+shuffled once and packed again, many tasks' rests together; only what is left of these is cut into
+powers of two. Step groups take 16 windows of the largest size in tokens each, counted through all
+tasks, so that groups differ by less than a window but for the last one.
 
 Defined results: a NULL text counts as empty; an empty text is its end token alone; a NULL
 doc_id stays NULL and is a document like any other; rows that repeat are packed each; an empty
@@ -26,9 +29,11 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-from cinderlake.llm.common import blocks_of, byte_letters, ragged, text_bytes
+from cinderlake.llm.common import blocks_of, byte_letters, ragged, released, text_bytes
+from cinderlake.workspace import materialize
 
 TIERS = (512, 1024, 2048, 4096)
 END_ID = 2
@@ -39,11 +44,15 @@ SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, tier int, step_group long"
 )
+# A piece with its window and the task's tokens before it, or a rest with its ids.
+_PACKED = SCHEMA.replace("step_group long", "task long, before long, ids binary")
 _ARROW = pa.schema(
     [(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens",
                                "sequence_id", "offset")]
-    + [("tier", pa.int32()), ("step_group", pa.int64())]
+    + [("tier", pa.int32()), ("task", pa.int64()), ("before", pa.int64()), ("ids", pa.binary())]
 )
+# Rests of so many tokens are packed together by one task.
+_REST_TOKENS = 1 << 18
 
 
 def plan_windows(
@@ -149,56 +158,99 @@ def pack(
         raise ValueError("tiers must be ascending powers of two")
 
     def run(batches):
-        encode = tokenizer()
-        first = TaskContext.get().partitionId() << 33
-        state = {"windows": 0, "tokens": 0}
-        # The open end of the block before: (doc_id, doc_tokens, start in the document, ids).
-        carried: list[tuple] = []
-
-        def block_rows(rows: list[tuple], last: bool) -> pa.RecordBatch:
-            nonlocal carried
-            ids, counts = encode([t for _, t in rows])
-            ends = np.cumsum(counts)
-            streams = list(carried)
-            for (doc_id, _), end, n in zip(rows, ends.tolist(), counts.tolist(), strict=True):
+        encode, packer = tokenizer(), _Packer(tiers, 0)
+        blocks = blocks_of(
+            batches, lambda r: len(r[1]), "doc_id", "text", most=_BLOCK_BYTES
+        )
+        for block in blocks:
+            ids, counts = encode([t for _, t in block])
+            streams = []
+            for (doc_id, _), end, n in zip(
+                block, np.cumsum(counts).tolist(), counts.tolist(), strict=True
+            ):
                 own = np.empty(n + 1, "<u4")
                 own[:n], own[n] = ids[end - n : end], END_ID
                 streams.append((doc_id, n + 1, 0, own))
-            windows, left = plan_windows([len(s[3]) for s in streams], tiers, last)
-            carried = [
-                (streams[d][0], streams[d][1], streams[d][2] + at, streams[d][3][at : at + n])
-                for d, at, n in left
+            yield packer.pack(streams, last=False)
+        yield packer.rests()
+
+    def run_rests(batches):
+        packer = _Packer(tiers, 1 << 62)
+        names = ("doc_id", "doc_tokens", "start", "ids")
+        for block in blocks_of(batches, lambda r: len(r[3]), *names, most=_BLOCK_BYTES):
+            streams = [(i, total, at, np.frombuffer(own, "<u4")) for i, total, at, own in block]
+            yield packer.pack(streams, last=False)
+        yield packer.pack([], last=True)
+
+    # Written, as the texts would be encoded twice otherwise.
+    first = materialize(
+        docs.select("doc_id", text_bytes()).mapInArrow(released(run), _PACKED), "packed"
+    )
+    rests = first.where("ids IS NOT NULL")
+    tokens = rests.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    dealt = rests.withColumn("n", F.monotonically_increasing_id()).repartition(
+        max(1, -(-tokens // _REST_TOKENS)), "n"
+    )
+    second = materialize(
+        dealt.select("doc_id", "doc_tokens", "start", "ids").mapInArrow(run_rests, _PACKED), "rests"
+    )
+    packed = first.where("ids IS NULL").unionByName(second)
+    # Windows are counted through task by task, one row per task; the groups follow from it.
+    totals = packed.groupBy("task").agg(F.max(F.col("before") + F.col("tier")).alias("tokens"))
+    earlier = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("task", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("first"))
+    group = F.floor((F.col("first") + F.col("before")) / (STEP_WINDOWS * tiers[-1])).cast("long")
+    return packed.join(F.broadcast(starts), "task").select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier",
+        group.alias("step_group"),
+    )
+
+
+class _Packer:
+    """Packs the streams of a task, (doc_id, doc_tokens, start in the document, ids), block by block."""
+
+    def __init__(self, tiers: tuple[int, ...], above: int):
+        self._tiers, self._task = tiers, above + (TaskContext.get().partitionId() << 33)
+        self._windows = self._tokens = 0
+        self._carried: list[tuple] = []  # the open end of the blocks so far
+
+    def pack(self, streams: list[tuple], last: bool) -> pa.RecordBatch:
+        streams = [*self._carried, *streams]
+        windows, left = plan_windows([len(s[3]) for s in streams], self._tiers, last)
+        self._carried = [
+            (streams[d][0], streams[d][1], streams[d][2] + at, streams[d][3][at : at + n])
+            for d, at, n in left
+        ]
+        out = []
+        for size, window in windows:
+            offset = 0
+            for d, at, n in window:
+                doc_id, total, before, own = streams[d]
+                crc = zlib.crc32(own[at : at + n].tobytes())
+                out.append(
+                    (doc_id, before + at, n, crc, total, self._task + self._windows, offset, size,
+                     self._task, self._tokens, None)
+                )
+                offset += n
+            self._windows += 1
+            self._tokens += size
+        return _packed_batch(out)
+
+    def rests(self) -> pa.RecordBatch:
+        """What is left, with its ids."""
+        return _packed_batch(
+            [
+                (doc_id, at, len(own), None, total, None, None, None, self._task, None, own.tobytes())
+                for doc_id, total, at, own in self._carried
             ]
-            out = []
-            for size, window in windows:
-                offset = 0
-                sequence, step = first + state["windows"], state["tokens"] // (
-                    STEP_WINDOWS * tiers[-1]
-                )
-                for d, at, n in window:
-                    doc_id, total, before, own = streams[d]
-                    crc = zlib.crc32(own[at : at + n].tobytes())
-                    out.append(
-                        (doc_id, before + at, n, crc, total, sequence, offset, size, first + step)
-                    )
-                    offset += n
-                state["windows"] += 1
-                state["tokens"] += size
-            columns = zip(*out, strict=True) if out else [[]] * len(_ARROW)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(c), f.type) for c, f in zip(columns, _ARROW, strict=True)],
-                schema=_ARROW,
-            )
-
-        blocks = blocks_of(
-            batches, lambda r: len(r[1]), "doc_id", "text", most=_BLOCK_BYTES
         )
-        for block in blocks:
-            yield block_rows(block, last=False)
-        if carried:
-            yield block_rows([], last=True)
 
-    return docs.select("doc_id", text_bytes()).mapInArrow(run, SCHEMA)
+
+def _packed_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(_ARROW)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), f.type) for c, f in zip(columns, _ARROW, strict=True)], schema=_ARROW
+    )
 
 
 #: Fixed value: the pattern by which such vocabularies split lower-case text into pieces.

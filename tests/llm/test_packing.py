@@ -83,3 +83,22 @@ def test_documents(spark):
             for d in want[doc_id]
         )
     assert pack(docs.limit(0), word_tokenizer(PATH)).count() == 0
+
+
+def test_small_partitions_leave_few_fragments_and_even_groups(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = pack(docs.repartition(400), word_tokenizer(PATH)).toPandas()
+    windows = got.groupby("sequence_id").agg(
+        tokens=("length", "sum"), tier=("tier", "first"), group=("step_group", "first"),
+        groups=("step_group", "nunique"),
+    )
+    assert (windows.tokens == windows.tier).all() and (windows.groups == 1).all()
+    total = windows.tokens.sum()
+    assert windows.tokens[windows.tokens < 512].sum() < 0.01 * total
+    sizes = windows.groupby("group").tokens.sum().sort_index()
+    assert sizes.index.tolist() == list(range(len(sizes)))
+    assert (abs(sizes[:-1] / 65536 - 1) < 0.1).all()
+    whole = pack(docs.coalesce(1), word_tokenizer(PATH)).toPandas()
+    assert whole.length.sum() == total
+    pieces = got.sort_values(["doc_id", "start"]).groupby("doc_id")
+    assert all((g.start.to_numpy()[1:] == (g.start + g.length).to_numpy()[:-1]).all() for _, g in pieces)
