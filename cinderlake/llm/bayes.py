@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinderlake.llm.common import Interner, text_bytes, words
+from cinderlake.llm.common import Interner, released, text_bytes, words
 from cinderlake.workspace import materialize
 
 SAMPLE = 20_000
@@ -137,7 +137,7 @@ def fit(
         )
 
     schema = "class long, counts binary, docs long"
-    partial = texts.select("text", "class").mapInArrow(run, schema)
+    partial = texts.select("text", "class").mapInArrow(released(run), schema)
     shares = np.ones(len(classes))
     counts = np.zeros((len(classes), buckets))
     for k, blob, n in partial.groupBy("class").applyInArrow(add, schema).collect():

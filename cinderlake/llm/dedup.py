@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinderlake.llm.common import rows_of, text_bytes
+from cinderlake.llm.common import released, rows_of, text_bytes
 from cinderlake.workspace import materialize
 
 SHORTEST = 2048
@@ -88,7 +88,7 @@ def _distinct_chunks(docs: DataFrame, key_bytes: int) -> DataFrame:
                 [pa.array(keys, pa.binary()), pa.array(list(found), pa.binary())], schema=_CHUNK
             )
 
-    return docs.select(text_bytes()).mapInArrow(run, "key binary, chunk binary").distinct()
+    return docs.select(text_bytes()).mapInArrow(released(run), "key binary, chunk binary").distinct()
 
 
 def _recipes(docs: DataFrame, key_bytes: int) -> DataFrame:
@@ -105,7 +105,7 @@ def _recipes(docs: DataFrame, key_bytes: int) -> DataFrame:
             )
 
     return docs.select("doc_id", text_bytes()).mapInArrow(
-        run, "doc_id long, text_sha256 string, recipe binary"
+        released(run), "doc_id long, text_sha256 string, recipe binary"
     )
 
 
@@ -126,7 +126,7 @@ def _numbered(docs: DataFrame, shared_keys: DataFrame, key_bytes: int) -> DataFr
             )
 
     places = docs.select("doc_id", text_bytes()).mapInArrow(
-        run, "doc_id long, text_sha256 string, place long, key binary, chunk binary"
+        released(run), "doc_id long, text_sha256 string, place long, key binary, chunk binary"
     )
     places = places.join(shared_keys, "key", "left_semi")
     contents = places.select("key", "chunk").distinct()

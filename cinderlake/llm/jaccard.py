@@ -39,6 +39,7 @@ from cinderlake.llm.common import (
     Interner,
     blocks_of,
     ragged,
+    released,
     rows_of,
     text_bytes,
     words,
@@ -48,6 +49,8 @@ from cinderlake.workspace import materialize
 
 FAMILY_SHINGLES = 500_000
 HOLDERS = 4096
+# No more holders of one shingle go through a window together; with more it counts as common.
+HELD_TOGETHER = 100_000
 # Bound of what steers the order of shingles.
 COMMON_SHINGLES = 1 << 17
 _COMMON_IN_BATCH = 3
@@ -206,7 +209,7 @@ def _signatures(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
             )
 
     return docs.select("doc_id", text_bytes()).mapInArrow(
-        run,
+        released(run),
         "doc_id long, n_shingles long, set_key binary, node long, bitmap binary, token long, "
         "seen long",
     )
@@ -271,7 +274,7 @@ def _postings(docs: DataFrame, n: int, num: int, den: int, order: np.ndarray) ->
                 )
 
     return docs.select(text_bytes()).mapInArrow(
-        run, "token long, node long, size int, common boolean"
+        released(run), "token long, node long, size int, common boolean"
     )
 
 
@@ -282,10 +285,19 @@ def _candidate_edges(
 
     A holder of a rare shingle stays if the next smaller or larger holder is near enough in size; that
     drops most holders, which share a shingle by chance, from a narrow table. A shingle that more
-    than one set in COMMON_SHINGLES / (mean size of a set) holds is a common one; those are
-    counted by aggregates and may go on in blocks. Only what is left is joined with
+    than one set in COMMON_SHINGLES / (mean size of a set) holds is a common one, and so is one with
+    more than HELD_TOGETHER holders; those are counted by aggregates and may go on in blocks. Only what is left is joined with
     bitmaps. Groups go through in sorted order, many at a time.
     """
+    # Partial counts of the tasks tell which shingles of the rare ones have very many holders.
+    many = postings.where("NOT common").groupBy("token").agg(F.count("*").alias("n"))
+    many = materialize(many.where(F.col("n") > HELD_TOGETHER).select("token"), "held-by-many")
+    hot = many.count()
+    if hot:
+        side = F.broadcast(many) if hot <= BROADCAST_ROWS else many
+        marked = postings.join(side.withColumn("hot", F.lit(True)), "token", "left")
+        common = F.col("common") | F.col("hot").isNotNull()
+        postings = marked.select("token", "node", "size", common.alias("common"))
     by_token = Window.partitionBy("token")
     by_size = by_token.orderBy("size", "node")
     smaller, larger = F.lag("size").over(by_size), F.lead("size").over(by_size)
@@ -302,8 +314,10 @@ def _candidate_edges(
     counts = common.groupBy("token").agg(
         F.count("*").alias("n"), F.min("node").alias("x"), F.max("node").alias("y")
     )
-    # At most COMMON_SHINGLES rows of two numbers.
-    counts = F.broadcast(counts.where("x < y").select("token", "n"))
+    # At most COMMON_SHINGLES rows of two numbers, and those that are held by many.
+    counts = counts.where("x < y").select("token", "n")
+    if hot <= BROADCAST_ROWS:
+        counts = F.broadcast(counts)
     common = common.join(counts, "token").select("token", "node", "size", "n")
     alive = rare.unionByName(common).withColumn(
         "m", F.ceil(F.col("n") / holders).cast("int")
@@ -352,7 +366,7 @@ def _candidate_edges(
         if held is not None:
             yield edges(held)
 
-    return found.mapInArrow(run, "a long, b long").distinct()
+    return found.mapInArrow(released(run), "a long, b long").distinct()
 
 
 class PrefixTree:

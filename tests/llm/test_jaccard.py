@@ -134,3 +134,18 @@ def test_large_group_of_variants(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_components(docs).collect() == []
+
+
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_a_rare_shingle_with_very_many_holders(spark, rows, monkeypatch, most):
+    """Shingles that are rare in every batch and held by many all the same; by broadcast and by shuffle."""
+    monkeypatch.setattr(jaccard, "HELD_TOGETHER", 3)
+    monkeypatch.setattr(jaccard, "_COMMON_IN_BATCH", 1000)
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", most)
+    windows = []
+    plain = jaccard.Window.partitionBy
+    monkeypatch.setattr(jaccard.Window, "partitionBy", lambda *c: windows.append(c) or plain(*c))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(40)
+    got = jaccard_components(docs, 3, 90, 100, 500_000, 2)
+    assert sorted(map(tuple, got.collect()), key=str) == expected(rows, 3, 90, 100)
+    assert windows  # the rare ones still go through a window
