@@ -30,10 +30,12 @@ def main(arguments: list[str] | None = None) -> None:
     load.add_argument("snapshots")
     load.add_argument("--load-id")
     load.add_argument("--multi-line", action="store_true")
+    load.add_argument("--most-rejects", type=int, help="go on at up to so many bad lines")
     grow = commands.add_parser("grow", help="write the next snapshot, with synthetic incidents")
     grow.add_argument("snapshots")
     grow.add_argument("--rows", type=int, default=DRAWN_ROWS)
     grow.add_argument("--seed", type=int, default=0)
+    grow.add_argument("--distinct-keys", action="store_true", help="draw keys without collisions")
     mart = commands.add_parser("mart", help="show an analytical query")
     mart.add_argument("warehouse")
     mart.add_argument("name", choices=MARTS)
@@ -46,12 +48,16 @@ def main(arguments: list[str] | None = None) -> None:
     elif given.command == "load":
         warehouse = Warehouse(spark, given.warehouse)
         gained = load_latest(
-            warehouse, given.snapshots, given.load_id, multi_line=given.multi_line
-        )
+            warehouse, given.snapshots, given.load_id, most_rejects=given.most_rejects,
+            multi_line=given.multi_line,
+        )
         for table, rows in gained.items():
             print(f"{table}: {rows} rows")
     elif given.command == "grow":
-        print(grow_snapshot(spark, given.snapshots, given.rows, seed=given.seed))
+        name = grow_snapshot(
+            spark, given.snapshots, given.rows, seed=given.seed, distinct_keys=given.distinct_keys
+        )
+        print(name)
     else:
         warehouse = Warehouse(spark, given.warehouse)
         fact = warehouse.read("fact_fire_department_injuries")

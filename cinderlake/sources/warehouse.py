@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinderlake.functions.calendar import build_dim_date
+from cinderlake.functions.sql import register_functions
 from cinderlake.operators.columns import load_by_position
 from cinderlake.schemas import (
     DIM_DATE_SCHEMA,
@@ -104,7 +105,8 @@ class Warehouse:
         return self.read(table).agg(F.coalesce(F.max(surrogate_key), F.lit(0))).first()[0]
 
     def register_views(self) -> None:
-        """Make every table available to SQL under its own name."""
+        """Make every table available to SQL under its own name, and the functions of ``functions.sql``."""
+        register_functions(self.spark)
         for table in [*_BY_LOAD, *GOLD_TABLES, "dim_date"]:
             self.read(table).createOrReplaceTempView(table)
 

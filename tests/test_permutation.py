@@ -12,6 +12,7 @@ from cinderlake.functions.text import clean_str, first_letter_acronym
 from cinderlake.plans.growth import new_incidents
 from cinderlake.schemas import DIM_DATE_SCHEMA, UNIQUE_FIELDS
 from cinderlake.sources.synthetic import synthetic_incidents
+from cinderlake.sources.warehouse import Warehouse
 
 START, END = datetime(2020, 1, 1), datetime(2021, 1, 1)
 
@@ -76,6 +77,14 @@ def test_sql_functions_say_what_the_operators_say(spark):
     assert [tuple(r) for r in got] == [tuple(r) for r in want]
 
 
+def test_a_warehouse_brings_the_functions(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    warehouse.reset()
+    spark.sql("DROP TEMPORARY FUNCTION IF EXISTS clean_text")
+    warehouse.register_views()
+    assert spark.sql("SELECT clean_text(' a') AS a, count(*) AS n FROM dim_district").first() == ("A", 0)
+
+
 def test_calendar_in_sql(spark):
     register_functions(spark)
     kinds = [(f.name, f.dataType.simpleString()) for f in DIM_DATE_SCHEMA.fields]
