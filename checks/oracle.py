@@ -479,3 +479,7 @@ ORACLE_SQL |= {
 ORACLE_SQL["incident_source"] = f"""
     WITH numbers AS (SELECT row_number() OVER () - 1 AS n FROM orders)
     SELECT {_COLUMNS} FROM ({_synthetic("n", "numbers")})"""
+ORACLE_SQL["latest_of_many_snapshots"] = """
+    SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year,
+           year(o_orderdate) || '/orders_of_' || year(o_orderdate) || '.csv' AS snapshot
+    FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)"""

@@ -43,6 +43,7 @@ from cinderlake.sources.bucketed import BucketedTable
 from cinderlake.sources.incident_source import FORMAT, register_incidents
 from cinderlake.sources.rejects import read_checked
 from cinderlake.sources.snapshots import (
+    latest_of_many,
     latest_snapshot,
     next_snapshot_name,
     read_latest,
@@ -628,3 +629,14 @@ def incident_source(spark, sf_dir):
     reader = spark.read.format(FORMAT).options(**{f"max_{f}": top for f, top in maxima.items()})
     reader = reader.option("rows", table(spark, sf_dir, "orders").count()).option("seed", 7)
     return reader.options(start=START.isoformat(), end=END.isoformat()).load()
+
+
+@query
+def latest_of_many_snapshots(spark, sf_dir):
+    """The orders of every year as a snapshot of their own; the latest as listed in tasks, read again."""
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    root = new_folder(spark, "snapshots")
+    for (year,) in orders.select("year").distinct().orderBy("year").collect():
+        write_snapshot(orders.where(F.col("year") == year), root, f"{year}/orders_of_{year}.csv")
+    latest = latest_of_many(spark, root)
+    return read_snapshot(spark, f"{root}/{latest}", orders.schema).withColumn("snapshot", F.lit(latest))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.java_gateway import JavaObject
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,6 +89,57 @@ def latest_snapshot(spark: SparkSession, root: str, unmarked: bool = False) -> s
     return min(found, key=lambda s: (-s[1], s[0]))[0] if found else None
 
 
+def snapshot_files(spark: SparkSession, root: str) -> DataFrame:
+    """``(path, snapshot, modified)`` of every file of a snapshot below ``root``, hidden ones aside.
+
+    ``snapshot`` is the part of the path below ``root`` up to the first name that ends in .csv. Spark lists the
+    folders, in tasks where there are many, and no file is opened.
+    """
+    _, top = hadoop_path(spark, root)
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(literal_path(root))
+    )
+    named = files.select("path", snapshot_of(top).alias("snapshot"), F.col("modificationTime").alias("modified"))
+    return named.where("snapshot <> ''")
+
+
+def snapshot_of(top: JavaObject, path: str = "path") -> Column:
+    """The snapshot that a file below ``top`` belongs to, '' if to none."""
+    below = F.expr("substring({}, {})".format(path, len(top.toString().rstrip("/")) + 2))
+    # Up to the first part of the path that ends in .csv: a file, or what holds its parts.
+    return F.regexp_extract(below, r"(?i)^(?:[^/]+/)*?[^/]+\.csv(?=/|$)", 0)
+
+
+# How many of the newest snapshots are looked at together for one that is finished.
+_NEWEST = 20
+
+
+def latest_of_many(spark: SparkSession, root: str, unmarked: bool = False) -> str | None:
+    """``latest_snapshot`` for folders with very many files.
+
+    Files are listed and reduced to one time per snapshot in tasks, so that a few names reach the driver. The time
+    of a directory is that of its newest part file, not of its marker; whether it has one, and so is finished, is
+    asked of the newest snapshots alone, until one has, unless ``unmarked`` takes all of them.
+    """
+    newest = snapshot_files(spark, root).groupBy("snapshot").agg(
+        F.max("modified").alias("modified"),
+        F.bool_or(~F.endswith("path", F.col("snapshot"))).alias("directory"),
+    )
+    order = [F.desc("modified"), "snapshot"]
+    seen = 0
+    while True:
+        rows = newest.orderBy(*order).offset(seen).limit(_NEWEST).collect()
+        for row in rows:
+            if unmarked or not row["directory"]:
+                return row["snapshot"]
+            system, marker = hadoop_path(spark, f"{root.rstrip('/')}/{row['snapshot']}/{MARKER}")
+            if system.exists(marker):
+                return row["snapshot"]
+        if len(rows) < _NEWEST:
+            return None
+        seen += len(rows)
+
+
 def next_snapshot_name(latest: str | None, now: datetime) -> str:
     """The first two underscore parts of the latest name and a time stamp."""
     parts = latest.split("_", 2)[:2] if latest else []

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cinderlake.plans.medallion import load_incidents
-from cinderlake.sources.snapshots import read_snapshot
+from cinderlake.sources.snapshots import read_snapshot, snapshot_of
 from cinderlake.sources.warehouse import Warehouse
 from cinderlake.workspace import hadoop_path
 
@@ -34,9 +34,7 @@ def load_new_snapshots(
         .load(snapshots)
         .select("path", F.unix_micros("modificationTime").alias("modified"))
     )
-    below = F.expr("substring(path, {})".format(len(top.toString().rstrip("/")) + 2))
-    # Up to the first part of the path that ends in .csv: a file, or what holds its parts.
-    snapshot = F.regexp_extract(below, r"(?i)^(?:[^/]+/)*?[^/]+\.csv(?=/|$)", 0)
+    snapshot = snapshot_of(top)
 
     def load(batch: DataFrame, number: int) -> None:
         # One row per new file, of which Spark's own listing keeps one in the driver as well.

@@ -7,11 +7,13 @@ from pyspark.sql import Row
 from cinderlake.schemas import INCIDENT_SCHEMA, names, struct
 from cinderlake.sources.snapshots import (
     NA_TOKENS,
+    latest_of_many,
     latest_snapshot,
     list_snapshots,
     next_snapshot_name,
     read_latest,
     read_snapshot,
+    snapshot_files,
     write_snapshot,
 )
 
@@ -171,3 +173,38 @@ def test_no_snapshot_reads_as_empty(spark, tmp_path):
 def test_incident_schema():
     assert len(INCIDENT_SCHEMA) == len(set(names(INCIDENT_SCHEMA))) == 64
     assert Row(*names(INCIDENT_SCHEMA))[61] == "supervisor_district"
+
+
+def test_latest_of_many_files(spark, tmp_path):
+    """As the listing in the driver says, with folders enough to be listed in tasks."""
+    assert latest_of_many(spark, str(tmp_path)) is None
+    frame = spark.range(2).selectExpr("id AS a")
+    for k in range(40):
+        (tmp_path / f"year{k}").mkdir()
+        (tmp_path / f"year{k}" / "s.csv").write_text("a\n1\n")
+        os.utime(tmp_path / f"year{k}" / "s.csv", (1e9 + k, 1e9 + k))
+    (tmp_path / "notes.txt").write_text("no snapshot")
+    assert latest_of_many(spark, str(tmp_path)) == latest_snapshot(spark, str(tmp_path)) == "year39/s.csv"
+    os.utime(tmp_path / "year3" / "s.csv", (1e9 + 39, 1e9 + 39))
+    assert latest_of_many(spark, str(tmp_path)) == "year3/s.csv"  # the first by name among equals
+    write_snapshot(frame, str(tmp_path), "deep/In_Parts.CSV")
+    assert latest_of_many(spark, str(tmp_path)) == latest_snapshot(spark, str(tmp_path)) == "deep/In_Parts.CSV"
+    for marker in (tmp_path / "deep" / "In_Parts.CSV").glob("*_SUCCESS*"):
+        marker.unlink()
+    assert latest_of_many(spark, str(tmp_path)) == "year3/s.csv"
+    assert latest_of_many(spark, str(tmp_path), unmarked=True) == "deep/In_Parts.CSV"
+
+
+def test_many_unfinished_snapshots(spark, tmp_path):
+    (tmp_path / "old.csv").write_text("a\n1\n")
+    os.utime(tmp_path / "old.csv", (1e9, 1e9))
+    for k in range(45):
+        (tmp_path / f"s{k}.csv").mkdir()
+        (tmp_path / f"s{k}.csv" / "part-0.csv").write_text("a\n1\n")
+    assert latest_of_many(spark, str(tmp_path)) == "old.csv"
+
+
+def test_no_content_is_read_for_a_listing(spark, tmp_path, plan_text):
+    (tmp_path / "a.csv").write_text("a\n1\n")
+    plan = plan_text(snapshot_files(spark, str(tmp_path)))
+    assert "content" not in plan.split("ReadSchema")[1]
