@@ -1,16 +1,19 @@
 """Near-duplicate vectors by cross-polytope hashing, with verified pairs.
 
-Vectors are made unit length in double precision; equal vectors are one vector from here on, held
-by their smallest vec_id and a weight. Each table rotates a vector by three rounds of random
-signs and a fast Hadamard transform and names the nearest cross-polytope corner, the
-largest coordinate and its sign, twice for two independent rotations; the two corners are the
-bucket. A vector is stored in its own bucket and also looks into the buckets of its
-next-best corners (multiprobe). Within a bucket all cosines are computed blockwise, and only pairs at or above the threshold
-count. A pair that meets in several buckets counts in the first of them, which follows
-from the codes both vectors carry, so pairs need no shuffle. Buckets above BLOCK rows are cut
-into blocks, and each pair of blocks is a task of its own.
-
-A bucket returns a row per vector that has links there: how many, and the smallest vector it is
+Equal vectors are one vector from here on, held by their smallest vec_id and a weight. Each table
+rotates a vector, made unit length, by three rounds of random signs and a fast Hadamard transform and
+names the nearest cross-polytope corner, the largest coordinate and its sign, twice for two
+independent rotations; the two corners are the bucket. A vector is in its own bucket and also looks
+into the buckets of its next-best corners (multiprobe).
+
+First only 64 signs of random projections go to the buckets with a vector's id; they tell who has no
+partner in a bucket. The others go again, with their vectors. All cosines of a bucket are computed
+blockwise, and only pairs at or above the threshold count; one that rounding could decide is compared
+as exact fractions of the numbers as given. A pair that meets in several buckets counts in the
+first of them, which follows from the codes both vectors carry, so pairs need no shuffle. Buckets
+above BLOCK rows are cut into blocks, and each pair of blocks is a group of its own.
+
+A bucket returns a row per vector that has links there: how many, and a smaller vector it is
 connected with. The index is not trained; every row is in it.
 
 Defined results: vectors that are NULL, empty, zero, of another length than most, or hold NULL or
@@ -21,6 +24,10 @@ an empty table gives an empty table; only vec_id and embedding are looked at.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,10 +36,11 @@ from pyspark.sql import functions as F
 from cinderlake.llm.components import connected_components
 from cinderlake.workspace import materialize
 
-TABLES = 10
+TABLES = 6
 PROBES = 4
 BLOCK = 2048
-_SLACK = 1e-12
+# Cosines in double precision that are nearer to the threshold are compared as fractions.
+_NEAR = 1e-9
 
 
 def _hadamard(rows: np.ndarray) -> np.ndarray:
@@ -81,29 +89,66 @@ def hash_codes(
     return codes
 
 
-_PREPARED = pa.schema(
-    [("vec_id", pa.int64()), ("vector", pa.binary()), ("key", pa.binary())]
-)
+_SINGLE, _DOUBLE = b"f", b"d"
+
+
+def pack_vector(values: list) -> bytes | None:
+    """A vector over a power of two, exact, with its largest number from 1/2 up to 1; None if it has no direction.
+
+    It is kept in single precision if that holds every number as it is. Equal vectors have equal bytes.
+    """
+    if not values or None in values:
+        return None
+    row = np.array(values, np.float64)
+    largest = np.abs(row).max()
+    if not np.isfinite(largest) or largest == 0:
+        return None
+    # Adding zero turns -0.0 into 0.0.
+    row = np.ldexp(row, -int(np.frexp(largest)[1])) + 0.0
+    short = row.astype(np.float32)
+    if (short == row).all():
+        return _SINGLE + short.tobytes()
+    return _DOUBLE + row.tobytes()
+
+
+def unpack_vectors(blobs: list[bytes]) -> np.ndarray:
+    """Vectors of one length in double precision."""
+    width = (len(blobs[0]) - 1) // (4 if blobs[0][:1] == _SINGLE else 8)
+    out = np.empty((len(blobs), width))
+    for mark, kind in ((_SINGLE, np.float32), (_DOUBLE, np.float64)):
+        at = [k for k, b in enumerate(blobs) if b[:1] == mark]
+        if at:
+            out[at] = np.frombuffer(b"".join(blobs[k][1:] for k in at), kind).reshape(len(at), width)
+    return out
+
+
+def _width(blob: bytes) -> int:
+    return (len(blob) - 1) // (4 if blob[:1] == _SINGLE else 8)
+
 
+def _unit(rows: np.ndarray) -> np.ndarray:
+    return rows / np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
 
-def _unit_vectors(vectors: DataFrame) -> DataFrame:
-    """vec_id, vector: unit vectors in double precision as bytes, NULL where a row has none."""
+
+def links_exactly(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
+    """Whether the cosine of two vectors is not below the threshold, by exact fractions."""
+    x, y = [Fraction(v) for v in a.tolist()], [Fraction(v) for v in b.tolist()]
+    dot = sum((p * q for p, q in zip(x, y, strict=True)), Fraction(0))
+    norms = sum((p * p for p in x), Fraction(0)) * sum((q * q for q in y), Fraction(0))
+    limit = Fraction(repr(threshold))
+    # Both sides squared, with the sign of each side.
+    left, right = dot * abs(dot), limit * abs(limit) * norms
+    return left >= right
+
+
+def _vectors(vectors: DataFrame) -> DataFrame:
+    """vec_id, vector: vectors as ``pack_vector`` gives them, NULL where a row has none."""
 
     def run(batches):
         for batch in batches:
-            ids, units = batch.column(0), []
-            for values in batch.column(1).to_pylist():
-                unit = None
-                if values and None not in values:
-                    row = np.array(values, np.float64)
-                    largest = np.abs(row).max()
-                    if np.isfinite(largest) and largest > 0:
-                        row = row / largest
-                        # Adding zero turns -0.0 into 0.0, so that equal vectors have equal bytes.
-                        unit = (row / np.sqrt(row @ row) + 0.0).tobytes()
-                units.append(unit)
+            packed = [pack_vector(values) for values in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(units, pa.binary())], names=["vec_id", "vector"]
+                [batch.column(0), pa.array(packed, pa.binary())], names=["vec_id", "vector"]
             )
 
     return vectors.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(
@@ -111,56 +156,154 @@ def _unit_vectors(vectors: DataFrame) -> DataFrame:
     )
 
 
-def _bucket_rows(distinct: DataFrame, tables: int, probes: int) -> DataFrame:
-    """table, bucket, rep, weight, vector, codes: a row per bucket that a vector is in."""
-    schema = "table int, bucket int, rep long, weight long, vector binary, codes binary"
+def sketches(unit: np.ndarray, seed: int = 6) -> np.ndarray:
+    """64 signs of random projections of each vector, as one number."""
+    planes = np.random.default_rng(seed).normal(size=(unit.shape[1], 64))
+    bits = (unit @ planes > 0).astype(np.uint8)
+    return np.packbits(bits, axis=1, bitorder="little").view(np.int64).ravel()
+
+
+def most_unlike(threshold: float, lost: float = 1e-5) -> int:
+    """In so many of 64 signs two vectors at the threshold differ at most, but for a share ``lost``."""
+    turn = math.acos(min(1.0, max(-1.0, threshold))) / math.pi
+    above = 1.0
+    for k in range(65):
+        above -= math.comb(64, k) * turn**k * (1 - turn) ** (64 - k)
+        if above <= lost:
+            return k
+    return 64
+
+
+def _hashed(distinct: DataFrame, tables: int, probes: int) -> DataFrame:
+    """rep, weight, vector, width, sketch, codes: what is known of a vector, once."""
 
     def run(batches):
         for batch in batches:
             by_width: dict[int, list[int]] = {}
             blobs = batch.column("vector").to_pylist()
             for i, blob in enumerate(blobs):
-                by_width.setdefault(len(blob), []).append(i)
+                by_width.setdefault(_width(blob), []).append(i)
             for width, rows in by_width.items():
                 for at in range(0, len(rows), 1024):
                     some = rows[at : at + 1024]
-                    unit = np.frombuffer(b"".join(blobs[i] for i in some)).reshape(-1, width // 8)
-                    codes = hash_codes(unit, tables, probes)
-                    table, bucket, of = [], [], []
-                    for k in range(len(some)):
-                        for t in range(tables):
-                            for c in np.unique(codes[k, t]).tolist():
-                                table.append(t)
-                                bucket.append(c)
-                                of.append(k)
-                    source = pa.array([some[k] for k in of], pa.int64())
-                    packed = [codes[k].tobytes() for k in range(len(some))]
+                    unit = _unit(unpack_vectors([blobs[i] for i in some]))
+                    codes = hash_codes(unit, tables, probes).reshape(len(some), -1)
+                    ends = pa.array(np.arange(len(some) + 1) * codes.shape[1], pa.int32())
+                    part = batch.take(pa.array(some))
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(table, pa.int32()),
-                            pa.array(bucket, pa.int32()),
-                            batch.column("rep").take(source),
-                            batch.column("weight").take(source),
-                            batch.column("vector").take(source),
-                            pa.array([packed[k] for k in of], pa.binary()),
+                            part.column("rep"), part.column("weight"), part.column("vector"),
+                            pa.array(np.full(len(some), width), pa.int32()),
+                            pa.array(sketches(unit)),
+                            pa.ListArray.from_arrays(ends, pa.array(codes.ravel(), pa.int32())),
                         ],
-                        names=["table", "bucket", "rep", "weight", "vector", "codes"],
-                    )
+                        names=["rep", "weight", "vector", "width", "sketch", "codes"],
+                    )
+
+    return distinct.select("rep", "weight", "vector").mapInArrow(
+        run, "rep long, weight long, vector binary, width int, sketch long, codes array<int>"
+    )
+
+
+_BUCKET = ["width", "table", "bucket"]
+
 
-    return distinct.select("rep", "weight", "vector").mapInArrow(run, schema)
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows of whole groups, many at a time, of batches that are sorted by ``keys``."""
+    held: pa.Table | None = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        rows = pa.Table.from_batches([batch])
+        held = rows if held is None else pa.concat_tables([held, rows])
+        same = np.ones(len(held), bool)  # the last group may go on in the next batch
+        for c in keys:
+            column = held.column(c).to_numpy()
+            same &= column == column[-1]
+        whole = int(np.flatnonzero(same)[0])
+        if whole:
+            yield held.slice(0, whole)
+            held = held.slice(whole)
+    if held is not None:
+        yield held
+
+
+def _groups(rows: pa.Table, keys: list[str]) -> list[tuple[int, int]]:
+    change = np.zeros(len(rows), bool)
+    change[0] = True
+    for c in keys:
+        column = rows.column(c).to_numpy()
+        change[1:] |= column[1:] != column[:-1]
+    edges = [*np.flatnonzero(change).tolist(), len(rows)]
+    return list(zip(edges, edges[1:]))
+
+
+def _met(
+    hashed: DataFrame, threshold: float, probes: int, block: int
+) -> DataFrame:
+    """width, table, bucket, rep, m: rows of buckets in which a vector has a partner by its sketch.
+
+    A vector is in its own bucket and in those of its probes; two vectors meet in a bucket that is one's own and
+    the other's own or probe. In a bucket of more than ``block`` rows all are taken to have a partner; it is
+    then compared in m parts.
+    """
+    each = 1 + probes
+    placed = hashed.select(
+        "width", "rep", "sketch", "codes", F.posexplode("codes").alias("place", "bucket")
+    )
+    # Vectors with few numbers have fewer buckets than probes; a bucket counts once.
+    first = f"array_position(slice(codes, place div {each} * {each} + 1, {each}), bucket) - 1"
+    placed = placed.where(f"{first} = place % {each}").select(
+        "width", F.expr(f"place div {each}").cast("int").alias("table"), "bucket", "rep", "sketch",
+        (F.col("place") % each == 0).alias("own"),
+    )
+    sizes = placed.groupBy(*_BUCKET).agg(F.count("*").alias("n"))
+    large = materialize(sizes.where(F.col("n") > block), "large-buckets")
+    whole = placed.join(large, _BUCKET).select(
+        *_BUCKET, "rep", F.ceil(F.col("n") / block).cast("int").alias("m")
+    )
+    small = placed.join(large.select(*_BUCKET), _BUCKET, "left_anti")
+    near = most_unlike(threshold)
+
+    def run(batches):
+        for rows in _whole_groups(batches, _BUCKET):
+            sketch = rows.column("sketch").to_numpy().view(np.uint64)
+            own = rows.column("own").to_numpy(zero_copy_only=False)
+            alive = np.zeros(len(rows), bool)
+            for a, b in _groups(rows, _BUCKET):
+                if b - a < 2 or not own[a:b].any():
+                    continue
+                owner = np.flatnonzero(own[a:b]) + a
+                unlike = np.bitwise_count(sketch[owner, None] ^ sketch[a:b])
+                close = unlike <= near
+                close[np.arange(len(owner)), owner - a] = False
+                alive[a:b] |= close.any(axis=0)
+                alive[owner] |= close.any(axis=1)
+            at = pa.array(np.flatnonzero(alive))
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(c).take(at).combine_chunks() for c in (*_BUCKET, "rep")],
+                names=[*_BUCKET, "rep"],
+            )
+
+    small = small.repartition(*_BUCKET).sortWithinPartitions(*_BUCKET)
+    found = small.mapInArrow(run, "width int, table int, bucket int, rep long")
+    return whole.unionByName(found.withColumn("m", F.lit(1)))
 
 
 def count_bucket(
     table: int, bucket: int, a: tuple, b: tuple, same: bool, threshold: float
 ) -> list[tuple[np.ndarray, np.ndarray]]:
     """Pairs (positions in a, positions in b) that link and count in this bucket."""
-    (ids_a, unit_a, codes_a), (ids_b, unit_b, codes_b) = a, b
-    i, j = np.nonzero(unit_a @ unit_b.T >= threshold - 1e-9)
+    (ids_a, rows_a, codes_a), (ids_b, rows_b, codes_b) = a, b
+    unit_a, unit_b = _unit(rows_a), _unit(rows_b)
+    i, j = np.nonzero(unit_a @ unit_b.T >= threshold - _NEAR)
     if same:
         i, j = i[i < j], j[i < j]
-    # The product of blocks may round otherwise than that of two vectors.
-    exact = np.einsum("ij,ij->i", unit_a[i], unit_b[j])
-    i, j = i[exact >= threshold - _SLACK], j[exact >= threshold - _SLACK]
+    cosine = np.einsum("ij,ij->i", unit_a[i], unit_b[j])
+    link = cosine >= threshold
+    for k in np.flatnonzero(np.abs(cosine - threshold) < _NEAR).tolist():
+        link[k] = links_exactly(rows_a[i[k]], rows_b[j[k]], threshold)
+    i, j = i[link], j[link]
     out = []
     for at in range(0, len(i), 100_000):
         x, y = i[at : at + 100_000], j[at : at + 100_000]
@@ -178,64 +321,69 @@ def count_bucket(
     return out
 
 
-def _links(rows: DataFrame, threshold: float, tables: int, block: int) -> DataFrame:
+def _lowest(count: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The smallest place that each of ``count`` places is connected with."""
+    low = np.arange(count)
+    changed = bool(pairs)
+    while changed:
+        before = low.copy()
+        for x, y in pairs:
+            least = np.minimum(low[x], low[y])
+            np.minimum.at(low, x, least)
+            np.minimum.at(low, y, least)
+        low = low[low]
+        changed = bool((low != before).any())
+    return low
+
+
+def _links(
+    distinct: DataFrame, threshold: float, tables: int, probes: int, block: int
+) -> DataFrame:
     """rep, links, low: links counted in one bucket, and a vector that rep is connected with."""
-    sizes = rows.groupBy("table", "bucket").agg(F.count("*").alias("n")).where("n > 1")
-    sizes = sizes.select("table", "bucket", F.ceil(F.col("n") / block).cast("int").alias("m"))
-    cut = rows.join(sizes, ["table", "bucket"])
-    cut = cut.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("m")).cast("int"))
+    hashed = materialize(_hashed(distinct, tables, probes), "hashed-vectors")
+    met = materialize(_met(hashed, threshold, probes, block), "met")
+    cut = met.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("m")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
     cut = cut.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
+    keys = [*_BUCKET, "lo", "hi"]
+    cut = cut.select(*keys, "own", "rep").join(
+        hashed.select("rep", "weight", "vector", "codes"), "rep"
+    )
+    cut = cut.repartition(*keys).sortWithinPartitions(*keys, "rep")
 
-    def join(found: pa.Table) -> pa.Table:
-        table, bucket = found.column("table")[0].as_py(), found.column("bucket")[0].as_py()
-        same = found.column("lo")[0].as_py() == found.column("hi")[0].as_py()
-        blobs = found.column("vector").to_pylist()
-        width = np.array([len(v) for v in blobs])
-        own = found.column("own").to_numpy()
-        ids = found.column("rep").to_numpy()
-        weights = found.column("weight").to_numpy()
-        codes = np.frombuffer(b"".join(found.column("codes").to_pylist()), np.int32)
-        codes = codes.reshape(len(ids), tables, -1)
-        links = np.zeros(len(ids), np.int64)
-        parent = np.arange(len(ids))
-
-        def root(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        for w in np.unique(width):
-            at = np.flatnonzero(width == w)
-            sides = [at, at] if same else [at[own[at] == v] for v in np.unique(own[at])]
-            if len(sides) < 2:
-                continue
-            parts = []
-            for side in sides:
-                unit = np.frombuffer(b"".join(blobs[i] for i in side)).reshape(len(side), w // 8)
-                parts.append((ids[side], unit, codes[side]))
-            for x, y in count_bucket(table, bucket, *parts, same, threshold):
-                p, q = sides[0][x], sides[1][y]
-                np.add.at(links, p, weights[q])
-                np.add.at(links, q, weights[p])
-                for u, v in zip(p.tolist(), q.tolist(), strict=True):
-                    u, v = root(u), root(v)
-                    if u != v:
-                        parent[max(u, v, key=lambda k: ids[k])] = min(u, v, key=lambda k: ids[k])
-        touched = np.flatnonzero(links)
-        low = ids[[root(k) for k in touched.tolist()]] if len(touched) else ids[:0]
-        return pa.table(
-            {
-                "rep": pa.array(ids[touched], pa.int64()),
-                "links": pa.array(links[touched], pa.int64()),
-                "low": pa.array(low, pa.int64()),
-            }
-        )
+    def run(batches):
+        for rows in _whole_groups(batches, keys):
+            ids, own = rows.column("rep").to_numpy(), rows.column("own").to_numpy()
+            weights = rows.column("weight").to_numpy()
+            vectors = rows.column("vector").to_pylist()
+            codes = rows.column("codes").combine_chunks().flatten().to_numpy()
+            codes = codes.reshape(len(ids), tables, -1)
+            table, bucket, lo, hi = (
+                rows.column(c).to_numpy() for c in ("table", "bucket", "lo", "hi")
+            )
+            links, pairs = np.zeros(len(ids), np.int64), []
+            for a, b in _groups(rows, keys):
+                at = np.arange(a, b)
+                same = lo[a] == hi[a]
+                sides = [at, at] if same else [at[own[a:b] == v] for v in (lo[a], hi[a])]
+                if min(map(len, sides)) < 1 + same:
+                    continue
+                parts = [(ids[k], unpack_vectors([vectors[i] for i in k]), codes[k]) for k in sides]
+                for x, y in count_bucket(table[a], bucket[a], *parts, same, threshold):
+                    p, q = sides[0][x], sides[1][y]
+                    np.add.at(links, p, weights[q])
+                    np.add.at(links, q, weights[p])
+                    if len(p):
+                        pairs.append((p, q))
+            # Rows are in the order of their ids within a group, so the first place has the smallest.
+            low = _lowest(len(ids), pairs)
+            touched = np.flatnonzero(links)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[touched]), pa.array(links[touched]), pa.array(ids[low[touched]])],
+                names=["rep", "links", "low"],
+            )
 
-    return cut.groupBy("table", "bucket", "lo", "hi").applyInArrow(
-        join, "rep long, links long, low long"
-    )
+    return cut.mapInArrow(run, "rep long, links long, low long")
 
 
 def near_duplicates(
@@ -243,15 +391,13 @@ def near_duplicates(
     block: int = BLOCK,
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept: a row per row of ``vectors`` (vec_id, embedding)."""
-    units = materialize(_unit_vectors(vectors), "unit-vectors")
+    units = materialize(_vectors(vectors), "vectors")
     usable = units.where("vec_id IS NOT NULL AND vector IS NOT NULL")
     distinct = usable.groupBy("vector").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("weight")
     )
     distinct = materialize(distinct, "distinct-vectors")
-    found = materialize(
-        _links(_bucket_rows(distinct, tables, probes), threshold, tables, block), "links"
-    )
+    found = materialize(_links(distinct, threshold, tables, probes, block), "links")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = connected_components(found, "rep", "low")
     named = (
