@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 LOWER_ASCII = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 # What runs between two Arrow batches of one task may hold so many bytes of text at once.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 _ROWS_AT_ONCE = 512
 
 
@@ -129,21 +129,40 @@ class Interner(dict):
         return value
 
 
+# Of the GNU C library: the option for the size from which a block is mapped by itself.
+_MMAP_THRESHOLD, _MAPPED_FROM = -3, 1 << 20
+
+
 def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """``run`` over the batches of a task; after it the memory it no longer uses goes back.
+    """``run`` over the batches of a task, with memory that goes back once it is no longer used.
 
     A Python worker lives on for the next tasks, and what the C library keeps of large blocks would stay
-    with it, beside all other workers of the executor.
+    with it, beside all other workers of the executor. Large arrays are mapped one by one, so each goes back at
+    once, and the rest when the task ends.
     """
 
     def go(batches: Iterator) -> Iterator:
+        library = ctypes.CDLL(None)
+        if hasattr(library, "mallopt"):
+            library.mallopt(_MMAP_THRESHOLD, _MAPPED_FROM)
         try:
             yield from run(batches)
         finally:
             gc.collect()
             pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
-            if trim is not None:
-                trim(0)
+            if hasattr(library, "malloc_trim"):
+                library.malloc_trim(0)
 
     return go
+
+
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def short_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Let no more than ``rows`` rows go to Python at once, unless the session has a smaller bound.
+
+    Rows are whole texts here, and a batch is held by the executor and its worker at the same time.
+    """
+    if not 0 < int(spark.conf.get(ARROW_ROWS)) <= rows:
+        spark.conf.set(ARROW_ROWS, rows)

@@ -54,10 +54,10 @@ HELD_TOGETHER = 100_000
 # Bound of what steers the order of shingles.
 COMMON_SHINGLES = 1 << 17
 _COMMON_IN_BATCH = 3
-_CELLS = 1 << 23
+_CELLS = 1 << 21
 _WALKERS = 64
-_PAIRS_AT_ONCE = 1 << 19
-_ROWS_AT_ONCE = 1 << 21
+_PAIRS_AT_ONCE = 1 << 17
+_ROWS_AT_ONCE = 1 << 19
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 

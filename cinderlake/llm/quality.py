@@ -45,7 +45,7 @@ FOLDS = 3
 ALIKE = 0.99
 # Buckets whose sums are added up together: 8 kB from each task.
 _RANGE = 1 << 5
-_TERMS_AT_ONCE = 100_000
+_TERMS_AT_ONCE = 20_000
 _TERM = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+")
 
 
