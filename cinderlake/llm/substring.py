@@ -324,8 +324,12 @@ def _round(
             side = F.broadcast(large) if many <= BROADCAST_ROWS else large
             distinct = distinct.join(side, "name", "left_anti")
             again = stretches.join(side, "name", "left_semi")
+            # A stretch may lie in a text many times; its words are cut out once.
+            once = again.groupBy(*key, "name", "digest").agg(
+                F.min("at").alias("at"), F.min("length").alias("length")
+            )
             left = materialize(
-                _with_words(held.drop("names"), again)
+                _with_words(held.drop("names"), once)
                 .join(again.select(*key, "name", "digest", "at"), [*key, "name", "digest"])
                 .select("doc_id", "row", (F.col("start") + F.col("at")).alias("start"),
                         F.col("words").alias("text")), "left",

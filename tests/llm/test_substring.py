@@ -92,6 +92,16 @@ def test_a_passage_that_most_documents_hold(spark, monkeypatch):
     assert run(spark, rows, 8) == brute(rows)
 
 
+def test_a_text_that_repeats_itself(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    passage = prose(rng, 70)
+    rows = [(1, " ".join([passage] * 40)), (2, " ".join([passage] * 3)), (3, passage), (4, prose(rng, 90))]
+    want = brute(rows)
+    assert run(spark, rows) == want
+    monkeypatch.setattr(substring, "NAME_WORDS", 60)
+    assert run(spark, rows) == want
+
+
 def test_nulls_repeats_spaces_and_empty_tables(spark):
     rng = np.random.default_rng(7)
     text = prose(rng, 80)
