@@ -1,8 +1,10 @@
 """Insert-if-absent over a stream, started again and again."""
 
+import pyarrow as pa
 import pytest
 
 from cinderlake.operators.keyed import insert_if_absent
+from cinderlake.streaming import keyed
 from cinderlake.streaming.keyed import ROCKS, STATE_STORE, _rank, insert_stream
 
 SCHEMA = "k long, part string, v long, name string"
@@ -57,3 +59,36 @@ def test_a_key_that_most_rows_have(spark, feed):
 
 def test_order_of_rows(spark):
     assert sorted([(2, "b"), (None, "z"), (2, None)], key=_rank) == [(None, "z"), (2, None), (2, "b")]
+
+
+def test_state_takes_no_python_call_per_key(spark, tmp_path):
+    spark.createDataFrame([(1, "a", 1, "x")], SCHEMA).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in")
+    query = insert_stream(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint", ["k", "part"], ["v"])
+    query.awaitTermination()
+    names = [o["operatorName"] for o in query.lastProgress["stateOperators"]]
+    assert names == ["dedupe"]
+
+
+def test_target_is_read_once(spark, feed):
+    before = spark.createDataFrame([(1, "a")], "k long, part string")
+    after = spark.createDataFrame([(1, "a"), (2, "a")], "k long, part string")
+    assert feed([(1, "a", 1, "x")], before) == []
+    assert feed([(1, "a", 0, "y"), (2, "a", 1, "x")], after) == [(2, "a", 1, "x")]
+    assert feed([(1, "a", 0, "z"), (3, "a", 1, "x")]) == [(2, "a", 1, "x"), (3, "a", 1, "x")]
+
+
+@pytest.mark.parametrize("size", [3, 1000])
+def test_firsts_over_many_batches(size, monkeypatch):
+    table = pa.table({"k": [i % 7 / 2 for i in range(500)], "v": [None if i == 430 else -i for i in range(500)]})
+    table = pa.concat_tables([table, pa.table({"k": [float("nan")] * 2, "v": [9, 8]})])
+    monkeypatch.setattr(keyed, "_GATHERED", 20)
+    got = pa.Table.from_batches(keyed._reduced(iter(table.to_batches(max_chunksize=size)), ["k"], ["v"]))
+    want = {k / 2: max(i for i in range(500) if i % 7 == k) * -1 for k in range(7)} | {430 % 7 / 2: None}
+    assert {k: v for k, v in zip(*got.to_pydict().values()) if k == k} == want
+    assert [v for k, v in zip(*got.to_pydict().values()) if k != k] == [8]
+
+
+def test_order_of_nested_values():
+    table = pa.table({"k": [1, 1, 2], "v": [[2], [1, 5], None]})
+    assert keyed._firsts(table, ["k"], ["v"]).to_pydict() == {"k": [1, 2], "v": [[1, 5], None]}
