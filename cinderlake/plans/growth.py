@@ -44,12 +44,17 @@ def new_incidents(
     stay, as no two are drawn alike; the rows are then numbered from 0 to ``key_count`` - 1.
     """
     maxima = max_values(snapshot, UNIQUE_FIELDS).first().asDict()
-    drawn = synthetic_incidents(
-        rows, row, key_count, maxima, start, end, seed, distinct_keys=distinct_keys
-    )
+
+    def drawn(some: DataFrame) -> DataFrame:
+        return synthetic_incidents(some, row, key_count, maxima, start, end, seed, distinct_keys=distinct_keys)
+
     if distinct_keys:
-        return drawn.drop(row)
-    return drop_colliding_rows(drawn, UNIQUE_FIELDS, row_key=row).drop(row)
+        return drawn(rows).drop(row)
+    # Few rows stay when keys are drawn with replacement. They are found by their keys alone, and
+    # only they are drawn in full, which gives the same again.
+    keys = drawn(rows).select(row, *UNIQUE_FIELDS)
+    kept = drop_colliding_rows(keys, UNIQUE_FIELDS, row_key=row).select(row)
+    return drawn(rows.join(kept, row, "left_semi")).drop(row)
 
 
 def grow_snapshot(

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cinderlake.__main__ import main
+from cinderlake.operators.quality import drop_colliding_rows
 from cinderlake.plans import marts
 from cinderlake.plans.growth import grow_snapshot, new_incidents
 from cinderlake.plans.medallion import load_incidents, load_latest
@@ -336,3 +337,20 @@ def test_commands(spark, tmp_path, capsys):
     assert "dim_district: 2 rows" in printed
     assert "a_b_2" in printed and "Saturday" in printed
     assert Warehouse(spark, house).read("fact_fire_department_injuries").count() > 3
+
+
+def test_only_incidents_that_stay_are_drawn_in_full(spark):
+    rows = spark.range(200).withColumnRenamed("id", "n")
+    snapshot = incidents(spark, {"id": 5, "incident_number": 6, "call_number": 7})
+    added = new_incidents(snapshot, rows, "n", 200, START, END, seed=3)
+    # The plan's text goes from the result down; the address is drawn above the choice alone.
+    above, below = added._jdf.queryExecution().optimizedPlan().toString().split("Join LeftSemi", 1)
+    assert "_address" in above and "_address" not in below
+    maxima = {"incident_number": 6, "id": 5, "call_number": 7}
+    drawn = synthetic_incidents(rows, "n", 200, maxima, START, END, 3)
+    want = drop_colliding_rows(drawn, UNIQUE_FIELDS, row_key="n").drop("n")
+    assert rows_of(added) == rows_of(want) and 0 < want.count() < 200
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
