@@ -15,6 +15,20 @@ SETTINGS = {
 }
 
 
+_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+_SPARK_LIMIT = "65535"
+
+
+def small_methods(spark: SparkSession) -> None:
+    """Give a session that was made elsewhere the limit on compiled methods, unless it has set one itself.
+
+    Whatever reads, writes or draws the 64 columns calls this, as most of it is run after the call, by the caller.
+    It changes how long stages take and nothing else.
+    """
+    if spark.conf.get(_LIMIT) == _SPARK_LIMIT:
+        spark.conf.set(_LIMIT, SETTINGS[_LIMIT])
+
+
 def cluster_session(app_name: str) -> SparkSession:
     """The session of a submitted job; the master and all else come from the submission."""
     builder = SparkSession.builder.appName(app_name)

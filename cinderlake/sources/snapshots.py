@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from cinderlake.operators.columns import bind_columns, normalize_names, strict_cast
 from cinderlake.schemas import INCIDENT_SCHEMA, names
+from cinderlake.session import small_methods
 from cinderlake.workspace import empty_frame, hadoop_path, literal_path
 
 # The texts that count as a missing value, as in pandas' read_csv.
@@ -189,6 +190,8 @@ def read_snapshot(
     not fit fails the job. ``multi_line`` allows line breaks inside quoted values; a file
     can then not be split, so such snapshots should have many files.
     """
+    small_methods(spark)
+
     def lines():
         return spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
 
@@ -218,5 +221,6 @@ def read_latest(
 def write_snapshot(df: DataFrame, root: str, name: str) -> str:
     """Write all of ``df`` as a directory of CSV files; fails if the name is taken."""
     path = f"{root.rstrip('/')}/{name}"
+    small_methods(df.sparkSession)
     df.write.options(**CSV_OPTIONS).csv(path)
     return path

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cinderlake.functions import draws
 from cinderlake.schemas import INCIDENT_SCHEMA, UNIQUE_FIELDS
+from cinderlake.session import small_methods
 
 # What the generated fields are chosen from.
 BATTALIONS = ("B01", "B02", "B03", "B04", "B05", "B06", "B07", "B08", "B09", "B10")
@@ -114,6 +115,7 @@ def synthetic_incidents(
     of these numbers, so that no two incidents share one; ``row`` then counts from 0 to
     ``key_count`` - 1. The four times lie between ``start`` and ``end`` and are independent of each other.
     """
+    small_methods(rows.sparkSession)
     single = [*UNIQUE_FIELDS, *TIMES, *LOSSES, *COORDINATES, "numbers", "choices", "address"]
     drawn = rows.select(row, *[draws.bits(row, seed, n).alias(f"_{n}") for n in single])
     if distinct_keys:
