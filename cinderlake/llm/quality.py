@@ -25,6 +25,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinderlake.llm.common import Interner, blocks_of, parts_of, released, text_bytes
+from cinderlake.llm.common import LOWER_ASCII, Interner, blocks_of, parts_of, released, text_bytes
 
 BUCKETS = 1 << 15
 DIM = 64
@@ -46,6 +47,15 @@ ALIKE = 0.99
 # Buckets whose sums are added up together: 8 kB from each task.
 _RANGE = 1 << 5
 _TERMS_AT_ONCE = 20_000
+# Texts whose terms are told apart together, in bytes.
+_BLOCK_BYTES = 1 << 20
+# Occurrences whose contexts are added up together.
+_OCCURRENCES = 1 << 16
+# Numbers of an index vector, three to a column, each in so many bits.
+_BITS = 21
+_COLUMNS = -(-DIM // 3)
+# A sum of at most 2 * 2 * REACH for each occurrence of a bucket stays within its bits.
+_MOST_HELD = (1 << _BITS - 1) // (4 * REACH) - 1
 _TERM = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+")
 
 
@@ -81,34 +91,152 @@ def _word_and_shape(term: bytes) -> int:
     return _bucket(b"w", term.lower()) * BUCKETS + _bucket(b"s", _shape(term))
 
 
-def _terms(text: bytes, known: Interner) -> np.ndarray:
-    return np.fromiter(map(known.__getitem__, _TERM.findall(text)), np.int64)
-
+# What a byte belongs to, as in _TERM: white space, letters, digits, other signs.
+_KIND = np.full(256, 3, np.uint8)
+_KIND[list(b" \t\n\r\f\v")] = 0
+_KIND[[b for b in range(256) if chr(b).isalpha() and b < 128 or b >= 128]] = 1
+_KIND[list(b"0123456789")] = 2
+_LOWER = np.frombuffer(LOWER_ASCII, np.uint8)
+
+
+def _found(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, bytes, np.ndarray]:
+    """The terms of ``texts`` by number, where those of each text begin and the last ends, and the distinct
+    terms: their bytes in a row, and where each begins and the last ends."""
+    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    kind = _KIND[data]
+    edges = np.concatenate([[0], np.flatnonzero(kind[1:] != kind[:-1]) + 1, [len(data)]])
+    seen = kind[edges[:-1]] != 0
+    starts, lengths = edges[:-1][seen], np.diff(edges)[seen]
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(lengths, out=offsets[1:])
+    letters = pa.py_buffer(data[kind != 0])
+    terms = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), letters]
+    ).dictionary_encode()
+    ends = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    _, at, own = terms.dictionary.buffers()
+    at = np.frombuffer(at, np.int64, len(terms.dictionary) + 1) if at else np.zeros(1, np.int64)
+    ids = terms.indices.to_numpy(zero_copy_only=False)
+    return ids, np.searchsorted(starts, ends), own.to_pybytes() if own else b"", at
+
+
+def _codes(own: bytes, at: np.ndarray, known: Interner) -> np.ndarray:
+    """``_word_and_shape`` of the distinct terms. Those in ASCII are told by their bytes, all at once."""
+    if len(at) == 1:
+        return np.zeros(0, np.int64)
+    data, starts = np.frombuffer(own, np.uint8)[: at[-1]], at[:-1]
+    lower = data >= 97
+    upper = (data >= 65) & (data <= 90)
+    count = np.diff(at)
+    uppers = np.add.reduceat(upper, starts, dtype=np.int64)
+    capital, letters = upper[starts], _KIND[data[starts]]
+    shape = np.select(
+        [letters == 2, uppers == 0, (uppers == count) & (count == 1), uppers == count,
+         capital & (uppers == 1)],
+        [0, 1, 2, 3, 4], 5,
+    )
+    shapes = np.array([_bucket(b"s", x) for x in (b"9", b"x", b"X", b"XX", b"Xx", b"xX")])[shape]
+    # A byte for the kind before each term, so that a slice is what is hashed.
+    marked = np.insert(_LOWER[data], starts, ord("w")).tobytes()
+    cuts = (at + np.arange(len(at))).tolist()
+    digest = xxhash.xxh3_64_intdigest
+    words = np.fromiter(
+        (digest(marked[a:b]) for a, b in pairwise(cuts)), np.uint64, len(starts)
+    )
+    codes = (words % BUCKETS).astype(np.int64) * BUCKETS + shapes
+    wide = (letters == 1) & (np.maximum.reduceat(data, starts) >= 128)
+    for i in np.flatnonzero(wide | (letters == 3)).tolist():
+        codes[i] = known[own[at[i] : at[i + 1]]]
+    return codes
+
+
+def _packed_index(index: np.ndarray) -> np.ndarray:
+    """Index vectors by bucket, with three of their numbers in each whole number: [columns, BUCKETS]."""
+    wide = np.zeros((3 * _COLUMNS, len(index)), np.int64)
+    wide[:DIM] = index.T
+    return wide[::3] + (wide[1::3] << _BITS) + (wide[2::3] << 2 * _BITS)
+
+
+def _unpacked(packed: np.ndarray) -> np.ndarray:
+    """The numbers in sums of packed ones, a row for each column of ``packed``."""
+    out = np.empty((packed.shape[1], 3 * _COLUMNS), np.int64)
+    rest = packed
+    for k in range(3):
+        low = (rest << 64 - _BITS) >> 64 - _BITS
+        out[:, k::3] = low.T
+        rest = (rest - low) >> _BITS
+    return out[:, :DIM]
+
+
+class _ContextSums:
+    """Sums of the index vectors around each bucket's occurrences.
+
+    Numbers are whole, so three of them are added up at once, packed in 64 bits, and are taken apart before a
+    bucket has so many occurrences that they could run over.
+    """
 
-def _pieces(terms: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for at in range(0, len(terms), _TERMS_AT_ONCE):
-        part = terms[at : at + _TERMS_AT_ONCE]
-        yield part // BUCKETS, part % BUCKETS
+    def __init__(self, index: np.ndarray):
+        self._index = _packed_index(index)
+        self.sums = np.zeros((BUCKETS, DIM))
+        self._packed = np.zeros((_COLUMNS, BUCKETS), np.int64)
+        self._held = np.zeros(BUCKETS, np.int64)
+
+    def add(self, ids: np.ndarray, firsts: np.ndarray, codes: np.ndarray) -> None:
+        """Texts by the numbers of their terms, where each begins and the last ends, and the terms' codes."""
+        # A stretch of terms sees nothing beyond its ends.
+        cuts = [np.arange(a, b, _TERMS_AT_ONCE) for a, b in pairwise(firsts.tolist())]
+        cuts = np.concatenate([*cuts, firsts[-1:]])
+        at = 0
+        while at < len(cuts) - 1:
+            end = max(at + 1, int(np.searchsorted(cuts, cuts[at] + _OCCURRENCES, "right")) - 1)
+            self._add_piece(ids[cuts[at] : cuts[end]], np.diff(cuts[at : end + 1]), codes)
+            at = end
+
+    def _add_piece(self, ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> None:
+        times = np.bincount(ids, minlength=len(codes))
+        used = np.flatnonzero(times)
+        place = np.zeros(len(codes) + 1, np.int64)
+        place[used] = np.arange(len(used))
+        w, s = codes[used] // BUCKETS, codes[used] % BUCKETS
+        # Before, between and after the stretches come places without a term.
+        spread = np.full(len(ids) + REACH * (len(lengths) + 1), len(used))
+        spread[np.arange(len(ids)) + REACH * (1 + np.repeat(np.arange(len(lengths)), lengths))] = place[ids]
+        inner = spread[REACH:-REACH]
+        shapes, shape_of = np.unique(s, return_inverse=True)
+        of_shapes = np.zeros((_COLUMNS, len(shapes)), np.int64)
+        if self._held.max() + len(ids) > _MOST_HELD:
+            self.flush()
+        self._held += np.bincount(w, times[used], BUCKETS).astype(np.int64)
+        for k in range(_COLUMNS):
+            own = np.append(self._index[k][w] + self._index[k][s], 0)[spread]
+            around = own[: len(inner)].copy()
+            for d in range(1, 2 * REACH + 1):
+                if d != REACH:
+                    around += own[d : len(inner) + d]
+            of_terms = np.zeros(len(used) + 1, np.int64)
+            np.add.at(of_terms, inner, around)
+            np.add.at(self._packed[k], w, of_terms[:-1])
+            np.add.at(of_shapes[k], shape_of, of_terms[:-1])
+        self.sums[shapes] += _unpacked(of_shapes)
+
+    def flush(self) -> None:
+        for at in range(0, BUCKETS, 1 << 12):
+            self.sums[at : at + (1 << 12)] += _unpacked(self._packed[:, at : at + (1 << 12)])
+        self._packed[:], self._held[:] = 0, 0
 
 
 def _context_sums(docs: DataFrame) -> np.ndarray:
     """Sums of index vectors around each bucket's occurrences, over all of ``docs``."""
 
+    shared = docs.sparkSession.sparkContext.broadcast(index_vectors().astype(np.int8))
+
     def run(batches):
-        index, known = index_vectors(), Interner(_word_and_shape)
-        sums = np.zeros((BUCKETS, DIM))
-        for block in blocks_of(batches, lambda r: len(r[0]), "text", most=1 << 20):
-            for (text,) in block:
-                for w, s in _pieces(_terms(text, known)):
-                    own = index[w] + index[s]
-                    around = np.zeros_like(own)
-                    for d in range(1, REACH + 1):
-                        around[d:] += own[:-d]
-                        around[:-d] += own[d:]
-                    for buckets in (w, s):
-                        order = np.argsort(buckets.astype(np.uint16), kind="stable")
-                        keys, first = np.unique(buckets[order], return_index=True)
-                        sums[keys] += np.add.reduceat(around[order], first, axis=0)
+        found, known = _ContextSums(shared.value), Interner(_word_and_shape)
+        for block in blocks_of(batches, lambda r: len(r[0]), "text", most=_BLOCK_BYTES):
+            ids, firsts, own, at = _found([t for (t,) in block])
+            found.add(ids, firsts, _codes(own, at, known))
+        found.flush()
+        sums = found.sums
         parts = [i for i in range(0, BUCKETS, _RANGE) if sums[i : i + _RANGE].any()]
         blobs = [sums[i : i + _RANGE].astype(np.float32).tobytes() for i in parts]
         yield pa.RecordBatch.from_arrays(
@@ -137,13 +265,18 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 def pooled(texts: list[bytes], vectors: np.ndarray, known: Interner) -> np.ndarray:
     """A row per text: the mean over its words' vectors and the mean over its shapes'."""
     out = np.zeros((len(texts), 2 * DIM), np.float32)
-    for i, text in enumerate(texts):
-        terms = _terms(text, known)
-        for w, s in _pieces(terms):
-            out[i, :DIM] += vectors[w].sum(axis=0)
-            counts = np.unique(s, return_counts=True)
-            out[i, DIM:] += counts[1].astype(np.float32) @ vectors[counts[0]]
-        out[i] /= max(1, len(terms))
+    ids, firsts, own, at = _found(texts)
+    codes = _codes(own, at, known)
+    words = codes // BUCKETS
+    shapes, shape_of = np.unique(codes % BUCKETS, return_inverse=True)
+    for i, (first, end) in enumerate(pairwise(firsts.tolist())):
+        for start in range(first, end, _TERMS_AT_ONCE):
+            part = ids[start : min(start + _TERMS_AT_ONCE, end)]
+            out[i, :DIM] += vectors[words[part]].sum(axis=0)
+            counts = np.bincount(shape_of[part], minlength=len(shapes))
+            used = np.flatnonzero(counts)
+            out[i, DIM:] += counts[used].astype(np.float32) @ vectors[shapes[used]]
+        out[i] /= max(1, end - first)
     return out
 
 
@@ -297,7 +430,9 @@ def fit(
 
     def run(batches):
         known = Interner(_word_and_shape)
-        for block in blocks_of(batches, lambda r: len(r[1]), "doc_id", "text", "label"):
+        for block in blocks_of(
+            batches, lambda r: len(r[1]), "doc_id", "text", "label", most=_BLOCK_BYTES
+        ):
             rows = pooled([t for _, t, _ in block], shared.value, known)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -323,7 +458,9 @@ def score(docs: DataFrame, model: tuple[np.ndarray, Network]) -> DataFrame:
 
     def run(batches):
         (vectors, network), known = shared.value, Interner(_word_and_shape)
-        for block in blocks_of(batches, lambda r: len(r[1]), "doc_id", "text"):
+        for block in blocks_of(
+            batches, lambda r: len(r[1]), "doc_id", "text", most=_BLOCK_BYTES
+        ):
             scores = network.score(pooled([t for _, t in block], vectors, known))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([i for i, _ in block], pa.int64()), pa.array(scores, pa.float64())],
@@ -339,7 +476,7 @@ def keep_good(docs: DataFrame, model: tuple[np.ndarray, Network], least: float)
 
     def run(batches):
         (vectors, network), known = shared.value, Interner(_word_and_shape)
-        for part in parts_of(batches, "text"):
+        for part in parts_of(batches, "text", _BLOCK_BYTES):
             texts = part.column("text").cast(pa.binary())
             rows = pooled([t.as_py() or b"" for t in texts], vectors, known)
             yield part.filter(pa.array(network.score(rows) >= least))
