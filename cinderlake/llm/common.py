@@ -133,9 +133,30 @@ class Interner(dict):
 _MMAP_THRESHOLD, _MAPPED_FROM = -3, 1 << 20
 
 
-def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+_kept: dict[object, object] = {}
+
+
+def kept(key: object, make: Callable[[], object]) -> object:
+    """What ``make`` gives, made once in a worker, until a ``released`` task comes that does not keep such things."""
+    if key not in _kept:
+        _kept[key] = make()
+    return _kept[key]
+
+
+def _give_back(library: ctypes.CDLL) -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(library, "malloc_trim"):
+        library.malloc_trim(0)
+
+
+def released(
+    run: Callable[[Iterator], Iterator], keeps: bool = False
+) -> Callable[[Iterator], Iterator]:
     """``run`` over the batches of a task, with memory that goes back once it is no longer used.
 
+    Unless the task ``keeps`` them, what earlier tasks of other steps left to ``kept`` goes first.
+
     A Python worker lives on for the next tasks, and what the C library keeps of large blocks would stay
     with it, beside all other workers of the executor. Large arrays are mapped one by one, so each goes back at
     once, and the rest when the task ends.
@@ -145,13 +166,13 @@ def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterat
         library = ctypes.CDLL(None)
         if hasattr(library, "mallopt"):
             library.mallopt(_MMAP_THRESHOLD, _MAPPED_FROM)
+        if _kept and not keeps:
+            _kept.clear()
+            _give_back(library)
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            if hasattr(library, "malloc_trim"):
-                library.malloc_trim(0)
+            _give_back(library)
 
     return go
 

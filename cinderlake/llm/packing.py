@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinderlake.llm.common import blocks_of, byte_letters, ragged, released, text_bytes
+from cinderlake.llm.common import blocks_of, byte_letters, kept, ragged, released, text_bytes
 from cinderlake.workspace import materialize
 
 TIERS = (512, 1024, 2048, 4096)
@@ -184,7 +184,7 @@ def pack(
 
     # Written, as the texts would be encoded twice otherwise.
     first = materialize(
-        docs.select("doc_id", text_bytes()).mapInArrow(released(run), _PACKED), "packed"
+        docs.select("doc_id", text_bytes()).mapInArrow(released(run, keeps=True), _PACKED), "packed"
     )
     rests = first.where("ids IS NOT NULL")
     tokens = rests.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
@@ -349,15 +349,7 @@ class WordTokenizer:
         return ids, np.diff(ends[np.concatenate([[0], np.cumsum(sizes)])])
 
 
-_made: dict[str, WordTokenizer] = {}
-
-
 def word_tokenizer(path: str) -> Callable[[], WordTokenizer]:
-    """For ``pack``: the tokenizer of a vocabulary file, kept from task to task in a worker."""
-
-    def make() -> WordTokenizer:
-        if path not in _made:
-            _made[path] = WordTokenizer(path)
-        return _made[path]
+    """For ``pack``: the tokenizer of a vocabulary file, kept in a worker from one packing task to the next."""
 
-    return make
+    return lambda: kept((WordTokenizer, path), lambda: WordTokenizer(path))

@@ -18,18 +18,20 @@ from cinderlake.llm.queries import LANGUAGE_WEIGHTS, absent_languages, tokenizer
 from cinderlake.workspace import materialize
 
 LEAST_QUALITY = 0.7
+# Rows of an Arrow batch at most; the executor and its worker both hold one, and its buffers double as they grow.
+BATCH_ROWS = 500
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a quality score of 0.7 or more; learned from ids whose crc32 mod 4 is not 2."""
-    short_batches(spark)
+    short_batches(spark, BATCH_ROWS)
     labels = table(spark, sf_dir, "labels").filter(id_crc() % 4 != 2)
     return quality.keep_good(docs, quality.fit(docs, labels), LEAST_QUALITY)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest doc_id; of rows that repeat both, one."""
-    short_batches(spark)
+    short_batches(spark, BATCH_ROWS)
     verdicts = materialize(dedup.exact_groups(docs), "verdicts")
     sha = F.sha2(F.coalesce(docs["text"], F.lit("")).cast("binary"), 256)
     dropped = verdicts.where("NOT kept").select(
@@ -52,7 +54,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by 5-word shingles at 0.8 or more, the one with the smallest doc_id."""
-    short_batches(spark)
+    short_batches(spark, BATCH_ROWS)
     found = jaccard.jaccard_components(docs, n=5, num=80)
     dropped = found.where("component_id <> doc_id").select(F.col("doc_id").alias("dropped_id"))
     dropped = materialize(dropped.distinct(), "dropped")
@@ -65,7 +67,7 @@ def mix_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     A wanted language that no labelled document has is left out, and the shares of the others are
     scaled to add up to 1; the log says which.
     """
-    short_batches(spark)
+    short_batches(spark, BATCH_ROWS)
     labelled = table(spark, sf_dir, "labels").select("doc_id").distinct()
     labelled = docs.select("doc_id", "lang").join(labelled, "doc_id", "left_semi")
     absent = absent_languages(labelled)
@@ -75,7 +77,7 @@ def mix_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 512 to 4096 tokens."""
-    short_batches(spark)
+    short_batches(spark, BATCH_ROWS)
     return packing.pack(docs, packing.word_tokenizer(tokenizer_path("word_bpe_49k.json")))
 
 
