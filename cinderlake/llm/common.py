@@ -150,6 +150,13 @@ def _give_back(library: ctypes.CDLL) -> None:
         library.malloc_trim(0)
 
 
+def _drop_kept(library: ctypes.CDLL) -> None:
+    """A function of the module, as one made in a call would reach workers with a copy of the table."""
+    if _kept:
+        _kept.clear()
+        _give_back(library)
+
+
 def released(
     run: Callable[[Iterator], Iterator], keeps: bool = False
 ) -> Callable[[Iterator], Iterator]:
@@ -166,9 +173,8 @@ def released(
         library = ctypes.CDLL(None)
         if hasattr(library, "mallopt"):
             library.mallopt(_MMAP_THRESHOLD, _MAPPED_FROM)
-        if _kept and not keeps:
-            _kept.clear()
-            _give_back(library)
+        if not keeps:
+            _drop_kept(library)
         try:
             yield from run(batches)
         finally:

@@ -1,5 +1,7 @@
 """What workers keep from task to task, and the size of the pipeline's Arrow batches."""
 
+from pyspark import cloudpickle
+
 import corpus_pipeline
 from cinderlake.llm import common, packing, quality
 from cinderlake.llm.common import ARROW_ROWS, kept, released
@@ -20,6 +22,13 @@ def test_what_is_kept_goes_with_the_first_task_of_another_step():
     assert made == [1, 5]
 
 
+def test_what_is_kept_goes_in_a_worker_too():
+    assert kept("table", lambda: 1) == 1
+    keeping, other = (cloudpickle.loads(cloudpickle.dumps(released(iter, keeps=k))) for k in (True, False))
+    assert list(keeping([7])) == [7] and common._kept == {"table": 1}
+    assert list(other([8])) == [8] and not common._kept
+
+
 def test_a_tokenizer_is_kept_for_packing_only():
     make = packing.word_tokenizer(corpus_pipeline.tokenizer_path("word_bpe_49k.json"))
     first = make()
